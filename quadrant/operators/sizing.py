@@ -1,0 +1,41 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when its size is known to be small: either the caller
+states a row bound that holds by construction (one row per partition, one row
+per vocabulary chunk), or Catalyst's size estimate for the optimised plan is
+under the limit. Otherwise the join is left to the planner and AQE, which turns
+it into a broadcast at run time only if the shuffled side really is small.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes().toString()))
+    except Exception:  # noqa: BLE001 - stats are advisory only
+        return None
+
+
+def broadcast_if_small(df: DataFrame, est_rows: int | None = None,
+                       max_bytes: int = DEFAULT_MAX_BYTES,
+                       max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    if est_rows is not None and est_rows <= max_rows:
+        return F.broadcast(df)
+    size = estimated_bytes(df)
+    if size is not None and size <= max_bytes:
+        return F.broadcast(df)
+    return df
+
+
+def checked_count(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[int, bool]:
+    """Count rows (a cheap aggregate on a small dimension) and say if it fits."""
+    n = df.count()
+    return n, n <= max_rows
