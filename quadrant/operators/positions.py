@@ -45,3 +45,28 @@ def dense_position(df: DataFrame, order: Sequence[str | Column], group: Sequence
         F.sum("_n").over(run_w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     out = local.join(broadcast_if_small(offsets, est_rows=n), ["_pid"] + gcols)
     return out.withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_pid", "_local", "_off")
+
+
+def carry_forward(df: DataFrame, group: Sequence[str], order: str, value: str,
+                  name: str, block_rows: int = 1 << 20) -> DataFrame:
+    """Last non-null `value` at or before each row within its group, by the
+    numeric column `order`.
+
+    `value` must be non-decreasing along `order` where it is set (a line number,
+    a timestamp), so "last" equals "max". Rows are cut into blocks of
+    `block_rows` consecutive order values: a running max inside each
+    (group, block) -- one hash shuffle, bounded window partitions even when one
+    group holds a third of the data -- plus the max of the earlier blocks of the
+    group, taken from a one-row-per-block summary.
+    """
+    gcols = list(group)
+    b = df.withColumn("_blk", F.floor(F.col(order) / block_rows))
+    w = (Window.partitionBy(gcols + ["_blk"]).orderBy(order)
+               .rowsBetween(Window.unboundedPreceding, 0))
+    local = b.withColumn("_local", F.max(value).over(w))
+    summary = b.groupBy(gcols + ["_blk"]).agg(F.max(value).alias("_bmax"))
+    run_w = Window.partitionBy(*gcols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.withColumn("_carry", F.max("_bmax").over(run_w)).drop("_bmax")
+    out = local.join(carry, gcols + ["_blk"])
+    return (out.withColumn(name, F.coalesce(F.col("_local"), F.col("_carry")))
+               .drop("_blk", "_local", "_carry"))

@@ -1 +1,91 @@
-"""(filled in below)"""
+"""Quad queries: transcript quads, delete / replace, N-Quads round trip,
+update batches, and the correction round trip (X7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quadrant.operators import quads as QD
+from quadrant.operators import transcripts as TR
+from quadrant.plans.registry import query
+from quadrant.session import work_dir
+from quadrant.sources import fixtures as FX
+from quadrant.sources.store import QUAD_COLUMNS, catalog_store
+
+
+def transcript_quads(spark, sf_dir, keep=()):
+    return QD.segments_to_quads(FX.seg(spark, sf_dir), keep=keep)
+
+
+def corrected_segments(spark, sf_dir, lines=None):
+    """W2 output mapped back to its media, in the segment shape X4 expects."""
+    lines = FX.lines(spark, sf_dir) if lines is None else lines
+    merged, _ = TR.coalesce_transcript(lines)
+    media = FX.seg(spark, sf_dir).select(F.col("mkey").alias("file"), "media").distinct()
+    return (merged.join(media, "file")
+                  .select("media", F.col("head_line_no").alias("ord"), F.col("start").alias("start_raw"),
+                          F.col("end").alias("end_raw"), "text", F.lit(None).cast("double").alias("confidence")))
+
+
+@query("segments_to_quads")
+def q_segments_to_quads(spark, sf_dir):
+    return transcript_quads(spark, sf_dir).select(QUAD_COLUMNS)
+
+
+@query("delete_transcription")
+def q_delete_transcription(spark, sf_dir):
+    store = transcript_quads(spark, sf_dir).select(QUAD_COLUMNS)
+    doomed = FX.seg(spark, sf_dir).where(F.col("conv_id") % 3 == 0).select("media").distinct()
+    return QD.delete_transcription(store, doomed)
+
+
+@query("replace_transcription")
+def q_replace_transcription(spark, sf_dir):
+    store = transcript_quads(spark, sf_dir).select(QUAD_COLUMNS)
+    new = corrected_segments(spark, sf_dir).where(F.col("media").endswith("v1"))
+    return QD.replace_transcription(store, QD.segments_to_quads(new), new.select("media").distinct())
+
+
+def _nquads_source(spark, sf_dir):
+    return catalog_store(spark, sf_dir).select(QUAD_COLUMNS).unionByName(
+        transcript_quads(spark, sf_dir).select(QUAD_COLUMNS))
+
+
+def _write_nquads(spark, sf_dir) -> str:
+    path = work_dir(spark, "nquads")
+    QD.to_nquads(_nquads_source(spark, sf_dir)).write.mode("overwrite").text(path)
+    return path
+
+
+@query("quads_to_nquads")
+def q_quads_to_nquads(spark, sf_dir):
+    return spark.read.text(_write_nquads(spark, sf_dir))
+
+
+@query("src_nquads")
+def q_src_nquads(spark, sf_dir):
+    return QD.parse_nquads(spark.read.text(_write_nquads(spark, sf_dir)))
+
+
+@query("quads_update_batches")
+def q_quads_update_batches(spark, sf_dir):
+    q = transcript_quads(spark, sf_dir, keep=("conv_id",)).withColumn("bucket", F.col("conv_id") % 8).drop("conv_id")
+    b = QD.update_batches(q.dropDuplicates())
+    return b.select("bucket", "batch", "n_quads", F.md5("request").alias("request_md5"))
+
+
+@query("correction_round_trip")
+def q_correction_round_trip(spark, sf_dir):
+    """Segments -> TXT files -> staff corrections -> re-read -> merge -> quads -> replace."""
+    from quadrant.plans.q_transcripts import seg_keyed
+    s = seg_keyed(spark, sf_dir).withColumn("file", F.col("mkey"))
+    path = work_dir(spark, "txt-export")
+    TR.write_documents(TR.txt_lines(s, key_col="file"), "file", ["start_ms", "end_ms", "ord"], "line", path)
+    exported = TR.read_documents(spark, path, "file")
+    # the staff blank the text of every third line: the line extends the one above
+    corrected = exported.withColumn(
+        "line", F.when(F.col("line_no") % 3 == 2,
+                       F.regexp_replace("line", r"^([^-:]*-[^-:]*[^:]*:).*$", "$1 ")).otherwise(F.col("line")))
+    new = corrected_segments(spark, sf_dir, corrected.select("file", "line_no", "line"))
+    store = transcript_quads(spark, sf_dir).select(QUAD_COLUMNS)
+    return QD.replace_transcription(store, QD.segments_to_quads(new), new.select("media").distinct())

@@ -193,3 +193,37 @@ def title_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles asked for by staff: first lines of the fr and en documents, in doc order."""
     d = table(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "en"))
     return d.select(F.col("doc_id").alias("line_no"), _first_line(F.col("text")).alias("title"))
+
+
+def _conv_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id").distinct()
+
+
+def tcat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcript catalogue (the interviews CSV): media with a version suffix
+    (v2 on some), and 'entretien avec <speaker> (...)' titles shared by several media."""
+    c = _conv_ids(spark, sf_dir)
+    mkey = F.concat(F.lit("hal-"), F.lpad(F.col("conv_id").cast("string"), 8, "0"))
+    ver = F.when(F.col("conv_id") % 6 == 1, F.lit("v2")).otherwise(F.lit("v1"))
+    media = (F.when(F.col("conv_id") % 4 != 0, F.concat(F.lit(HAL_EXAMPLE_PREFIX), mkey, ver))
+              .otherwise(F.concat(F.lit(NAKALA_EXAMPLE_PREFIX), F.col("conv_id").cast("string"))))
+    title = F.concat(F.lit("entretien avec Speaker "), (F.col("conv_id") % 40).cast("string"),
+                     F.lit(" (entretien "), F.col("conv_id").cast("string"), F.lit(")"))
+    return c.select(F.col("conv_id").alias("ord"), media.alias("media"), title.alias("title"))
+
+
+def txt_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrected TXT file names: key-carrying export names, or speaker names."""
+    c = _conv_ids(spark, sf_dir)
+    mkey = F.concat(F.lit("hal-"), F.lpad(F.col("conv_id").cast("string"), 8, "0"))
+    name = (F.when(F.col("conv_id") % 5 == 0, F.concat(F.lit("export__."), mkey, F.lit("v1.lintoai.txt")))
+             .otherwise(F.concat(F.lit("entretien avec Speaker "), (F.col("conv_id") % 45).cast("string"),
+                                 F.lit(" (revu "), F.col("conv_id").cast("string"), F.lit(").txt"))))
+    return c.select(name.alias("txtname"))
+
+
+def transcript_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the transcript files that exist (media not yet transcribed have none)."""
+    from quadrant.functions.expressions import media_key
+    s = seg(spark, sf_dir).where(F.col("conv_id") % 5 != 0).select("media").distinct()
+    return s.select(media_key("media").alias("file_key"))
