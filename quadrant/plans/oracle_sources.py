@@ -1 +1,41 @@
-"""(filled in below)"""
+"""DuckDB oracles for the source and sink queries (what must come back)."""
+
+from __future__ import annotations
+
+from quadrant.plans.oracle_base import CAT, LINES, QUADS, SEG, VOCAB, ORACLE, oracle, with_
+from quadrant.plans.oracle_catalog import GP, INTERVIEWS, TEXT_DOCS
+from quadrant.plans.oracle_transcripts import media_key
+
+oracle("src_csv_catalog", with_(CAT, body="""
+SELECT c.media, c.title, c.title2, c.url, CAST(c.created AS VARCHAR) AS creationdate,
+       array_to_string(string_split(d.text, chr(10))[1:2], chr(10)) AS description
+FROM cat c JOIN documents d ON d.doc_id = c.doc_id"""))
+
+oracle("sink_csv", with_(CAT, QUADS, *GP, TEXT_DOCS, body="SELECT * FROM text_docs"))
+
+oracle("src_segments_json", with_(SEG, body=f"""
+SELECT {media_key('media')} AS media_key,
+       CAST(row_number() OVER (PARTITION BY conv_id ORDER BY start_ms, end_ms, text) - 1 AS BIGINT) AS ord,
+       start_raw, end_raw, start_ms, end_ms, text, confidence
+FROM seg"""))
+
+oracle("src_text_lines", with_(SEG, LINES, body="""
+SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY line_no) - 1 AS BIGINT) AS line_no, line FROM lines"""))
+
+oracle("src_sparql_json", with_(CAT, QUADS, *GP, INTERVIEWS, body="SELECT * FROM interviews"))
+
+oracle("vocab_select", with_(VOCAB, body="""
+SELECT min(ord) AS ord, strLabel, subclass, entity, uriclass
+FROM vocab_raw WHERE list_name = 'list1' GROUP BY strLabel, subclass, entity, uriclass"""))
+
+oracle("sink_append", with_(CAT, body="""
+SELECT ord, media_seg, title, CAST(ord // 500 AS BIGINT) AS batch_id FROM cat"""))
+
+
+def _nested() -> None:
+    from quadrant.plans import oracle_catalog  # noqa: F401 - registers resolve_entities
+    ORACLE["sink_nested_json"] = ORACLE["resolve_entities"]
+
+
+_nested()
+

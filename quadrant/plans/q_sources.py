@@ -1 +1,101 @@
-"""(filled in below)"""
+"""Source and sink queries: each writes to the shared folder and reads back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quadrant.operators import catalog as C
+from quadrant.operators import label as L
+from quadrant.plans.registry import query
+from quadrant.session import work_dir
+from quadrant.sources import files as FS
+from quadrant.sources import fixtures as FX
+from quadrant.sources.store import catalog_store
+
+CATALOG_CSV_SCHEMA = "media string, title string, title2 string, url string, creationdate string, description string"
+
+
+@query("src_csv_catalog")
+def q_src_csv_catalog(spark, sf_dir):
+    c = FX.cat(spark, sf_dir)
+    two_lines = F.concat_ws("\n", F.slice(F.split(F.col("_text"), "\n"), 1, 2))
+    d = FX.table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text").alias("_text"))
+    rows = c.join(d, "doc_id").select("media", "title", "title2", "url",
+                                       F.col("created").cast("string").alias("creationdate"),
+                                       two_lines.alias("description"))
+    path = work_dir(spark, "catalog-csv")
+    FS.write_csv(rows, path)
+    return FS.read_csv(spark, path, CATALOG_CSV_SCHEMA)
+
+
+@query("sink_csv")
+def q_sink_csv(spark, sf_dir):
+    rows = C.text_documents(catalog_store(spark, sf_dir)).select(
+        "lab", "media", "url", "presentation", "keywords", "media_seg", "creation_date")
+    path = work_dir(spark, "results-csv")
+    FS.write_csv(rows, path)
+    return FS.read_csv(spark, path, "lab string, media string, url string, presentation string, "
+                                    "keywords string, media_seg string, creation_date string")
+
+
+@query("src_segments_json")
+def q_src_segments_json(spark, sf_dir):
+    from quadrant.plans.q_transcripts import seg_keyed
+    path = work_dir(spark, "segments-json")
+    FS.land_segment_files(seg_keyed(spark, sf_dir), path).count()
+    # a file without the suffix in the same folder must be ignored
+    spark.createDataFrame([("not a transcript",)], "value string").coalesce(1).write.mode("append").text(path + "/notes")
+    s = FS.read_segment_files(spark, path)
+    return s.select("media_key", "ord", "start_raw", "end_raw", "start_ms", "end_ms", "text", "confidence")
+
+
+@query("src_text_lines")
+def q_src_text_lines(spark, sf_dir):
+    from quadrant.operators import transcripts as TR
+    path = work_dir(spark, "corrected-txt")
+    TR.write_documents(FX.lines(spark, sf_dir), "file", ["line_no"], "line", path)
+    return TR.read_documents(spark, path, "file")
+
+
+INTERVIEW_VARS = ["media", "title", "title2", "url", "creation_date"]
+
+
+@query("src_sparql_json")
+def q_src_sparql_json(spark, sf_dir):
+    rows = C.interviews(catalog_store(spark, sf_dir))
+    path = work_dir(spark, "sparql-json")
+    FS.write_sparql_json(rows, INTERVIEW_VARS, path, pages=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return FS.read_sparql_json(spark, path, INTERVIEW_VARS)
+
+
+@query("vocab_select")
+def q_vocab_select(spark, sf_dir):
+    path = work_dir(spark, "vocab-registry")
+    FS.write_vocabulary_registry(FX.vocab_raw(spark, sf_dir), path)
+    return FS.select_vocabulary(spark, path, "List 1")
+
+
+@query("sink_append")
+def q_sink_append(spark, sf_dir):
+    c = FX.cat(spark, sf_dir).select("ord", "media_seg", "title")
+    rows = c.withColumn("batch_id", F.floor(F.col("ord") / 500).cast("bigint"))
+    path = work_dir(spark, "append")
+    FS.append_batch(rows.where(F.col("batch_id") == 0), path)
+    FS.append_batch(rows.where(F.col("batch_id") >= 1), path)
+    FS.append_batch(rows.where(F.col("batch_id") == 1), path)  # redo: replaces, never duplicates
+    return spark.read.parquet(path).select("ord", "media_seg", "title", F.col("batch_id").cast("bigint"))
+
+
+@query("sink_nested_json")
+def q_sink_nested_json(spark, sf_dir):
+    from quadrant.plans.q_label import document_texts
+    v, chunks, n, label_col = L.prepare_vocabulary(FX.vocab_raw(spark, sf_dir), True)
+    res = L.resolve_entities(L.predict(document_texts(spark, sf_dir), chunks, n), v, match_col=label_col)
+    path = work_dir(spark, "nested-json")
+    res.write.mode("overwrite").json(path)
+    back = spark.read.schema("media_seg string, predicted_labels array<struct<strLabel:string,subclass:string,"
+                             "entity:string,uriclass:string>>").json(path)
+    return back.select("media_seg", F.posexplode_outer("predicted_labels").alias("lpos", "l")).select(
+        "media_seg", F.col("lpos").cast("bigint").alias("lpos"), F.col("l.strLabel").alias("strLabel"),
+        F.col("l.entity").alias("entity"), F.col("l.uriclass").alias("uriclass"))
+
