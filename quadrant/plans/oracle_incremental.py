@@ -1 +1,45 @@
-"""(filled in below)"""
+"""DuckDB oracles for incremental, publish and streaming queries: what a
+single full run must produce."""
+
+from __future__ import annotations
+
+from quadrant.plans.oracle_base import CAT, DOC_TEXTS, SEG, VOCAB, oracle, with_
+from quadrant.plans.oracle_catalog import CHUNKS, COLLECT, FIRST_VOCAB, LEX, PARSE, RESOLVED
+from quadrant.plans.oracle_transcripts import media_key
+
+oracle("incremental_offset", with_(CAT, body="""
+SELECT media_seg,
+       label || ' ' || presentation || ' Les mot-clés du texte : ' ||
+       (CASE WHEN doc_id % 11 <> 0 THEN k1 || ', ' || k2 || ', ' || k3 END) AS text,
+       CAST((row_number() OVER (ORDER BY ord) - 1) // 500 AS BIGINT) AS batch_id
+FROM cat"""))
+
+oracle("incremental_date", """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, count(*) AS n_events, round(sum(value), 6) AS total_value,
+       CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-11' THEN '2024-01-11'
+            WHEN CAST(ts AS DATE) <= DATE '2024-01-21' THEN '2024-01-21' ELSE '2024-01-31' END AS run_date
+FROM events
+WHERE CAST(ts AS DATE) > DATE '2024-01-01' AND CAST(ts AS DATE) <= DATE '2024-01-31'
+GROUP BY ALL""")
+
+RECORDS = with_(VOCAB, CHUNKS, DOC_TEXTS, LEX, PARSE, COLLECT, FIRST_VOCAB, RESOLVED, """
+recs AS (SELECT media_seg, count(*) AS n_labels,
+                CAST(split_part(media_seg, '/', -1) AS BIGINT) AS doc FROM resolved GROUP BY media_seg)""",
+                body="{body}")
+
+oracle("publish_with_retry", RECORDS.replace("{body}", """
+SELECT media_seg,
+       CASE WHEN doc % 13 = 0 THEN 'locked' WHEN doc % 7 <= 4 THEN 'published' ELSE 'dead' END AS status,
+       CAST(CASE WHEN doc % 13 = 0 THEN 0 WHEN doc % 7 <= 4 THEN greatest(doc % 7, 1) ELSE 4 END AS BIGINT) AS attempts
+FROM recs"""))
+
+oracle("publish_dead_letter", RECORDS.replace("{body}", """
+SELECT media_seg, CAST(n_labels AS BIGINT) AS n_labels FROM recs WHERE doc % 13 <> 0 AND doc % 7 > 4"""))
+
+oracle("stream_ingest", with_(SEG, body=f"""
+SELECT {media_key('media')} AS media_key, start_raw, end_raw, start_ms, end_ms, text, confidence FROM seg"""))
+
+oracle("stream_dedupe", with_(CAT, body="""
+SELECT ord, media, media_seg, title FROM (
+  SELECT ord, media, media_seg, title, row_number() OVER (PARTITION BY media ORDER BY ord) AS rn FROM cat
+) WHERE rn = 1"""))

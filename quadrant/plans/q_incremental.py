@@ -1 +1,168 @@
-"""(filled in below)"""
+"""Incremental, publish and streaming queries."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from quadrant.operators import incremental as INC
+from quadrant.operators import label as L
+from quadrant.operators import textprep as T
+from quadrant.plans.registry import query
+from quadrant.session import work_dir
+from quadrant.sources import files as FS
+from quadrant.sources import fixtures as FX
+from quadrant.streaming import ingest as ST
+
+EVENT_RUNS = ["2024-01-11", "2024-01-21", "2024-01-31"]
+
+
+def _text_rows(df):
+    kw = F.when(F.col("doc_id") % 11 != 0, F.concat_ws(", ", "k1", "k2", "k3"))
+    rows = df.select("media_seg", F.col("label").alias("lab"), "presentation", kw.alias("keywords"))
+    return T.classification_text(rows).select("media_seg", "text")
+
+
+@query("incremental_offset")
+def q_incremental_offset(spark, sf_dir):
+    """Offset-resumed runs of 500 rows, one interrupted and redone."""
+    work = work_dir(spark, "t1")
+    staged = INC.stage_positions(FX.cat(spark, sf_dir), ["ord"], f"{work}/input")
+    res, state = f"{work}/results", f"{work}/state"
+    # a run that dies after writing its results but before its state ...
+    INC.run_offset_batch(spark, staged, _text_rows, res, state, commit_state=False)
+    # ... is redone from the same offset; then runs continue until nothing is left
+    while INC.run_offset_batch(spark, staged, _text_rows, res, state) > 0:
+        pass
+    return spark.read.parquet(res).select("media_seg", "text", F.col("batch_id").cast("bigint"))
+
+
+def _daily(df):
+    return (df.groupBy(F.to_date("ts").cast("string").alias("event_date"))
+              .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 6).alias("total_value")))
+
+
+@query("incremental_date")
+def q_incremental_date(spark, sf_dir):
+    """Date-resumed runs (10-day look-back, then since the last run); the
+    second run is interrupted and redone; a same-day re-run is a no-op."""
+    work = work_dir(spark, "t2")
+    ev = FX.table(spark, sf_dir, "events").select("ts", "value")
+    res, state = f"{work}/results", f"{work}/state"
+    INC.run_date_batch(spark, ev, "ts", EVENT_RUNS[0], _daily, res, state)
+    INC.run_date_batch(spark, ev, "ts", EVENT_RUNS[1], _daily, res, state, commit_state=False)
+    for as_of in EVENT_RUNS[1:]:
+        INC.run_date_batch(spark, ev, "ts", as_of, _daily, res, state)
+    INC.run_date_batch(spark, ev, "ts", EVENT_RUNS[-1], _daily, res, state)
+    return spark.read.parquet(res).select("event_date", "n_events", "total_value", "run_date")
+
+
+def _records(spark, sf_dir):
+    from quadrant.plans.q_label import document_texts
+    v, chunks, n, label_col = L.prepare_vocabulary(FX.vocab_raw(spark, sf_dir), True)
+    res = L.resolve_entities(L.predict(document_texts(spark, sf_dir), chunks, n), v, match_col=label_col)
+    return res.where(F.size("predicted_labels") > 0)
+
+
+def _doc_id(pdf: pd.DataFrame) -> pd.Series:
+    return pdf["media_seg"].str.rsplit("/", n=1).str[-1].astype("int64")
+
+
+def deterministic_publisher(pdf: pd.DataFrame, attempt: int) -> pd.Series:
+    """Test publisher: the media of doc d succeeds from attempt d % 7 on."""
+    return attempt >= (_doc_id(pdf) % 7)
+
+
+def _locked(records):
+    doc = F.element_at(F.split("media_seg", "/"), -1).cast("bigint")
+    return records.where(doc % 13 == 0).select("media_seg")
+
+
+def _publish(spark, sf_dir, work):
+    recs = _records(spark, sf_dir).persist()
+    status = INC.publish_with_retry(spark, recs, "media_seg", deterministic_publisher, f"{work}/acks",
+                                    locked=_locked(recs))
+    return recs, status
+
+
+@query("publish_with_retry")
+def q_publish_with_retry(spark, sf_dir):
+    _, status = _publish(spark, sf_dir, work_dir(spark, "k8"))
+    return status
+
+
+@query("publish_dead_letter")
+def q_publish_dead_letter(spark, sf_dir):
+    work = work_dir(spark, "k9")
+    recs, status = _publish(spark, sf_dir, work)
+    INC.dead_letter(recs, status, "media_seg", f"{work}/dead")
+    back = spark.read.schema("media_seg string, predicted_labels array<struct<strLabel:string,subclass:string,"
+                             "entity:string,uriclass:string>>").json(f"{work}/dead")
+    return back.select("media_seg", F.size("predicted_labels").cast("bigint").alias("n_labels"))
+
+
+def _land_drops(spark, sf_dir, inbox, drops):
+    from quadrant.plans.q_transcripts import seg_keyed
+    s = seg_keyed(spark, sf_dir)
+    for d in drops:
+        FS.land_segment_files(s.where(F.col("conv_id") % 4 == d), inbox).count()
+
+
+SEG_COLS = ["media_key", "start_raw", "end_raw", "start_ms", "end_ms", "text", "confidence"]
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Files arriving in two waves; each run ingests what is new; a third
+    run with nothing new adds nothing."""
+    work = work_dir(spark, "t3")
+    inbox, sink, ckpt = f"{work}/inbox", f"{work}/sink", f"{work}/checkpoint"
+    _land_drops(spark, sf_dir, inbox, [0, 1])
+    ST.run_available(ST.segment_stream(spark, inbox), sink, ckpt)
+    _land_drops(spark, sf_dir, inbox, [2, 3])
+    ST.run_available(ST.segment_stream(spark, inbox), sink, ckpt)
+    ST.run_available(ST.segment_stream(spark, inbox), sink, ckpt)
+    return spark.read.parquet(sink).select(SEG_COLS)
+
+
+@query("stream_ingest_archive")
+def q_stream_ingest_archive(spark, sf_dir):
+    """Ingested files are moved to the archive folder.
+
+    Spark's file source archives a batch's files when the next batch starts
+    (its commit), so the files of the newest batch stay in the inbox until more
+    data arrives: here 100 files in batches of 64 leave the last 36 in place.
+    """
+    work = work_dir(spark, "k10")
+    inbox, sink, ckpt, archive = f"{work}/inbox", f"{work}/sink", f"{work}/checkpoint", f"{work}/archive"
+    _land_drops(spark, sf_dir, inbox, [0, 1, 2, 3])
+    ST.run_available(ST.segment_stream(spark, inbox, archive_dir=archive, max_files=64), sink, ckpt)
+    return (spark.read.schema(FS.SEGMENT_FILE_SCHEMA).option("multiLine", True)
+                 .option("recursiveFileLookup", True).json(archive))
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """T4: catalogue rows re-delivered in overlapping drops; first per media wins."""
+    work = work_dir(spark, "t4")
+    inbox, sink, ckpt = f"{work}/inbox", f"{work}/sink", f"{work}/checkpoint"
+    c = FX.cat(spark, sf_dir).select("ord", "media", "media_seg", "title")
+    c.where(F.col("ord") < 600).coalesce(1).write.mode("append").parquet(inbox)
+    c.where(F.col("ord") >= 400).coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    ST.run_foreach_batch(stream, ST.keep_first_into(sink, "media", ["ord"]), ckpt)
+    return spark.read.parquet(sink)
+
+
+@query("stream_publish")
+def q_stream_publish(spark, sf_dir):
+    """T5: records arriving as files; each micro-batch is published with
+    retries, then the batch is recorded in the state table."""
+    work = work_dir(spark, "t5")
+    inbox, ckpt = f"{work}/inbox", f"{work}/checkpoint"
+    recs = _records(spark, sf_dir).select("media_seg")
+    recs.write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(recs.schema).parquet(inbox)
+    ST.run_foreach_batch(stream, ST.publish_each_batch("media_seg", deterministic_publisher, work,
+                                                       f"{work}/state"), ckpt)
+    return spark.read.parquet(f"{work}/status").select("media_seg", "status", "attempts")
