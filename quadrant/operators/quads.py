@@ -13,14 +13,15 @@ from quadrant.operators.positions import dense_position
 from quadrant.operators.transcripts import segment_timecodes
 from quadrant.sources.store import QUAD_COLUMNS
 
-_NONE = F.lit(None).cast("string")
+def _none():
+    return F.lit(None).cast("string")
 
 
 def _quad(s, p, o, g, kind, datatype=None):
     return F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), g.alias("g"),
                     F.lit(kind).alias("o_kind"),
-                    (F.lit(datatype) if datatype else _NONE).alias("o_datatype"),
-                    _NONE.alias("o_lang"))
+                    (F.lit(datatype) if datatype else _none()).alias("o_datatype"),
+                    _none().alias("o_lang"))
 
 
 def segments_to_quads(seg: DataFrame, media_col: str = "media", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -79,7 +79,9 @@ def _locked(records):
 
 
 def _publish(spark, sf_dir, work):
-    recs = _records(spark, sf_dir).persist()
+    # records are read by every round: cut the lineage in the shared folder so a
+    # retry never re-runs the classifier (plug-in models are not deterministic)
+    recs = _records(spark, sf_dir).checkpoint()
     status = INC.publish_with_retry(spark, recs, "media_seg", deterministic_publisher, f"{work}/acks",
                                     locked=_locked(recs))
     return recs, status
