@@ -54,16 +54,99 @@ def chunk_table(chunk_rows: DataFrame, label_col: str = "vocas") -> DataFrame:
 
 # ------------------------------------------------------------------ J5
 def text_chunk_pairs(texts: DataFrame, chunks: DataFrame, n_chunks: int,
-                     id_col: str = "media_seg", text_col: str = "text") -> DataFrame:
+                     id_col: str = "media_seg", text_col: str | None = "text") -> DataFrame:
     """Every text with every chunk: texts expand chunk ids locally, chunks are
     broadcast (n_chunks rows, checked), so the pairing is a broadcast hash join."""
-    t = texts.select(id_col, text_col).withColumn(
+    t = texts.withColumn(
         "chunk_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n_chunks - 1, 0)).cast("bigint"))))
     if n_chunks == 0:
         t = t.where(F.lit(False))
     return t.join(broadcast_if_small(chunks, est_rows=n_chunks), "chunk_id")
 
 
+# ------------------------------------------------------------------ X1 (match)
+_AUTOMATA: dict[str, object] = {}
+
+
+def _automaton(bc, key: str):
+    """One Aho-Corasick automaton per Python worker and vocabulary (by digest)."""
+    auto = _AUTOMATA.get(key)
+    if auto is None:
+        words = [w for w in bc.value if w]
+        try:
+            import ahocorasick
+            auto = ahocorasick.Automaton()
+            for w in words:
+                auto.add_word(w, w)
+            if words:
+                auto.make_automaton()
+            else:
+                auto = ()
+        except ImportError:  # plain substring tests if the library is missing
+            auto = tuple(words)
+        _AUTOMATA[key] = auto
+    return auto
+
+
+def _find(auto, text: str) -> set[str]:
+    if not auto:
+        return set()
+    if isinstance(auto, tuple):
+        return {w for w in auto if w in text}
+    return {w for _, w in auto.iter(text)}
+
+
+def matched_words(texts: DataFrame, words: list[str], id_col: str = "media_seg",
+                  text_col: str = "text") -> DataFrame:
+    """(id, _matched): the distinct vocabulary words contained in the whole
+    lower-cased text, found in one Aho-Corasick pass per text (the cost does not
+    grow with the vocabulary). Texts are lower-cased in the JVM, exactly as the
+    words were, and compared code point by code point, like `contains`."""
+    spark = texts.sparkSession
+    import hashlib
+    vocab = sorted(set(words))
+    key = hashlib.sha1("\n".join(vocab).encode("utf-8")).hexdigest()
+    bc = spark.sparkContext.broadcast(vocab)
+    always = "" in set(words)  # the empty word is contained in every text
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        auto = _automaton(bc, key)
+        for pdf in batches:
+            found = []
+            for low in pdf["_low"]:
+                if low is None:
+                    found.append([])
+                    continue
+                hit = _find(auto, low)
+                if always:
+                    hit.add("")
+                found.append(sorted(hit))
+            yield pd.DataFrame({id_col: pdf[id_col].values, "_matched": found})
+
+    src = texts.select(id_col, F.lower(F.col(text_col)).alias("_low"))
+    return src.mapInPandas(run, f"{id_col} string, _matched array<string>")
+
+
+def chunk_words(chunks: DataFrame, n_chunks: int) -> list[str] | None:
+    """The distinct match words of the chunk table, or None if the vocabulary
+    is over the broadcast bound (then the per-label JVM test is used)."""
+    if n_chunks * K.LABELS_PER_CHUNK > MAX_VOCAB_ROWS:
+        return None
+    rows = chunks.select(F.explode(F.transform("chunk", lambda x: x["match"])).alias("w")).distinct().collect()
+    return [r["w"] for r in rows]
+
+
+def lexical_pairs(texts: DataFrame, chunks: DataFrame, n_chunks: int, id_col: str = "media_seg",
+                  text_col: str = "text") -> DataFrame:
+    """(text, chunk) pairs ready for `lexical_response`: each pair carries the
+    words its text contains (`_matched`), computed once per text."""
+    words = chunk_words(chunks, n_chunks)
+    if words is None:
+        low = texts.select(id_col, F.lower(F.col(text_col)).alias("_low"))
+        return text_chunk_pairs(low, chunks, n_chunks, id_col=id_col)
+    return text_chunk_pairs(matched_words(texts, words, id_col, text_col), chunks, n_chunks, id_col=id_col)
+
+
 # ------------------------------------------------------------------ P4
 SYSTEM_TASK = ("Classez le texte dans une ou plusieurs des catégories proposées. "
                "Répondez par les noms exacts des catégories, séparés par des virgules, "
@@ -92,18 +175,22 @@ def inference_requests(pairs: DataFrame, id_col: str = "media_seg", text_col: st
 
 
 # ------------------------------------------------------------------ X1
-def lexical_response(pairs: DataFrame, text_col: str = "text") -> DataFrame:
+def lexical_response(pairs: DataFrame) -> DataFrame:
     """Deterministic built-in classifier: the chunk labels whose word occurs in
-    the (whole) text, case-insensitively, answered as 'l1, l2' or 'Rien'.
+    the whole text, case-insensitively, answered as 'l1, l2' or 'Rien'.
 
-    The text is lower-cased once per pair before the lambda so the per-label
-    test is a plain substring search inside whole-stage codegen.
+    With `_matched` (from `lexical_pairs`) the per-label test is a lookup in
+    the small array of words the text contains; without it (vocabulary over
+    the broadcast bound) it is a JVM substring test on the lower-cased text.
     """
-    low = pairs.withColumn("_low", F.lower(F.col(text_col)))
-    hits = F.transform(F.filter(F.col("chunk"), lambda x: F.col("_low").contains(x["match"])),
-                       lambda x: x["label"])
-    resp = F.when(F.size(hits) > 0, F.array_join(hits, ", ")).otherwise(F.lit(K.NO_ANSWER))
-    return low.withColumn("response", resp).drop("_low")
+    if "_matched" in pairs.columns:
+        test = lambda x: F.array_contains(F.col("_matched"), x["match"])
+    else:
+        test = lambda x: F.col("_low").contains(x["match"])
+    hits = F.transform(F.filter(F.col("chunk"), test), lambda x: x["label"])
+    with_hits = pairs.withColumn("_hits", hits)
+    resp = F.when(F.size("_hits") > 0, F.array_join("_hits", ", ")).otherwise(F.lit(K.NO_ANSWER))
+    return with_hits.withColumn("response", resp).drop("_hits", "_low", "_matched")
 
 
 def plugin_response(pairs: DataFrame, model: Callable[[pd.DataFrame], pd.Series],
@@ -187,10 +274,10 @@ def prepare_vocabulary(vocab_raw: DataFrame, qualified: bool = True) -> tuple[Da
 def predict(texts: DataFrame, chunks: DataFrame, n_chunks: int, classifier=None,
             id_col: str = "media_seg") -> DataFrame:
     """J5 + X1 + F6 + A5: per text, the accumulated list of accepted labels."""
-    pairs = text_chunk_pairs(texts, chunks, n_chunks, id_col=id_col)
     if classifier is None:
-        resp = lexical_response(pairs)
+        resp = lexical_response(lexical_pairs(texts, chunks, n_chunks, id_col=id_col))
     else:
+        pairs = text_chunk_pairs(texts, chunks, n_chunks, id_col=id_col)
         # an external model answers differently on a re-run: persist its answers
         # in the shared checkpoint folder before anything reads them
         resp = plugin_response(pairs, classifier, id_col=id_col).checkpoint()

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,25 +27,36 @@ def dense_position(df: DataFrame, order: Sequence[str | Column], group: Sequence
     """Add a 0-based position of each row within its group, by `order`.
 
     The order keys must make rows unique within a group (add a tie-break).
+    One range shuffle on (group, order); inside each sorted range partition
+    `monotonically_increasing_id` is (partition << 33) + row index, so the
+    local index needs no window. Per (partition, group) row counts -- one row
+    per partition and group -- give each group's running offset.
+
+    Both the counts and the rows must see the same range split, so the sorted,
+    numbered frame is persisted and read by both (an upstream shuffle gives no
+    stable row order, so two separate range samplings could disagree). A lost
+    block is recomputed from the one exchange, whose bounds are fixed once
+    planned: the same rows land in the same partition and sort the same way.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(list(group)) + _cols(order)
-    parted = (df.repartitionByRange(n, *keys)
-                .withColumn("_pid", F.spark_partition_id()))
-    # The partitioned data is read twice (counts, rows): materialise it once in
-    # the shared checkpoint folder so both reads see the same range split and a
-    # lost executor does not re-sample different boundaries.
-    parted = parted.checkpoint(eager=True)
     gcols = list(group)
-    local_w = Window.partitionBy(["_pid"] + gcols).orderBy(*_cols(order))
-    local = parted.withColumn("_local", F.row_number().over(local_w) - 1)
-    counts = parted.groupBy(["_pid"] + gcols).agg(F.count(F.lit(1)).alias("_n"))
+    mid = F.monotonically_increasing_id()
+    parted = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                .withColumn("_mid", mid)
+                .withColumn("_pid", F.shiftright("_mid", 33))
+                .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+                .drop("_mid")
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    stats = parted.groupBy(["_pid"] + gcols).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
     run_w = (Window.partitionBy(*gcols) if gcols else Window.partitionBy(F.lit(0))).orderBy("_pid")
-    offsets = counts.withColumn("_off", F.coalesce(
+    offsets = stats.withColumn("_off", F.coalesce(
         F.sum("_n").over(run_w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    out = local.join(broadcast_if_small(offsets, est_rows=n), ["_pid"] + gcols)
-    return out.withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_pid", "_local", "_off")
+    est = n if not gcols else None
+    out = parted.join(broadcast_if_small(offsets, est_rows=est), ["_pid"] + gcols)
+    return (out.withColumn(name, (F.col("_off") + F.col("_loc") - F.col("_first")).cast("bigint"))
+               .drop("_pid", "_loc", "_first", "_off"))
 
 
 def carry_forward(df: DataFrame, group: Sequence[str], order: str, value: str,

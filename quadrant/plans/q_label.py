@@ -55,7 +55,7 @@ def q_inference_requests(spark, sf_dir):
 @query("classify_lexical")
 def q_classify_lexical(spark, sf_dir):
     _, chunks, n, _ = _vocab(spark, sf_dir)
-    pairs = L.text_chunk_pairs(document_texts(spark, sf_dir), chunks, n)
+    pairs = L.lexical_pairs(document_texts(spark, sf_dir), chunks, n)
     return L.lexical_response(pairs).select("media_seg", "chunk_id", "response")
 
 
@@ -63,7 +63,7 @@ def q_classify_lexical(spark, sf_dir):
 def q_parse_predictions(spark, sf_dir):
     """F6 over noisy responses: the lexical answer, a 'Rien', and a lower-cased copy."""
     _, chunks, n, _ = _vocab(spark, sf_dir)
-    pairs = L.text_chunk_pairs(document_texts(spark, sf_dir), chunks, n)
+    pairs = L.lexical_pairs(document_texts(spark, sf_dir), chunks, n)
     resp = L.lexical_response(pairs).withColumn(
         "response", F.concat(F.col("response"), F.lit(" , " + K.NO_ANSWER + ","), F.lower(F.col("response"))))
     parsed = resp.select("media_seg", "chunk_id", L.parse_response().alias("labels"))
