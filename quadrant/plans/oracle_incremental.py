@@ -43,3 +43,6 @@ oracle("stream_dedupe", with_(CAT, body="""
 SELECT ord, media, media_seg, title FROM (
   SELECT ord, media, media_seg, title, row_number() OVER (PARTITION BY media ORDER BY ord) AS rn FROM cat
 ) WHERE rn = 1"""))
+
+oracle("stream_ingest_archive", with_(SEG, body=f"""
+SELECT {media_key('media')} AS media_key, start_raw, end_raw, text, confidence FROM seg WHERE conv_id % 4 <> 3"""))

@@ -132,15 +132,20 @@ def q_stream_ingest_archive(spark, sf_dir):
     """Ingested files are moved to the archive folder.
 
     Spark's file source archives a batch's files when the next batch starts
-    (its commit), so the files of the newest batch stay in the inbox until more
-    data arrives: here 100 files in batches of 64 leave the last 36 in place.
+    (its commit), so the newest batch stays in the inbox until more data
+    arrives. Four waves land one after another, one run (one batch) each:
+    the first three waves end up archived, the last one waits.
     """
     work = work_dir(spark, "k10")
     inbox, sink, ckpt, archive = f"{work}/inbox", f"{work}/sink", f"{work}/checkpoint", f"{work}/archive"
-    _land_drops(spark, sf_dir, inbox, [0, 1, 2, 3])
-    ST.run_available(ST.segment_stream(spark, inbox, archive_dir=archive, max_files=64), sink, ckpt)
-    return (spark.read.schema(FS.SEGMENT_FILE_SCHEMA).option("multiLine", True)
+    for wave in range(4):
+        _land_drops(spark, sf_dir, inbox, [wave])
+        ST.run_available(ST.segment_stream(spark, inbox, archive_dir=archive), sink, ckpt)
+    arch = (spark.read.schema(FS.SEGMENT_FILE_SCHEMA).option("multiLine", True)
                  .option("recursiveFileLookup", True).json(archive))
+    return arch.select(
+        F.regexp_replace(F.col("_metadata.file_name"), r"[.]lintoai[.]json$", "").alias("media_key"),
+        F.col("start").alias("start_raw"), F.col("end").alias("end_raw"), "text", "confidence")
 
 
 @query("stream_dedupe")
