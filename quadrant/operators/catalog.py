@@ -132,11 +132,18 @@ def recent(rows: DataFrame, as_of: str, days: int, date_col: str = "created") ->
     return rows.where(F.datediff(F.lit(as_of).cast("date"), F.to_date(F.col(date_col))) < days)
 
 
-def keep_first(rows: DataFrame, key: str | list[str], order: list) -> DataFrame:
-    """A3: first row per key by `order` (row_number = 1, planned as a group limit)."""
+def keep_first(rows: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
+    """A3: first row per key by `order` (ascending, nulls first).
+
+    An aggregate, not a window: `min_by(row, order)` is combined map-side, so a
+    key holding a large share of the rows is reduced before the shuffle instead
+    of being sorted in one task. `order` must make rows unique within a key.
+    """
     keys = [key] if isinstance(key, str) else key
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    rest = [c for c in rows.columns if c not in keys]
+    best = rows.groupBy(*keys).agg(
+        F.min_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("_row"))
+    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(rows.columns)
 
 
 def catalog_union(text_docs: DataFrame, temporal_docs: DataFrame) -> DataFrame:

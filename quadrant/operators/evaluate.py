@@ -45,23 +45,31 @@ def f1_scores(truth: DataFrame, pred: DataFrame, unit: str = "unit", label: str
     return out.select("scope", label, "tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
-def krippendorff_alpha(ratings: DataFrame, unit: str = "unit", value: str = "value") -> DataFrame:
+def krippendorff_alpha(ratings: DataFrame, unit: str = "unit", value: str = "value",
+                       by: list[str] | None = None) -> DataFrame:
     """Nominal Krippendorff's alpha for any set of raters, missing ratings
-    allowed. With n_uc ratings of value c on unit u, m_u = sum_c n_uc >= 2 and
+    allowed, computed for every group of `by` (e.g. several rater sets) in one
+    pass. With n_uc ratings of value c on unit u, m_u = sum_c n_uc >= 2 and
     n = sum_u m_u:  alpha = 1 - D_o / D_e where
       D_o = sum_u (m_u^2 - sum_c n_uc^2) / (m_u - 1)
       D_e = (n^2 - sum_c n_c^2) / (n - 1).
-    Returns one row (alpha, n_units, n_values)."""
-    nuc = ratings.groupBy(unit, value).agg(F.count(F.lit(1)).alias("n"))
-    mu = nuc.groupBy(unit).agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("s2")) \
+    Returns (by..., alpha, n_units, n_values)."""
+    keep = list(by or [])
+    by = keep or ["_all"]
+    if not keep:
+        ratings = ratings.withColumn("_all", F.lit(0))
+    nuc = ratings.groupBy(*by, unit, value).agg(F.count(F.lit(1)).alias("n"))
+    mu = nuc.groupBy(*by, unit).agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("s2")) \
         .where(F.col("m") >= 2)
-    pairable = nuc.join(mu.select(unit), unit, "left_semi")
-    nc = pairable.groupBy(value).agg(F.sum("n").alias("nc"))
-    do = mu.agg(F.sum((F.col("m") * F.col("m") - F.col("s2")) / (F.col("m") - 1)).alias("do"),
-                F.sum("m").alias("n"), F.count(F.lit(1)).alias("n_units"))
-    snc2 = nc.select(F.sum(F.col("nc") * F.col("nc"))).scalar()
-    de = (F.col("n") * F.col("n") - snc2) / (F.col("n") - 1)
-    return do.select(F.round(F.when(de > 0, 1 - F.col("do") / de), 6).alias("alpha"),
+    pairable = nuc.join(mu.select(*by, unit), by + [unit], "left_semi")
+    nc = pairable.groupBy(*by, value).agg(F.sum("n").alias("nc")) \
+        .groupBy(*by).agg(F.sum(F.col("nc") * F.col("nc")).alias("snc2"))
+    do = mu.groupBy(*by).agg(F.sum((F.col("m") * F.col("m") - F.col("s2")) / (F.col("m") - 1)).alias("do"),
+                             F.sum("m").alias("n"), F.count(F.lit(1)).alias("n_units"))
+    # one row per group on each side: joining them is a join of two tiny tables
+    out = do.join(nc, by, "inner")
+    de = (F.col("n") * F.col("n") - F.col("snc2")) / (F.col("n") - 1)
+    return out.select(*keep, F.round(F.when(de > 0, 1 - F.col("do") / de), 6).alias("alpha"),
                       F.col("n_units").cast("bigint").alias("n_units"), F.col("n").cast("bigint").alias("n_values"))
 
 

@@ -104,14 +104,17 @@ def write_documents(rows: DataFrame, key_col: str, order: list[str], line_col: s
 
 
 def read_documents(spark, path: str, key_col: str) -> DataFrame:
-    """Read documents back as (key, line_no, line): whole part files, split,
-    numbered across part files in file-name order."""
-    raw = (spark.read.format("text").option("wholetext", True).load(path)
-                .select(F.col(key_col), F.col("_metadata.file_name").alias("_file"), F.col("value")))
-    # \z, not $: '$' also matches before a final newline and would eat a blank line
-    body = F.regexp_replace(F.col("value"), "\n\\z", "")
-    parts = raw.select(key_col, "_file", F.posexplode(F.split(body, "\n")).alias("_i", "line"))
-    return dense_position(parts, ["_file", "_i"], group=[key_col], name="line_no").drop("_file", "_i")
+    """Read documents back as (key, line_no, line).
+
+    Line mode, so no file has to fit in one value: within an input split rows
+    arrive in file order, so (file name, split start, read position) orders
+    every line; positions are then numbered per key across part files.
+    """
+    raw = (spark.read.format("text").load(path)
+                .select(F.col(key_col), F.col("_metadata.file_name").alias("_file"),
+                        F.col("_metadata.file_block_start").alias("_blk"),
+                        F.monotonically_increasing_id().alias("_i"), F.col("value").alias("line")))
+    return dense_position(raw, ["_file", "_blk", "_i"], group=[key_col], name="line_no").drop("_file", "_blk", "_i")
 
 
 # ------------------------------------------------------------------ A8

@@ -43,20 +43,20 @@ def q_f1_scores(spark, sf_dir):
     return EV.f1_scores(human_labels(spark, sf_dir), model_labels(spark, sf_dir))
 
 
+RATER_SETS = {"all": ["quality", "safe", "length"], "quality_length": ["quality", "length"],
+              "quality_safe": ["quality", "safe"]}
+
+
 @query("krippendorff_alpha")
 def q_krippendorff_alpha(spark, sf_dir):
+    """Alpha for several rater sets at once; 'identical' pairs the quality
+    rater with a copy of itself (alpha = 1)."""
     r = FX.raters(spark, sf_dir)
-    sets = {"all": ["quality", "safe", "length"], "quality_length": ["quality", "length"],
-            "quality_safe": ["quality", "safe"]}
-    out = None
-    for name, members in sets.items():
-        a = EV.krippendorff_alpha(r.where(F.col("rater").isin(members))).withColumn("raters", F.lit(name))
-        out = a if out is None else out.unionByName(a)
-    # two identical raters agree perfectly: alpha = 1
-    q = r.where(F.col("rater") == "quality")
-    same = EV.krippendorff_alpha(q.unionByName(q.withColumn("rater", F.lit("quality_copy")))) \
-        .withColumn("raters", F.lit("identical"))
-    return out.unionByName(same).select("raters", "alpha", "n_units", "n_values")
+    membership = F.array(*[F.when(F.col("rater").isin(m), F.lit(name)) for name, m in RATER_SETS.items()])
+    sets = r.select("unit", "value", F.explode(F.filter(membership, lambda x: x.isNotNull())).alias("raters"))
+    q = r.where(F.col("rater") == "quality").select("unit", "value")
+    same = q.unionAll(q).withColumn("raters", F.lit("identical"))
+    return EV.krippendorff_alpha(sets.unionByName(same), by=["raters"]).select("raters", "alpha", "n_units", "n_values")
 
 
 @query("confusion_matrix")

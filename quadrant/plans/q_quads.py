@@ -10,7 +10,7 @@ from quadrant.operators import transcripts as TR
 from quadrant.plans.registry import query
 from quadrant.session import work_dir
 from quadrant.sources import fixtures as FX
-from quadrant.sources.store import QUAD_COLUMNS, catalog_store
+from quadrant.sources.store import QUAD_COLUMNS, catalog_store, transcript_store
 
 
 def transcript_quads(spark, sf_dir, keep=()):
@@ -34,21 +34,21 @@ def q_segments_to_quads(spark, sf_dir):
 
 @query("delete_transcription")
 def q_delete_transcription(spark, sf_dir):
-    store = transcript_quads(spark, sf_dir).select(QUAD_COLUMNS)
+    store = transcript_store(spark, sf_dir)
     doomed = FX.seg(spark, sf_dir).where(F.col("conv_id") % 3 == 0).select("media").distinct()
     return QD.delete_transcription(store, doomed)
 
 
 @query("replace_transcription")
 def q_replace_transcription(spark, sf_dir):
-    store = transcript_quads(spark, sf_dir).select(QUAD_COLUMNS)
+    store = transcript_store(spark, sf_dir)
     new = corrected_segments(spark, sf_dir).where(F.col("media").endswith("v1"))
     return QD.replace_transcription(store, QD.segments_to_quads(new), new.select("media").distinct())
 
 
 def _nquads_source(spark, sf_dir):
     return catalog_store(spark, sf_dir).select(QUAD_COLUMNS).unionByName(
-        transcript_quads(spark, sf_dir).select(QUAD_COLUMNS))
+        transcript_store(spark, sf_dir).select(QUAD_COLUMNS))
 
 
 def _write_nquads(spark, sf_dir) -> str:
@@ -87,5 +87,5 @@ def q_correction_round_trip(spark, sf_dir):
         "line", F.when(F.col("line_no") % 3 == 2,
                        F.regexp_replace("line", r"^([^-:]*-[^-:]*[^:]*:).*$", "$1 ")).otherwise(F.col("line")))
     new = corrected_segments(spark, sf_dir, corrected.select("file", "line_no", "line"))
-    store = transcript_quads(spark, sf_dir).select(QUAD_COLUMNS)
+    store = transcript_store(spark, sf_dir)
     return QD.replace_transcription(store, QD.segments_to_quads(new), new.select("media").distinct())

@@ -25,11 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _first_line(c):
-    return F.split_part(c, F.lit("\n"), F.lit(1))
+    # substring_index stops at the first separator; split_part would split the whole text
+    return F.substring_index(c, "\n", 1)
 
 
 def _word(c, i):
-    return F.replace(F.split_part(c, F.lit(" "), F.lit(i)), F.lit("\n"), F.lit(" "))
+    """i-th space-separated part ('' when there are fewer), newlines folded."""
+    part = F.substring_index(c, " ", 1) if i == 1 else F.when(
+        F.substring_index(c, " ", i - 1) == c, F.lit("")).otherwise(
+        F.substring_index(F.substring_index(c, " ", i), " ", -1))
+    return F.replace(part, F.lit("\n"), F.lit(" "))
 
 
 def cat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,3 +34,14 @@ def catalog_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _stored:
         _stored[key] = store_quads(spark, catalog_quads(spark, sf_dir), "catalog-quads")
     return spark.read.parquet(_stored[key])
+
+
+def transcript_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transcript quad table (X4 over every transcript), written once per
+    application: delete / replace / export read it like the real store."""
+    from quadrant.operators.quads import segments_to_quads
+    from quadrant.sources.fixtures import seg
+    key = (spark.sparkContext.applicationId, sf_dir + "#transcripts")
+    if key not in _stored:
+        _stored[key] = store_quads(spark, segments_to_quads(seg(spark, sf_dir)), "transcript-quads")
+    return spark.read.parquet(_stored[key])
