@@ -22,6 +22,8 @@ from quadrant.operators.sizing import DEFAULT_MAX_ROWS, broadcast_if_small
 from quadrant.operators.textprep import vocab_dedupe, with_qualified
 
 MAX_VOCAB_ROWS = DEFAULT_MAX_ROWS
+# words in one Aho-Corasick automaton (built in every Python worker)
+MAX_AUTOMATON_WORDS = 500_000
 
 
 # ------------------------------------------------------------------ W1
@@ -130,7 +132,7 @@ def matched_words(texts: DataFrame, words: list[str], id_col: str = "media_seg",
 def chunk_words(chunks: DataFrame, n_chunks: int) -> list[str] | None:
     """The distinct match words of the chunk table, or None if the vocabulary
     is over the broadcast bound (then the per-label JVM test is used)."""
-    if n_chunks * K.LABELS_PER_CHUNK > MAX_VOCAB_ROWS:
+    if n_chunks * K.LABELS_PER_CHUNK > MAX_AUTOMATON_WORDS:
         return None
     rows = chunks.select(F.explode(F.transform("chunk", lambda x: x["match"])).alias("w")).distinct().collect()
     return [r["w"] for r in rows]

@@ -157,7 +157,7 @@ def q_stream_dedupe(spark, sf_dir):
     c.where(F.col("ord") < 600).coalesce(1).write.mode("append").parquet(inbox)
     c.where(F.col("ord") >= 400).coalesce(1).write.mode("append").parquet(inbox)
     stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    ST.run_foreach_batch(stream, ST.keep_first_into(sink, "media", ["ord"]), ckpt)
+    ST.run_available(ST.keep_first_stream(stream, "media", "ord"), sink, ckpt)
     return spark.read.parquet(sink)
 
 

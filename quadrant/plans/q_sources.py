@@ -64,7 +64,7 @@ INTERVIEW_VARS = ["media", "title", "title2", "url", "creation_date"]
 def q_src_sparql_json(spark, sf_dir):
     rows = C.interviews(catalog_store(spark, sf_dir))
     path = work_dir(spark, "sparql-json")
-    FS.write_sparql_json(rows, INTERVIEW_VARS, path, pages=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    FS.write_sparql_json(rows, INTERVIEW_VARS, path, rows_per_page=100)
     return FS.read_sparql_json(spark, path, INTERVIEW_VARS)
 
 

@@ -84,8 +84,15 @@ def sparql_schema(variables: list[str]) -> str:
     return f"head struct<vars:array<string>>, results struct<bindings:array<struct<{fields}>>>"
 
 
-def write_sparql_json(rows: DataFrame, variables: list[str], path: str, pages: int) -> None:
-    """Land a result set as SPARQL-JSON documents, one per page (JSON lines)."""
+ROWS_PER_PAGE = 10_000
+
+
+def write_sparql_json(rows: DataFrame, variables: list[str], path: str,
+                      rows_per_page: int = ROWS_PER_PAGE) -> None:
+    """Land a result set as SPARQL-JSON documents (JSON lines), each page
+    holding about `rows_per_page` bindings: the page count follows the row
+    count, so no page grows with the data."""
+    pages = max(1, -(-rows.count() // rows_per_page))
     binding = F.struct(*[F.struct(F.lit("literal").alias("type"), F.col(v).alias("value")).alias(v)
                          for v in variables])
     docs = (rows.withColumn("_page", F.pmod(F.xxhash64(*variables), F.lit(pages)))

@@ -50,20 +50,38 @@ def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], c
     q.awaitTermination()
 
 
-def keep_first_into(sink_path: str, key: str, order: list[str]):
-    """foreachBatch body for T4: first row per key within the batch, minus keys
-    the sink already holds (anti-join), appended. Earlier arrivals win."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        from quadrant.operators.catalog import keep_first
-        spark = batch.sparkSession
-        first = keep_first(batch, key, order)
-        try:
-            seen = spark.read.parquet(sink_path).select(key)
-            first = first.join(seen, key, "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: empty sink
-            pass
-        first.write.mode("append").parquet(sink_path)
-    return fn
+def keep_first_stream(stream: DataFrame, key: str, order: str) -> DataFrame:
+    """T4: keep the first row per key across all runs, as a stateful stream.
+
+    Each key keeps one boolean in the state store ("already emitted"). The
+    first micro-batch that brings a key emits its lowest-`order` row; later
+    arrivals of the key are dropped. No sink is re-read, and the state is
+    checkpointed with the query, so the dedupe survives restarts.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    out_schema = stream.schema
+
+    def first(keys, batches, state):
+        import pandas as pd
+        if state.exists:
+            for _ in batches:
+                pass
+            return
+        best = None
+        for pdf in batches:
+            top = pdf.sort_values(order, kind="mergesort").head(1)
+            if best is None or top[order].iloc[0] < best[order].iloc[0]:
+                best = top
+        if best is not None:
+            state.update((True,))
+            yield best[list(out_schema.fieldNames())]
+        else:
+            yield pd.DataFrame(columns=out_schema.fieldNames())
+
+    return stream.groupBy(key).applyInPandasWithState(
+        first, outputStructType=out_schema, stateStructType="seen boolean",
+        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
 
 
 def publish_each_batch(key: str, publisher, work: str, state_path: str):
