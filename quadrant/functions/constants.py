@@ -11,7 +11,6 @@ XSD = "http://www.w3.org/2001/XMLSchema#"
 DC = "http://purl.org/dc/elements/1.1/"
 CORE = "http://www.ina.fr/core#"
 USER = "http://www.ina.fr/user/"
-HAL_MEDIA_PREFIX = "http://campus-aar.fr/asa#oai:HAL:"
 
 # --- fixed values: predicates and classes -----------------------------------
 RDF_TYPE = RDF + "type"

@@ -12,8 +12,11 @@ def _c(x) -> Column:
 
 # ---------------------------------------------------------------- time codes
 def seconds_text_to_ms(raw) -> Column:
-    """'12.34' (seconds, as written in the JSON) -> 12340 ms (BIGINT)."""
-    return F.round(_c(raw).cast("double") * 1000).cast("bigint")
+    """'12.34' (seconds, as written in the JSON) -> 12340 ms (BIGINT).
+
+    Hand-corrected files may hold a blank or malformed time: that gives null
+    (and no time quad) rather than failing the job under ANSI casts."""
+    return F.round(_c(raw).try_cast("double") * 1000).cast("bigint")
 
 
 def ms_to_seconds_text(ms) -> Column:

@@ -4,6 +4,7 @@ the pluggable transcriber (X2)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,7 +17,6 @@ from quadrant.functions.expressions import (media_key, ms_to_duration, ms_to_srt
 from quadrant.operators.positions import carry_forward, dense_position
 from quadrant.operators.theta import contains_join
 
-SEGMENT_SCHEMA = "start string, end string, text string, confidence double"
 
 
 # ------------------------------------------------------------------ X3
@@ -156,7 +156,8 @@ def file_to_title(files: DataFrame, catalogue: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ J10
 def speaker_name(txtname: F.Column) -> F.Column:
     """Text between 'entretien avec ' and the next '(' of a file name."""
-    after = F.element_at(F.split(txtname, K.INTERVIEW_MARKER, 2), 2)
+    # names without the marker give null (no match) instead of an ANSI error
+    after = F.try_element_at(F.split(txtname, K.INTERVIEW_MARKER, 2), F.lit(2))
     return F.split_part(after, F.lit("("), F.lit(1))
 
 
@@ -168,10 +169,12 @@ def name_to_media(txt: DataFrame, catalogue: DataFrame) -> DataFrame:
     first whose key ends 'v2', else the first; none -> 'No match found'.
     """
     linto = F.col("txtname").contains("lintoai")
-    direct = F.concat(F.expr("substring(element_at(split(txtname, '__[.]', 2), 2), 1, "
-                             "length(element_at(split(txtname, '__[.]', 2), 2)) - 3)"), F.lit("json"))
-    t = txt.select("txtname", F.when(~linto, F.lower(speaker_name(F.col("txtname")))).alias("_name"),
-                   F.when(linto, direct).alias("_direct"))
+    # '<anything>__.<key>.lintoai.txt' -> '<key>.lintoai.json'
+    tail_part = F.try_element_at(F.split(F.col("txtname"), re.escape(K.LINTO_NAME_MARKER), 2), F.lit(2))
+    direct = F.concat(F.expr("substring(_tail, 1, length(_tail) - 3)"), F.lit("json"))
+    t = (txt.withColumn("_tail", tail_part)
+            .select("txtname", F.when(~linto, F.lower(speaker_name(F.col("txtname")))).alias("_name"),
+                    F.when(linto, direct).alias("_direct")))
     cat = catalogue.select("ord", F.lower(F.col("title")).alias("_title"),
                            F.element_at(F.split(F.col("media"), ":"), -1).alias("_key"))
     rank = F.struct((~F.col("_key").endswith("v2")).alias("_not_v2"), F.col("ord"))

@@ -36,7 +36,7 @@ def srt_stamp(ms: str) -> str:
 
 
 def to_ms(raw: str) -> str:
-    return f"CAST(round(CAST({raw} AS DOUBLE) * 1000) AS BIGINT)"
+    return f"CAST(round(TRY_CAST({raw} AS DOUBLE) * 1000) AS BIGINT)"
 
 
 def media_key(m: str, keep_version: bool = False) -> str:

@@ -68,7 +68,6 @@ def cat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUAD_STRUCT = "struct<s:string,p:string,o:string,g:string,o_kind:string,o_datatype:string,o_lang:string>"
 
 
 def _q(s, p, o, g, kind, datatype=None, lang=None):

@@ -135,3 +135,11 @@ def test_update_batches_cover_input(spark):
     assert sum(r.n_quads for r in b) == 1234
     assert max(r.n_quads for r in b) <= K.QUADS_PER_REQUEST
     assert all(r.n_quads > 0 for r in b)
+
+
+def test_malformed_times_give_no_time_quads(spark):
+    seg = spark.createDataFrame([("http://m/media/1", 0, "1.0x", "", "t", None)],
+                                "media string, ord long, start_raw string, end_raw string, text string, confidence double")
+    q = QD.segments_to_quads(seg)
+    preds = {r.p for r in q.collect()}
+    assert K.CORE_TEXT_PROP in preds and K.CORE_BEGIN_TIME_TR not in preds
