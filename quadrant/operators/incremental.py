@@ -105,6 +105,13 @@ def run_date_batch(spark: SparkSession, rows: DataFrame, date_col: str, as_of: s
 Publisher = Callable[[pd.DataFrame, int], pd.Series]
 
 
+def with_request_url(records: DataFrame, base_url: str, media_col: str = "media_seg") -> DataFrame:
+    """The endpoint a publisher plug-in calls for each record: the media URI
+    percent-encoded as a path (RFC 3986, '/' kept), after `base_url`."""
+    from quadrant.functions.expressions import percent_encode_path
+    return records.withColumn("request_url", F.concat(F.lit(base_url), percent_encode_path(media_col)))
+
+
 def _attempt(records: DataFrame, key: str, publisher: Publisher, attempt: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

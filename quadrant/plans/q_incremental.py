@@ -15,6 +15,7 @@ from quadrant.sources import fixtures as FX
 from quadrant.streaming import ingest as ST
 
 EVENT_RUNS = ["2024-01-11", "2024-01-21", "2024-01-31"]
+PUBLISH_ENDPOINT = "https://store.example.org/api/set_media?uri="
 
 
 def _text_rows(df):
@@ -81,7 +82,7 @@ def _locked(records):
 def _publish(spark, sf_dir, work):
     # records are read by every round: cut the lineage in the shared folder so a
     # retry never re-runs the classifier (plug-in models are not deterministic)
-    recs = _records(spark, sf_dir).checkpoint()
+    recs = INC.with_request_url(_records(spark, sf_dir), PUBLISH_ENDPOINT).checkpoint()
     status = INC.publish_with_retry(spark, recs, "media_seg", deterministic_publisher, f"{work}/acks",
                                     locked=_locked(recs))
     return recs, status
@@ -99,7 +100,7 @@ def q_publish_dead_letter(spark, sf_dir):
     recs, status = _publish(spark, sf_dir, work)
     INC.dead_letter(recs, status, "media_seg", f"{work}/dead")
     back = spark.read.schema("media_seg string, predicted_labels array<struct<strLabel:string,subclass:string,"
-                             "entity:string,uriclass:string>>").json(f"{work}/dead")
+                             "entity:string,uriclass:string>>, request_url string").json(f"{work}/dead")
     return back.select("media_seg", F.size("predicted_labels").cast("bigint").alias("n_labels"))
 
 

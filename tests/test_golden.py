@@ -143,3 +143,12 @@ def test_malformed_times_give_no_time_quads(spark):
     q = QD.segments_to_quads(seg)
     preds = {r.p for r in q.collect()}
     assert K.CORE_TEXT_PROP in preds and K.CORE_BEGIN_TIME_TR not in preds
+
+
+def test_percent_encode_path_matches_quote(spark):
+    from urllib.parse import quote
+    from quadrant.functions.expressions import percent_encode_path
+    samples = ["http://campus-aar.fr/asa#oai:HAL:hal-1v1", "a b/c~d*e+f", "é à/ü?x=1&y=2", "Études aréales"]
+    df = spark.createDataFrame([(x,) for x in samples], "u string")
+    got = [r[0] for r in df.select(percent_encode_path("u")).collect()]
+    assert got == [quote(x, safe="/") for x in samples]
