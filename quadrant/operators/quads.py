@@ -144,3 +144,20 @@ def update_batches(quads: DataFrame, bucket_col: str = "bucket", size: int = K.Q
                  F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "stmt"))),
                                           lambda x: x["stmt"]), " "),
                  F.lit("}")).alias("request"))
+
+
+def deliver_batches(batches: DataFrame, sender, bucket_col: str = "bucket") -> DataFrame:
+    """K7 delivery: send each request with `sender(requests: pd.Series) ->
+    pd.Series[bool]` on the executors (Arrow batches), returning one ack per
+    request. Requests are independent and set-valued, so a re-sent request
+    after a lost task is harmless."""
+    import pandas as pd
+
+    def run(parts):
+        for pdf in parts:
+            ok = sender(pdf["request"]).astype(bool).values
+            yield pd.DataFrame({bucket_col: pdf[bucket_col].values, "batch": pdf["batch"].values,
+                                "n_quads": pdf["n_quads"].values, "ok": ok})
+
+    return batches.select(bucket_col, "batch", "n_quads", "request").mapInPandas(
+        run, f"{bucket_col} bigint, batch bigint, n_quads bigint, ok boolean")
