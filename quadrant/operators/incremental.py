@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
-from quadrant.operators.positions import dense_position
+from quadrant.operators.positions import dense_position, release_positions
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -32,6 +32,7 @@ def stage_positions(rows: DataFrame, order: list[str], path: str) -> DataFrame:
     """Number the input once (range-partitioned scan) and store it, so each
     run reads only its slice through a pushed-down filter on `pos`."""
     dense_position(rows, order, name="pos").write.mode("overwrite").parquet(path)
+    release_positions()
     return rows.sparkSession.read.parquet(path)
 
 

@@ -18,6 +18,16 @@ from pyspark.sql import functions as F
 from quadrant.operators.sizing import broadcast_if_small
 
 
+_PERSISTED: list[DataFrame] = []
+
+
+def release_positions() -> None:
+    """Unpersist the range splits kept by `dense_position`; sinks call this
+    once their write has run (lazy results keep theirs until evicted)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -49,6 +59,7 @@ def dense_position(df: DataFrame, order: Sequence[str | Column], group: Sequence
                 .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
                 .drop("_mid")
                 .persist(StorageLevel.MEMORY_AND_DISK))
+    _PERSISTED.append(parted)
     stats = parted.groupBy(["_pid"] + gcols).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
     run_w = (Window.partitionBy(*gcols) if gcols else Window.partitionBy(F.lit(0))).orderBy("_pid")
     offsets = stats.withColumn("_off", F.coalesce(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quadrant.functions import constants as K
 from quadrant.functions.expressions import (media_key, ms_to_duration, ms_to_srt_stamp,
                                             ms_to_timecode, seconds_text_to_ms, strip_punctuation)
-from quadrant.operators.positions import carry_forward, dense_position
+from quadrant.operators.positions import carry_forward, dense_position, release_positions
 from quadrant.operators.theta import contains_join
 
 
@@ -101,6 +101,7 @@ def write_documents(rows: DataFrame, key_col: str, order: list[str], line_col: s
          .sortWithinPartitions(key_col, *order)
          .select(key_col, line_col)
          .write.mode("overwrite").partitionBy(key_col).text(path))
+    release_positions()
 
 
 def read_documents(spark, path: str, key_col: str) -> DataFrame:
