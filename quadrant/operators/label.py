@@ -282,6 +282,8 @@ def predict(texts: DataFrame, chunks: DataFrame, n_chunks: int, classifier=None,
         pairs = text_chunk_pairs(texts, chunks, n_chunks, id_col=id_col)
         # an external model answers differently on a re-run: persist its answers
         # in the shared checkpoint folder before anything reads them
+        from quadrant.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(texts.sparkSession)
         resp = plugin_response(pairs, classifier, id_col=id_col).checkpoint()
     parsed = resp.select(id_col, "chunk_id", parse_response().alias("labels"))
     # texts that matched nothing still get a record (empty list)
