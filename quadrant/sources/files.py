@@ -40,10 +40,12 @@ def land_segment_files(seg: DataFrame, path: str, key_col: str = "media_key") ->
     one task: bounded by the length of one recording, not by the archive.
     Returns (key, n_segments) per written file.
     """
-    root = path[len("file:"):] if path.startswith("file:") else path
+    uri = path if "://" in path else ("file://" + path[len("file:"):] if path.startswith("file:") else "file://" + path)
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        import os
+        # the shared folder may be any filesystem the cluster names (hdfs://, s3://, file://)
+        from pyarrow import fs as pafs
+        filesystem, root = pafs.FileSystem.from_uri(uri)
         pdf = pdf.sort_values(["start_ms", "end_ms", "ord"])
         key = pdf[key_col].iloc[0]
         items = []
@@ -52,9 +54,10 @@ def land_segment_files(seg: DataFrame, path: str, key_col: str = "media_key") ->
             if r.confidence is not None and not pd.isna(r.confidence):
                 rec += f', "confidence": {r.confidence!r}'
             items.append(rec + "}")
-        os.makedirs(root, exist_ok=True)
-        with open(os.path.join(root, f"{key}{K.TRANSCRIPT_FILE_SUFFIX}"), "w", encoding="utf-8") as fh:
-            fh.write("[" + ",\n".join(items) + "]")
+        filesystem.create_dir(root, recursive=True)
+        # a retried task rewrites the same file with the same bytes: idempotent
+        with filesystem.open_output_stream(f"{root}/{key}{K.TRANSCRIPT_FILE_SUFFIX}") as out:
+            out.write(("[" + ",\n".join(items) + "]").encode("utf-8"))
         return pd.DataFrame({key_col: [key], "n_segments": [len(items)]})
 
     cols = [key_col, "start_ms", "end_ms", "ord", "start_raw", "end_raw", "text", "confidence"]
