@@ -22,8 +22,12 @@ def document_texts(spark, sf_dir):
 
 def catalogue_texts(spark, sf_dir):
     """U1 -> A2 -> P2: the classification text of every catalogue media."""
+    from quadrant.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     q = catalog_store(spark, sf_dir)
-    u = C.catalog_union(C.text_documents(q), C.temporal_documents(q))
+    # the union (a dozen pattern joins) feeds both sides of the presentation
+    # merge: write it once to the shared folder instead of planning it twice
+    u = C.catalog_union(C.text_documents(q), C.temporal_documents(q)).checkpoint()
     return T.classification_text(T.merge_presentations(u)).select("media_seg", "text")
 
 
