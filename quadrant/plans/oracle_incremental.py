@@ -11,7 +11,8 @@ oracle("incremental_offset", with_(CAT, body="""
 SELECT media_seg,
        label || ' ' || presentation || ' Les mot-clés du texte : ' ||
        (CASE WHEN doc_id % 11 <> 0 THEN k1 || ', ' || k2 || ', ' || k3 END) AS text,
-       CAST((row_number() OVER (ORDER BY ord) - 1) // 500 AS BIGINT) AS batch_id
+       CAST((row_number() OVER (ORDER BY ord) - 1) // greatest(500, CAST(ceil(count(*) OVER () / 2) AS BIGINT))
+            AS BIGINT) AS batch_id
 FROM cat"""))
 
 oracle("incremental_date", """
