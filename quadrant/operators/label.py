@@ -195,25 +195,44 @@ def lexical_response(pairs: DataFrame) -> DataFrame:
     return with_hits.withColumn("response", resp).drop("_hits", "_low", "_matched")
 
 
-def plugin_response(pairs: DataFrame, model: Callable[[pd.DataFrame], pd.Series],
+def plugin_response(texts: DataFrame, chunks: DataFrame, n_chunks: int,
+                    model: Callable[[pd.DataFrame], pd.Series],
                     id_col: str = "media_seg", text_col: str = "text") -> DataFrame:
-    """External classifier through mapInPandas: `model(pdf)` gets Arrow batches
-    with columns id, chunk_id, text, labels (list of str) and returns responses.
-
-    Output is persisted by the caller before several consumers read it (models
-    are not deterministic)."""
-    src = pairs.select(id_col, "chunk_id", text_col,
-                       F.transform(F.col("chunk"), lambda x: x["label"]).alias("labels"), "chunk")
+    """External classifier through mapInPandas: one request per (text, chunk).
+
+    Each text crosses to Python once; the chunk table (n_chunks rows, checked)
+    is broadcast and the (text, chunk) requests are formed inside the worker,
+    so the plan never holds a copy of every text per chunk. `model(pdf)` gets
+    request batches with columns id, chunk_id, text, labels (list of str) and
+    returns one response string per request.
+
+    Returns (id, chunk_id, response, chunk); persist it before several
+    consumers read it (a model may answer differently on a re-run)."""
+    if n_chunks > MAX_VOCAB_ROWS:
+        raise ValueError(f"{n_chunks} vocabulary chunks exceed the broadcast bound")
+    spark = texts.sparkSession
+    rows = chunks.select("chunk_id", F.transform("chunk", lambda x: x["label"]).alias("labels")).collect()
+    bc = spark.sparkContext.broadcast(sorted((r["chunk_id"], list(r["labels"])) for r in rows))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = bc.value
         for pdf in batches:
-            out = pdf[[id_col, "chunk_id"]].copy()
-            out["response"] = model(pdf).astype(str).values
+            if pdf.empty:
+                continue
+            n = len(pdf)
+            req = pd.DataFrame({
+                id_col: pdf[id_col].repeat(len(table)).values,
+                text_col: pdf[text_col].repeat(len(table)).values,
+                "chunk_id": [c for _ in range(n) for c, _ in table],
+                "labels": [labs for _ in range(n) for _, labs in table],
+            })
+            out = req[[id_col, "chunk_id"]].copy()
+            out["response"] = model(req).astype(str).values
             yield out
 
     schema = f"{id_col} string, chunk_id bigint, response string"
-    resp = src.select(id_col, "chunk_id", text_col, "labels").mapInPandas(run, schema)
-    return resp.join(src.select(id_col, "chunk_id", "chunk"), [id_col, "chunk_id"])
+    resp = texts.select(id_col, text_col).mapInPandas(run, schema)
+    return resp.join(broadcast_if_small(chunks, est_rows=n_chunks), "chunk_id")
 
 
 # ------------------------------------------------------------------ F6
@@ -279,12 +298,11 @@ def predict(texts: DataFrame, chunks: DataFrame, n_chunks: int, classifier=None,
     if classifier is None:
         resp = lexical_response(lexical_pairs(texts, chunks, n_chunks, id_col=id_col))
     else:
-        pairs = text_chunk_pairs(texts, chunks, n_chunks, id_col=id_col)
         # an external model answers differently on a re-run: persist its answers
         # in the shared checkpoint folder before anything reads them
         from quadrant.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(texts.sparkSession)
-        resp = plugin_response(pairs, classifier, id_col=id_col).checkpoint()
+        resp = plugin_response(texts, chunks, n_chunks, classifier, id_col=id_col).checkpoint()
     parsed = resp.select(id_col, "chunk_id", parse_response().alias("labels"))
     # texts that matched nothing still get a record (empty list)
     return collect_predictions(parsed, id_col)

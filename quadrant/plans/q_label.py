@@ -111,5 +111,5 @@ def q_index_end_to_end(spark, sf_dir):
 def q_classify_plugin(spark, sf_dir):
     """X1 through the plug-in path (Arrow batches to a Python model)."""
     _, chunks, n, _ = _vocab(spark, sf_dir, qualified=False)
-    pairs = L.text_chunk_pairs(document_texts(spark, sf_dir), chunks, n)
-    return L.plugin_response(pairs, L.word_model).select("media_seg", "chunk_id", "response")
+    return L.plugin_response(document_texts(spark, sf_dir), chunks, n, L.word_model).select(
+        "media_seg", "chunk_id", "response")

@@ -55,6 +55,18 @@ def test_plugin_path_equals_lexical(spark):
     _, chunks, n, _ = L.prepare_vocabulary(FX.vocab_raw(spark, SF_SMALL), qualified=False)
     texts = document_texts(spark, SF_SMALL)
     lex = L.lexical_response(L.lexical_pairs(texts, chunks, n)).select("media_seg", "chunk_id", "response")
-    plug = L.plugin_response(L.text_chunk_pairs(texts, chunks, n), L.word_model).select(
-        "media_seg", "chunk_id", "response")
+    plug = L.plugin_response(texts, chunks, n, L.word_model).select("media_seg", "chunk_id", "response")
     assert lex.exceptAll(plug).count() == 0 and plug.exceptAll(lex).count() == 0
+
+
+def test_predict_with_plugin_equals_lexical(spark):
+    """The whole prediction step through a plug-in model (checkpointed answers)
+    equals the built-in path."""
+    from quadrant.operators import label as L
+    from quadrant.plans.q_label import document_texts
+    from quadrant.sources import fixtures as FX
+    _, chunks, n, _ = L.prepare_vocabulary(FX.vocab_raw(spark, SF_SMALL), qualified=False)
+    texts = document_texts(spark, SF_SMALL)
+    a = L.predict(texts, chunks, n)
+    b = L.predict(texts, chunks, n, classifier=L.word_model)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
