@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
 from quadrant.operators.positions import dense_position, release_positions
+from quadrant.session import ship_package
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -114,6 +115,7 @@ def with_request_url(records: DataFrame, base_url: str, media_col: str = "media_
 
 
 def _attempt(records: DataFrame, key: str, publisher: Publisher, attempt: int) -> DataFrame:
+    ship_package(records.sparkSession)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ok = publisher(pdf, attempt).astype(bool).values

@@ -20,6 +20,7 @@ from quadrant.functions import constants as K
 from quadrant.operators.positions import dense_position
 from quadrant.operators.sizing import DEFAULT_MAX_ROWS, broadcast_if_small
 from quadrant.operators.textprep import vocab_dedupe, with_qualified
+from quadrant.session import ship_package
 
 MAX_VOCAB_ROWS = DEFAULT_MAX_ROWS
 # words in one Aho-Corasick automaton (built in every Python worker)
@@ -105,6 +106,7 @@ def matched_words(texts: DataFrame, words: list[str], id_col: str = "media_seg",
     grow with the vocabulary). Texts are lower-cased in the JVM, exactly as the
     words were, and compared code point by code point, like `contains`."""
     spark = texts.sparkSession
+    ship_package(spark)
     import hashlib
     vocab = sorted(set(words))
     key = hashlib.sha1("\n".join(vocab).encode("utf-8")).hexdigest()
@@ -211,6 +213,7 @@ def plugin_response(texts: DataFrame, chunks: DataFrame, n_chunks: int,
     if n_chunks > MAX_VOCAB_ROWS:
         raise ValueError(f"{n_chunks} vocabulary chunks exceed the broadcast bound")
     spark = texts.sparkSession
+    ship_package(spark)
     rows = chunks.select("chunk_id", F.transform("chunk", lambda x: x["label"]).alias("labels")).collect()
     bc = spark.sparkContext.broadcast(sorted((r["chunk_id"], list(r["labels"])) for r in rows))
 

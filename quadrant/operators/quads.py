@@ -153,6 +153,9 @@ def deliver_batches(batches: DataFrame, sender, bucket_col: str = "bucket") -> D
     after a lost task is harmless."""
     import pandas as pd
 
+    from quadrant.session import ship_package
+    ship_package(batches.sparkSession)
+
     def run(parts):
         for pdf in parts:
             ok = sender(pdf["request"]).astype(bool).values

@@ -16,6 +16,7 @@ from quadrant.functions.expressions import (media_key, ms_to_duration, ms_to_srt
                                             ms_to_timecode, seconds_text_to_ms, strip_punctuation)
 from quadrant.operators.positions import carry_forward, dense_position, release_positions
 from quadrant.operators.theta import contains_join
+from quadrant.session import ship_package
 
 
 
@@ -208,6 +209,7 @@ def transcribe(media_files: DataFrame, model: Callable[[bytes, str], list[dict]]
             yield pd.DataFrame(rows, columns=[key_col, "ord", "start_raw", "end_raw", "text", "confidence"])
 
     schema = f"{key_col} string, ord bigint, start_raw string, end_raw string, text string, confidence double"
+    ship_package(media_files.sparkSession)
     out = media_files.select(key_col, "content").mapInPandas(run, schema)
     return (out.withColumn("start_ms", seconds_text_to_ms("start_raw"))
                .withColumn("end_ms", seconds_text_to_ms("end_raw")))

@@ -34,6 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -62,3 +63,32 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if path.startswith("file:"):
         os.makedirs(path[len("file:"):], exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `quadrant` importable in the Python workers (once per context).
+
+    Functions handed to mapInPandas / applyInPandas are pickled by reference
+    to their module, so every executor must be able to import the package;
+    when it is not installed there, it is zipped and shipped with addPyFile
+    (Spark distributes the file and puts it on the workers' path).
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="quadrant-pyfiles-"), "quadrant.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, names in os.walk(pkg_dir):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

@@ -61,6 +61,8 @@ def land_segment_files(seg: DataFrame, path: str, key_col: str = "media_key") ->
         return pd.DataFrame({key_col: [key], "n_segments": [len(items)]})
 
     cols = [key_col, "start_ms", "end_ms", "ord", "start_raw", "end_raw", "text", "confidence"]
+    from quadrant.session import ship_package
+    ship_package(seg.sparkSession)
     return seg.select(cols).groupBy(key_col).applyInPandas(write, f"{key_col} string, n_segments long")
 
 

@@ -60,6 +60,9 @@ def keep_first_stream(stream: DataFrame, key: str, order: str) -> DataFrame:
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    from quadrant.session import ship_package
+    ship_package(stream.sparkSession)
+
     out_schema = stream.schema
 
     def first(keys, batches, state):
