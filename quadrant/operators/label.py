@@ -23,6 +23,8 @@ from quadrant.operators.textprep import vocab_dedupe, with_qualified
 from quadrant.session import ship_package
 
 MAX_VOCAB_ROWS = DEFAULT_MAX_ROWS
+# chunk rows hold 27 labels each (~1.5 KB): 20,000 rows is ~30 MB to broadcast
+MAX_BROADCAST_CHUNKS = 20_000
 # words in one Aho-Corasick automaton (built in every Python worker)
 MAX_AUTOMATON_WORDS = 500_000
 
@@ -56,15 +58,18 @@ def chunk_table(chunk_rows: DataFrame, label_col: str = "vocas") -> DataFrame:
 
 
 # ------------------------------------------------------------------ J5
-def text_chunk_pairs(texts: DataFrame, chunks: DataFrame, n_chunks: int,
-                     id_col: str = "media_seg", text_col: str | None = "text") -> DataFrame:
-    """Every text with every chunk: texts expand chunk ids locally, chunks are
-    broadcast (n_chunks rows, checked), so the pairing is a broadcast hash join."""
+def text_chunk_pairs(texts: DataFrame, chunks: DataFrame, n_chunks: int) -> DataFrame:
+    """Every text with every chunk: texts expand chunk ids locally, and the
+    chunk table (n_chunks rows, checked) is broadcast, so the pairing is a
+    broadcast hash join. Past the bound it is a shuffle join on chunk_id, where
+    every key holds one copy of each text (no key is hotter than another)."""
     t = texts.withColumn(
         "chunk_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n_chunks - 1, 0)).cast("bigint"))))
     if n_chunks == 0:
         t = t.where(F.lit(False))
-    return t.join(broadcast_if_small(chunks, est_rows=n_chunks), "chunk_id")
+    if n_chunks <= MAX_BROADCAST_CHUNKS:
+        chunks = broadcast_if_small(chunks, est_rows=n_chunks)
+    return t.join(chunks, "chunk_id")
 
 
 # ------------------------------------------------------------------ X1 (match)
@@ -147,8 +152,8 @@ def lexical_pairs(texts: DataFrame, chunks: DataFrame, n_chunks: int, id_col: st
     words = chunk_words(chunks, n_chunks)
     if words is None:
         low = texts.select(id_col, F.lower(F.col(text_col)).alias("_low"))
-        return text_chunk_pairs(low, chunks, n_chunks, id_col=id_col)
-    return text_chunk_pairs(matched_words(texts, words, id_col, text_col), chunks, n_chunks, id_col=id_col)
+        return text_chunk_pairs(low, chunks, n_chunks)
+    return text_chunk_pairs(matched_words(texts, words, id_col, text_col), chunks, n_chunks)
 
 
 # ------------------------------------------------------------------ P4
@@ -210,7 +215,7 @@ def plugin_response(texts: DataFrame, chunks: DataFrame, n_chunks: int,
 
     Returns (id, chunk_id, response, chunk); persist it before several
     consumers read it (a model may answer differently on a re-run)."""
-    if n_chunks > MAX_VOCAB_ROWS:
+    if n_chunks > MAX_BROADCAST_CHUNKS:
         raise ValueError(f"{n_chunks} vocabulary chunks exceed the broadcast bound")
     spark = texts.sparkSession
     ship_package(spark)
@@ -235,7 +240,7 @@ def plugin_response(texts: DataFrame, chunks: DataFrame, n_chunks: int,
 
     schema = f"{id_col} string, chunk_id bigint, response string"
     resp = texts.select(id_col, text_col).mapInPandas(run, schema)
-    return resp.join(broadcast_if_small(chunks, est_rows=n_chunks), "chunk_id")
+    return resp.join(F.broadcast(chunks), "chunk_id")
 
 
 # ------------------------------------------------------------------ F6
