@@ -18,13 +18,18 @@ def transcript_quads(spark, sf_dir, keep=()):
 
 
 def corrected_segments(spark, sf_dir, lines=None):
-    """W2 output mapped back to its media, in the segment shape X4 expects."""
+    """W2 output mapped back to its media, in the segment shape X4 expects.
+
+    Written once to the shared folder: both the new quads and the list of
+    media whose old layers are deleted read it."""
+    from quadrant.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     lines = FX.lines(spark, sf_dir) if lines is None else lines
     merged, _ = TR.coalesce_transcript(lines)
-    media = FX.seg(spark, sf_dir).select(F.col("mkey").alias("file"), "media").distinct()
-    return (merged.join(media, "file")
+    return (merged.join(FX.transcript_media(spark, sf_dir), "file")
                   .select("media", F.col("head_line_no").alias("ord"), F.col("start").alias("start_raw"),
-                          F.col("end").alias("end_raw"), "text", F.lit(None).cast("double").alias("confidence")))
+                          F.col("end").alias("end_raw"), "text", F.lit(None).cast("double").alias("confidence"))
+                  .checkpoint())
 
 
 @query("segments_to_quads")

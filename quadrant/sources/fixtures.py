@@ -231,3 +231,12 @@ def transcript_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quadrant.functions.expressions import media_key
     s = seg(spark, sf_dir).where(F.col("conv_id") % 5 != 0).select("media").distinct()
     return s.select(media_key("media").alias("file_key"))
+
+
+def transcript_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, media): the media of every transcript file key (no segment scan)."""
+    c = _conv_ids(spark, sf_dir)
+    mkey = F.concat(F.lit("hal-"), F.lpad(F.col("conv_id").cast("string"), 8, "0"))
+    media = (F.when(F.col("conv_id") % 4 != 0, F.concat(F.lit(HAL_EXAMPLE_PREFIX), mkey, F.lit("v1")))
+              .otherwise(F.concat(F.lit(NAKALA_EXAMPLE_PREFIX), F.col("conv_id").cast("string"))))
+    return c.select(mkey.alias("file"), media.alias("media"))
