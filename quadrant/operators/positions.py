@@ -25,7 +25,11 @@ def release_positions() -> None:
     """Unpersist the range splits kept by `dense_position`; sinks call this
     once their write has run (lazy results keep theirs until evicted)."""
     while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+        df = _PERSISTED.pop()
+        try:
+            df.unpersist()
+        except Exception:  # noqa: BLE001 - its session may have been stopped since
+            pass
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
