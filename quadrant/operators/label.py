@@ -146,10 +146,12 @@ def chunk_words(chunks: DataFrame, n_chunks: int) -> list[str] | None:
 
 
 def lexical_pairs(texts: DataFrame, chunks: DataFrame, n_chunks: int, id_col: str = "media_seg",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", words: list[str] | None = None) -> DataFrame:
     """(text, chunk) pairs ready for `lexical_response`: each pair carries the
-    words its text contains (`_matched`), computed once per text."""
-    words = chunk_words(chunks, n_chunks)
+    words its text contains (`_matched`), computed once per text. `words` may
+    be passed when the caller already holds `chunk_words(chunks)`."""
+    if words is None:
+        words = chunk_words(chunks, n_chunks)
     if words is None:
         low = texts.select(id_col, F.lower(F.col(text_col)).alias("_low"))
         return text_chunk_pairs(low, chunks, n_chunks)
@@ -301,10 +303,10 @@ def prepare_vocabulary(vocab_raw: DataFrame, qualified: bool = True) -> tuple[Da
 
 
 def predict(texts: DataFrame, chunks: DataFrame, n_chunks: int, classifier=None,
-            id_col: str = "media_seg") -> DataFrame:
+            id_col: str = "media_seg", words: list[str] | None = None) -> DataFrame:
     """J5 + X1 + F6 + A5: per text, the accumulated list of accepted labels."""
     if classifier is None:
-        resp = lexical_response(lexical_pairs(texts, chunks, n_chunks, id_col=id_col))
+        resp = lexical_response(lexical_pairs(texts, chunks, n_chunks, id_col=id_col, words=words))
     else:
         # an external model answers differently on a re-run: persist its answers
         # in the shared checkpoint folder before anything reads them
@@ -316,13 +318,16 @@ def predict(texts: DataFrame, chunks: DataFrame, n_chunks: int, classifier=None,
     return collect_predictions(parsed, id_col)
 
 
-def index_flow(texts: DataFrame, vocab_raw: DataFrame, qualified: bool = True, classifier=None,
-               id_col: str = "media_seg") -> tuple[DataFrame, DataFrame]:
+def index_flow(texts: DataFrame, vocab_raw: DataFrame | None = None, qualified: bool = True, classifier=None,
+               id_col: str = "media_seg", prepared: tuple | None = None,
+               words: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Texts -> chunks -> predictions -> entities -> quads.
 
+    `prepared` (from `prepare_vocabulary`) and `words` (from `chunk_words`)
+    may be passed when the vocabulary was prepared once for several flows.
     Returns (resolved records, index quads)."""
-    v, chunks, n_chunks, label_col = prepare_vocabulary(vocab_raw, qualified)
-    preds = predict(texts, chunks, n_chunks, classifier, id_col)
+    v, chunks, n_chunks, label_col = prepared or prepare_vocabulary(vocab_raw, qualified)
+    preds = predict(texts, chunks, n_chunks, classifier, id_col, words=words)
     resolved = resolve_entities(preds, v, match_col=label_col, id_col=id_col)
     return resolved, index_quads(resolved, id_col)
 

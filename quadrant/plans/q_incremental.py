@@ -66,9 +66,10 @@ def q_incremental_date(spark, sf_dir):
 
 
 def _records(spark, sf_dir):
-    from quadrant.plans.q_label import document_texts
-    v, chunks, n, label_col = L.prepare_vocabulary(FX.vocab_raw(spark, sf_dir), True)
-    res = L.resolve_entities(L.predict(document_texts(spark, sf_dir), chunks, n), v, match_col=label_col)
+    from quadrant.plans.q_label import _vocab, _words, document_texts
+    v, chunks, n, label_col = _vocab(spark, sf_dir, True)
+    res = L.resolve_entities(L.predict(document_texts(spark, sf_dir), chunks, n, words=_words(spark, sf_dir)),
+                             v, match_col=label_col)
     return res.where(F.size("predicted_labels") > 0)
 
 

@@ -31,8 +31,22 @@ def catalogue_texts(spark, sf_dir):
     return T.classification_text(T.merge_presentations(u)).select("media_seg", "text")
 
 
+_PREPARED: dict[tuple, tuple] = {}
+
+
 def _vocab(spark, sf_dir, qualified=True):
-    return L.prepare_vocabulary(FX.vocab_raw(spark, sf_dir), qualified)
+    """A4 + P1 + W1 once per application: the vocabulary is a dimension every
+    labelling query shares (its count and word list are driver-side values)."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, qualified)
+    if key not in _PREPARED:
+        v, chunks, n, label_col = L.prepare_vocabulary(FX.vocab_raw(spark, sf_dir), qualified)
+        _PREPARED[key] = (v, chunks, n, label_col, L.chunk_words(chunks, n))
+    return _PREPARED[key][:4]
+
+
+def _words(spark, sf_dir, qualified=True):
+    _vocab(spark, sf_dir, qualified)
+    return _PREPARED[(spark.sparkContext.applicationId, id(spark), sf_dir, qualified)][4]
 
 
 @query("vocab_chunks")
@@ -59,7 +73,7 @@ def q_inference_requests(spark, sf_dir):
 @query("classify_lexical")
 def q_classify_lexical(spark, sf_dir):
     _, chunks, n, _ = _vocab(spark, sf_dir)
-    pairs = L.lexical_pairs(document_texts(spark, sf_dir), chunks, n)
+    pairs = L.lexical_pairs(document_texts(spark, sf_dir), chunks, n, words=_words(spark, sf_dir))
     return L.lexical_response(pairs).select("media_seg", "chunk_id", "response")
 
 
@@ -67,7 +81,7 @@ def q_classify_lexical(spark, sf_dir):
 def q_parse_predictions(spark, sf_dir):
     """F6 over noisy responses: the lexical answer, a 'Rien', and a lower-cased copy."""
     _, chunks, n, _ = _vocab(spark, sf_dir)
-    pairs = L.lexical_pairs(document_texts(spark, sf_dir), chunks, n)
+    pairs = L.lexical_pairs(document_texts(spark, sf_dir), chunks, n, words=_words(spark, sf_dir))
     resp = L.lexical_response(pairs).withColumn(
         "response", F.concat(F.col("response"), F.lit(" , " + K.NO_ANSWER + ","), F.lower(F.col("response"))))
     parsed = resp.select("media_seg", "chunk_id", L.parse_response().alias("labels"))
@@ -78,7 +92,7 @@ def q_parse_predictions(spark, sf_dir):
 @query("collect_predictions")
 def q_collect_predictions(spark, sf_dir):
     _, chunks, n, _ = _vocab(spark, sf_dir)
-    preds = L.predict(document_texts(spark, sf_dir), chunks, n)
+    preds = L.predict(document_texts(spark, sf_dir), chunks, n, words=_words(spark, sf_dir))
     return preds.select("media_seg", F.posexplode("labels").alias("lpos", "label")) \
         .withColumn("lpos", F.col("lpos").cast("bigint"))
 
@@ -86,7 +100,7 @@ def q_collect_predictions(spark, sf_dir):
 @query("resolve_entities")
 def q_resolve_entities(spark, sf_dir):
     v, chunks, n, label_col = _vocab(spark, sf_dir)
-    preds = L.predict(document_texts(spark, sf_dir), chunks, n)
+    preds = L.predict(document_texts(spark, sf_dir), chunks, n, words=_words(spark, sf_dir))
     res = L.resolve_entities(preds, v, match_col=label_col)
     return res.select("media_seg", F.posexplode_outer("predicted_labels").alias("lpos", "l")).select(
         "media_seg", F.col("lpos").cast("bigint").alias("lpos"), F.col("l.strLabel").alias("strLabel"),
@@ -96,14 +110,16 @@ def q_resolve_entities(spark, sf_dir):
 @query("index_quads")
 def q_index_quads(spark, sf_dir):
     """App variant: plain labels, resolved on strLabel, over whole documents."""
-    _, quads = L.index_flow(document_texts(spark, sf_dir), FX.vocab_raw(spark, sf_dir), qualified=False)
+    _, quads = L.index_flow(document_texts(spark, sf_dir), prepared=_vocab(spark, sf_dir, False),
+                            words=_words(spark, sf_dir, False))
     return quads
 
 
 @query("index_end_to_end")
 def q_index_end_to_end(spark, sf_dir):
     """Batch variant, flagship: catalogue -> texts -> qualified labels -> quads."""
-    _, quads = L.index_flow(catalogue_texts(spark, sf_dir), FX.vocab_raw(spark, sf_dir), qualified=True)
+    _, quads = L.index_flow(catalogue_texts(spark, sf_dir), prepared=_vocab(spark, sf_dir, True),
+                            words=_words(spark, sf_dir, True))
     return quads
 
 

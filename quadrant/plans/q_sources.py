@@ -89,8 +89,10 @@ def q_sink_append(spark, sf_dir):
 @query("sink_nested_json")
 def q_sink_nested_json(spark, sf_dir):
     from quadrant.plans.q_label import document_texts
-    v, chunks, n, label_col = L.prepare_vocabulary(FX.vocab_raw(spark, sf_dir), True)
-    res = L.resolve_entities(L.predict(document_texts(spark, sf_dir), chunks, n), v, match_col=label_col)
+    from quadrant.plans.q_label import _vocab, _words
+    v, chunks, n, label_col = _vocab(spark, sf_dir, True)
+    res = L.resolve_entities(L.predict(document_texts(spark, sf_dir), chunks, n, words=_words(spark, sf_dir)),
+                             v, match_col=label_col)
     path = work_dir(spark, "nested-json")
     res.write.mode("overwrite").json(path)
     back = spark.read.schema("media_seg string, predicted_labels array<struct<strLabel:string,subclass:string,"

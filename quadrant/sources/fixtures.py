@@ -20,8 +20,16 @@ AS_OF = "2024-02-15"
 RECENT_DAYS = 10
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, resolved (listing, footers) once per application."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _first_line(c):
