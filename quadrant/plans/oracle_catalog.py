@@ -256,14 +256,33 @@ ctexts AS (
                      FROM upres GROUP BY media) m ON p.media = m.media
 )"""
 
-oracle("inference_requests", with_(CAT, QUADS, *GP, TEXT_DOCS, TEMPORAL_DOCS, UNION_DOCS, CAT_TEXTS, VOCAB, CHUNKS,
-                                   body="""
-SELECT t.media_seg, c.chunk_id, CAST(0 AS BIGINT) AS msg_ord, 'system' AS role, '{task}' AS content FROM ctexts t, chunks c
+APP_CHUNKS = """
+vocab1 AS (
+  SELECT min(ord) AS ord, strLabel, subclass, entity, uriclass
+  FROM vocab_raw WHERE list_name = 'list1' GROUP BY strLabel, subclass, entity, uriclass
+),
+vchunk1 AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY ord) - 1) // 27 AS BIGINT) AS chunk_id,
+         CAST((row_number() OVER (ORDER BY ord) - 1) % 27 AS BIGINT) AS pos_in_chunk FROM vocab1
+),
+chunks1 AS (
+  SELECT chunk_id, list(strLabel ORDER BY pos_in_chunk) AS offered FROM vchunk1 GROUP BY chunk_id
+)"""
+
+REQUESTS = """
+SELECT t.media_seg, c.chunk_id, CAST(0 AS BIGINT) AS msg_ord, 'system' AS role, '{task}' AS content, '{variant}' AS variant
+FROM ctexts t, {chunks} c
 UNION ALL
-SELECT t.media_seg, c.chunk_id, 1, 'user', 'Le texte : ' || t.text FROM ctexts t, chunks c
+SELECT t.media_seg, c.chunk_id, 1, 'user', 'Le texte : ' || t.text, '{variant}' FROM ctexts t, {chunks} c
 UNION ALL
-SELECT t.media_seg, c.chunk_id, 2, 'system', '{choices}' || array_to_string(c.offered, ' ') FROM ctexts t, chunks c
-"""))
+SELECT t.media_seg, c.chunk_id, 2, 'system', '{choices}' || {prefix}array_to_string(c.offered, ' '), '{variant}'
+FROM ctexts t, {chunks} c"""
+
+oracle("inference_requests", with_(CAT, QUADS, *GP, TEXT_DOCS, TEMPORAL_DOCS, UNION_DOCS, CAT_TEXTS, VOCAB, CHUNKS,
+                                   APP_CHUNKS, body=REQUESTS.format(task="{task}", choices="{choices}", variant="batch",
+                                                                     chunks="chunks", prefix="")
+                                   + "\nUNION ALL" + REQUESTS.format(task="{task}", choices="{choices}", variant="app",
+                                                                     chunks="chunks1", prefix="'[list1] ' || ")))
 
 oracle("index_end_to_end", with_(CAT, QUADS, *GP, TEXT_DOCS, TEMPORAL_DOCS, UNION_DOCS, CAT_TEXTS, VOCAB, CHUNKS,
                                  LEX.replace("dtexts t", "ctexts t"), PARSE, COLLECT, FIRST_VOCAB, RESOLVED, body="""

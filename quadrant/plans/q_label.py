@@ -63,11 +63,22 @@ def q_text_chunk_pairs(spark, sf_dir):
     return pairs.select("media_seg", "chunk_id", F.size("chunk").cast("bigint").alias("n_labels"))
 
 
+APP_LIST = "list1"
+
+
 @query("inference_requests")
 def q_inference_requests(spark, sf_dir):
+    """P4, both prompt variants: the batch one offers qualified labels of the
+    whole vocabulary; the app one offers the plain labels of one selected list
+    and names that list."""
+    texts = catalogue_texts(spark, sf_dir)
     _, chunks, n, _ = _vocab(spark, sf_dir)
-    pairs = L.text_chunk_pairs(catalogue_texts(spark, sf_dir), chunks, n)
-    return L.inference_requests(pairs).withColumn("msg_ord", F.col("msg_ord").cast("bigint"))
+    batch = L.inference_requests(L.text_chunk_pairs(texts, chunks, n)).withColumn("variant", F.lit("batch"))
+    one_list = FX.vocab_raw(spark, sf_dir).where(F.col("list_name") == APP_LIST)
+    _, app_chunks, app_n, _ = L.prepare_vocabulary(one_list, qualified=False)
+    app = L.inference_requests(L.text_chunk_pairs(texts, app_chunks, app_n), list_name=APP_LIST) \
+        .withColumn("variant", F.lit("app"))
+    return batch.unionByName(app).withColumn("msg_ord", F.col("msg_ord").cast("bigint"))
 
 
 @query("classify_lexical")
