@@ -74,8 +74,10 @@ def q_src_nquads(spark, sf_dir):
 
 @query("quads_update_batches")
 def q_quads_update_batches(spark, sf_dir):
+    # the builder dedupes per conv_id, and every quad names its media's layer or
+    # segment, so the set stays a set once conv_id becomes the bucket
     q = transcript_quads(spark, sf_dir, keep=("conv_id",)).withColumn("bucket", F.col("conv_id") % 8).drop("conv_id")
-    b = QD.update_batches(q.dropDuplicates())
+    b = QD.update_batches(q)
     return b.select("bucket", "batch", "n_quads", F.md5("request").alias("request_md5"))
 
 
