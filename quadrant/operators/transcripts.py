@@ -95,14 +95,15 @@ def srt_cues(seg: DataFrame, key_col: str = "media_key") -> DataFrame:
 def write_documents(rows: DataFrame, key_col: str, order: list[str], line_col: str, path: str,
                     num_partitions: int | None = None) -> None:
     """Exactly one text file per key (a media's TXT or SRT document), lines in
-    order: hash-partition on the key, sort within partitions by (key, order),
-    and let `partitionBy(key)` write each key's file from its one task.
+    order: range-partition on the key alone (rows of one key never straddle a
+    bound), sort within partitions by (key, order), and let `partitionBy(key)`
+    write each key's file from its one task; neighbouring keys share a task.
 
-    One file per media is the deliverable, and a file has one writer: each
-    task writes the documents of its keys, a document being bounded by one
-    recording's length, never by the archive's size."""
+    One file per media is the deliverable, and a file has one writer: a task
+    writes the documents of its key range, each bounded by one recording's
+    length, never by the archive's size."""
     n = num_partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (rows.repartition(n, key_col)
+    (rows.repartitionByRange(n, key_col)
          .sortWithinPartitions(key_col, *order)
          .select(key_col, line_col)
          .write.mode("overwrite").partitionBy(key_col).text(path))
