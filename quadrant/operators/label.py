@@ -265,9 +265,11 @@ def collect_predictions(parsed: DataFrame, id_col: str = "media_seg") -> DataFra
 
 # ------------------------------------------------------------------ J8
 def first_vocab_rows(vocab: DataFrame, match_col: str) -> DataFrame:
-    w = Window.partitionBy(match_col).orderBy("ord")
-    return (vocab.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-                 .select(F.col(match_col).alias("_match"), "strLabel", "subclass", "entity", "uriclass"))
+    """The first vocabulary row (lowest file position) of every label, as a
+    map-side-combined `min_by` aggregate."""
+    best = vocab.groupBy(match_col).agg(
+        F.min_by(F.struct("strLabel", "subclass", "entity", "uriclass"), "ord").alias("_r"))
+    return best.select(F.col(match_col).alias("_match"), "_r.strLabel", "_r.subclass", "_r.entity", "_r.uriclass")
 
 
 def resolve_entities(predictions: DataFrame, vocab: DataFrame, match_col: str = "vocas",
