@@ -33,9 +33,3 @@ def broadcast_if_small(df: DataFrame, est_rows: int | None = None,
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df
-
-
-def checked_count(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[int, bool]:
-    """Count rows (a cheap aggregate on a small dimension) and say if it fits."""
-    n = df.count()
-    return n, n <= max_rows
