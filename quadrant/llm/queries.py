@@ -7,16 +7,49 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.llm import lines, mixing
+from quadrant.llm import licences, lines, mixing, urls
 from quadrant.llm.common import read_table
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, identifier tags and expressions of every document."""
+    out = licences.scan_licences(read_table(spark, sf_dir, "documents"))
+    base = F.filter("hits", lambda h: h["kind"] == "base")
+    names = lambda hits: F.array_join(F.array_sort(F.array_distinct(F.filter(
+        F.transform(hits, lambda h: h["label"]), lambda x: x.isNotNull()))), ",")
+    weight = F.create_map(*[F.lit(x) for pair in licences.WEIGHT.items() for x in pair])
+    kinds = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["kind"])))
+    doubt = F.aggregate(kinds, F.lit(1.0), lambda acc, k: acc * (1.0 - weight[k]))
+    return out.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+                      F.array_min(F.transform(base, lambda h: h["word"])).alias("first_word"),
+                      F.array_max(F.transform(base, lambda h: h["word"])).alias("last_word"),
+                      names(base).alias("base_labels"), names(F.col("hits")).alias("labels"), (1.0 - doubt).alias("score"),
+                      F.array_join(F.transform("expressions", lambda e: F.concat(e["level"], F.lit(": "), F.array_join(e["rpn"], " "))), "; ").alias("expressions"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without cross-site boilerplate lines."""
     out = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", F.col("_ln_total").alias("n_lines"), F.col("_ln_removed").alias("n_removed"))
 
 
+#: (verdict, host/path); fixed by the query's contract.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    out = urls.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return out.select("page_id", F.col("_url_host").alias("host"), F.col("_url_path").alias("path"), F.col("_url_rule").alias("rule"),
+                      F.col("_url_verdict").alias("verdict"), F.col("_url_score").alias("score"))
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     out = mixing.mix(read_table(spark, sf_dir, "documents"), keep=("doc_id", "source"))
@@ -25,6 +58,8 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licences": op2_licences,
     "op4_line_dedup": op4_line_dedup,
+    "op8_urls": op8_urls,
     "op10_mix": op10_mix,
 }
