@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.llm import licences, lines, mixing, urls
+from quadrant.llm import bpe, dac, licences, lines, mixing, urls
 from quadrant.llm.common import read_table
 
 
@@ -33,6 +34,25 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.col("_ln_total").alias("n_lines"), F.col("_ln_removed").alias("n_removed"))
 
 
+def word_bpe() -> str:
+    """The tokenizer file of the queries."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, from the files written for them."""
+    manifest, folder = dac.store_tokens(read_table(spark, sf_dir, "documents"), word_bpe(), end_id=2)
+    return dac.read_files(manifest, folder)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of their decoded text."""
+    out = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), word_bpe()), word_bpe())
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 #: (verdict, host/path); fixed by the query's contract.
 URL_RULES = [
     ("allow", "org/"),
@@ -60,6 +80,8 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licences": op2_licences,
     "op4_line_dedup": op4_line_dedup,
+    "op7_token_files": op7_token_files,
     "op8_urls": op8_urls,
+    "op9_bpe": op9_bpe,
     "op10_mix": op10_mix,
 }
