@@ -91,7 +91,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     slim = written(docs.select(F.col(f"`{source_col}`").alias("source"), words_of(F.col(f"`{text_col}`")).alias("size"),
                                F.substring(key, 1, BUCKET_DIGITS).alias("bucket"), F.col(f"`{id_col}`").alias("id"),
                                key.alias("key")), "mix-slim")
-    cut = written(cuts(slim, weights, share, max_epochs).select(
+    cut = written(cuts(slim, weights, share, max_epochs).coalesce(1).select(  # one row per source
         F.col("source").alias("_mix_s"), F.col("source_size").alias("_mix_source_size"), F.col("target").alias("_mix_target"),
         F.col("epochs").alias("_mix_epochs"), F.col("cut").alias("_mix_cut"), F.col("want").alias("_mix_want")), "mix-cuts")
     cols = list(keep if keep is not None else docs.columns)
