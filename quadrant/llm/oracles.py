@@ -39,3 +39,14 @@ r AS (SELECT d.doc_id, d.source, d.size, u.source_size, u.target, u.epochs, floo
 SELECT doc_id, source, size, CAST(source_size AS BIGINT) AS source_size, target,
        CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM r
 """
+
+ORACLE["op6_nearest"] = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.llm import bpe, dac, licences, lines, mixing, urls
+from quadrant.llm import bpe, dac, licences, lines, mixing, urls, vptree
 from quadrant.llm.common import read_table
 
 
@@ -34,6 +34,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.col("_ln_total").alias("n_lines"), F.col("_ln_removed").alias("n_removed"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return vptree.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.0)
+
+
 def word_bpe() -> str:
     """The tokenizer file of the queries."""
     return public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +85,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licences": op2_licences,
     "op4_line_dedup": op4_line_dedup,
+    "op6_nearest": op6_nearest,
     "op7_token_files": op7_token_files,
     "op8_urls": op8_urls,
     "op9_bpe": op9_bpe,
