@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.llm import bpe, dac, licences, lines, mixing, urls, vptree
+from quadrant.llm import bpe, dac, licences, lines, mixing, syncmers, urls, vptree
 from quadrant.llm.common import read_table
 
 
@@ -28,6 +28,15 @@ def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join(F.transform("expressions", lambda e: F.concat(e["level"], F.lit(": "), F.array_join(e["rpn"], " "))), "; ").alias("expressions"))
 
 
+def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    out = syncmers.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+                      syncmers.as_text(F.col("own")).alias("fingerprint"), syncmers.as_text(F.col("other")).alias("edited_fingerprint"),
+                      syncmers.likeness(F.col("own"), F.col("other")).alias("near_edited"),
+                      syncmers.likeness(F.col("own"), F.col("next_own")).alias("near_next"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without cross-site boilerplate lines."""
     out = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
@@ -84,6 +93,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licences": op2_licences,
+    "op3_syncmers": op3_syncmers,
     "op4_line_dedup": op4_line_dedup,
     "op6_nearest": op6_nearest,
     "op7_token_files": op7_token_files,
