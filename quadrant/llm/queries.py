@@ -8,10 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.llm import bpe, dac, licences, lines, mixing, syncmers, urls, vptree
+from quadrant.llm import bpe, dac, language, licences, lines, mixing, syncmers, urls, vptree
 from quadrant.llm.common import read_table
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    out = language.identify(read_table(spark, sf_dir, "documents"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+
+
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases, identifier tags and expressions of every document."""
     out = licences.scan_licences(read_table(spark, sf_dir, "documents"))
@@ -92,6 +99,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op2_licences": op2_licences,
     "op3_syncmers": op3_syncmers,
     "op4_line_dedup": op4_line_dedup,
