@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.llm import bpe, dac, language, licences, lines, mixing, syncmers, urls, vptree
+from quadrant.llm import bpe, dac, jaccard, language, licences, lines, mixing, syncmers, urls, vptree
 from quadrant.llm.common import read_table
 
 
@@ -50,6 +50,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.col("_ln_total").alias("n_lines"), F.col("_ln_removed").alias("n_removed"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets are 0.85 alike."""
+    return jaccard.link_components(read_table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     return vptree.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.0)
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licences": op2_licences,
     "op3_syncmers": op3_syncmers,
     "op4_line_dedup": op4_line_dedup,
+    "op5_jaccard": op5_jaccard,
     "op6_nearest": op6_nearest,
     "op7_token_files": op7_token_files,
     "op8_urls": op8_urls,
