@@ -1,12 +1,13 @@
 """BPE encoding and decoding (operator 9) with a minimal acyclic transducer lexicon.
 
-The frequent words of the corpus (counted over all documents, at most
-`max_words`) are compiled into one shared-suffix automaton whose arcs carry
+The frequent words of the corpus (counted over all documents, `max_words` at
+most) are compiled into one shared-suffix automaton whose arcs carry
 additive outputs; the sum of a word's outputs is its number, which points at its
 token ids. The automaton is one file of flat arrays that Spark ships to the
 executors and the workers memory-map. All words of a slice of texts walk it
 together, one character a step; words that it doesn't hold are merged exactly, by
-rank and then from the left, and remembered in a bounded table.
+rank and then from the left, many words side by side, and remembered in a bounded
+table.
 
 The lexicon changes speed only: the ids are the same with any lexicon.
 
@@ -32,12 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quadrant.llm.common import python_ready, slices
+from quadrant.llm.common import python_ready, slices, written
 from quadrant.llm.segments import SPECIAL_CP, segment
 from quadrant.session import work_dir
 
@@ -48,6 +50,8 @@ MAX_LENGTH = 40
 #: Words beside the lexicon that a worker remembers.
 MEMORY = 200_000
 END = "</w>"
+#: Words of more bytes are merged one by one, through a heap.
+LONG = 64
 
 
 def byte_letters() -> list[str]:
@@ -72,6 +76,14 @@ class Vocabulary:
         self.specials: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens: dict[int, str] = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.specials.items()}
         self.letters = byte_letters()
+        # merges as sorted keys of id pairs, for many words at once
+        self.width = max(self.tokens) + 1
+        self.inner = np.array([self.ids[c] for c in self.letters], np.int64)
+        self.last = np.array([self.ids[c + END] for c in self.letters], np.int64)
+        keys = np.array([self.ids[a] * self.width + self.ids[b] for a, b in pairs], np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.pair_keys, self.pair_ranks = keys[order], order
+        self.pair_ids = np.array([self.ids[a + b] for a, b in pairs], np.int64)[order]
 
     def symbols(self, word: str) -> list[str]:
         out = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
@@ -81,21 +93,42 @@ class Vocabulary:
     def merge(self, word: str) -> list[int]:
         """Ids of one word: the pair of lowest rank merges first, the leftmost of equals."""
         symbols = self.symbols(word)
-        return self._ids(self._merge_long(symbols) if len(symbols) > 48 else self._merge_short(symbols))
-
-    def _ids(self, symbols: list[str]) -> list[int]:
-        return [self.ids[s] for s in symbols if s in self.ids]
-
-    def _merge_short(self, symbols: list[str]) -> list[str]:
-        ranks = self.ranks
-        while len(symbols) > 1:
-            best, at = min((ranks.get(p, 1 << 60), i) for i, p in enumerate(zip(symbols, symbols[1:], strict=False)))
-            if best == 1 << 60:
-                break
-            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
-        return symbols
+        return [self.ids[s] for s in self._merge_heap(symbols)]
+
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """Ids of many words, merged side by side: each round merges one pair in
+        each word that still has one."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        out: list = [None if len(r) <= LONG else self.merge(w) for w, r in zip(words, raw, strict=True)]
+        short = np.array([i for i, x in enumerate(out) if x is None], np.int64)
+        if not len(short):
+            return out
+        sizes = np.array([len(raw[i]) for i in short.tolist()], np.int64)
+        data = np.frombuffer(b"".join(raw[i] for i in short.tolist()), np.uint8)
+        sym, word = self.inner[data], np.repeat(np.arange(len(short)), sizes)
+        stop = np.cumsum(sizes) - 1
+        sym[stop] = self.last[data[stop]]
+        none = len(self.pair_keys)
+        while len(sym):
+            key = sym[:-1] * self.width + sym[1:]
+            at = np.minimum(np.searchsorted(self.pair_keys, key), none - 1)
+            rank = np.full(len(sym), none, np.int64)
+            rank[:-1] = np.where((self.pair_keys[at] == key) & (word[:-1] == word[1:]), self.pair_ranks[at], none)
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            lengths = np.diff(np.append(starts, len(sym)))
+            best = np.minimum.reduceat(rank, starts)
+            done = best == none
+            for i, a, n in zip(short[word[starts[done]]].tolist(), starts[done].tolist(), lengths[done].tolist(), strict=True):
+                out[i] = sym[a:a + n].tolist()
+            hit = np.flatnonzero((rank == np.repeat(best, lengths)) & (rank < none))
+            hit = hit[np.concatenate([[True], word[hit][1:] != word[hit][:-1]])] if len(hit) else hit  # the leftmost
+            sym[hit] = self.pair_ids[at[hit]]
+            stays = ~np.repeat(done, lengths)
+            stays[hit + 1] = False
+            sym, word = sym[stays], word[stays]
+        return out
 
-    def _merge_long(self, symbols: list[str]) -> list[str]:
+    def _merge_heap(self, symbols: list[str]) -> list[str]:
         n = len(symbols)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         heap: list[tuple[int, int, str, str]] = []
@@ -192,7 +225,7 @@ def compile_lexicon(words: list[str], vocabulary: Vocabulary) -> dict[str, np.nd
         for c, t in sorted(arcs[s].items()):
             go[i, symbol[c]], add[i, symbol[c]] = number[t], before
             before += count[t]
-    ids = [vocabulary.merge(w) for w in words]
+    ids = vocabulary.merge_all(words)
     return {"alphabet": np.array([ord(c) for c in alphabet], np.uint32), "go": go, "add": add,
             "final": np.array([final[s] for s in order], np.uint8),
             "start": np.cumsum([0] + [len(x) for x in ids]).astype(np.int32),
@@ -272,19 +305,20 @@ class Encoder:
         points, starts, ends, per_text = segment(texts, self.names)
         word = self.numbers(points, starts, ends)
         raw = points.tobytes()
-        memory, merge, special = self.memory, self.vocabulary.merge, list(self.vocabulary.specials.values())
+        memory, special = self.memory, list(self.vocabulary.specials.values())
         missing = np.flatnonzero(word < 0)
-        new = np.empty(len(missing), np.int64)
+        new, fresh = np.empty(len(missing), np.int64), []
         for k, (a, b) in enumerate(zip((starts[missing] * 4).tolist(), (ends[missing] * 4).tolist(), strict=True)):
             key = raw[a:b]
             i = memory.get(key)
             if i is None:
-                text = key.decode("utf-32-le", "surrogatepass")
-                code = ord(text[0]) - SPECIAL_CP
-                self.more += [special[code]] if 0 <= code < len(special) else merge(text)
-                self.more_start.append(len(self.more))
-                i = memory[key] = len(self.more_start) - 2
+                i = memory[key] = len(memory)
+                fresh.append(key.decode("utf-32-le", "surrogatepass"))
             new[k] = i
+        plain = [w if ord(w[0]) - SPECIAL_CP not in range(len(special)) else "" for w in fresh]
+        for w, ids in zip(fresh, self.vocabulary.merge_all(plain), strict=True):
+            self.more += [special[ord(w[0]) - SPECIAL_CP]] if ord(w[0]) - SPECIAL_CP in range(len(special)) else ids
+            self.more_start.append(len(self.more))
         word[missing] = self.known + new
         first = np.concatenate([self.lex["start"][:-1], np.array(self.more_start[:-1], np.int64) + len(self.lex["ids"])])
         count = np.concatenate([np.diff(self.lex["start"]), np.diff(np.array(self.more_start, np.int64))])
@@ -324,6 +358,22 @@ def word_counts(docs: DataFrame, text_col: str, file: str) -> DataFrame:
     return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[str]:
+    """The words of all count classes (eighths of a power of two) that fit into
+    `most` words from the top; so only they and the class sizes reach the driver."""
+    counts = written(counts, "word-counts").withColumn("class", F.floor(8 * F.log2(F.col("n").cast("double"))).cast("int"))
+    sizes = {r["class"]: r["count"] for r in counts.groupBy("class").count().collect()}  # 512 classes at most
+    least, total = None, 0
+    for c in sorted(sizes, reverse=True):
+        total += sizes[c]
+        if total > most:
+            break
+        least = c
+    if least is None:
+        return []
+    return [r["word"] for r in counts.filter(F.col("class") >= least).select("word").collect()]
+
+
 def ship_lexicon(spark: SparkSession, words: list[str], path: str) -> str:
     """Compile the lexicon, write it to the shared folder and ship it; its name."""
     raw = to_file(compile_lexicon(words, Vocabulary(path)))
@@ -354,8 +404,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     python_ready(spark)
     file = ship_vocabulary(spark, path)
-    top = word_counts(docs, text_col, file).orderBy(F.desc("n"), "word").limit(max_words)
-    lexicon = ship_lexicon(spark, [r["word"] for r in top.select("word").collect()], path)
+    lexicon = ship_lexicon(spark, frequent_words(word_counts(docs, text_col, file), max_words), path)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,9 +426,17 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     at = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = Vocabulary(SparkFiles.get(file)).tokens
+        tokens = Vocabulary(SparkFiles.get(file)).tokens
+        names = np.full(max(tokens) + 2, None, object)
+        names[list(tokens)] = list(tokens.values())
+
+        def text(ids: list[str | None]) -> str:
+            return " ".join([x for x in ids if x is not None] if None in ids else ids)
         for batch in batches:
-            texts = pa.array([" ".join([token[i] for i in ids if i in token]) if ids is not None else ""
-                              for ids in (x.as_py() for x in batch.column(at))], pa.string())
+            column = batch.column(at)
+            flat = column.flatten().fill_null(-1).to_numpy()
+            known = names[np.where((flat >= 0) & (flat < len(names) - 1), flat, len(names) - 1)].tolist()
+            stops = np.cumsum([0] + pc.fill_null(pc.list_value_length(column), 0).to_pylist()).tolist()
+            texts = pa.array([text(known[a:b]) for a, b in zip(stops, stops[1:], strict=False)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], schema.names)
     return encoded.mapInArrow(run, schema)

@@ -147,8 +147,9 @@ class LibraryVocabulary(bpe.Vocabulary):
         super().__init__(path)
         self.model = Tokenizer.from_file(path).model
 
-    def merge(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join(self.letters[b] for b in word.encode("utf-8", "surrogatepass")))]
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        letters = self.letters
+        return [[t.id for t in self.model.tokenize("".join([letters[b] for b in w.encode("utf-8", "surrogatepass")]))] for w in words]
 
 
 _encoders: dict[str, bpe.Encoder] = {}
