@@ -277,7 +277,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.memory: dict[bytes, int] = {}
+        self.memory: dict[str, int] = {}
         self.more: list[int] = []
         self.more_start = [0]
 
@@ -302,19 +302,14 @@ class Encoder:
         """Ids of all texts in a row, and where each text's begin (and the end)."""
         if len(self.memory) > MEMORY:
             self._forget()
-        points, starts, ends, per_text = segment(texts, self.names)
+        points, starts, ends, per_text, whole = segment(texts, self.names)
         word = self.numbers(points, starts, ends)
-        raw = points.tobytes()
-        memory, special = self.memory, list(self.vocabulary.specials.values())
         missing = np.flatnonzero(word < 0)
-        new, fresh = np.empty(len(missing), np.int64), []
-        for k, (a, b) in enumerate(zip((starts[missing] * 4).tolist(), (ends[missing] * 4).tolist(), strict=True)):
-            key = raw[a:b]
-            i = memory.get(key)
-            if i is None:
-                i = memory[key] = len(memory)
-                fresh.append(key.decode("utf-32-le", "surrogatepass"))
-            new[k] = i
+        found = [whole[a:b] for a, b in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)]
+        memory, special = self.memory, list(self.vocabulary.specials.values())
+        fresh = [w for w in dict.fromkeys(found) if w not in memory]
+        memory.update(zip(fresh, range(len(memory), len(memory) + len(fresh)), strict=True))
+        new = np.fromiter(map(memory.__getitem__, found), np.int64, len(found))
         plain = [w if ord(w[0]) - SPECIAL_CP not in range(len(special)) else "" for w in fresh]
         for w, ids in zip(fresh, self.vocabulary.merge_all(plain), strict=True):
             self.more += [special[ord(w[0]) - SPECIAL_CP]] if ord(w[0]) - SPECIAL_CP in range(len(special)) else ids
@@ -343,14 +338,12 @@ def word_counts(docs: DataFrame, text_col: str, file: str) -> DataFrame:
         specials = list(Vocabulary(SparkFiles.get(file)).specials)
 
         def out(c: Counter) -> pa.RecordBatch:
-            words = [w.decode("utf-32-le", "surrogatepass") for w in c]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
         counts: Counter = Counter()
         for part in slices(batches, "text"):
-            points, starts, ends, _ = segment(part.column("text").to_pylist(), specials)
+            points, starts, ends, _, whole = segment(part.column("text").to_pylist(), specials)
             short = (ends - starts <= MAX_LENGTH) & (points[starts] // 0x800 != SPECIAL_CP // 0x800)
-            raw = points.tobytes()
-            counts.update([raw[a:b] for a, b in zip((starts[short] * 4).tolist(), (ends[short] * 4).tolist(), strict=True)])
+            counts.update([whole[a:b] for a, b in zip(starts[short].tolist(), ends[short].tolist(), strict=True)])
             if len(counts) > MEMORY:
                 yield out(counts)
                 counts = Counter()

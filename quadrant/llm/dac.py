@@ -38,6 +38,7 @@ from quadrant.llm.common import borders, bucket_of, python_ready, shuffle_partit
 from quadrant.session import work_dir
 
 FILE_TOKENS = 4 << 20
+READ_TOKENS = 1 << 19
 BLOCK = 512  # bits between two entries of a rank directory
 
 
@@ -219,6 +220,15 @@ def write_files(docs: DataFrame, path: str, folder: str, end_id: int, id_col: st
     return written(rows.mapInArrow(run, "bucket int, part int, name string, docs long, tokens long"), "dac-manifest")
 
 
+def blocks(start: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of documents of about READ_TOKENS ids (one document at least)."""
+    first = 0
+    while first < len(start) - 1:
+        last = max(first + 1, int(np.searchsorted(start, start[first] + READ_TOKENS, "right")) - 1)
+        yield first, last
+        first = last
+
+
 def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     """Documents of the files: doc_id, start (ids before it in all files), n_tokens, ids_crc32."""
     spark = manifest.sparkSession
@@ -232,8 +242,11 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
             for base, content in zip(batch.column("base").to_pylist(), batch.column("content"), strict=True):
                 arrays = bpe.from_bytes(np.frombuffer(content.as_buffer(), np.uint8))
                 codes, start = Codes(arrays), arrays["doc_start"]
-                spans = list(zip(start[:-1].tolist(), start[1:].tolist(), strict=True))
-                sums = [zlib.crc32(codes.range(a, b).astype("<u4").tobytes()) for a, b in spans]
+                sums = []
+                for first, last in blocks(start):
+                    ids = codes.range(int(start[first]), int(start[last])).astype("<u4")
+                    at = (start[first:last + 1] - start[first]).tolist()
+                    sums += [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(arrays["doc_id"], mask=arrays["doc_null"] != 0), pa.array(start[:-1] + base),
                      pa.array(np.diff(start)), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])

@@ -43,11 +43,12 @@ def normalized(text: str | None, specials: list[str]) -> str:
     return text.replace("Σ", "σ").lower()  # capital sigma has one lower case here, in any place
 
 
-def segment(texts: list[str | None], specials: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of all texts, starts and ends of the tokens in them, and the
-    number of tokens before each text and at the end."""
+def segment(texts: list[str | None], specials: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str]:
+    """Code points of all texts, starts and ends of the tokens in them, the number
+    of tokens before each text and at the end, and the string of the code points."""
     ready = [normalized(t, specials) for t in texts]
-    points = np.frombuffer("\n".join(ready).encode("utf-32-le", "surrogatepass") + b"\0" * 12, "<u4")
+    whole = "\n".join(ready)
+    points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass") + b"\0" * 12, "<u4")
     n = len(points) - 3
     cls = classes()[points[:n]]
     before = np.zeros_like(cls)
@@ -68,4 +69,4 @@ def segment(texts: list[str | None], specials: list[str]) -> tuple[np.ndarray, n
     opens = start[edges]
     starts, ends = edges[opens], np.append(edges[1:], n)[opens]
     borders = np.cumsum([0] + [len(t) + 1 for t in ready])
-    return points[:n], starts, ends, np.searchsorted(starts, borders)
+    return points[:n], starts, ends, np.searchsorted(starts, borders), whole
