@@ -30,7 +30,7 @@ from quadrant.llm.common import written
 WORD = r"[^\x20\x09-\x0D]+"
 #: 16 ** BUCKET_DIGITS range buckets per source; a cut bucket holds about that
 #: fraction of its source's rows.
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = 3
 
 
 def words_of(text: Column) -> Column:
