@@ -95,7 +95,12 @@ def segment_uri(layer, start_raw) -> Column:
 # ---------------------------------------------------------------- strings
 def strip_punctuation(x) -> Column:
     """Unicode-aware removal of everything that is not a letter, digit, '_' or space."""
-    return F.regexp_replace(_c(x), r"[^\p{L}\p{N}_\s]", "")
+    return F.regexp_replace(_c(x), r"(?U)[^\p{L}\p{N}_\s]", "")
+
+
+def trim_space(x) -> Column:
+    """Without white space of any kind (tabs, no-break spaces, line separators) at the ends."""
+    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
 
 
 def percent_encode_path(x) -> Column:
@@ -120,6 +125,17 @@ def nq_escape(x) -> Column:
     return F.replace(e, F.lit("\r"), F.lit("\\r"))
 
 
+def nq_unescape(x) -> Column:
+    """The text of an N-Quads term: \\t \\b \\n \\r \\f, escaped quotes and
+    backslashes, \\uXXXX (pairs too) and \\UXXXXXXXX."""
+    parts = F.regexp_extract_all(_c(x), F.lit(r"(?s)((?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\.|[^\\]+)"), F.lit(1))
+    code = lambda p, mark, charset: F.decode(F.unhex(F.replace(p, F.lit(mark), F.lit(""))), charset)
+    one = lambda p: F.translate(F.substr(p, F.lit(2)), "tbnrf", "\t\b\n\r\f")
+    return F.array_join(F.transform(parts, lambda p: F.when(~p.startswith("\\"), p)
+                        .when(p.rlike(r"^\\u[0-9A-Fa-f]{4}"), code(p, "\\u", "UTF-16BE"))
+                        .when(p.rlike(r"^\\U[0-9A-Fa-f]{8}$"), code(p, "\\U", "UTF-32")).otherwise(one(p))), "")
+
+
 def nq_object(o, kind, datatype, lang) -> Column:
     lit_term = F.concat(F.lit('"'), nq_escape(o), F.lit('"'),
                         F.when(_c(datatype).isNotNull(), F.concat(F.lit("^^<"), _c(datatype), F.lit(">")))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
-from quadrant.operators.sizing import broadcast_if_small
+from quadrant.session import written
 
 
 def pattern(quads: DataFrame, p: str, s_as: str, o_as: str | None = None,
@@ -163,31 +163,30 @@ def latest_media_by_title(rows: DataFrame, title_col: str = "title", date_col: s
         F.max(date_col).cast("string").alias("created"))
 
 
-def class_closure(edges: DataFrame, max_depth: int = 100) -> DataFrame:
-    """Transitive closure (child, ancestor) of a class hierarchy, cycle-safe.
+def class_closure(edges: DataFrame) -> DataFrame:
+    """Transitive closure (child, ancestor) of a class hierarchy of any depth.
 
-    Expressed as a recursive CTE so Spark runs the fix-point; depth-bounded, and
-    DISTINCT removes the repeats a cycle would produce.
+    Each round joins the closure so far with itself (paths double in length) and
+    adds the pairs that are new; a round without new pairs ends it, so cycles and
+    diamonds end too. Rounds are written to the shared folder, so the plan
+    doesn't grow with them.
     """
-    spark = edges.sparkSession
-    view = f"_class_edges_{abs(hash(edges.semanticHash()))}"
-    edges.select("child", "parent").createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE clo(child, ancestor, depth) AS (
-          SELECT child, parent, 1 FROM {view}
-          UNION ALL
-          SELECT c.child, e.parent, c.depth + 1
-          FROM clo c JOIN {view} e ON c.ancestor = e.child
-          WHERE c.depth < {max_depth}
-        )
-        SELECT DISTINCT child, ancestor FROM clo""")
+    closure = written(edges.select("child", F.col("parent").alias("ancestor")).distinct(), "closure")
+    while True:
+        further = closure.select(F.col("child").alias("ancestor"), F.col("ancestor").alias("above"))
+        new = written(closure.join(further, "ancestor").select("child", F.col("above").alias("ancestor")).distinct()
+                             .join(closure, ["child", "ancestor"], "left_anti"), "closure-new")
+        if new.isEmpty():
+            return closure
+        closure = written(closure.unionByName(new), "closure")
 
 
 def instances_with_inference(instances: DataFrame, edges: DataFrame) -> DataFrame:
-    """(instance, class) for the direct class and every transitive superclass."""
+    """(instance, class) for the direct class and every transitive superclass.
+    The closure is a written table: the planner sees its size and broadcasts it
+    if that is small, so the few distinct classes don't become hot shuffle keys."""
     clo = class_closure(edges)
-    inferred = instances.join(broadcast_if_small(clo), instances["class"] == clo["child"]) \
-        .select("instance", F.col("ancestor").alias("class"))
+    inferred = instances.join(clo, instances["class"] == clo["child"]).select("instance", F.col("ancestor").alias("class"))
     return instances.select("instance", "class").unionByName(inferred).distinct()
 
 

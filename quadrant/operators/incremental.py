@@ -2,10 +2,10 @@
 (K8) and the dead-letter table (K9).
 
 Run state lives in a small table next to the results, both in the shared
-folder. Results are partitioned by their batch (or run date) and written with
-dynamic partition overwrite, so a run that died after writing results but
-before writing state is simply redone: the redo replaces its own partition and
-never duplicates rows.
+folder. Results are partitioned by the run's start offset (or run date) and
+written with dynamic partition overwrite, so a run that died after writing
+results but before writing state is simply redone: the redo replaces its own
+partition and never duplicates rows.
 """
 
 from __future__ import annotations
@@ -13,18 +13,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
-from quadrant.operators.positions import dense_position, release_positions
+from quadrant.functions.expressions import nq_line, percent_encode_path
+from quadrant.operators.positions import dense_position
 from quadrant.session import ship_package
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A table that a first run hasn't written yet is None; any other trouble raises."""
     try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first run: nothing written yet
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -33,12 +38,11 @@ def stage_positions(rows: DataFrame, order: list[str], path: str) -> DataFrame:
     """Number the input once (range-partitioned scan) and store it, so each
     run reads only its slice through a pushed-down filter on `pos`."""
     dense_position(rows, order, name="pos").write.mode("overwrite").parquet(path)
-    release_positions()
     return rows.sparkSession.read.parquet(path)
 
 
 def committed_rows(spark: SparkSession, state_path: str) -> int:
-    st = _read_or_none(spark, state_path)
+    st = _read_or_none(spark, state_path, "committed bigint")
     if st is None:
         return 0
     v = st.agg(F.max("committed")).first()[0]
@@ -49,11 +53,12 @@ def run_offset_batch(spark: SparkSession, staged: DataFrame, process: Callable[[
                      results_path: str, state_path: str, size: int = K.ROWS_PER_BATCH,
                      commit_state: bool = True) -> int:
     """One run: the next `size` rows after the committed offset -> results
-    partition `batch_id`, then the new offset. Returns rows processed (0 when
-    everything is done)."""
+    partition `batch_id`, then the new offset. `batch_id` is the start offset: it
+    is unique to a run, also after a short one, and the same when a run is redone.
+    Returns rows processed (0 when everything is done)."""
     start = committed_rows(spark, state_path)
     part = staged.where((F.col("pos") >= start) & (F.col("pos") < start + size))
-    out = process(part).withColumn("batch_id", F.lit(start // size).cast("bigint"))
+    out = process(part).withColumn("batch_id", F.lit(start).cast("bigint"))
     n = part.count()
     if n == 0:
         return 0
@@ -74,24 +79,36 @@ def window_days(as_of: str, last_run: str | None, lookback: int = K.FIRST_RUN_LO
 
 
 def last_run_date(spark: SparkSession, state_path: str) -> str | None:
-    st = _read_or_none(spark, state_path)
-    if st is None:
-        return None
-    v = st.agg(F.max("run_date")).first()[0]
-    return None if v is None else str(v)
+    st = _read_or_none(spark, state_path, "run_date string")
+    return None if st is None else st.agg(F.max("run_date")).first()[0]
+
+
+def drop_uncommitted(spark: SparkSession, results_path: str, last_run: str | None) -> None:
+    """O4 for dated results: remove the run_date partitions that are newer than
+    the last committed run (what an interrupted run left)."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(results_path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("run_date=") and (last_run is None or name[len("run_date="):] > last_run):
+            fs.delete(status.getPath(), True)
 
 
 def run_date_batch(spark: SparkSession, rows: DataFrame, date_col: str, as_of: str,
                    process: Callable[[DataFrame], DataFrame], results_path: str, state_path: str,
                    commit_state: bool = True) -> int:
     """One dated run: rows with datediff(as_of, date) < days and date <= as_of,
-    days from the state; results partitioned by run_date. A run whose results
-    are newer than the state (interrupted) is redone by the same call; a
-    second run the same day is a no-op."""
+    days from the state; results partitioned by run_date. Results of a run that
+    was interrupted before its state was written are dropped first, whatever day
+    it is redone; a second run the same day is a no-op."""
     last = last_run_date(spark, state_path)
     days = window_days(as_of, last)
     if days <= 0:
         return 0
+    drop_uncommitted(spark, results_path, last)
     d = F.to_date(F.col(date_col))
     asof = F.lit(as_of).cast("date")
     sel = rows.where((F.datediff(asof, d) < days) & (d <= asof))
@@ -107,47 +124,59 @@ def run_date_batch(spark: SparkSession, rows: DataFrame, date_col: str, as_of: s
 Publisher = Callable[[pd.DataFrame, int], pd.Series]
 
 
-def with_request_url(records: DataFrame, base_url: str, media_col: str = "media_seg") -> DataFrame:
-    """The endpoint a publisher plug-in calls for each record: the media URI
-    percent-encoded as a path (RFC 3986, '/' kept), after `base_url`."""
-    from quadrant.functions.expressions import percent_encode_path
-    return records.withColumn("request_url", F.concat(F.lit(base_url), percent_encode_path(media_col)))
+def with_request(records: DataFrame, endpoint: str, mimetype: str, segment_type: str, threshold: float = 0.0,
+                 unlock: bool = True, media_col: str = "media", seg_col: str = "media_seg") -> DataFrame:
+    """What a publisher sends for each record: `request_url` (the media URI and
+    the segment type percent-encoded, '/' kept) and `body`, the segment's graph
+    as sorted N-Quads lines (one quad per predicted label, as a set)."""
+    tail = F.concat(F.lit(f"&mimetype={mimetype}&segmenttype="), percent_encode_path(F.lit(segment_type)),
+                    F.lit(f"&threshold={threshold}&unlock={str(unlock).lower()}"))
+    none = F.lit(None).cast("string")
+    quads = F.transform("predicted_labels", lambda x: nq_line(
+        F.col(seg_col), x["uriclass"], x["entity"], F.col(seg_col), F.lit("uri"), none, none))
+    return (records.withColumn("request_url", F.concat(F.lit(f"{endpoint}?uri="), percent_encode_path(media_col), tail))
+                   .withColumn("body", F.array_join(F.array_sort(F.array_distinct(quads)), "\n")))
 
 
 def _attempt(records: DataFrame, key: str, publisher: Publisher, attempt: int) -> DataFrame:
+    """One ack per key: ok if all its records were accepted."""
     ship_package(records.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ok = publisher(pdf, attempt).astype(bool).values
-            yield pd.DataFrame({key: pdf[key].values, "attempt": attempt, "ok": ok})
-    return records.mapInPandas(run, f"{key} string, attempt int, ok boolean")
+            yield pd.DataFrame({key: pdf[key].values, "ok": ok})
+    sent = records.mapInPandas(run, f"{key} string, ok boolean")
+    return sent.groupBy(key).agg(F.lit(attempt).alias("attempt"), F.every("ok").alias("ok"))
 
 
 def publish_with_retry(spark: SparkSession, records: DataFrame, key: str, publisher: Publisher,
                        acks_path: str, locked: DataFrame | None = None,
                        rounds: int = K.RETRY_ROUNDS, retries: int = K.RETRIES_PER_MEDIA) -> DataFrame:
-    """K8: a first pass, then up to `rounds` retry rounds, each media tried at
-    most 1 + `retries` times. Locked media are never attempted and are reported
-    apart. Every round's acks are appended to a table in the shared folder, and
-    the next round is `pending` anti-joined with the successes read back, so a
-    lost executor never replays a round and publishing stays at-least-once on
-    idempotent (set) quads.
+    """K8: a first pass, then up to `rounds` retry rounds, each media (`key`) tried
+    at most 1 + `retries` times with all its segments. Locked media are never
+    attempted and are reported apart. Every round's acks are written to a table in
+    the shared folder (the first replaces what an earlier try of the same
+    publication left), and the next round is `pending` anti-joined with the
+    successes read back, so a lost executor never replays a round and publishing
+    stays at-least-once on idempotent (set) quads.
 
     Returns (key, status, attempts) with status published / dead / locked.
     """
-    todo = records if locked is None else records.join(locked.select(key), key, "left_anti")
+    schema = f"{key} string, attempt int, ok boolean"
+    todo = records if locked is None else records.join(locked.select(key).distinct(), key, "left_anti")
     attempt = 1
-    _attempt(todo, key, publisher, attempt).write.mode("append").parquet(acks_path)
+    _attempt(todo, key, publisher, attempt).write.mode("overwrite").parquet(acks_path)
     for _ in range(rounds):
         attempt += 1
         if attempt > 1 + retries:
             break
-        acks = spark.read.parquet(acks_path)
+        acks = spark.read.schema(schema).parquet(acks_path)
         pending = todo.join(acks.where("ok").select(key), key, "left_anti")
         if pending.isEmpty():
             break
         _attempt(pending, key, publisher, attempt).write.mode("append").parquet(acks_path)
-    acks = spark.read.parquet(acks_path)
+    acks = spark.read.schema(schema).parquet(acks_path)
     summary = acks.groupBy(key).agg(
         F.min(F.when(F.col("ok"), F.col("attempt"))).alias("_ok_at"), F.max("attempt").alias("_last"))
     status = summary.select(
@@ -156,7 +185,7 @@ def publish_with_retry(spark: SparkSession, records: DataFrame, key: str, publis
         F.coalesce(F.col("_ok_at"), F.col("_last")).cast("bigint").alias("attempts"))
     if locked is not None:
         status = status.unionByName(locked.select(key, F.lit("locked").alias("status"),
-                                                  F.lit(0).cast("bigint").alias("attempts")))
+                                                  F.lit(0).cast("bigint").alias("attempts")).distinct())
     return status
 
 

@@ -11,25 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrant.operators.sizing import broadcast_if_small
-
-
-_PERSISTED: list[DataFrame] = []
-
-
-def release_positions() -> None:
-    """Unpersist the range splits kept by `dense_position`; sinks call this
-    once their write has run (lazy results keep theirs until evicted)."""
-    while _PERSISTED:
-        df = _PERSISTED.pop()
-        try:
-            df.unpersist()
-        except Exception:  # noqa: BLE001 - its session may have been stopped since
-            pass
+from quadrant.session import written
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
@@ -47,33 +32,37 @@ def dense_position(df: DataFrame, order: Sequence[str | Column], group: Sequence
     per partition and group -- give each group's running offset.
 
     Both the counts and the rows must see the same range split, so the sorted,
-    numbered frame is persisted and read by both (an upstream shuffle gives no
-    stable row order, so two separate range samplings could disagree). A lost
-    block is recomputed from the one exchange, whose bounds are fixed once
-    planned: the same rows land in the same partition and sort the same way.
+    numbered rows are written once to the shared folder and read by both: a
+    lost executor costs nothing, and nothing stays cached.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _cols(list(group)) + _cols(order)
     gcols = list(group)
     mid = F.monotonically_increasing_id()
-    parted = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_mid", mid)
-                .withColumn("_pid", F.shiftright("_mid", 33))
-                .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-                .drop("_mid")
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    _PERSISTED.append(parted)
+    parted = written(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                       .withColumn("_mid", mid)
+                       .withColumn("_pid", F.shiftright("_mid", 33))
+                       .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+                       .drop("_mid"), "positions")
     stats = parted.groupBy(["_pid"] + gcols).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
     run_w = (Window.partitionBy(*gcols) if gcols else Window.partitionBy(F.lit(0))).orderBy("_pid")
     offsets = stats.withColumn("_off", F.coalesce(
         F.sum("_n").over(run_w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    est = n if not gcols else None
-    out = parted.join(broadcast_if_small(offsets, est_rows=est), ["_pid"] + gcols)
+    if not gcols:
+        offsets = F.broadcast(offsets)  # one row of three numbers per range partition
+    out = parted.join(offsets, ["_pid"] + gcols)
     return (out.withColumn(name, (F.col("_off") + F.col("_loc") - F.col("_first")).cast("bigint"))
                .drop("_pid", "_loc", "_first", "_off"))
 
 
+def group_position(df: DataFrame, order: Sequence[str | Column], group: Sequence[str], name: str = "pos") -> DataFrame:
+    """0-based position within groups that are bounded by nature (the lines or
+    segments of one recording): one shuffle on the group."""
+    w = Window.partitionBy(*group).orderBy(*_cols(order))
+    return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+
+
 def carry_forward(df: DataFrame, group: Sequence[str], order: str, value: str,
                   name: str, block_rows: int = 1 << 20) -> DataFrame:
     """Last non-null `value` at or before each row within its group, by the

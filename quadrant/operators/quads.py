@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
-from quadrant.functions.expressions import layer_uri, nq_line, nq_object, segment_uri
+from quadrant.functions.expressions import layer_uri, nq_line, nq_object, nq_unescape, segment_uri
 from quadrant.operators.positions import dense_position
 from quadrant.operators.transcripts import segment_timecodes
 from quadrant.sources.store import QUAD_COLUMNS
@@ -88,37 +88,35 @@ def to_nquads(quads: DataFrame) -> DataFrame:
     return quads.select(nq_line().alias("value"))
 
 
-NQ_RE = r"^<([^>]*)> <([^>]*)> (.*) <([^>]*)> \.$"
-LIT_RE = r'(?s)^"(.*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?$'
+NQ_RE = r"(?s)^\s*<([^<>\s]*)>\s*<([^<>\s]*)>\s*(<[^<>\s]*>|\"(?:[^\"\\]|\\.)*+\"(?:\^\^<[^<>\s]*>|@[A-Za-z0-9-]+)?)\s*<([^<>\s]*)>\s*\.\s*$"
+LIT_RE = r'(?s)^"(.*)"(?:\^\^<([^<>\s]*)>|@([A-Za-z0-9-]+))?$'
 
 
-def _unescape(c: F.Column) -> F.Column:
-    # \\ is protected first so that an escaped backslash before 'n' stays literal
-    e = F.replace(c, F.lit("\\\\"), F.lit("\u0000"))
-    e = F.replace(e, F.lit('\\"'), F.lit('"'))
-    e = F.replace(e, F.lit("\\n"), F.lit("\n"))
-    e = F.replace(e, F.lit("\\r"), F.lit("\r"))
-    return F.replace(e, F.lit("\u0000"), F.lit("\\"))
+def rejected_nquads(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Lines that `parse_nquads` can't read: neither a quad of IRIs and literals
+    in a named graph, nor blank, nor a comment."""
+    v = F.col(col)
+    return lines.where(v.isNotNull() & ~v.rlike(NQ_RE) & ~v.rlike(r"^\s*(#.*)?$"))
 
 
 def parse_nquads(lines: DataFrame, col: str = "value") -> DataFrame:
-    """N-Quads text -> quad table (lines that do not parse are dropped).
+    """N-Quads text -> quad table; `rejected_nquads` returns the other lines.
 
-    Subject, predicate and graph are IRIs without spaces; the object term is
-    what lies between them, then split into value and datatype / language.
+    Subject, predicate and graph are IRIs; the object is an IRI or a literal with
+    an optional datatype or language. Escapes are resolved in all terms.
     """
     v = F.col(col)
     parsed = lines.where(v.rlike(NQ_RE)).select(
         F.regexp_extract(v, NQ_RE, 1).alias("s"), F.regexp_extract(v, NQ_RE, 2).alias("p"),
         F.regexp_extract(v, NQ_RE, 3).alias("_term"), F.regexp_extract(v, NQ_RE, 4).alias("g"))
     term = F.col("_term")
-    is_uri = term.startswith("<") & term.endswith(">")
+    is_uri = term.startswith("<")
     empty_none = lambda c: F.when(c != "", c)
     return parsed.select(
-        "s", "p",
-        F.when(is_uri, F.expr("substring(_term, 2, length(_term) - 2)"))
-         .otherwise(_unescape(F.regexp_extract(term, LIT_RE, 1))).alias("o"),
-        "g",
+        nq_unescape("s").alias("s"), nq_unescape("p").alias("p"),
+        nq_unescape(F.when(is_uri, F.expr("substring(_term, 2, length(_term) - 2)"))
+                     .otherwise(F.regexp_extract(term, LIT_RE, 1))).alias("o"),
+        nq_unescape("g").alias("g"),
         F.when(is_uri, F.lit("uri")).otherwise(F.lit("literal")).alias("o_kind"),
         F.when(~is_uri, empty_none(F.regexp_extract(term, LIT_RE, 2))).alias("o_datatype"),
         F.when(~is_uri, empty_none(F.regexp_extract(term, LIT_RE, 3))).alias("o_lang"),

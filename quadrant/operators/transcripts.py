@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
 from quadrant.functions.expressions import (media_key, ms_to_duration, ms_to_srt_stamp,
-                                            ms_to_timecode, seconds_text_to_ms, strip_punctuation)
-from quadrant.operators.positions import carry_forward, dense_position, release_positions
+                                            ms_to_timecode, seconds_text_to_ms, strip_punctuation, trim_space)
+from quadrant.operators.positions import carry_forward, group_position
 from quadrant.operators.theta import contains_join
 from quadrant.session import ship_package
 
@@ -32,23 +32,23 @@ def segment_timecodes(seg: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ W2
-LINE_RE = r"^([^-:]*)-([^-:]*)[^:]*:(.*)$"
+LINE_RE = r"(?s)^([^-:]*)-([^-:]*)[^:]*:(.*)$"
 
 
 def classify_lines(lines: DataFrame) -> DataFrame:
     """Tag each corrected line: 'text' (opens a segment), 'cont' (blank text,
     extends the segment above with its end if any) or 'noise' (ends a run)."""
-    stripped = F.trim(F.col("line"))
+    stripped = trim_space("line")
     ok = stripped.rlike(LINE_RE)
-    body = F.trim(F.regexp_extract(stripped, LINE_RE, 3))
+    body = trim_space(F.regexp_extract(stripped, LINE_RE, 3))
     kind = (F.when(stripped == "", F.lit("cont"))
              .when(ok & (body != ""), F.lit("text"))
              .when(ok, F.lit("cont"))
              .otherwise(F.lit("noise")))
     return lines.select(
         "file", "line_no", kind.alias("kind"),
-        F.when(ok, F.trim(F.regexp_extract(stripped, LINE_RE, 1))).alias("start"),
-        F.when(ok, F.trim(F.regexp_extract(stripped, LINE_RE, 2))).otherwise(F.lit("")).alias("end"),
+        F.when(ok, trim_space(F.regexp_extract(stripped, LINE_RE, 1))).alias("start"),
+        F.when(ok, trim_space(F.regexp_extract(stripped, LINE_RE, 2))).otherwise(F.lit("")).alias("end"),
         F.when(ok, body).alias("text"))
 
 
@@ -85,7 +85,7 @@ def txt_lines(seg: DataFrame, key_col: str = "media_key") -> DataFrame:
 
 def srt_cues(seg: DataFrame, key_col: str = "media_key") -> DataFrame:
     """Numbered SRT cues (one row = one cue block, blank line added by the writer)."""
-    numbered = dense_position(seg, ["start_ms", "end_ms", "ord"], group=[key_col], name="cue")
+    numbered = group_position(seg, ["start_ms", "end_ms", "ord"], group=[key_col], name="cue")
     return numbered.select(key_col, "start_ms", "end_ms", "ord", F.concat(
         (F.col("cue") + 1).cast("string"), F.lit("\n"),
         ms_to_srt_stamp("start_ms"), F.lit(" --> "), ms_to_srt_stamp("end_ms"), F.lit("\n"),
@@ -107,7 +107,6 @@ def write_documents(rows: DataFrame, key_col: str, order: list[str], line_col: s
          .sortWithinPartitions(key_col, *order)
          .select(key_col, line_col)
          .write.mode("overwrite").partitionBy(key_col).text(path))
-    release_positions()
 
 
 def read_documents(spark, path: str, key_col: str) -> DataFrame:
@@ -115,13 +114,14 @@ def read_documents(spark, path: str, key_col: str) -> DataFrame:
 
     Line mode, so no file has to fit in one value: within an input split rows
     arrive in file order, so (file name, split start, read position) orders
-    every line; positions are then numbered per key across part files.
+    every line; positions are then numbered per key (one recording's lines). The
+    key is read as text: `007` and `1.10` are keys, not numbers.
     """
-    raw = (spark.read.format("text").load(path)
+    raw = (spark.read.schema(f"value string, `{key_col}` string").format("text").load(path)
                 .select(F.col(key_col), F.col("_metadata.file_name").alias("_file"),
                         F.col("_metadata.file_block_start").alias("_blk"),
                         F.monotonically_increasing_id().alias("_i"), F.col("value").alias("line")))
-    return dense_position(raw, ["_file", "_blk", "_i"], group=[key_col], name="line_no").drop("_file", "_blk", "_i")
+    return group_position(raw, ["_file", "_blk", "_i"], group=[key_col], name="line_no").drop("_file", "_blk", "_i")
 
 
 # ------------------------------------------------------------------ A8
@@ -185,13 +185,16 @@ def name_to_media(txt: DataFrame, catalogue: DataFrame) -> DataFrame:
     cat = catalogue.select("ord", F.lower(F.col("title")).alias("_title"),
                            F.element_at(F.split(F.col("media"), ":"), -1).alias("_key"))
     rank = F.struct((~F.col("_key").endswith("v2")).alias("_not_v2"), F.col("ord"))
-    hits = contains_join(t.where(F.col("_name").isNotNull()).select("txtname", "_name"), ["txtname"], "_name",
-                         cat.select("ord", "_title"), ["ord"], "_title")
+    # distinct names meet the titles; many files carry the same speaker's name
+    names = t.where(F.col("_name").isNotNull()).select("_name", F.col("_name").alias("_pattern")).distinct()
+    hits = contains_join(names, ["_name"], "_pattern", cat.select("ord", "_title"), ["ord"], "_title")
     best = (hits.join(cat.select("ord", "_key"), "ord")
-                .groupBy("txtname").agg(F.min_by("_key", F.struct(~F.col("_key").endswith("v2"), F.col("ord"))).alias("_key")))
+                .groupBy("_name").agg(F.min_by("_key", F.struct(~F.col("_key").endswith("v2"), F.col("ord"))).alias("_key")))
     # an empty name is contained in every title: the best row overall answers it
     any_key = cat.select(F.min_by("_key", rank)).scalar()
-    out = t.join(best, "txtname", "left")
+    # files that carry their key don't meet the join
+    named = t.where(F.col("_name").isNotNull()).join(best, "_name", "left").select("txtname", "_name", "_direct", "_key")
+    out = named.unionByName(t.where(F.col("_name").isNull()).withColumn("_key", F.lit(None).cast("string")))
     key = F.when(F.col("_name") == "", any_key).otherwise(F.col("_key"))
     json_name = F.coalesce(F.col("_direct"),
                            F.concat(F.coalesce(key, F.lit(K.NO_MATCH)), F.lit(K.TRANSCRIPT_FILE_SUFFIX)))
@@ -218,17 +221,3 @@ def transcribe(media_files: DataFrame, model: Callable[[bytes, str], list[dict]]
     out = media_files.select(key_col, "content").mapInPandas(run, schema)
     return (out.withColumn("start_ms", seconds_text_to_ms("start_raw"))
                .withColumn("end_ms", seconds_text_to_ms("end_raw")))
-
-
-def sentence_model(content: bytes, language: str) -> list[dict]:
-    """Deterministic stand-in model: one segment per sentence of the decoded
-    bytes, 40 ms per character."""
-    text = content.decode("utf-8", errors="replace")
-    out, t = [], 0
-    for part in [p.strip() for p in text.replace("\n", " ").split(".")]:
-        if not part:
-            continue
-        start, t = t, t + 40 * len(part)
-        out.append({"start": f"{start // 1000}.{start % 1000:03d}", "end": f"{t // 1000}.{t % 1000:03d}",
-                    "text": part, "confidence": (len(part) % 100) / 100})
-    return out

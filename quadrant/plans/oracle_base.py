@@ -22,7 +22,8 @@ CAT = f"""
 cat0 AS (
   SELECT doc_id, text, lang, source,
          CASE WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END AS mnum,
-         split_part(text, {NL}, 1) AS first_line
+         split_part(text, {NL}, 1) AS first_line,
+         list_filter(regexp_split_to_array(text, '[ \n]+'), lambda x: x <> '') AS words
   FROM documents
 ),
 cat AS (
@@ -33,10 +34,8 @@ cat AS (
          'http://example.org/doc/' || CAST(mnum AS VARCHAR) || '/instance' AS instance,
          CASE WHEN doc_id % 3 = 0 THEN '{K.CORE_TEMPORAL_DOCUMENT}' ELSE '{K.CORE_TEXT}' END AS media_type,
          lang || ' ' || source AS label, lang, source,
-         first_line || ' | ' || source || ' | ' || source AS presentation,
-         replace(split_part(text, ' ', 1), {NL}, ' ') AS k1,
-         replace(split_part(text, ' ', 2), {NL}, ' ') AS k2,
-         replace(split_part(text, ' ', 3), {NL}, ' ') AS k3,
+         text || ' | ' || source || ' | ' || source AS presentation,
+         list_min(words) AS k1, list_max(words) AS k2, words[-1] AS k3,
          CASE WHEN doc_id % 7 = 0 THEN 'editor' ELSE 'harvester' END AS last_user,
          CAST(DATE '2024-01-01' + CAST(doc_id % 60 AS INTEGER) AS DATE) AS created,
          first_line AS title, lang AS title_lang,

@@ -193,13 +193,13 @@ oracle("classify_lexical", with_(VOCAB, CHUNKS, DOC_TEXTS, LEX, body="SELECT med
 PARSE = """
 parsed AS (
   SELECT media_seg, chunk_id,
-         list_filter(list_transform(string_split(resp_text, ','), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
+         list_filter(list_transform(string_split(resp_text, ','), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13) || chr(160))),
                      lambda x: list_contains(offered, x)) AS labels
   FROM (SELECT *, response AS resp_text FROM resp)
 )"""
 
 oracle("parse_predictions", with_(VOCAB, CHUNKS, DOC_TEXTS, LEX, PARSE.replace(
-    "response AS resp_text", "response || ' , Rien,' || lower(response) AS resp_text"), body="""
+    "response AS resp_text", "response || chr(160) || ', Rien,' || chr(160) || lower(response) AS resp_text"), body="""
 SELECT media_seg, chunk_id, CAST(i - 1 AS BIGINT) AS lpos, labels[i] AS label
 FROM parsed, range(1, len(labels) + 1) r(i)"""))
 

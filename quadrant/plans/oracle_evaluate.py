@@ -15,6 +15,13 @@ model AS (
   UNION ALL
   SELECT doc_id, 'safe', CAST(n_chars <= 3000 AS BIGINT) FROM documents WHERE doc_id % 4 <> 0
 ),
+scored AS (
+  SELECT h.unit, h.label, h.value AS t, coalesce(m.value, 0) AS p
+  FROM human h LEFT JOIN model m ON m.unit = h.unit AND m.label = h.label
+  UNION ALL
+  SELECT m.unit, m.label, 0, m.value FROM model m
+  WHERE m.unit IN (SELECT unit FROM human) AND NOT EXISTS (SELECT 1 FROM human h WHERE h.unit = m.unit AND h.label = m.label)
+),
 pairs AS (
   SELECT h.unit, h.label, h.value AS t, m.value AS p FROM human h JOIN model m ON m.unit = h.unit AND m.label = h.label
 )"""
@@ -53,7 +60,7 @@ per AS (
   SELECT label, CAST(sum(CASE WHEN t = 1 AND p = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
          CAST(sum(CASE WHEN t = 0 AND p = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
          CAST(sum(CASE WHEN t = 1 AND p = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn
-  FROM pairs GROUP BY label
+  FROM scored GROUP BY label
 ),
 per2 AS (
   SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,

@@ -8,7 +8,7 @@ from quadrant.plans.oracle_transcripts import media_key
 
 oracle("src_csv_catalog", with_(CAT, body="""
 SELECT c.media, c.title, c.title2, c.url, CAST(c.created AS VARCHAR) AS creationdate,
-       array_to_string(string_split(d.text, chr(10))[1:2], chr(10)) AS description
+       d.text AS description
 FROM cat c JOIN documents d ON d.doc_id = c.doc_id"""))
 
 oracle("sink_csv", with_(CAT, QUADS, *GP, TEXT_DOCS, body="SELECT * FROM text_docs"))

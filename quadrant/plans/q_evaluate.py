@@ -40,7 +40,10 @@ def q_corpus_split(spark, sf_dir):
 
 @query("f1_scores")
 def q_f1_scores(spark, sf_dir):
-    return EV.f1_scores(human_labels(spark, sf_dir), model_labels(spark, sf_dir))
+    """Scored over the units that humans rated; a document the model left unrated
+    counts as a 0 of the model."""
+    truth = human_labels(spark, sf_dir)
+    return EV.f1_scores(truth, model_labels(spark, sf_dir), universe=truth)
 
 
 RATER_SETS = {"all": ["quality", "safe", "length"], "quality_length": ["quality", "length"],

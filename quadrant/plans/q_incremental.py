@@ -10,13 +10,14 @@ from quadrant.operators import incremental as INC
 from quadrant.operators import label as L
 from quadrant.operators import textprep as T
 from quadrant.plans.registry import query
-from quadrant.session import work_dir
+from quadrant.session import work_dir, written
 from quadrant.sources import files as FS
 from quadrant.sources import fixtures as FX
 from quadrant.streaming import ingest as ST
 
 EVENT_RUNS = ["2024-01-11", "2024-01-21", "2024-01-31"]
-PUBLISH_ENDPOINT = "https://store.example.org/api/set_media?uri="
+INTERRUPTED_RUN = "2024-01-20"
+PUBLISH_ENDPOINT = "https://store.example.org/api/set_media"
 
 
 def _text_rows(df):
@@ -27,22 +28,19 @@ def _text_rows(df):
 
 @query("incremental_offset")
 def q_incremental_offset(spark, sf_dir):
-    """Three offset-resumed runs equal one full run; the first run dies
-    after writing its results and is redone.
-
-    A run takes max(500, half the rows): the reference's 500 on small tables,
-    and still three runs (the last one finds nothing) on any size of table.
-    """
+    """Offset-resumed runs of 500 rows until nothing is left, over an input
+    that grows: first its first seven tenths (their last run is short), then all.
+    The first run dies after writing its results and is redone."""
     work = work_dir(spark, "t1")
     staged = INC.stage_positions(FX.cat(spark, sf_dir), ["ord"], f"{work}/input")
-    size = max(K.ROWS_PER_BATCH, -(-staged.count() // 2))
+    early = staged.where(F.col("pos") < staged.count() * 7 // 10)
     res, state = f"{work}/results", f"{work}/state"
-    # a run that dies after writing its results but before its state ...
-    INC.run_offset_batch(spark, staged, _text_rows, res, state, size=size, commit_state=False)
-    # ... is redone from the same offset, then two more runs
-    for _ in range(3):
-        INC.run_offset_batch(spark, staged, _text_rows, res, state, size=size)
-    return spark.read.parquet(res).select("media_seg", "text", F.col("batch_id").cast("bigint"))
+    # a run that dies after writing its results but before its state is redone from the same offset
+    INC.run_offset_batch(spark, early, _text_rows, res, state, commit_state=False)
+    for grown in (early, staged):
+        while INC.run_offset_batch(spark, grown, _text_rows, res, state):
+            pass
+    return spark.read.schema("media_seg string, text string, batch_id bigint").parquet(res)
 
 
 def _daily(df):
@@ -52,64 +50,61 @@ def _daily(df):
 
 @query("incremental_date")
 def q_incremental_date(spark, sf_dir):
-    """Date-resumed runs (10-day look-back, then since the last run); the
-    second run is interrupted and redone; a same-day re-run is a no-op."""
+    """Date-resumed runs (10-day look-back, then since the last run). The
+    second run is interrupted before its state is written and redone a day later;
+    a same-day re-run is a no-op."""
     work = work_dir(spark, "t2")
     ev = FX.table(spark, sf_dir, "events").select("ts", "value")
     res, state = f"{work}/results", f"{work}/state"
     INC.run_date_batch(spark, ev, "ts", EVENT_RUNS[0], _daily, res, state)
-    INC.run_date_batch(spark, ev, "ts", EVENT_RUNS[1], _daily, res, state, commit_state=False)
-    for as_of in EVENT_RUNS[1:]:
+    INC.run_date_batch(spark, ev, "ts", INTERRUPTED_RUN, _daily, res, state, commit_state=False)
+    for as_of in (*EVENT_RUNS[1:], EVENT_RUNS[-1]):
         INC.run_date_batch(spark, ev, "ts", as_of, _daily, res, state)
-    INC.run_date_batch(spark, ev, "ts", EVENT_RUNS[-1], _daily, res, state)
-    return spark.read.parquet(res).select("event_date", "n_events", "total_value", "run_date")
+    return spark.read.schema("event_date string, n_events bigint, total_value double, run_date string").parquet(res)
 
 
 def _records(spark, sf_dir):
-    from quadrant.plans.q_label import _vocab, _words, document_texts
-    v, chunks, n, label_col = _vocab(spark, sf_dir, True)
-    res = L.resolve_entities(L.predict(document_texts(spark, sf_dir), chunks, n, words=_words(spark, sf_dir)),
-                             v, match_col=label_col)
-    return res.where(F.size("predicted_labels") > 0)
-
-
-def _doc_id(pdf: pd.DataFrame) -> pd.Series:
-    return pdf["media_seg"].str.rsplit("/", n=1).str[-1].astype("int64")
+    """Records to publish: media, segment, predicted vocabulary rows, request."""
+    from quadrant.plans.q_label import document_texts, vocabulary
+    res = L.records(document_texts(spark, sf_dir), vocabulary(spark, sf_dir, True)).where(F.size("predicted_labels") > 0)
+    doc = F.element_at(F.split("media_seg", "/"), -1).cast("bigint")
+    media = F.concat(F.lit(FX.DOC_PREFIX), F.when(doc % 10 == 9, doc - 1).otherwise(doc).cast("string"))
+    return INC.with_request(res.withColumn("media", media), PUBLISH_ENDPOINT, "application/pdf", K.CORE_TEXT)
 
 
-def deterministic_publisher(pdf: pd.DataFrame, attempt: int) -> pd.Series:
-    """Test publisher: the media of doc d succeeds from attempt d % 7 on."""
-    return attempt >= (_doc_id(pdf) % 7)
+def number_publisher(pdf: pd.DataFrame, attempt: int) -> pd.Series:
+    """An example publisher: media number d is accepted from attempt d % 7 on."""
+    return attempt >= pdf["media"].str.rsplit("/", n=1).str[-1].astype("int64") % 7
 
 
 def _locked(records):
-    doc = F.element_at(F.split("media_seg", "/"), -1).cast("bigint")
-    return records.where(doc % 13 == 0).select("media_seg")
+    return records.where(F.element_at(F.split("media", "/"), -1).cast("bigint") % 13 == 0).select("media")
 
 
 def _publish(spark, sf_dir, work):
-    # records are read by every round: cut the lineage in the shared folder so a
-    # retry never re-runs the classifier (plug-in models are not deterministic)
-    recs = INC.with_request_url(_records(spark, sf_dir), PUBLISH_ENDPOINT).checkpoint()
-    status = INC.publish_with_retry(spark, recs, "media_seg", deterministic_publisher, f"{work}/acks",
-                                    locked=_locked(recs))
-    return recs, status
+    # every round reads the records: written once, a retry never re-runs the classifier
+    recs = written(_records(spark, sf_dir), "publish-records")
+    return recs, INC.publish_with_retry(spark, recs, "media", number_publisher, f"{work}/acks", locked=_locked(recs))
 
 
 @query("publish_with_retry")
 def q_publish_with_retry(spark, sf_dir):
-    _, status = _publish(spark, sf_dir, work_dir(spark, "k8"))
-    return status
+    """K8: the media is the unit of retries and locks; each has the requests of
+    its segments, named here by URL and a digest of their bodies."""
+    recs, status = _publish(spark, sf_dir, work_dir(spark, "k8"))
+    bodies = F.array_join(F.array_sort(F.collect_list("body")), "\n")
+    sent = recs.groupBy("media").agg(F.any_value("request_url").alias("request_url"), F.md5(bodies).alias("body_md5"),
+                                     F.count(F.lit(1)).alias("n_requests"))
+    return status.join(sent, "media")
 
 
 @query("publish_dead_letter")
 def q_publish_dead_letter(spark, sf_dir):
     work = work_dir(spark, "k9")
     recs, status = _publish(spark, sf_dir, work)
-    INC.dead_letter(recs, status, "media_seg", f"{work}/dead")
-    back = spark.read.schema("media_seg string, predicted_labels array<struct<strLabel:string,subclass:string,"
-                             "entity:string,uriclass:string>>, request_url string").json(f"{work}/dead")
-    return back.select("media_seg", F.size("predicted_labels").cast("bigint").alias("n_labels"))
+    INC.dead_letter(recs, status, "media", f"{work}/dead")
+    back = spark.read.schema(recs.schema).json(f"{work}/dead")
+    return back.select("media", "media_seg", F.size("predicted_labels").cast("bigint").alias("n_labels"), F.md5("body").alias("body_md5"))
 
 
 def _land_drops(spark, sf_dir, inbox, drops):
@@ -138,47 +133,49 @@ def q_stream_ingest(spark, sf_dir):
 
 @query("stream_ingest_archive")
 def q_stream_ingest_archive(spark, sf_dir):
-    """Ingested files are moved to the archive folder.
-
-    Spark's file source archives a batch's files when the next batch starts
-    (its commit), so the newest batch stays in the inbox until more data
-    arrives. Four waves land one after another, one run (one batch) each:
-    the first three waves end up archived, the last one waits.
-    """
+    """Four waves land one after another, one run each; after every run its
+    files are in the archive folder and the inbox is empty."""
     work = work_dir(spark, "k10")
     inbox, sink, ckpt, archive = f"{work}/inbox", f"{work}/sink", f"{work}/checkpoint", f"{work}/archive"
     for wave in range(4):
         _land_drops(spark, sf_dir, inbox, [wave])
-        ST.run_available(ST.segment_stream(spark, inbox, archive_dir=archive), sink, ckpt)
-    arch = (spark.read.schema(FS.SEGMENT_FILE_SCHEMA).option("multiLine", True)
-                 .option("recursiveFileLookup", True).json(archive))
-    return arch.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"[.]lintoai[.]json$", "").alias("media_key"),
-        F.col("start").alias("start_raw"), F.col("end").alias("end_raw"), "text", "confidence")
+        ST.ingest_and_archive(spark, inbox, sink, ckpt, archive)
+    left = spark.read.schema(FS.SEGMENT_FILE_SCHEMA).option("multiLine", True).json(inbox)
+    arch = FS.flat_segments(spark.read.schema(FS.SEGMENT_FILE_SCHEMA).option("multiLine", True).json(archive))
+    n_left = left.agg(F.count(F.lit(1)).alias("n_left"))
+    return arch.select("media_key", "start_raw", "end_raw", "text", "confidence").crossJoin(F.broadcast(n_left))  # one row of one number
 
 
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):
-    """T4: catalogue rows re-delivered in overlapping drops; first per media wins."""
+    """T4: catalogue rows re-delivered in overlapping drops (the first six tenths,
+    then the last six tenths); first per media wins."""
     work = work_dir(spark, "t4")
     inbox, sink, ckpt = f"{work}/inbox", f"{work}/sink", f"{work}/checkpoint"
     c = FX.cat(spark, sf_dir).select("ord", "media", "media_seg", "title")
-    c.where(F.col("ord") < 600).coalesce(1).write.mode("append").parquet(inbox)
-    c.where(F.col("ord") >= 400).coalesce(1).write.mode("append").parquet(inbox)
-    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    ST.run_available(ST.keep_first_stream(stream, "media", "ord"), sink, ckpt)
-    return spark.read.parquet(sink)
+    top = c.agg(F.max("ord")).first()[0]
+    for drop in (F.col("ord") < 0.6 * top, F.col("ord") >= 0.4 * top):
+        c.where(drop).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(c.schema).parquet(inbox)
+        ST.run_foreach_batch(stream, ST.keep_first_batches("media", "ord", sink), ckpt)
+    return spark.read.schema(c.schema).parquet(sink).select(c.columns)
 
 
 @query("stream_publish")
 def q_stream_publish(spark, sf_dir):
-    """T5: records arriving as files; each micro-batch is published with
-    retries, then the batch is recorded in the state table."""
+    """T5: records arriving as files; each micro-batch is published with retries,
+    then recorded in the state table. The batch is replayed once, as after a
+    failure before the checkpoint: status and state don't double."""
     work = work_dir(spark, "t5")
     inbox, ckpt = f"{work}/inbox", f"{work}/checkpoint"
-    recs = _records(spark, sf_dir).select("media_seg")
+    recs = _records(spark, sf_dir)
     recs.write.mode("append").parquet(inbox)
-    stream = spark.readStream.schema(recs.schema).parquet(inbox)
-    ST.run_foreach_batch(stream, ST.publish_each_batch("media_seg", deterministic_publisher, work,
-                                                       f"{work}/state"), ckpt)
-    return spark.read.parquet(f"{work}/status").select("media_seg", "status", "attempts")
+    publish = ST.publish_each_batch("media", number_publisher, work, f"{work}/state")
+
+    def replayed(batch, batch_id):
+        publish(batch, batch_id)
+        publish(batch, batch_id)
+    ST.run_foreach_batch(spark.readStream.schema(recs.schema).parquet(inbox), replayed, ckpt)
+    n_states = spark.read.parquet(f"{work}/state").agg(F.count(F.lit(1)).alias("n_batches"))
+    status = spark.read.schema("media string, status string, attempts bigint").parquet(f"{work}/status")
+    return status.select("media", "status", "attempts").crossJoin(F.broadcast(n_states))  # one row of one number

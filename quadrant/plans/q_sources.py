@@ -18,11 +18,10 @@ CATALOG_CSV_SCHEMA = "media string, title string, title2 string, url string, cre
 @query("src_csv_catalog")
 def q_src_csv_catalog(spark, sf_dir):
     c = FX.cat(spark, sf_dir)
-    two_lines = F.concat_ws("\n", F.slice(F.split(F.col("_text"), "\n"), 1, 2))
     d = FX.table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text").alias("_text"))
     rows = c.join(d, "doc_id").select("media", "title", "title2", "url",
                                        F.col("created").cast("string").alias("creationdate"),
-                                       two_lines.alias("description"))
+                                       F.col("_text").alias("description"))
     path = work_dir(spark, "catalog-csv")
     FS.write_csv(rows, path)
     return FS.read_csv(spark, path, CATALOG_CSV_SCHEMA)
@@ -42,7 +41,8 @@ def q_sink_csv(spark, sf_dir):
 def q_src_segments_json(spark, sf_dir):
     from quadrant.plans.q_transcripts import seg_keyed
     path = work_dir(spark, "segments-json")
-    FS.land_segment_files(seg_keyed(spark, sf_dir), path).count()
+    # every other media left as a verbose response
+    FS.land_segment_files(seg_keyed(spark, sf_dir), path, verbose=F.col("conv_id") % 2 == 1).count()
     # a file without the suffix in the same folder must be ignored
     spark.createDataFrame([("not a transcript",)], "value string").coalesce(1).write.mode("append").text(path + "/notes")
     s = FS.read_segment_files(spark, path)
@@ -88,11 +88,8 @@ def q_sink_append(spark, sf_dir):
 
 @query("sink_nested_json")
 def q_sink_nested_json(spark, sf_dir):
-    from quadrant.plans.q_label import document_texts
-    from quadrant.plans.q_label import _vocab, _words
-    v, chunks, n, label_col = _vocab(spark, sf_dir, True)
-    res = L.resolve_entities(L.predict(document_texts(spark, sf_dir), chunks, n, words=_words(spark, sf_dir)),
-                             v, match_col=label_col)
+    from quadrant.plans.q_label import document_texts, vocabulary
+    res = L.records(document_texts(spark, sf_dir), vocabulary(spark, sf_dir, True))
     path = work_dir(spark, "nested-json")
     res.write.mode("overwrite").json(path)
     back = spark.read.schema("media_seg string, predicted_labels array<struct<strLabel:string,subclass:string,"

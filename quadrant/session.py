@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -39,13 +39,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder. Where none is set, a local folder is
+    made for a local master only; on a cluster the launcher must name one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quadrant-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -62,9 +65,31 @@ def work_dir(spark: SparkSession, name: str) -> str:
     path = f"{base.rstrip('/')}/quadrant/{name}-{uuid.uuid4().hex[:12]}"
     if path.startswith("file:"):
         os.makedirs(path[len("file:"):], exist_ok=True)
+    _MADE.append((spark.sparkContext.applicationId, path))
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to a fresh table in the shared folder and read it back: cuts the
+    lineage, survives lost executors, and gives the planner the real size."""
+    path = work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_MADE: list[tuple[str, str]] = []
+
+
+def clean_work_dirs(spark: SparkSession) -> None:
+    """Remove the folders that `work_dir` handed out in this application. Results
+    still to be read must have been read before."""
+    sc = spark.sparkContext
+    for app, path in [x for x in _MADE if x[0] == sc.applicationId]:
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+        _MADE.remove((app, path))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -6,16 +6,20 @@ that must keep their exact text (segment start / end) are read as STRING.
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
+
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
 from quadrant.functions.expressions import seconds_text_to_ms
-from quadrant.operators.positions import dense_position
+from quadrant.operators.positions import group_position
+from quadrant.session import ship_package
 
-SEGMENT_FILE_SCHEMA = "start string, end string, text string, confidence double"
+SEGMENT = "start string, end string, text string, confidence double"
+# a file is an array of segments, or an object that holds them (verbose responses)
+SEGMENT_FILE_SCHEMA = f"{SEGMENT}, segments array<struct<{SEGMENT.replace(' string', ':string').replace(' double', ':double')}>>"
 
 
 # ------------------------------------------------------------------ S1 / K1
@@ -32,52 +36,60 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S2 / S4
-def land_segment_files(seg: DataFrame, path: str, key_col: str = "media_key") -> DataFrame:
-    """Write one JSON array per media, `<path>/<key>.lintoai.json`, the way the
-    transcriber leaves them; start / end are written as the raw JSON numbers.
+def land_segment_files(seg: DataFrame, path: str, key_col: str = "media_key", verbose: Column | None = None) -> DataFrame:
+    """Write one JSON file per media, `<path>/<key>.lintoai.json`, the way the
+    transcriber leaves them: an array of segments, or (where `verbose` holds) an
+    object with the array in it; start / end stay the raw JSON numbers.
 
     One file per media is the exchange format, so each media's segments meet in
-    one task: bounded by the length of one recording, not by the archive.
-    Returns (key, n_segments) per written file.
+    one row: bounded by the length of one recording, not by the archive. A file is
+    written under a hidden name and renamed, so readers see whole files only and a
+    repeated task replaces its file. Returns (key, n_segments) per file.
     """
-    uri = path if "://" in path else ("file://" + path[len("file:"):] if path.startswith("file:") else "file://" + path)
-
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+    uri = path if "://" in path else "file://" + path.removeprefix("file:")
+    rest = F.to_json(F.struct("text", "confidence"))
+    item = F.concat(F.lit('{"start": '), F.col("start_raw"), F.lit(', "end": '), F.col("end_raw"), F.lit(", "), F.substr(rest, F.lit(2)))
+    rows = seg.select(key_col, "start_ms", "end_ms", "ord", item.alias("item"), (verbose if verbose is not None else F.lit(False)).alias("verbose"))
+    items = F.transform(F.array_sort(F.collect_list(F.struct("start_ms", "end_ms", "ord", "item"))), lambda x: x["item"])
+    body = F.concat(F.lit("["), F.array_join(items, ",\n"), F.lit("]"))
+    files = rows.groupBy(key_col).agg(
+        F.when(F.any_value("verbose"), F.concat(F.lit('{"task": "transcribe", "segments": '), body, F.lit("}"))).otherwise(body).alias("body"),
+        F.count(F.lit(1)).alias("n_segments"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # the shared folder may be any filesystem the cluster names (hdfs://, s3://, file://)
         from pyarrow import fs as pafs
         filesystem, root = pafs.FileSystem.from_uri(uri)
-        pdf = pdf.sort_values(["start_ms", "end_ms", "ord"])
-        key = pdf[key_col].iloc[0]
-        items = []
-        for r in pdf.itertuples(index=False):
-            rec = f'{{"start": {r.start_raw}, "end": {r.end_raw}, "text": {json.dumps(r.text, ensure_ascii=False)}'
-            if r.confidence is not None and not pd.isna(r.confidence):
-                rec += f', "confidence": {r.confidence!r}'
-            items.append(rec + "}")
         filesystem.create_dir(root, recursive=True)
-        # a retried task rewrites the same file with the same bytes: idempotent
-        with filesystem.open_output_stream(f"{root}/{key}{K.TRANSCRIPT_FILE_SUFFIX}") as out:
-            out.write(("[" + ",\n".join(items) + "]").encode("utf-8"))
-        return pd.DataFrame({key_col: [key], "n_segments": [len(items)]})
+        for pdf in batches:
+            for key, body in zip(pdf[key_col], pdf["body"]):
+                hidden, name = f"{root}/.{key}.{id(body):x}", f"{root}/{key}{K.TRANSCRIPT_FILE_SUFFIX}"
+                with filesystem.open_output_stream(hidden) as out:
+                    out.write(body.encode("utf-8"))
+                filesystem.move(hidden, name)
+            yield pdf[[key_col, "n_segments"]]
 
-    cols = [key_col, "start_ms", "end_ms", "ord", "start_raw", "end_raw", "text", "confidence"]
-    from quadrant.session import ship_package
     ship_package(seg.sparkSession)
-    return seg.select(cols).groupBy(key_col).applyInPandas(write, f"{key_col} string, n_segments long")
+    return files.mapInPandas(write, f"{key_col} string, n_segments long")
+
+
+def flat_segments(raw: DataFrame, with_file: bool = False) -> DataFrame:
+    """Segments of transcript files of either form; the media key is the file name
+    without its suffix."""
+    name = F.col("_metadata.file_name")
+    one = F.array(F.struct("start", "end", "text", "confidence"))
+    s = raw.select(F.regexp_replace(name, r"[.]lintoai[.]json$", "").alias("media_key"), name.alias("file"),
+                   F.inline(F.coalesce("segments", one)))
+    return s.select("media_key", *(["file"] if with_file else []), F.col("start").alias("start_raw"), F.col("end").alias("end_raw"),
+                    "text", "confidence", seconds_text_to_ms("start").alias("start_ms"), seconds_text_to_ms("end").alias("end_ms"))
 
 
 def read_segment_files(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-array transcript files -> segments; the media key is the file
-    name without its '.lintoai.json' suffix; other files in the folder are
-    skipped by the suffix filter (S4)."""
+    """Transcript files -> segments; other files in the folder are skipped by
+    the suffix filter (S4). The position within a media is bounded by a recording."""
     raw = (spark.read.schema(SEGMENT_FILE_SCHEMA).option("multiLine", True)
-                .option("pathGlobFilter", "*" + K.TRANSCRIPT_FILE_SUFFIX).option("recursiveFileLookup", True)
-                .json(path)
-                .withColumn("media_key", F.regexp_replace(F.col("_metadata.file_name"), r"[.]lintoai[.]json$", "")))
-    seg = raw.select("media_key", F.col("start").alias("start_raw"), F.col("end").alias("end_raw"), "text",
-                     "confidence",
-                     seconds_text_to_ms("start").alias("start_ms"), seconds_text_to_ms("end").alias("end_ms"))
-    return dense_position(seg, ["start_ms", "end_ms", "text"], group=["media_key"], name="ord")
+                .option("pathGlobFilter", "*" + K.TRANSCRIPT_FILE_SUFFIX).option("recursiveFileLookup", True).json(path))
+    return group_position(flat_segments(raw), ["start_ms", "end_ms", "text"], group=["media_key"], name="ord")
 
 
 # ------------------------------------------------------------------ S6

@@ -37,17 +37,21 @@ def _first_line(c):
     return F.substring_index(c, "\n", 1)
 
 
-def _word(c, i):
-    """i-th space-separated part ('' when there are fewer), newlines folded."""
-    part = F.substring_index(c, " ", 1) if i == 1 else F.when(
-        F.substring_index(c, " ", i - 1) == c, F.lit("")).otherwise(
-        F.substring_index(F.substring_index(c, " ", i), " ", -1))
-    return F.replace(part, F.lit("\n"), F.lit(" "))
+def _words(c):
+    """The words of the whole text."""
+    return F.filter(F.split(c, "[ \n]+"), lambda x: x != "")
+
+
+def _media_uri(conv_id, hal_version):
+    """Media URI of a conversation: two providers, by the id."""
+    mkey = F.concat(F.lit("hal-"), F.lpad(conv_id.cast("string"), 8, "0"))
+    return (F.when(conv_id % 4 != 0, F.concat(F.lit(HAL_EXAMPLE_PREFIX), mkey, hal_version))
+             .otherwise(F.concat(F.lit(NAKALA_EXAMPLE_PREFIX), conv_id.cast("string"))))
 
 
 def cat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text-document catalogue rows, one per document (segment)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", _words(F.col("text")).alias("_words"))
     media_num = F.when(F.col("doc_id") % 10 == 9, F.col("doc_id") - 1).otherwise(F.col("doc_id"))
     first = _first_line(F.col("text"))
     media = F.concat(F.lit(DOC_PREFIX), media_num.cast("string"))
@@ -63,10 +67,10 @@ def cat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(" ", "lang", "source").alias("label"),
         F.col("lang"),
         F.col("source"),
-        F.concat(first, F.lit(" | "), F.col("source"), F.lit(" | "), F.col("source")).alias("presentation"),
-        _word(F.col("text"), 1).alias("k1"),
-        _word(F.col("text"), 2).alias("k2"),
-        _word(F.col("text"), 3).alias("k3"),
+        F.concat(F.col("text"), F.lit(" | "), F.col("source"), F.lit(" | "), F.col("source")).alias("presentation"),
+        F.array_min("_words").alias("k1"),
+        F.array_max("_words").alias("k2"),
+        F.try_element_at("_words", F.lit(-1)).alias("k3"),
         F.when(F.col("doc_id") % 7 == 0, F.lit("editor")).otherwise(F.lit("harvester")).alias("last_user"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 60).cast("int")).alias("created"),
         first.alias("title"),
@@ -120,8 +124,7 @@ def seg(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.trim(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
     mkey = F.concat(F.lit("hal-"), F.lpad(F.col("conv_id").cast("string"), 8, "0"))
-    media = (F.when(F.col("conv_id") % 4 != 0, F.concat(F.lit(HAL_EXAMPLE_PREFIX), mkey, F.lit("v1")))
-              .otherwise(F.concat(F.lit(NAKALA_EXAMPLE_PREFIX), F.col("conv_id").cast("string"))))
+    media = _media_uri(F.col("conv_id"), F.lit("v1"))
     s = (c.select("conv_id", "turn", "role", text.alias("text"))
           .withColumn("len", F.length("text").cast("bigint"))
           .withColumn("end_ms", F.sum(F.col("len") * 40).over(w))
@@ -215,10 +218,7 @@ def tcat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcript catalogue (the interviews CSV): media with a version suffix
     (v2 on some), and 'entretien avec <speaker> (...)' titles shared by several media."""
     c = _conv_ids(spark, sf_dir)
-    mkey = F.concat(F.lit("hal-"), F.lpad(F.col("conv_id").cast("string"), 8, "0"))
-    ver = F.when(F.col("conv_id") % 6 == 1, F.lit("v2")).otherwise(F.lit("v1"))
-    media = (F.when(F.col("conv_id") % 4 != 0, F.concat(F.lit(HAL_EXAMPLE_PREFIX), mkey, ver))
-              .otherwise(F.concat(F.lit(NAKALA_EXAMPLE_PREFIX), F.col("conv_id").cast("string"))))
+    media = _media_uri(F.col("conv_id"), F.when(F.col("conv_id") % 6 == 1, F.lit("v2")).otherwise(F.lit("v1")))
     title = F.concat(F.lit("entretien avec Speaker "), (F.col("conv_id") % 40).cast("string"),
                      F.lit(" (entretien "), F.col("conv_id").cast("string"), F.lit(")"))
     return c.select(F.col("conv_id").alias("ord"), media.alias("media"), title.alias("title"))
@@ -245,6 +245,5 @@ def transcript_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file, media): the media of every transcript file key (no segment scan)."""
     c = _conv_ids(spark, sf_dir)
     mkey = F.concat(F.lit("hal-"), F.lpad(F.col("conv_id").cast("string"), 8, "0"))
-    media = (F.when(F.col("conv_id") % 4 != 0, F.concat(F.lit(HAL_EXAMPLE_PREFIX), mkey, F.lit("v1")))
-              .otherwise(F.concat(F.lit(NAKALA_EXAMPLE_PREFIX), F.col("conv_id").cast("string"))))
+    media = _media_uri(F.col("conv_id"), F.lit("v1"))
     return c.select(mkey.alias("file"), media.alias("media"))

@@ -5,7 +5,8 @@ written after success (T5).
 Each run uses `trigger(availableNow=True)`: it processes whatever arrived since
 the checkpoint and stops, which is how the scheduled scripts behaved -- but the
 checkpoint, not a hand-kept offset, decides what is new, and a re-run adds
-nothing.
+nothing. What a micro-batch writes is partitioned by its batch id and replaced
+when the batch is replayed.
 """
 
 from __future__ import annotations
@@ -16,24 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
-from quadrant.functions.expressions import seconds_text_to_ms
-from quadrant.sources.files import SEGMENT_FILE_SCHEMA
+from quadrant.operators.catalog import keep_first
+from quadrant.operators.incremental import publish_with_retry
+from quadrant.sources.files import SEGMENT_FILE_SCHEMA, flat_segments
 
 
-def segment_stream(spark: SparkSession, input_dir: str, archive_dir: str | None = None,
-                   max_files: int | None = None) -> DataFrame:
-    """Transcript JSON arrays arriving in `input_dir` as a stream of segments."""
+def segment_stream(spark: SparkSession, input_dir: str, max_files: int | None = None, with_file: bool = False) -> DataFrame:
+    """Transcript JSON files arriving in `input_dir` as a stream of segments."""
     r = (spark.readStream.schema(SEGMENT_FILE_SCHEMA).option("multiLine", True)
               .option("pathGlobFilter", "*" + K.TRANSCRIPT_FILE_SUFFIX))
-    if archive_dir:
-        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    s = r.json(input_dir)
-    return s.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"[.]lintoai[.]json$", "").alias("media_key"),
-        F.col("start").alias("start_raw"), F.col("end").alias("end_raw"), "text", "confidence",
-        seconds_text_to_ms("start").alias("start_ms"), seconds_text_to_ms("end").alias("end_ms"))
+    return flat_segments(r.json(input_dir), with_file)
 
 
 def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet") -> None:
@@ -44,58 +39,59 @@ def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str =
     q.awaitTermination()
 
 
-def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
+def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
+    """Write a micro-batch; a replay replaces what it wrote before."""
+    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def keep_first_stream(stream: DataFrame, key: str, order: str) -> DataFrame:
-    """T4: keep the first row per key across all runs, as a stateful stream.
+def ingest_and_archive(spark: SparkSession, input_dir: str, sink_path: str, checkpoint: str, archive_dir: str,
+                       max_files: int | None = None) -> None:
+    """Ingest what is there, then move every ingested file to the archive.
 
-    Each key keeps one boolean in the state store ("already emitted"). The
-    first micro-batch that brings a key emits its lowest-`order` row; later
-    arrivals of the key are dropped. No sink is re-read, and the state is
-    checkpointed with the query, so the dedupe survives restarts.
-    """
-    from pyspark.sql.streaming.state import GroupStateTimeout
+    Files move after the run, when all its batches are committed, so a replay
+    always finds its files. The driver moves one run's files, whose names the
+    sink holds."""
+    stream = segment_stream(spark, input_dir, max_files, with_file=True)
+    run_foreach_batch(stream, lambda batch, i: write_batch(batch, i, sink_path), checkpoint)
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path
+    inbox, target = path(input_dir), path(archive_dir)
+    fs = inbox.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    here = [s.getPath().getName() for s in fs.listStatus(inbox) if s.isFile()]
+    done = spark.read.parquet(sink_path).select("file").distinct()
+    names = spark.createDataFrame([(n,) for n in here], "file string").join(done, "file", "left_semi") if here else None
+    for row in names.toLocalIterator() if names is not None else ():
+        fs.rename(path(inbox, row["file"]), path(target, row["file"]))
 
-    from quadrant.session import ship_package
-    ship_package(stream.sparkSession)
 
-    out_schema = stream.schema
+def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
 
-    def first(keys, batches, state):
-        import pandas as pd
-        if state.exists:
-            for _ in batches:
-                pass
-            return
-        best = None
-        for pdf in batches:
-            top = pdf.sort_values(order, kind="mergesort").head(1)
-            if best is None or top[order].iloc[0] < best[order].iloc[0]:
-                best = top
-        if best is not None:
-            state.update((True,))
-            yield best[list(out_schema.fieldNames())]
-        else:
-            yield pd.DataFrame(columns=out_schema.fieldNames())
 
-    return stream.groupBy(key).applyInPandasWithState(
-        first, outputStructType=out_schema, stateStructType="seen boolean",
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+def keep_first_batches(key: str, order: str, sink_path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body for T4: the first row per key in the batch (a map-side
+    combined aggregate), unless an earlier batch has written the key."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        first = keep_first(batch, key, [order])
+        if batch_id > 0:
+            known = batch.sparkSession.read.schema(f"`{key}` {batch.schema[key].dataType.simpleString()}, batch_id bigint").parquet(sink_path)
+            first = first.join(known.where(F.col("batch_id") < batch_id).select(key), key, "left_anti")
+        write_batch(first, batch_id, sink_path)
+    return fn
 
 
 def publish_each_batch(key: str, publisher, work: str, state_path: str):
     """foreachBatch body for T5: publish the batch's records with retries, then
     record the batch in the state table; the streaming checkpoint commits last,
-    so a failure before the state write replays the batch (idempotent quads)."""
+    so a failure before it replays the batch: acks, status and state of the batch
+    are replaced, and the quads are a set."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        from quadrant.operators.incremental import publish_with_retry
         spark = batch.sparkSession
-        recs = batch.select(key).distinct()
-        status = publish_with_retry(spark, recs, key, publisher, f"{work}/acks-{batch_id}")
-        status.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(f"{work}/status")
-        spark.createDataFrame([(batch_id,)], "batch_id bigint").write.mode("append").parquet(state_path)
+        status = publish_with_retry(spark, batch, key, publisher, f"{work}/acks-{batch_id}")
+        write_batch(status, batch_id, f"{work}/status")
+        write_batch(spark.createDataFrame([(batch_id,)], "done bigint"), batch_id, state_path)
     return fn

@@ -49,15 +49,16 @@ def test_c3_parse_predictions(spark):
     assert _parse(spark, chunk, "") == []
     assert _parse(spark, chunk, "D") == []
     assert _parse(spark, ["A", "E, F"], "E, F") == []
+    assert _parse(spark, chunk, "A\u00a0,\u00a0B(x)\t") == ["A", "B(x)"]
 
 
 def test_c4_media_key(spark):
-    rows = ["http://campus-aar.fr/asa#oai:HAL:hal-04626402v1", "http://x/asa#oai:HAL:hal-1v10",
+    rows = ["http://media.example.org/asa#oai:HAL:hal-00012345v1", "http://x/asa#oai:HAL:hal-1v10",
             "https://api.nakala.example/data/10.34847/nkl.7", "http://other.example/m/1"]
     df = spark.createDataFrame([(r,) for r in rows], "media string")
     got = df.select(media_key("media").alias("k"), media_key("media", True).alias("kv")).collect()
-    assert [r.k for r in got] == ["hal-04626402", "hal-1", "10.34847.nkl.7", None]
-    assert got[0].kv == "hal-04626402v1"
+    assert [r.k for r in got] == ["hal-00012345", "hal-1", "10.34847.nkl.7", None]
+    assert got[0].kv == "hal-00012345v1"
 
 
 def test_c5_name_match(spark):
@@ -101,6 +102,7 @@ def test_c9_keyword_fanout(spark):
 def test_nquads_round_trip(spark):
     quads = spark.createDataFrame([
         ("http://s", "http://p", 'a "q" \\ back\nline', "http://g", "literal", None, "fr"),
+        ("http://s", "http://p", "tab\t nel\u0085 ls\u2028 end", "http://g", "literal", None, None),
         ("http://s", "http://p", "12", "http://g", "literal", K.XSD_INTEGER, None),
         ("http://s", "http://p", "http://o", "http://g", "uri", None, None),
     ], "s string, p string, o string, g string, o_kind string, o_datatype string, o_lang string")
@@ -108,6 +110,59 @@ def test_nquads_round_trip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, quads.collect()))
 
 
+def test_nquads_escapes_comments_and_rejects(spark):
+    lines = [r'<http://s> <http://p> "a\tb \u00E9 \U0001F600 \uD83D\uDE00 \\n" <http://g> .', "# a comment", "",
+             r"<http://s> <http://p> <http://o/\u00E9> <http://g> .", "<http://s> <http://p> _:b <http://g> .", "no quad"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert sorted(r.o for r in QD.parse_nquads(df).collect()) == ["a\tb \u00e9 \U0001F600 \U0001F600 \\n", "http://o/\u00e9"]
+    assert sorted(r.value for r in QD.rejected_nquads(df).collect()) == sorted(lines[4:])
+
+
+def test_class_chain_and_cycle(spark):
+    chain = spark.createDataFrame([(f"c{i}", f"c{i + 1}") for i in range(150)], "child string, parent string")
+    assert C.class_closure(chain).where("child = 'c0'").count() == 150
+    cycle = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c"), ("c", "b")], "child string, parent string")
+    assert C.class_closure(cycle).count() == 9
+
+
+def test_document_keys_stay_text(spark):
+    from quadrant.session import work_dir
+    path = work_dir(spark, "keys")
+    rows = spark.createDataFrame([("007", 0, "x"), ("1.10", 0, "y")], "k string, n long, line string")
+    TR.write_documents(rows, "k", ["n"], "line", path)
+    assert sorted(r.k for r in TR.read_documents(spark, path, "k").collect()) == ["007", "1.10"]
+
+
+def test_f1_counts_what_one_side_lacks(spark):
+    from quadrant.operators.evaluate import f1_scores
+    schema = "unit long, label string, value long"
+    truth = spark.createDataFrame([(1, "x", 1), (2, "x", 1)], schema)
+    pred = spark.createDataFrame([(1, "x", 1), (3, "x", 1)], schema)
+    r = f1_scores(truth, pred).where("scope = 'label'").first()
+    assert (r.tp, r.fp, r.fn, r.f1) == (1, 1, 1, 0.5)
+    r = f1_scores(truth, pred, universe=truth).where("scope = 'label'").first()
+    assert (r.tp, r.fp, r.fn) == (1, 0, 1)
+
+
+def test_null_label_matches_nothing(spark):
+    raw = spark.createDataFrame([(0, "Word", "c", "e0", "u"), (1, None, "c", "e1", "u")],
+                                "ord long, strLabel string, subclass string, entity string, uriclass string")
+    texts = spark.createDataFrame([("s1", "a word"), ("s2", "none"), ("s3", None)], "media_seg string, text string")
+    got = {r.media_seg: [x.entity for x in r.predicted_labels] for r in L.records(texts, L.Vocabulary(raw)).collect()}
+    assert got == {"s1": ["e0"], "s2": [], "s3": []}
+
+
+def test_labels_with_commas_as_in_the_pair_form(spark):
+    raw = spark.createDataFrame([(0, "red, blue", "c", "e0", "u"), (1, "blue", "c", "e1", "u"), (2, "red", "c", "e2", "u")],
+                                "ord long, strLabel string, subclass string, entity string, uriclass string")
+    texts = spark.createDataFrame([("s1", "RED, blue sky"), ("s2", "blue")], "media_seg string, text string")
+    v = L.Vocabulary(raw, qualified=False)
+    pairs = L.lexical_response(L.lexical_pairs(texts, v.chunks, v.n_chunks, v.blocks))
+    by_pair = L.collect_predictions(pairs.select("media_seg", "chunk_id", L.parse_response().alias("labels")))
+    want = {r.media_seg: r.labels for r in by_pair.collect()}
+    assert {r.media_seg: r.labels for r in L.predict(texts, v).collect()} == want == {"s1": ["red", "blue", "blue", "red"], "s2": ["blue"]}
+
+
 def test_replace_twice_is_once(spark):
     rows = [("http://m/media/1", i, f"{i}.0", f"{i + 1}.0", f"t{i}", None) for i in range(3)]
     schema = "media string, ord long, start_raw string, end_raw string, text string, confidence double"
@@ -148,7 +203,7 @@ def test_malformed_times_give_no_time_quads(spark):
 def test_percent_encode_path_matches_quote(spark):
     from urllib.parse import quote
     from quadrant.functions.expressions import percent_encode_path
-    samples = ["http://campus-aar.fr/asa#oai:HAL:hal-1v1", "a b/c~d*e+f", "é à/ü?x=1&y=2", "Études aréales"]
+    samples = ["http://media.example.org/asa#oai:HAL:hal-1v1", "a b/c~d*e+f", "é à/ü?x=1&y=2", "Études aréales"]
     df = spark.createDataFrame([(x,) for x in samples], "u string")
     got = [r[0] for r in df.select(percent_encode_path("u")).collect()]
     assert got == [quote(x, safe="/") for x in samples]

@@ -8,10 +8,10 @@ from hypothesis import strategies as st
 
 from quadrant.operators.transcripts import coalesce_transcript
 
-LINE = re.compile(r"^([^-:]*)-([^-:]*)[^:]*:(.*)$")
+LINE = re.compile(r"^([^-:]*)-([^-:]*)[^:]*:(.*)$", re.S)
 
 times = st.sampled_from(["0.0", "1.5", "2.25", "10.0", "", " 3.0 "])
-texts = st.sampled_from(["a", "b: c-d", "x y", "", " ", "é:è"])
+texts = st.sampled_from(["a", "b: c-d", "x y", "", " ", "é:è", "\t", "\u00a0", "l1\u2028l2", "n\u0085x", "\tt\u00a0", "c\rd"])
 lines = st.one_of(
     st.builds(lambda s, e, t: f"{s}-{e} : {t}", times, times, texts),
     st.just(""),
@@ -28,16 +28,16 @@ def reference(file_lines):
     next text line."""
     out, cur = [], None
     for raw in file_lines:
-        s = raw.strip(" ")
+        s = raw.strip()
         m = LINE.match(s)
         if s == "":
             continue
-        if m and m.group(3).strip(" ") != "":
+        if m and m.group(3).strip() != "":
             if cur:
                 out.append(tuple(cur))
-            cur = [m.group(1).strip(" "), m.group(2).strip(" "), m.group(3).strip(" ")]
+            cur = [m.group(1).strip(), m.group(2).strip(), m.group(3).strip()]
         elif m:
-            end = m.group(2).strip(" ")
+            end = m.group(2).strip()
             if cur is not None and end != "":
                 cur[1] = end
         else:

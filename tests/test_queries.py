@@ -50,23 +50,21 @@ def test_plugin_path_equals_lexical(spark):
     """The plug-in classifier path (Arrow batches, Python model) gives the same
     answers as the built-in lexical classifier on plain labels."""
     from quadrant.operators import label as L
-    from quadrant.plans.q_label import document_texts
+    from quadrant.plans.q_label import document_texts, offered_word_model
     from quadrant.sources import fixtures as FX
-    _, chunks, n, _ = L.prepare_vocabulary(FX.vocab_raw(spark, SF_SMALL), qualified=False)
+    v = L.Vocabulary(FX.vocab_raw(spark, SF_SMALL), qualified=False)
     texts = document_texts(spark, SF_SMALL)
-    lex = L.lexical_response(L.lexical_pairs(texts, chunks, n)).select("media_seg", "chunk_id", "response")
-    plug = L.plugin_response(texts, chunks, n, L.word_model).select("media_seg", "chunk_id", "response")
+    lex = L.lexical_response(L.lexical_pairs(texts, v.chunks, v.n_chunks, v.blocks)).select("media_seg", "chunk_id", "response")
+    plug = L.plugin_response(texts, v.chunks, v.n_chunks, offered_word_model).select("media_seg", "chunk_id", "response")
     assert lex.exceptAll(plug).count() == 0 and plug.exceptAll(lex).count() == 0
+    a, b = L.predict(texts, v), L.predict(texts, v, classifier=offered_word_model)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    a, b = L.records(texts, v), L.records(texts, v, classifier=offered_word_model)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
-def test_predict_with_plugin_equals_lexical(spark):
-    """The whole prediction step through a plug-in model (checkpointed answers)
-    equals the built-in path."""
+def test_index_plan_has_no_text_chunk_pairs(spark):
+    from quadrant.plans.q_label import document_texts, vocabulary
     from quadrant.operators import label as L
-    from quadrant.plans.q_label import document_texts
-    from quadrant.sources import fixtures as FX
-    _, chunks, n, _ = L.prepare_vocabulary(FX.vocab_raw(spark, SF_SMALL), qualified=False)
-    texts = document_texts(spark, SF_SMALL)
-    a = L.predict(texts, chunks, n)
-    b = L.predict(texts, chunks, n, classifier=L.word_model)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    plan = L.index_flow(document_texts(spark, SF_SMALL), vocabulary(spark, SF_SMALL))._jdf.queryExecution().toString()
+    assert "sequence" not in plan

@@ -9,13 +9,17 @@ from conftest import SF_SMALL
 Q = E.queries()
 
 
-def test_stream_publish_equals_batch_publish(spark):
-    """Publishing micro-batch by micro-batch gives every record the status the
-    batch publisher gives it (locked records are simply not attempted here)."""
-    stream = {r.media_seg: (r.status, r.attempts) for r in Q["stream_publish"](spark, SF_SMALL).collect()}
-    batch = {r.media_seg: (r.status, r.attempts) for r in Q["publish_with_retry"](spark, SF_SMALL).collect()
-             if r.status != "locked"}
-    assert stream and all(stream[k] == v for k, v in batch.items())
+def test_work_dirs_are_removed(spark):
+    import os
+    from quadrant.session import clean_work_dirs, written
+    other = spark.newSession()
+    path = written(spark.range(3), "gone").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    from quadrant import session
+    kept, session._MADE[:] = list(session._MADE[:-1]), session._MADE[-1:]
+    clean_work_dirs(other)
+    session._MADE[:] = kept
+    assert not os.path.exists(path)
 
 
 def test_transcribe_plugin_segments_are_contiguous(spark):
