@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrant.llm import bpe, jaccard, language, lines, mixing
@@ -32,9 +32,9 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised (operator 1)."""
-    known: Column = F.lit(True)  # every labelled document teaches
-    seen = language.identify(docs, known, keep=tuple(docs.columns))
-    return seen.filter(~F.col("rejected")).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    everyone = F.lit(True)  # every labelled document teaches
+    seen = language.identify(docs, everyone, keep=tuple(docs.columns))
+    return seen.filter(~F.col("_lid_rejected")).withColumn("lang", F.coalesce("lang", "_lid_lang")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

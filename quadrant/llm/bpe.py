@@ -99,7 +99,7 @@ class Vocabulary:
         """Ids of many words, merged side by side: each round merges one pair in
         each word that still has one."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        out: list = [None if len(r) <= LONG else self.merge(w) for w, r in zip(words, raw, strict=True)]
+        out: list = [(None if len(r) <= LONG else self.merge(w)) if r else [] for w, r in zip(words, raw, strict=True)]
         short = np.array([i for i, x in enumerate(out) if x is None], np.int64)
         if not len(short):
             return out

@@ -16,7 +16,8 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those not held out."""
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
     out = language.identify(read_table(spark, sf_dir, "documents"), ~held_out)
-    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+    return out.select("doc_id", held_out.alias("held_out"), F.col("_lid_lang").alias("lang_pred"), F.col("_lid_score").alias("score"),
+                      F.col("_lid_rejected").alias("rejected"), F.col("_lid_entropy").alias("cross_entropy"))
 
 
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
