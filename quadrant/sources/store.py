@@ -20,10 +20,11 @@ _stored: dict[tuple[str, str], str] = {}
 
 
 def store_quads(spark: SparkSession, quads: DataFrame, name: str) -> str:
-    """Write a quad set (deduplicated) to the shared folder, partitioned by p,
-    sorted by s; a frequent predicate spans many range partitions (files)."""
+    """Write a quad set (its builder has removed duplicates) to the shared folder,
+    partitioned by p, sorted by s; a frequent predicate spans many range partitions
+    (files)."""
     path = work_dir(spark, name)
-    (quads.select(QUAD_COLUMNS).dropDuplicates()
+    (quads.select(QUAD_COLUMNS)
           .repartitionByRange("p", "s")
           .sortWithinPartitions("p", "s")
           .write.mode("overwrite").partitionBy("p").parquet(path))
