@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quadrant.llm.common import python_ready, slices, written
+from quadrant.llm.common import batches_of, python_ready, slices, written
 from quadrant.llm.segments import SPECIAL_CP, segment
 from quadrant.session import work_dir
 
@@ -300,6 +300,14 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin (and the end)."""
+        found, count = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+        for numbers, parts in batches_of(texts):
+            ids, at = self._encode(parts)
+            found.append(ids)
+            np.add.at(count, numbers, np.diff(at[:len(parts) + 1]))
+        return np.concatenate(found), np.concatenate([[0], np.cumsum(count)])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.memory) > MEMORY:
             self._forget()
         points, starts, ends, per_text, whole = segment(texts, self.names)
@@ -341,9 +349,10 @@ def word_counts(docs: DataFrame, text_col: str, file: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
         counts: Counter = Counter()
         for part in slices(batches, "text"):
-            points, starts, ends, _, whole = segment(part.column("text").to_pylist(), specials)
-            short = (ends - starts <= MAX_LENGTH) & (points[starts] // 0x800 != SPECIAL_CP // 0x800)
-            counts.update([whole[a:b] for a, b in zip(starts[short].tolist(), ends[short].tolist(), strict=True)])
+            for _, texts in batches_of(part.column("text").to_pylist()):
+                points, starts, ends, _, whole = segment(texts, specials)
+                short = (ends - starts <= MAX_LENGTH) & (points[starts] // 0x800 != SPECIAL_CP // 0x800)
+                counts.update([whole[a:b] for a, b in zip(starts[short].tolist(), ends[short].tolist(), strict=True)])
             if len(counts) > MEMORY:
                 yield out(counts)
                 counts = Counter()
@@ -405,7 +414,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for part in slices(batches, "text"):
             ids, at = e.encode(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.ListArray.from_arrays(pa.array(at[:part.num_rows + 1].astype(np.int32)), pa.array(ids))], ["id", "ids"])
+                [part.column("id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], ["id", "ids"])
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -75,6 +76,33 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(start, len(sizes) - start)
 
 
+_BLANK = re.compile("[ \\t\\n\\x0b\\x0c\\r]")
+
+
+def batches_of(texts: list[str | None], limit: int = SLICE_BYTES) -> Iterator[tuple[list[int], list[str]]]:
+    """Lists of (text number, piece) of about `limit` characters: texts that are
+    longer are cut behind white space (a run without any stays whole), in order."""
+    numbers: list[int] = []
+    parts: list[str] = []
+    size = 0
+    for i, text in enumerate(texts):
+        text, at = text or "", 0
+        while True:
+            gap = _BLANK.search(text, at + limit) if len(text) - at > limit else None
+            part = text[at:gap.end()] if gap else text[at:] if at else text
+            if size and size + len(part) > limit:
+                yield numbers, parts
+                numbers, parts, size = [], [], 0
+            numbers.append(i)
+            parts.append(part)
+            size += len(part)
+            if not gap:
+                break
+            at = gap.end()
+    if parts:
+        yield numbers, parts
+
+
 def python_ready(spark: SparkSession) -> None:
     """Bound the Arrow batches sent to Python workers where the session keeps
     Spark's defaults: rows of long texts would otherwise make huge batches."""

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrant.llm.common import python_ready, slices, written
+from quadrant.llm.common import batches_of, python_ready, slices, written
 from quadrant.llm.language import mixed
 
 #: A shingle counts as frequent from this many occurrences in tasks' windows on.
@@ -63,35 +63,45 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
-    """Sorted distinct 64-bit hashes of each text's n-word shingles."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of all texts, and where each text's begin."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = _LOWER[np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)]
     gap = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.diff(gap.astype(np.int8), prepend=1)
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     borders = np.searchsorted(starts, np.cumsum([0] + [len(r) + 1 for r in raw]))
     if not len(starts):
-        return [np.zeros(0, np.uint64)] * len(texts)
+        return np.zeros(0, np.uint64), borders
     sizes = ends - starts
     total = np.concatenate([[0], np.cumsum(sizes)])
     place = np.arange(total[-1]) - np.repeat(total[:-1], sizes)
     chars = data[np.repeat(starts, sizes) + place].astype(np.uint64)
-    with np.errstate(over="ignore"):
-        words = mixed(np.add.reduceat(mixed(chars + _P * (place.astype(np.uint64) + np.uint64(1))), total[:-1]))
-        factors = np.cumprod(np.full(n, _P, np.uint64))
-        rolled = np.zeros(max(len(words) - n + 1, 0), np.uint64)
-        for j in range(n):
-            rolled += words[j:len(words) - n + 1 + j] * factors[j]
-        rolled = mixed(rolled)
-        out = []
-        for a, b in zip(borders.tolist(), borders[1:].tolist(), strict=False):
-            if b - a >= n:
-                out.append(np.unique(rolled[a:b - n + 1]))
-            elif b > a:
-                out.append(mixed((words[a:b] * factors[:b - a]).sum(keepdims=True) + np.uint64(b - a)))
-            else:
-                out.append(np.zeros(0, np.uint64))
+    return mixed(np.add.reduceat(mixed(chars + _P * (place.astype(np.uint64) + np.uint64(1))), total[:-1])), borders
+
+
+def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's n-word shingles."""
+    found, count = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64)
+    for numbers, parts in batches_of(texts):
+        words, borders = word_hashes(parts)
+        found.append(words)
+        np.add.at(count, numbers, np.diff(borders))
+    words = np.concatenate(found)
+    borders = np.concatenate([[0], np.cumsum(count)])
+    factors = np.cumprod(np.full(n, _P, np.uint64))
+    rolled = np.zeros(max(len(words) - n + 1, 0), np.uint64)
+    for k in range(n):
+        rolled += words[k:len(words) - n + 1 + k] * factors[k] if len(rolled) else rolled
+    rolled = mixed(rolled)
+    out = []
+    for a, b in zip(borders.tolist(), borders[1:].tolist(), strict=False):
+        if b - a >= n:
+            out.append(np.unique(rolled[a:b - n + 1]))
+        elif b > a:
+            out.append(mixed((words[a:b] * factors[:b - a]).sum(keepdims=True) + np.uint64(b - a)))
+        else:
+            out.append(np.zeros(0, np.uint64))
     return out
 
 

@@ -16,12 +16,40 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quadrant.llm import bpe, dac, jaccard, mixing, urls, vptree
+from quadrant.llm import bpe, dac, jaccard, language, mixing, urls, vptree
+from quadrant.llm.common import batches_of
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.001"
 
 
+def test_pieces_of_long_texts():
+    rng = random.Random(13)
+    texts = [None, "", words(rng, 300), "y" * 500, "a " * 100, words(rng, 3), "b\n" + "z" * 99 + " c"]
+    for limit in (1, 7, 50, 10**6):
+        joined = ["" for _ in texts]
+        for numbers, parts in batches_of(texts, limit):
+            assert len(numbers) == len(parts)
+            for i, part in zip(numbers, parts, strict=True):
+                joined[i] += part
+                assert len(part) <= limit + max(map(len, re.split(r"\s", part))) + 1
+        assert joined == [t or "" for t in texts]
+
+
+def test_long_texts_give_the_same_in_pieces(monkeypatch):
+    rng = random.Random(14)
+    texts = [words(rng, 400), None, words(rng, 2), "it's " + "q" * 300 + " é́ <|endoftext|> a", words(rng, 50)]
+    encoder = _encoder()[0]
+
+    def results():
+        models_words = sorted(language.count_grams([t or "" for t in texts]).tolist())
+        return [x.tolist() for x in jaccard.shingle_sets(texts, 4)], [x.tolist() for x in encoder.encode(texts)], models_words
+    whole = results()
+    for module in (jaccard, bpe, language):
+        monkeypatch.setattr(module, "batches_of", lambda t: batches_of(t, 40))
+    assert results() == whole
+
+
 # ---------------------------------------------------------------- 5
 def _components(rows, n, num, den):
     sets, home = [], defaultdict(list)
