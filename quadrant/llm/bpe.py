@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quadrant.llm.common import batches_of, python_ready, slices, written
+from quadrant.llm.common import batches_of, most_frequent, python_ready, slices
 from quadrant.llm.segments import SPECIAL_CP, segment
 from quadrant.session import work_dir
 
@@ -360,22 +360,6 @@ def word_counts(docs: DataFrame, text_col: str, file: str) -> DataFrame:
     return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, most: int) -> list[str]:
-    """The words of all count classes (eighths of a power of two) that fit into
-    `most` words from the top; so only they and the class sizes reach the driver."""
-    counts = written(counts, "word-counts").withColumn("class", F.floor(8 * F.log2(F.col("n").cast("double"))).cast("int"))
-    sizes = {r["class"]: r["count"] for r in counts.groupBy("class").count().collect()}  # 512 classes at most
-    least, total = None, 0
-    for c in sorted(sizes, reverse=True):
-        total += sizes[c]
-        if total > most:
-            break
-        least = c
-    if least is None:
-        return []
-    return [r["word"] for r in counts.filter(F.col("class") >= least).select("word").collect()]
-
-
 def ship_lexicon(spark: SparkSession, words: list[str], path: str) -> str:
     """Compile the lexicon, write it to the shared folder and ship it; its name."""
     raw = to_file(compile_lexicon(words, Vocabulary(path)))
@@ -406,7 +390,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     python_ready(spark)
     file = ship_vocabulary(spark, path)
-    lexicon = ship_lexicon(spark, frequent_words(word_counts(docs, text_col, file), max_words), path)
+    lexicon = ship_lexicon(spark, [r["word"] for r in most_frequent(word_counts(docs, text_col, file), "word", max_words)], path)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

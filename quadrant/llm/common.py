@@ -111,3 +111,17 @@ def python_ready(spark: SparkSession) -> None:
         now = spark.conf.get(key, None)
         if default is None or now == default:
             spark.conf.set(key, ours)
+
+
+def most_frequent(counts: DataFrame, key: str, most: int) -> list:
+    """Keys (with n) of the count classes, eighths of a power of two, that fit into
+    `most` rows from the top; only they and the class sizes reach the driver."""
+    counts = written(counts, "counts").withColumn("class", F.floor(8 * F.log2(F.col("n").cast("double"))).cast("int"))
+    sizes = {r["class"]: r["count"] for r in counts.groupBy("class").count().collect()}  # 512 classes at most
+    least, total = None, 0
+    for c in sorted(sizes, reverse=True):
+        total += sizes[c]
+        if total > most:
+            break
+        least = c
+    return [] if least is None else counts.filter(F.col("class") >= least).select(key, "n").collect()

@@ -15,16 +15,18 @@ CLASS_SHARE sizes to a class) so that the signatures stay about linear in the
 size; sets near a border of sizes use both neighbours' C, as linked sets differ in
 size by num / den at most. Sets with e = 0 can only link to equal sets.
 
-Frequent shingles are those that occur often within tasks: a bounded list (at most
-MAX_FREQUENT, the most frequent) that is broadcast. It decides the order and the
-signatures, never the result.
+Frequent shingles are those in FREQUENT sets or more. Tasks sort the shingles of
+many sets by hash range into packed arrays, one task per range counts them, and at
+most MAX_FREQUENT of them (the most frequent) are broadcast. They decide the order
+and the signatures, never the result.
 
 Candidates. Classes that share a signature are candidates, and two sets with only
 rare shingles in their prefixes must share as many of these as the overlap bound
 asks. First, the classes of a bucket meet only its centres (its smallest classes
 by a few hashes); then the components of the links found are followed, and only
-candidates in different components meet. So a group of thousands of near copies
-costs few pairs, while every candidate pair that could join two components is
+candidates in different components meet. In the first round a class takes only
+the NEAR centres with which it shares most signatures. So a group of thousands of
+near copies costs few pairs, while every candidate pair that could join two components is
 verified. Verification is exact, on the sets of 64-bit shingle hashes, pair by
 pair. Components come from rounds of smallest-neighbour labels with pointer
 jumps, as joins.
@@ -43,19 +45,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrant.llm.common import batches_of, python_ready, slices, written
+from quadrant.llm.common import batches_of, most_frequent, python_ready, shuffle_partitions, slices, written
 from quadrant.llm.language import mixed
 
-#: A shingle counts as frequent from this many occurrences in tasks' windows on.
-FREQUENT = 32
-MAX_FREQUENT = 1 << 17
-#: Hashes that a task looks at together for frequent shingles.
+FREQUENT = 8
+MAX_FREQUENT = 1 << 18
+#: Hashes that a task packs together when shingles are counted.
 WINDOW = 1 << 22
 CLASS_SHARE = 16
-CENTRES = 3
+CENTRES, NEAR = 3, 4
 #: Bits of the filter of wanted classes that is broadcast (1 MB).
 FILTER_BITS = 1 << 23
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -117,13 +118,14 @@ def lacking(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den)
 
 
-def signatures(s: np.ndarray, order: np.ndarray, num: int, den: int) -> tuple[np.ndarray, bool]:
-    """Signatures of a sorted set; `order` is the rank among the frequent shingles
-    (0: rare). Second: does the prefix hold rare shingles only?"""
+def signatures(s: np.ndarray, order: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int, bool]:
+    """Signatures of a sorted set, how many of them (the first) are single rare
+    shingles, and whether the prefix holds rare shingles only; `order` is the rank
+    among the frequent shingles (0: rare)."""
     need = lacking(len(s), num, den) + 1
     rare = s[order == 0]
     if len(rare) >= need:
-        return rare[:need], True
+        return rare[:need], need, True
     frequent = s[order > 0][np.argsort(order[order > 0], kind="stable")]
     parts = [rare]
     n = len(s)
@@ -142,7 +144,7 @@ def signatures(s: np.ndarray, order: np.ndarray, num: int, den: int) -> tuple[np
                     break
                 a, b = token[gap:][same], token[:-gap][same]
                 parts.append(mixed(mixed(np.minimum(a, b)) + np.maximum(a, b) * _P + np.uint64(band)))
-    return np.concatenate(parts), False
+    return np.concatenate(parts), len(rare), False
 
 
 def _text(docs: DataFrame, text_col: str) -> DataFrame:
@@ -150,62 +152,91 @@ def _text(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def classes(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(kind 0) id, size and class of every document; (kind 1) shingles that occur
-    more than once in a task's window, with their number there."""
+    """id, size and class of every document."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "id", "size", "class"]
+        for part in slices(batches, "text"):
+            sets = shingle_sets(part.column("text").to_pylist(), n)
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array([class_of(s) for s in sets], pa.int64())], ["id", "size", "class"])
+    return rows.mapInArrow(run, "id long, size long, class long")
+
+
+def key_shift(ranges: int) -> int:
+    """Hashes are counted by their first bits: those of the range and 32 more."""
+    return 32 - (ranges.bit_length() - 1)
+
 
-        def common(window: list[np.ndarray]) -> pa.RecordBatch:
-            token, times = np.unique(np.concatenate(window), return_counts=True)
-            token, times = token[times > 1].view(np.int64), times[times > 1]
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(token), np.int32)), pa.nulls(len(token), pa.int64()),
-                                               pa.array(times.astype(np.int64)), pa.array(token)], names)
+def counted_shingles(docs: DataFrame, n: int, text_col: str, ranges: int) -> DataFrame:
+    """key (first bits of a shingle's hash) and n of those in FREQUENT sets or more.
+    `ranges` is a power of two; a range's packed hashes are counted in one task."""
+    shift = np.uint64(key_shift(ranges))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(window: list[np.ndarray]) -> pa.RecordBatch:
+            key, times = np.unique(np.concatenate(window) >> shift, return_counts=True)
+            cut = np.searchsorted(key >> np.uint64(32), np.arange(ranges + 1, dtype=np.uint64))
+            low, many = key.astype(np.uint32), times > 1
+            parts = [(low[a:b][~many[a:b]], low[a:b][many[a:b]], times[a:b][many[a:b]].astype(np.uint32)) for a, b in zip(cut, cut[1:], strict=False)]
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(ranges, dtype=np.int32)), *[
+                pa.array([p[k].tobytes() for p in parts], pa.binary()) for k in range(3)]], ["range", "once", "often", "times"])
         window, seen, held = [], set(), 0
         for part in slices(batches, "text"):
-            sets = shingle_sets(part.column("text").to_pylist(), n)
-            keys = [class_of(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), part.column("id"),
-                                              pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64())], names)
-            for s, key in zip(sets, keys, strict=True):
-                if key not in seen:
-                    seen.add(key)
+            for s in shingle_sets(part.column("text").to_pylist(), n):
+                if len(s) and (c := class_of(s)) not in seen:  # copies in a window count once
+                    seen.add(c)
                     window.append(s)
                     held += len(s)
             if held > WINDOW:
-                yield common(window)
+                yield packed(window)
                 window, seen, held = [], set(), 0
         if window:
-            yield common(window)
-    return rows.mapInArrow(run, "kind int, id long, size long, class long")
+            yield packed(window)
+
+    def count(group: pa.Table) -> pa.Table:
+        joined = {c: np.frombuffer(b"".join(group.column(c).to_pylist()), np.uint32) for c in ("once", "often", "times")}
+        key = np.concatenate([joined["once"], joined["often"]])
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], np.concatenate([np.ones(len(joined["once"]), np.int64), joined["times"].astype(np.int64)])[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        total = np.add.reduceat(times, first) if len(first) else times
+        often = total >= FREQUENT
+        base = int(group.column("range")[0].as_py()) << 32
+        return pa.table({"key": pa.array(key[first][often].astype(np.int64) + base, pa.int64()), "n": pa.array(total[often], pa.int64())})
+    made = _text(docs, text_col).mapInArrow(run, "range int, once binary, often binary, times binary")
+    return made.groupBy("range").applyInArrow(count, "key long, n long")
 
 
 def signature_rows(docs: DataFrame, n: int, num: int, den: int, text_col: str, frequent) -> DataFrame:
-    """sig, class, size, rare (only rare shingles in the prefix) of all texts whose
-    set may link to another."""
+    """Signatures of all texts whose set may link to another: sig, single (a rare
+    shingle, not a pair), class, size, rare (only rare shingles in the prefix) and
+    rest (shingles of the set that no single signature stands for)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, ranks = frequent.value
+        keys, ranks, shift = frequent.value
         for part in slices(batches, "text"):
-            sig, key, size, rare = [], [], [], []
+            sig, single, key, size, rare, rest = [], [], [], [], [], []
             done = set()  # copies in a slice give the same rows
             for s in shingle_sets(part.column("text").to_pylist(), n):
                 if not len(s) or lacking(len(s), num, den) < 1 or (c := class_of(s)) in done:
                     continue
                 done.add(c)
                 order = np.zeros(len(s), np.int64)
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                    order = np.where(tokens[at] == s, ranks[at], 0)
-                found, only = signatures(s, order, num, den)
+                if len(keys):
+                    own = s >> shift
+                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                    order = np.where(keys[at] == own, ranks[at], 0)
+                found, singles, only = signatures(s, order, num, den)
                 sig.append(found)
+                single.append(np.arange(len(found)) < singles)
+                rest.append(np.full(len(found), len(s) - singles, np.int32))
                 key.append(np.full(len(found), c, np.int64))
                 size.append(np.full(len(found), len(s), np.int32))
                 rare.append(np.full(len(found), only))
             if sig:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(key)),
-                                                  pa.array(np.concatenate(size)), pa.array(np.concatenate(rare))], ["sig", "class", "size", "rare"])
-    return _text(docs, text_col).mapInArrow(run, "sig long, class long, size int, rare boolean")
+                columns = [np.concatenate(sig).view(np.int64), *map(np.concatenate, (single, key, size, rare, rest))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "single", "class", "size", "rare", "rest"])
+    return _text(docs, text_col).mapInArrow(run, "sig long, single boolean, class long, size int, rare boolean, rest int")
 
 
 def sets_of(docs: DataFrame, n: int, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -267,16 +298,19 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("a", "class")
 
 
-def bound(num: int, den: int):
-    """Can a pair of rows (a, b) still link: by size, and, where both prefixes hold
-    rare shingles only, by the number of signatures shared?"""
+def bounds(num: int, den: int):
+    """Can a pair of rows (a, b) still link? By size; by what no single signature
+    stands for (without any shared single one); with `shared` of these.
+
+    Of a set with frequent shingles in its prefix all rare ones are single
+    signatures, so two such sets share `shared` rare shingles and the smaller rest
+    at most; a set with a rare prefix shares what lies in its prefix and its rest
+    at most; of two such sets, that whose prefix ends first does."""
     small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
     wanted = F.ceil((F.col("size_a") + F.col("size_b")) * F.lit(num) / F.lit(num + den) - 1e-9)
-    left = lambda n: F.floor(n * F.lit(num) / F.lit(den) + 1 - 1e-9) - 1  # noqa: E731  n - prefix = ceil(n num / den) - 1
-    rest = F.greatest(left(F.col("size_a")), left(F.col("size_b")))
-    by_size = small * den >= large * num
-    by_count = ~(F.col("rare_a") & F.col("rare_b")) | (F.col("shared") + rest >= wanted)
-    return by_size, by_count
+    a, b = F.col("rest_a"), F.col("rest_b")
+    rest = F.when(F.col("rare_a") & F.col("rare_b"), F.greatest(a, b)).when(F.col("rare_a"), a).when(F.col("rare_b"), b).otherwise(F.least(a, b))
+    return small * den >= large * num, rest >= wanted, F.col("shared") + rest >= wanted
 
 
 def link_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,40 +320,46 @@ def link_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
         raise ValueError("a similarity from 0.5 to 1 is wanted")
     spark = docs.sparkSession
     python_ready(spark)
-    first = written(classes(docs, n, id_col, text_col), "jaccard-classes")
-    members = first.filter("kind = 0").select("id", "size", "class")
-    top = (first.filter("kind = 1").groupBy(F.col("class").alias("token")).agg(F.sum("size").alias("n"))
-                .filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(MAX_FREQUENT).toPandas())
-    tokens = top.token.to_numpy(np.int64).view(np.uint64)
+    members = written(classes(docs, n, id_col, text_col), "jaccard-classes")
+    ranges = 1 << (shuffle_partitions(spark) - 1).bit_length()
+    top = most_frequent(counted_shingles(docs, n, text_col, ranges), "key", MAX_FREQUENT)
+    keys, times = np.array([r["key"] for r in top], np.uint64), np.array([r["n"] for r in top], np.int64)
     ranks = np.empty(len(top), np.int64)
-    ranks[np.lexsort((tokens, top.n.to_numpy(np.int64)))] = np.arange(1, len(top) + 1)  # ascending frequency
-    by_hash = np.argsort(tokens)
-    frequent = spark.sparkContext.broadcast((tokens[by_hash], ranks[by_hash]))
+    ranks[np.lexsort((keys, times))] = np.arange(1, len(top) + 1)  # ascending frequency
+    by_key = np.argsort(keys)
+    frequent = spark.sparkContext.broadcast((keys[by_key], ranks[by_key], np.uint64(key_shift(ranges))))
     sigs = written(signature_rows(docs, n, num, den, text_col, frequent), "jaccard-signatures")
     several = sigs.groupBy("sig").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter(F.col("lo") != F.col("hi")).select("sig")
-    buckets = written(sigs.join(several, "sig").groupBy("sig", "class").agg(F.first("size").alias("size"), F.first("rare").alias("rare")), "jaccard-buckets")
-    by_size, by_count = bound(num, den)
-
-    def pairs(left: DataFrame, right: DataFrame, on: list, cond) -> DataFrame:
-        """Distinct candidate pairs of two sides with columns class, size, rare."""
-        a = left.select(*on, *[F.col(c).alias(f"{c}_a") for c in left.columns if c not in on])
-        b = right.select(*on, *[F.col(c).alias(f"{c}_b") for c in right.columns if c not in on])
-        met = a.join(b, on).filter(cond & by_size)
-        lo, hi = F.least("class_a", "class_b"), F.greatest("class_a", "class_b")
-        return (met.groupBy(lo.alias("a"), hi.alias("b"))
-                   .agg(F.count("*").alias("shared"), *[F.first(c).alias(c) for c in ("size_a", "size_b", "rare_a", "rare_b")])
-                   .filter(by_count).select("a", "b"))
-    # first round: the classes of a bucket meet its centres
-    centre = [F.min_by(F.struct("class", "size", "rare"), F.xxhash64(F.lit(i), "class")).alias(f"c{i}") for i in range(CENTRES)]
+    buckets = written(sigs.join(several, "sig").groupBy("sig", "class").agg(
+        *[F.first(c).alias(c) for c in ("single", "size", "rare", "rest")]), "jaccard-buckets")
+    by_size, without, by_count = bounds(num, den)
+    of_class = ("size", "rare", "rest")
+
+    def met(left: DataFrame, right: DataFrame, cond) -> DataFrame:
+        """Pairs (class_a, class_b) that share signatures and may link. A shared pair
+        of frequent shingles says nothing about rare ones, so it makes a candidate
+        only where none need be shared; all others meet in a single signature."""
+        a = left.select("sig", "single", *[F.col(c).alias(f"{c}_a") for c in left.columns if c not in ("sig", "single")])
+        b = right.select("sig", *[F.col(c).alias(f"{c}_b") for c in right.columns if c not in ("sig", "single")])
+        return (a.join(b, "sig").filter(cond & by_size & (F.col("single") | without)).groupBy("class_a", "class_b")
+                 .agg(F.count_if("single").alias("shared"), *[F.first(f"{c}_{x}").alias(f"{c}_{x}") for c in of_class for x in "ab"])
+                 .filter(by_count))
+    ordered = [F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")]
+    # first round: the classes of a bucket meet its centres: that with most frequent
+    # shingles (nearest to what a group of near copies has in common), and two by hash
+    keys_of = [-F.col("rest") / F.col("size"), *[F.lit(0.0)] * (CENTRES - 1)]
+    centre = [F.min_by(F.struct("class", *of_class), F.struct(k, F.xxhash64(F.lit(i), "class"))).alias(f"c{i}") for i, k in enumerate(keys_of)]
     centres = buckets.groupBy("sig").agg(*centre).select("sig", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)]))).alias("c")).select("sig", "c.*")
-    one = written(pairs(buckets, centres, ["sig"], F.col("class_a") != F.col("class_b")), "jaccard-pairs")
+    best = F.row_number().over(Window.partitionBy("class_a").orderBy(F.desc(F.col("rest_b") / F.col("size_b")), F.desc("shared"), F.xxhash64("class_b")))
+    one = met(buckets, centres, F.col("class_a") != F.col("class_b")).withColumn("i", best).filter(F.col("i") <= NEAR)
+    one = written(one.select(*ordered).distinct(), "jaccard-pairs")
     links = written(verified(one, docs, n, num, den, text_col), "jaccard-links")
     roots = components(links)
     # second round: what is still apart
     apart = buckets.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     mixed_sigs = apart.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(F.col("lo") != F.col("hi")).select("sig")
-    apart = written(apart.join(mixed_sigs, "sig", "left_semi").select("sig", "class", "size", "rare", "root"), "jaccard-apart")
-    two = pairs(apart, apart, ["sig"], (F.col("class_a") < F.col("class_b")) & (F.col("root_a") != F.col("root_b")))
+    apart = written(apart.join(mixed_sigs, "sig", "left_semi").select("sig", "single", "class", *of_class, "root"), "jaccard-apart")
+    two = met(apart, apart, (F.col("class_a") < F.col("class_b")) & (F.col("root_a") != F.col("root_b"))).select(*ordered)
     two = written(two.join(one, ["a", "b"], "left_anti"), "jaccard-pairs")
     if not two.isEmpty():
         more = written(verified(two, docs, n, num, den, text_col), "jaccard-links")
