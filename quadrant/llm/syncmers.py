@@ -30,6 +30,9 @@ any other column may have any name.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,15 +62,22 @@ def _sketch(raw: Column, size: int, k: int, s: int, block: int) -> Column:
     w = k - s + 1  # inner substrings of a k-mer
     n = F.octet_length(raw)
 
-    def of_block(start: Column) -> Column:
-        part = F.substring(raw, start + 1, F.lit(block + k - 1))
+    def closed(h: Column):
+        """Is the first or the last of the w hashes from i on no larger than any
+        other? Neighbours are asked first: most places fail at one of them."""
+        def test(i: Column) -> Column:
+            at = [F.get(h, i + j) if j else F.get(h, i) for j in range(w)]
+            return reduce(and_, [at[0] <= x for x in at[1:]]) | reduce(and_, [at[-1] <= x for x in at[-2::-1]])
+        return test
 
+    def of_part(part: Column) -> Column:
         def choose(h: Column) -> Column:
-            places = F.sequence(F.lit(0), F.size(h) - w)
-            closed = lambda i: let(F.array_min(F.slice(h, i + 1, w)),
-                                   lambda m: (F.get(h, i) == m) | (F.get(h, i + (w - 1)) == m))
-            return bottom(F.transform(F.filter(places, closed), lambda i: F.xxhash64(F.substring(raw, start + i + 1, F.lit(k)))), size)
-        return let(F.transform(F.sequence(F.lit(0), F.octet_length(part) - s), lambda i: F.xxhash64(F.substring(raw, start + i + 1, F.lit(s)))), choose)
+            places = F.filter(F.sequence(F.lit(0), F.size(h) - w), closed(h))
+            return bottom(F.transform(places, lambda i: F.xxhash64(F.substring(part, i + 1, F.lit(k)))), size)
+        return let(F.transform(F.sequence(F.lit(0), F.octet_length(part) - s), lambda i: F.xxhash64(F.substring(part, i + 1, F.lit(s)))), choose)
+
+    def of_block(start: Column) -> Column:
+        return let(F.substring(raw, start + 1, F.lit(block + k - 1)), of_part)
     blocks = F.transform(F.sequence(F.lit(0), n - k, F.lit(block)), of_block)
     return F.when(n >= k, bottom(F.flatten(blocks), size)).otherwise(F.array().cast("array<bigint>"))
 
