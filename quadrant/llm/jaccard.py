@@ -13,7 +13,10 @@ linked sets, that whose prefix ends first shares with the other one signature at
 least, whatever shingles it lacks. C follows the set's size (a power of two,
 CLASS_SHARE sizes to a class) so that the signatures stay about linear in the
 size; sets near a border of sizes use both neighbours' C, as linked sets differ in
-size by num / den at most. Sets with e = 0 can only link to equal sets.
+size by num / den at most. A set too small for a prefix of e + 1 (one or two
+frequent shingles at 0.5) has each of them as a signature too. Sets with e = 0
+lose nothing, but a larger set may hold them: only where no larger one can link
+either (n den / num below n + 1) are they without signatures.
 
 Frequent shingles are those in FREQUENT sets or more. Tasks sort the shingles of
 many sets by hash range into packed arrays, one task per range counts them, and at
@@ -118,6 +121,11 @@ def lacking(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den)
 
 
+def alone(n: int, num: int, den: int) -> bool:
+    """Can a set of n shingles only link to equal sets: none smaller, none larger?"""
+    return lacking(n, num, den) < 1 and n * den // num == n
+
+
 def signatures(s: np.ndarray, order: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int, bool]:
     """Signatures of a sorted set, how many of them (the first) are single rare
     shingles, and whether the prefix holds rare shingles only; `order` is the rank
@@ -135,6 +143,8 @@ def signatures(s: np.ndarray, order: np.ndarray, num: int, den: int) -> tuple[np
             kind = (mixed(frequent) % np.uint64(c)).astype(np.int64)
             later = np.ones(len(frequent), bool)
             later[np.unique(kind, return_index=True)[1]] = False
+            if later.sum() < need - len(rare):
+                parts.append(frequent)
             stop = int(np.searchsorted(np.cumsum(later), need - len(rare))) + 1
             near = np.argsort(kind[:stop], kind="stable")
             token, kind = frequent[:stop][near], kind[:stop][near]
@@ -218,7 +228,7 @@ def signature_rows(docs: DataFrame, n: int, num: int, den: int, text_col: str, f
             sig, single, key, size, rare, rest = [], [], [], [], [], []
             done = set()  # copies in a slice give the same rows
             for s in shingle_sets(part.column("text").to_pylist(), n):
-                if not len(s) or lacking(len(s), num, den) < 1 or (c := class_of(s)) in done:
+                if not len(s) or alone(len(s), num, den) or (c := class_of(s)) in done:
                     continue
                 done.add(c)
                 order = np.zeros(len(s), np.int64)

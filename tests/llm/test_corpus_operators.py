@@ -99,6 +99,23 @@ def test_jaccard_against_brute_force(spark, n, num, den):
     assert Counter(map(tuple, got.collect())) == _components(rows, n, num, den)
 
 
+@pytest.mark.parametrize("n,num,den", [(4, 85, 100), (5, 80, 100), (2, 50, 100)])
+def test_jaccard_of_short_texts_with_a_word_more(spark, n, num, den):
+    """Short texts and the same with a word appended or prepended, of rare words
+    and of shingles that many texts share: the smaller set loses nothing."""
+    rng = random.Random(n + 1)
+    rows, at = [], 1
+    for length in range(1, 16):
+        for copies in (1, 12):
+            base = words(rng, length)
+            for _ in range(copies):
+                for text in (base, f"{base} {words(rng, 1)}", f"{words(rng, 1)} {base}", f"{words(rng, 1)} {base} {words(rng, 1)}"):
+                    rows.append((at, text, "en", "s"))
+                    at += 1
+    got = jaccard.link_components(frame(spark, rows), n, num, den)
+    assert Counter(map(tuple, got.collect())) == _components(rows, n, num, den)
+
+
 def test_jaccard_empty_and_bounds(spark):
     assert jaccard.link_components(empty(spark)).count() == 0
     with pytest.raises(ValueError):
