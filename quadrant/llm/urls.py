@@ -6,9 +6,10 @@ entropy, parameter counts, host shape, and how often the labelled URLs with the
 same host suffix (last label, last two labels) and first path part were blocked
 (smoothed counts). The trees are Spark ML's gradient-boosted classifier.
 
-Training uses at most `max_train` labelled rows, those with the smallest URL
-hashes: a bounded sample, so the suffix tables joined to the pages are bounded
-too (at most `max_train` rows each).
+The suffix tables count all labelled rows, whatever their number: written tables
+that grow with the hosts, joined as the planner sees fit. Only the trees are fitted
+on a bounded sample: at most `max_train` labelled rows, those with the smallest URL
+hashes.
 
 Defined cases: a null url, or one without `://`, has empty host and path, no rule
 and the features of its text (null: of the empty text); repeated rows are judged
@@ -91,19 +92,28 @@ def lexical(df: DataFrame, url: str) -> tuple[DataFrame, list[str]]:
         "_url_fragment": F.contains(text, F.lit("#")).cast("double"), "_url_slash": path.endswith("/").cast("double"),
         "_url_ext": path.rlike(r"\.[A-Za-z0-9]{1,5}$").cast("double"),
     }
-    out = df.withColumns(made).withColumns({
-        "_url_s1": F.substring_index(host, ".", -1), "_url_s2": F.substring_index(host, ".", -2),
-        "_url_p1": F.regexp_extract(path, r"(?s)^/([^/]*)", 1)})
-    return out, list(made)
+    return with_suffixes(df.withColumns(made)), list(made)
 
 
-def with_suffix_statistics(df: DataFrame, sample: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Joins, by each suffix, the smoothed share of blocked labelled urls and
-    the logarithm of their number."""
+def with_suffixes(df: DataFrame) -> DataFrame:
+    """Split urls with the columns of SUFFIXES."""
+    host, path = F.col("_url_host"), F.col("_url_path")
+    return df.withColumns({"_url_s1": F.substring_index(host, ".", -1), "_url_s2": F.substring_index(host, ".", -2),
+                           "_url_p1": F.regexp_extract(path, r"(?s)^/([^/]*)", 1)})
+
+
+def suffix_statistics(labelled: DataFrame) -> dict[str, DataFrame]:
+    """By each suffix, the smoothed share of blocked labelled urls and the logarithm
+    of their number, over all of `labelled`."""
+    return {key: written(labelled.groupBy(F.col(key).alias(f"{key}_k")).agg(
+        ((F.sum("_url_y") + 1.0) / (F.count("*") + 2.0)).alias(f"{key}_rate"), F.log1p(F.count("*").cast("double")).alias(f"{key}_n")),
+        "url-suffixes") for key in SUFFIXES}
+
+
+def with_suffix_statistics(df: DataFrame, statistics: dict[str, DataFrame]) -> tuple[DataFrame, list[str]]:
+    """Joins the statistics of each suffix."""
     names: list[str] = []
-    for key in SUFFIXES:
-        stats = sample.groupBy(F.col(key).alias(f"{key}_k")).agg(
-            ((F.sum("_url_y") + 1.0) / (F.count("*") + 2.0)).alias(f"{key}_rate"), F.log1p(F.count("*").cast("double")).alias(f"{key}_n"))
+    for key, stats in statistics.items():
         df = df.join(stats, F.col(key) == F.col(f"{key}_k"), "left").drop(f"{key}_k").fillna({f"{key}_rate": 0.5, f"{key}_n": 0.0})
         names += [f"{key}_rate", f"{key}_n"]
     return df, names
@@ -119,16 +129,17 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame |
     if labelled is None:
         labelled = ruled.filter(F.col("_url_ruled").isNotNull()).select(
             F.col(f"`{url}`").alias("url"), (F.col("_url_ruled") == "block").cast("int").alias("label"))
-    sample = written(labelled.filter(F.col("label").isNotNull()).orderBy(F.xxhash64("url"), "url", "label").limit(max_train)
-                             .select("url", F.col("label").cast("double").alias("_url_y")), "url-sample")
+    labelled = labelled.filter(F.col("label").isNotNull()).select("url", F.col("label").cast("double").alias("_url_y"))
+    sample = written(labelled.orderBy(F.xxhash64("url"), "url", "_url_y").limit(max_train), "url-sample")
     sample, columns = lexical(split_url(sample), "url")
     kinds = [r["_url_y"] for r in sample.select("_url_y").distinct().collect()]  # two at most
     out, _ = lexical(ruled, url)
     keep = [F.col(f"`{c}`") for c in pages.columns]
     score = F.lit(float(kinds[0]) if kinds else 0.5)
     if len(kinds) > 1:
-        train, more = with_suffix_statistics(sample, sample)
-        out, _ = with_suffix_statistics(out, sample)
+        statistics = suffix_statistics(with_suffixes(split_url(labelled)))
+        train, more = with_suffix_statistics(sample, statistics)
+        out, _ = with_suffix_statistics(out, statistics)
         assemble = VectorAssembler(inputCols=columns + more, outputCol="_url_features")
         trees = GBTClassifier(featuresCol="_url_features", labelCol="_url_y", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED)
         model = trees.fit(assemble.transform(train).select("_url_features", "_url_y").coalesce(2))

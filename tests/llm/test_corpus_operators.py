@@ -303,6 +303,20 @@ def test_url_trees_learn(spark):
     assert sum((r._url_verdict == "block") == bool(r.y) for r in got) >= 0.95 * len(got)
 
 
+def test_url_suffix_statistics_count_all_labels(spark):
+    """Hosts whose labelled urls fall outside the training sample are judged by them."""
+    rng = random.Random(8)
+    hosts = {f"{words(rng, 1)}{i}.net": i % 2 for i in range(120)}
+    page = lambda host: f"http://{host}/{words(rng, 1)}/{words(rng, 1)}"
+    labelled = spark.createDataFrame([(page(h), y) for h, y in hosts.items() for _ in range(8)], "url string, label int")
+    held = spark.createDataFrame([(page(h), y) for h, y in hosts.items()], "url string, y int")
+    got = urls.judge(held, [], labelled=labelled, max_train=60).collect()
+    assert sum((r._url_verdict == "block") == bool(r.y) for r in got) >= 0.95 * len(got)
+    counts = urls.suffix_statistics(urls.with_suffixes(urls.split_url(labelled)).withColumn("_url_y", F.col("label").cast("double")))
+    assert {(r._url_s2_k, round(r._url_s2_rate, 9), round(r._url_s2_n, 6)) for r in counts["_url_s2"].collect()} == {
+        (h, (8 * y + 1) / 10, round(float(np.log1p(8)), 6)) for h, y in hosts.items()}
+
+
 def test_entropy(spark):
     got = spark.createDataFrame([("aabb",), ("",), ("a",), ("abcd",)], "u string").select(urls.entropy(F.col("u")).alias("e")).collect()
     assert [round(r.e, 9) for r in got] == [1.0, 0.0, 0.0, 2.0]
