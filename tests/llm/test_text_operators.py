@@ -81,6 +81,20 @@ def test_kneser_ney_against_definition(spark):
     assert abs(sum(p("^a", c) for c in "abc$") + (language.CHARACTERS - 4) * p("^a", "?") - 1) < 1e-6
 
 
+def test_language_model_of_any_size_is_whole(spark):
+    """A model too large to broadcast gives the same scores, with few labels or many."""
+    rng = random.Random(4)
+    rows = odd_rows() + [(1000 + i, words(rng, 30, "abcdefgh" if i % 3 else "efghijkl"), f"x{i % 25}", "s") for i in range(100)]
+    df = frame(spark, rows)
+
+    def results(most):
+        out = language.identify(df, F.lit(True), max_grams=most).collect()
+        return sorted((r.doc_id or 0, r._lid_lang, round(r._lid_entropy, 6), round(r._lid_score, 6), r._lid_rejected, r._lid_size) for r in out)
+    assert isinstance(language.fit(df.filter("text is not null and lang is not null").select("text", "lang"), 50), language.Tables)
+    whole = results(1 << 30)
+    assert results(50) == whole and len(whole) == len(rows) and len({r[1] for r in whole}) > 10
+
+
 # ---------------------------------------------------------------- 2
 @pytest.mark.parametrize("text,rpn,names,level", [
     ("MIT", ["mit"], ["mit"], "permissive"),
