@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.llm import bpe, dac, jaccard, language, licences, lines, mixing, syncmers, urls, vptree
+from quadrant.llm import alignment, bpe, conversations, dac, jaccard, language, licences, lines, mixing, syncmers, urls, vptree
 from quadrant.llm.common import read_table
 
 
@@ -104,6 +104,24 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("_mix_target").alias("target"), F.col("_mix_taken").alias("taken"), "source")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    return alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after a fixed damage."""
+    rows = read_table(spark, sf_dir, "conversations")
+    found, blocks = conversations.repair(conversations.damage(rows))
+    out = conversations.digests(blocks, found)
+    ck = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
+    every = rows.select("conv_id").distinct().withColumn("ck", ck)  # conversations that lost all rows stay
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(out, "ck", "left").select("conv_id", *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+                                                F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_licences": op2_licences,
@@ -115,4 +133,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_bpe": op9_bpe,
     "op10_mix": op10_mix,
+    "op12_alignment": op12_alignment,
+    "op13_conversations": op13_conversations,
 }
