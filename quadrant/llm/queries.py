@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.llm import alignment, bpe, conversations, dac, jaccard, language, licences, lines, mixing, syncmers, urls, vptree
+from quadrant.llm import alignment, bpe, conversations, dac, jaccard, language, licences, lines, mixing, suffixes, syncmers, urls, vptree
 from quadrant.llm.common import read_table
 
 
@@ -104,6 +104,13 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("_mix_target").alias("target"), F.col("_mix_taken").alias("taken"), "source")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 50-byte strings that a smaller doc_id has."""
+    out = suffixes.remove_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers' tokens in every document."""
     return alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -133,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_bpe": op9_bpe,
     "op10_mix": op10_mix,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_alignment": op12_alignment,
     "op13_conversations": op13_conversations,
 }

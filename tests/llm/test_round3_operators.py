@@ -9,7 +9,7 @@ from itertools import product
 import pytest
 from helpers import empty, frame, odd, odd_rows, words
 
-from quadrant.llm import alignment, conversations
+from quadrant.llm import alignment, conversations, suffixes
 
 
 # ---------------------------------------------------------------- 13
@@ -252,3 +252,89 @@ def test_alignment_odd_and_empty(spark):
     got = {r.doc_id: r for r in alignment.align(odd(spark), *paths).collect()}
     assert got[1].n_a == got[2].n_b == 0 and got[1].groups_sha256 == "" and got[8].n_groups > 0
     assert alignment.align(empty(spark), *paths).count() == 0
+
+
+# ---------------------------------------------------------------- 11
+def brute_repeats(rows):
+    """Bytes covered by a 50-byte string that also starts in a document of a smaller id."""
+    last = float("inf")
+    raw = [(last if i is None else i, (t or "").encode()) for i, t in rows]
+    least = {}
+    for i, text in raw:
+        for p in range(len(text) - 49):
+            w = text[p:p + 50]
+            if i < least.get(w, last):
+                least[w] = i
+    out = []
+    for (i, text), (doc, _) in zip(raw, rows, strict=True):
+        gone, spans = bytearray(len(text)), []
+        for p in range(len(text) - 49):
+            if least.get(text[p:p + 50], last) < i:
+                gone[p:p + 50] = b"\1" * 50
+        for p in range(len(text)):
+            if gone[p]:
+                if p and gone[p - 1]:
+                    spans[-1] = (spans[-1][0], p + 1)
+                else:
+                    spans.append((p, p + 1))
+        out.append((doc, len(text), tuple(spans), bytes(c for c, g in zip(text, gone, strict=True) if not g)))
+    return Counter(out)
+
+
+def own_repeats(df, **more):
+    return Counter((r[0], r.n_bytes, tuple((s.start, s.end) for s in r.spans), bytes(r.kept)) for r in suffixes.remove_repeats(df, **more).collect())
+
+
+def repeats():
+    rng = random.Random(4)
+    passage = words(rng, 60)
+    edge = words(rng, 20)[:60]
+    rows = [(i, words(rng, 10) + passage[:rng.randint(40, 400)] + words(rng, 8)) for i in range(100, 140)]
+    rows += [(200 + i, edge[i:i + 50 - i % 3] + "!" * (i % 4)) for i in range(10)]  # exactly a window, and just less
+    rows += [(300, "ab" * 60), (301, "ab" * 60), (302, "ba" * 26), (299, "a" * 49), (303, "a" * 51), (304, "a" * 300)]
+    near = words(rng, 80)
+    for i in range(30):  # near copies
+        cut = rng.randrange(len(near))
+        rows.append((400 + i, near[:cut] + rng.choice("xyz") + near[cut + 1:]))
+    line = "this very common line stands in many documents, "
+    rows += [(500 + i, words(rng, 3) + line + words(rng, 3)) for i in range(60)]  # a hot gram in different surroundings
+    rows += [(None, near), (None, passage + "é漢" * 40), (7, "é漢" * 40), (430, near), (430, passage)]
+    return rows
+
+
+@pytest.mark.parametrize("hot", [suffixes.HOT, 3])
+def test_repeats_against_brute_force(spark, hot):
+    rows = [(i, t) for i, t, _, _ in odd_rows() if not t or len(t) < 20_000] + repeats()
+    df = frame(spark, [(i, t, "en", "s") for i, t in rows], clash=True).repartition(5)
+    assert own_repeats(df, hot=hot) == brute_repeats(rows)
+
+
+def test_repeats_in_blocks(monkeypatch):
+    """Anchors don't depend on how a slab's bytes are cut."""
+    rows = repeats()
+    whole = suffixes.Slab([i for i, _ in rows], [t for _, t in rows])
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 333)
+    cut = suffixes.Slab([i for i, _ in rows], [t for _, t in rows])
+    assert (whole.at == cut.at).all() and (whole.key == cut.key).all() and len(whole.at) > 100
+
+
+def test_multikey_order():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    words_ = rng.integers(0, 3, (500, 6)).astype(np.uint64)
+    order, group = suffixes.multikey_order(words_)
+    found = [tuple(x) for x in words_[order].tolist()]
+    assert found == sorted(found) and len(set(found)) == group[-1] + 1
+    assert all((x == y) == (a == b) for x, y, a, b in zip(found, found[1:], group, group[1:], strict=False))
+
+
+def test_repeats_of_the_table(spark):
+    from quadrant.llm.queries import op11_suffix_dedup
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    want = Counter((d, n, sum(e - s for s, e in spans), len(spans), hashlib.sha256(kept).hexdigest()) for d, n, spans, kept in brute_repeats(rows).elements())
+    assert Counter(tuple(r) for r in op11_suffix_dedup(spark, "/root/testdata/sf0.001").collect()) == want
+
+
+def test_repeats_odd_and_empty(spark):
+    got = suffixes.remove_repeats(odd(spark)).collect()
+    assert len(got) == len(odd_rows()) and suffixes.remove_repeats(empty(spark)).count() == 0
