@@ -145,6 +145,6 @@ def nq_object(o, kind, datatype, lang) -> Column:
 
 
 def nq_line(s="s", p="p", o="o", g="g", kind="o_kind", datatype="o_datatype", lang="o_lang") -> Column:
-    """One N-Quads statement: <s> <p> term <g> ."""
-    return F.concat(F.lit("<"), _c(s), F.lit("> <"), _c(p), F.lit("> "),
-                    nq_object(o, kind, datatype, lang), F.lit(" <"), _c(g), F.lit("> ."))
+    """One N-Quads statement: <s> <p> term <g> . (without <g> in the default graph, g null)"""
+    graph = F.coalesce(F.concat(F.lit(" <"), _c(g), F.lit(">")), F.lit(""))
+    return F.concat(F.lit("<"), _c(s), F.lit("> <"), _c(p), F.lit("> "), nq_object(o, kind, datatype, lang), graph, F.lit(" ."))

@@ -1,11 +1,10 @@
 """Resumable batch runs (T1, T2), truncate-and-redo (O4), publish with retry
 (K8) and the dead-letter table (K9).
 
-Run state lives in a small table next to the results, both in the shared
-folder. Results are partitioned by the run's start offset (or run date) and
-written with dynamic partition overwrite, so a run that died after writing
-results but before writing state is simply redone: the redo replaces its own
-partition and never duplicates rows.
+Run state lives in a commit log next to the results, both in the shared folder
+(`commits.py`). Results are partitioned by the run's start offset (or run date); they
+come into their place with the commit of the state, so a run that died before it
+leaves nothing that counts and is simply redone.
 """
 
 from __future__ import annotations
@@ -13,26 +12,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
 from quadrant.functions.expressions import nq_line, percent_encode_path
+from quadrant.operators.commits import CommitLog, write_attempt
 from quadrant.operators.positions import dense_position
 from quadrant.session import ship_package
 
 
-def _read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """A table that a first run hasn't written yet is None; any other trouble raises."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 # ------------------------------------------------------------------ T1
 def stage_positions(rows: DataFrame, order: list[str], path: str) -> DataFrame:
     """Number the input once (range-partitioned scan) and store it, so each
@@ -42,31 +31,32 @@ def stage_positions(rows: DataFrame, order: list[str], path: str) -> DataFrame:
 
 
 def committed_rows(spark: SparkSession, state_path: str) -> int:
-    st = _read_or_none(spark, state_path, "committed bigint")
-    if st is None:
-        return 0
-    v = st.agg(F.max("committed")).first()[0]
-    return int(v or 0)
+    return int(CommitLog(spark, state_path).latest()[1].get("committed", 0))
 
 
 def run_offset_batch(spark: SparkSession, staged: DataFrame, process: Callable[[DataFrame], DataFrame],
                      results_path: str, state_path: str, size: int = K.ROWS_PER_BATCH,
                      commit_state: bool = True) -> int:
-    """One run: the next `size` rows after the committed offset -> results
-    partition `batch_id`, then the new offset. `batch_id` is the start offset: it
-    is unique to a run, also after a short one, and the same when a run is redone.
-    Returns rows processed (0 when everything is done)."""
-    start = committed_rows(spark, state_path)
+    """One run: the next `size` rows after the committed offset (dense `pos`) -> results
+    partition `batch_id`, with the new offset. `batch_id` is the start offset: it is
+    unique to a run, also after a short one, and the same when a run is redone.
+
+    Results count from the commit of the offset on (`CommitLog.publish`): of two runs
+    that take the same offset one commits, and the other raises CommitConflict and
+    leaves nothing. Returns rows processed (0 when everything is done)."""
+    log = CommitLog(spark, state_path)
+    number, state = log.recover()
+    start = int(state.get("committed", 0))
     part = staged.where((F.col("pos") >= start) & (F.col("pos") < start + size))
-    out = process(part).withColumn("batch_id", F.lit(start).cast("bigint"))
-    n = part.count()
-    if n == 0:
-        return 0
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(results_path))
-    if commit_state:
-        spark.createDataFrame([(start + n,)], "committed bigint").write.mode("append").parquet(state_path)
-    return n
+    seen = Observation()
+    attempt = write_attempt(process(part.observe(seen, F.max("pos").alias("last"))), log)
+    last = seen.get["last"]
+    if last is None or not commit_state:
+        if last is None:
+            log.discard(attempt)
+        return 0 if last is None else int(last) + 1 - start
+    log.publish(number + 1, {"committed": int(last) + 1}, attempt, f"{results_path}/batch_id={start}")
+    return int(last) + 1 - start
 
 
 # ------------------------------------------------------------------ T2
@@ -79,44 +69,26 @@ def window_days(as_of: str, last_run: str | None, lookback: int = K.FIRST_RUN_LO
 
 
 def last_run_date(spark: SparkSession, state_path: str) -> str | None:
-    st = _read_or_none(spark, state_path, "run_date string")
-    return None if st is None else st.agg(F.max("run_date")).first()[0]
-
-
-def drop_uncommitted(spark: SparkSession, results_path: str, last_run: str | None) -> None:
-    """O4 for dated results: remove the run_date partitions that are newer than
-    the last committed run (what an interrupted run left)."""
-    sc = spark.sparkContext
-    root = sc._jvm.org.apache.hadoop.fs.Path(results_path)
-    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("run_date=") and (last_run is None or name[len("run_date="):] > last_run):
-            fs.delete(status.getPath(), True)
+    return CommitLog(spark, state_path).latest()[1].get("run_date")
 
 
 def run_date_batch(spark: SparkSession, rows: DataFrame, date_col: str, as_of: str,
                    process: Callable[[DataFrame], DataFrame], results_path: str, state_path: str,
                    commit_state: bool = True) -> int:
-    """One dated run: rows with datediff(as_of, date) < days and date <= as_of,
-    days from the state; results partitioned by run_date. Results of a run that
-    was interrupted before its state was written are dropped first, whatever day
-    it is redone; a second run the same day is a no-op."""
-    last = last_run_date(spark, state_path)
-    days = window_days(as_of, last)
+    """One dated run: rows with datediff(as_of, date) < days and date <= as_of, days
+    from the state; results partitioned by run_date. Results of a run that was
+    interrupted before its commit never count, whatever day it is redone; a second
+    run the same day is a no-op."""
+    log = CommitLog(spark, state_path)
+    number, state = log.recover()
+    days = window_days(as_of, state.get("run_date"))
     if days <= 0:
         return 0
-    drop_uncommitted(spark, results_path, last)
     d = F.to_date(F.col(date_col))
     asof = F.lit(as_of).cast("date")
-    sel = rows.where((F.datediff(asof, d) < days) & (d <= asof))
-    out = process(sel).withColumn("run_date", asof.cast("string"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date").parquet(results_path))
+    attempt = write_attempt(process(rows.where((F.datediff(asof, d) < days) & (d <= asof))), log)
     if commit_state:
-        spark.createDataFrame([(as_of,)], "run_date string").write.mode("append").parquet(state_path)
+        log.publish(number + 1, {"run_date": as_of}, attempt, f"{results_path}/run_date={as_of}")
     return days
 
 

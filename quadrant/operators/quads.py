@@ -4,7 +4,7 @@ requests (K7)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
@@ -13,6 +13,13 @@ from quadrant.operators.positions import dense_position
 from quadrant.operators.transcripts import segment_timecodes
 from quadrant.sources.store import QUAD_COLUMNS
 
+
+def register(spark, source) -> None:
+    from quadrant.session import ship_package
+    ship_package(spark)
+    spark.dataSource.register(source)
+
+
 def _none():
     return F.lit(None).cast("string")
 
@@ -88,39 +95,52 @@ def to_nquads(quads: DataFrame) -> DataFrame:
     return quads.select(nq_line().alias("value"))
 
 
-NQ_RE = r"(?s)^\s*<([^<>\s]*)>\s*<([^<>\s]*)>\s*(<[^<>\s]*>|\"(?:[^\"\\]|\\.)*+\"(?:\^\^<[^<>\s]*>|@[A-Za-z0-9-]+)?)\s*<([^<>\s]*)>\s*\.\s*$"
-LIT_RE = r'(?s)^"(.*)"(?:\^\^<([^<>\s]*)>|@([A-Za-z0-9-]+))?$'
+IRI = r"<[^<>\"{}|^`\\\x00-\x20]*(?:\\[uU][0-9A-Fa-f]{4,8}[^<>\"{}|^`\\\x00-\x20]*)*>"
+BLANK_NODE = r"_:[\p{L}\p{N}_](?:[\p{L}\p{N}_.\-\u00B7]*[\p{L}\p{N}_\-\u00B7])?"
+#: subject, predicate, graph, datatype, language, IRI or blank object, literal body
+STATEMENT = (rf"(?s)^[ \t]*+({IRI}|{BLANK_NODE})[ \t]*+({IRI})[ \t]*+"
+             rf"(?:({IRI}|{BLANK_NODE})|\"([^\"\\]*+(?:\\.[^\"\\]*+)*+)\"(?:\^\^({IRI})|@([A-Za-z]+(?:-[A-Za-z0-9]+)*))?)"
+             rf"[ \t]*+({IRI}|{BLANK_NODE})?[ \t]*+\.[ \t]*+(?:#.*)?[\r\n]*+$")
+NO_STATEMENT = r"^\s*(#.*)?$"
+FOUND, BETWEEN = "\u0002", "\u0001"  # no term but a literal can hold them
+SKOLEM = "urn:bnode:"
 
 
-def rejected_nquads(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Lines that `parse_nquads` can't read: neither a quad of IRIs and literals
-    in a named graph, nor blank, nor a comment."""
+def _terms(lines: DataFrame, col: str) -> DataFrame:
+    """`terms` of each line, null where it is no statement: one match of the grammar, with
+    the literal last, as only it can hold any character."""
     v = F.col(col)
-    return lines.where(v.isNotNull() & ~v.rlike(NQ_RE) & ~v.rlike(r"^\s*(#.*)?$"))
+    cut = F.regexp_replace(v, STATEMENT, FOUND + BETWEEN.join(f"${i}" for i in (1, 2, 7, 5, 6, 3, 4)))
+    return lines.withColumn("_cut", cut).withColumn("terms", F.when(F.col("_cut").startswith(FOUND), F.split(F.substring("_cut", 2, 1 << 30), BETWEEN, 7)))
+
 
+def rejected_nquads(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Lines that `parse_nquads` can't read: no statement, not blank, not a comment."""
+    return _terms(lines, col).where(F.col(col).isNotNull() & F.col("terms").isNull() & ~F.col(col).rlike(NO_STATEMENT)).drop("_cut", "terms")
 
-def parse_nquads(lines: DataFrame, col: str = "value") -> DataFrame:
+
+def parse_nquads(lines: DataFrame, col: str = "value", scope: Column | None = None) -> DataFrame:
     """N-Quads text -> quad table; `rejected_nquads` returns the other lines.
 
-    Subject, predicate and graph are IRIs; the object is an IRI or a literal with
-    an optional datatype or language. Escapes are resolved in all terms.
+    Subject, object and graph may be blank nodes; these get an IRI of their own
+    (`urn:bnode:`, a digest of `scope`, the label), so that a label means one node
+    in a file and another in the next; scope is the file's name unless given. A
+    statement without a graph belongs to the default graph (g null). Comments may
+    follow the dot. Escapes are resolved in IRIs and literals.
     """
-    v = F.col(col)
-    parsed = lines.where(v.rlike(NQ_RE)).select(
-        F.regexp_extract(v, NQ_RE, 1).alias("s"), F.regexp_extract(v, NQ_RE, 2).alias("p"),
-        F.regexp_extract(v, NQ_RE, 3).alias("_term"), F.regexp_extract(v, NQ_RE, 4).alias("g"))
-    term = F.col("_term")
-    is_uri = term.startswith("<")
-    empty_none = lambda c: F.when(c != "", c)
-    return parsed.select(
-        nq_unescape("s").alias("s"), nq_unescape("p").alias("p"),
-        nq_unescape(F.when(is_uri, F.expr("substring(_term, 2, length(_term) - 2)"))
-                     .otherwise(F.regexp_extract(term, LIT_RE, 1))).alias("o"),
-        nq_unescape("g").alias("g"),
-        F.when(is_uri, F.lit("uri")).otherwise(F.lit("literal")).alias("o_kind"),
-        F.when(~is_uri, empty_none(F.regexp_extract(term, LIT_RE, 2))).alias("o_datatype"),
-        F.when(~is_uri, empty_none(F.regexp_extract(term, LIT_RE, 3))).alias("o_lang"),
-    )
+    where = F.md5(scope if scope is not None else F.input_file_name())
+    # a written table may lose the file's name, so it is taken on the way in
+    t = _terms(lines.withColumn("_scope", where), col).where(F.col("terms").isNotNull())
+    term = [F.col("terms")[i] for i in range(7)]
+    plain = lambda c: F.when(c.contains("\\"), nq_unescape(c)).otherwise(c)
+
+    def node(c):
+        return (F.when(c.startswith("<"), plain(F.substring(c, 2, F.length(c) - 2)))
+                 .when(c.startswith("_:"), F.concat(F.lit(SKOLEM), F.col("_scope"), F.lit(":"), F.substring(c, F.lit(3), F.length(c)))))
+    is_uri = term[5] != ""
+    return t.select(
+        node(term[0]).alias("s"), node(term[1]).alias("p"), F.when(is_uri, node(term[5])).otherwise(plain(term[6])).alias("o"), node(term[2]).alias("g"),
+        F.when(is_uri, "uri").otherwise("literal").alias("o_kind"), node(term[3]).alias("o_datatype"), F.when(term[4] != "", term[4]).alias("o_lang"))
 
 
 # ------------------------------------------------------------------ K7
@@ -133,8 +153,9 @@ def update_batches(quads: DataFrame, bucket_col: str = "bucket", size: int = K.Q
     """
     order = ["g", "s", "p", "o", "o_kind", "o_datatype", "o_lang"]
     pos = dense_position(quads, [F.col(c).asc_nulls_first() for c in order], group=[bucket_col], name="_pos")
-    stmt = F.concat(F.lit("GRAPH <"), F.col("g"), F.lit("> {<"), F.col("s"), F.lit("> <"), F.col("p"),
-                    F.lit("> "), nq_object("o", "o_kind", "o_datatype", "o_lang"), F.lit("}"))
+    triple = F.concat(F.lit("<"), F.col("s"), F.lit("> <"), F.col("p"), F.lit("> "), nq_object("o", "o_kind", "o_datatype", "o_lang"))
+    stmt = F.when(F.col("g").isNull(), F.concat(triple, F.lit(" ."))).otherwise(
+        F.concat(F.lit("GRAPH <"), F.col("g"), F.lit("> {"), triple, F.lit("}")))
     b = pos.select(bucket_col, F.floor(F.col("_pos") / size).cast("bigint").alias("batch"), "_pos", stmt.alias("stmt"))
     return b.groupBy(bucket_col, "batch").agg(
         F.count(F.lit(1)).alias("n_quads"),
@@ -144,6 +165,15 @@ def update_batches(quads: DataFrame, bucket_col: str = "bucket", size: int = K.Q
                  F.lit("}")).alias("request"))
 
 
+def deliver_requests(batches: DataFrame, journal: str, sender: str | None = None, bucket_col: str = "bucket") -> None:
+    """K7 delivery as a sink (`quadrant.sources.delivery`): requests become visible in
+    the journal when all tasks have succeeded, and not at all otherwise."""
+    from quadrant.sources.delivery import QuadDelivery
+    register(batches.sparkSession, QuadDelivery)
+    rows = batches.select(F.col(bucket_col).cast("long").alias("bucket"), "batch", "n_quads", "request")
+    rows.write.format(QuadDelivery.name()).mode("append").options(path=journal, **({"sender": sender} if sender else {})).save()
+
+
 def deliver_batches(batches: DataFrame, sender, bucket_col: str = "bucket") -> DataFrame:
     """K7 delivery: send each request with `sender(requests: pd.Series) ->
     pd.Series[bool]` on the executors (Arrow batches), returning one ack per

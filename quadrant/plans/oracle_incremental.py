@@ -61,3 +61,14 @@ SELECT ord, media, media_seg, title FROM (
 
 oracle("stream_ingest_archive", with_(SEG, body=f"""
 SELECT {media_key('media')} AS media_key, start_raw, end_raw, text, confidence, CAST(0 AS BIGINT) AS n_left FROM seg"""))
+
+oracle("stream_dedupe_state", with_(CAT, body="""
+SELECT ord, media, media_seg, title FROM (
+  SELECT ord, media, media_seg, title, row_number() OVER (PARTITION BY media ORDER BY ord) AS rn FROM cat
+) WHERE rn = 1"""))
+
+oracle("stream_redelivery", with_(SEG, body=f"""
+SELECT {media_key('media')} AS media_key, start_raw, end_raw, start_ms, end_ms,
+       CASE WHEN conv_id % 3 = 0 THEN 'corrected: ' || text ELSE text END AS text, confidence,
+       CAST(CASE WHEN conv_id % 3 = 2 THEN 1 ELSE 2 END AS BIGINT) AS n_versions,
+       CAST(CASE WHEN conv_id % 3 = 1 THEN 1 ELSE 0 END AS BIGINT) AS n_rejects FROM seg"""))

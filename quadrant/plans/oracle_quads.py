@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quadrant.functions import constants as K
-from quadrant.plans.oracle_base import CAT, LINES, QUADS, SEG, oracle, with_
+from quadrant.plans.oracle_base import CAT, LINES, ORACLE, QUADS, SEG, oracle, with_
 from quadrant.plans.oracle_transcripts import w2, x4
 
 COLS = "s, p, o, g, o_kind, o_datatype, o_lang"
@@ -80,3 +80,15 @@ FROM (
          'GRAPH <' || g || '> {{<' || s || '> <' || p || '> ' || {OBJ} || '}}' AS stmt
   FROM bq
 ) GROUP BY bucket, pos // 500"""))
+
+ORACLE["deliver_updates"] = ORACLE["quads_update_batches"]
+ORACLE["delete_in_place"] = ORACLE["delete_transcription"]
+ORACLE["replace_in_place"] = ORACLE["replace_transcription"]
+
+
+def blank(x: str) -> str:
+    return f"CASE WHEN ends_with({x}, '/instance') THEN 'blank i' || regexp_extract({x}, 'doc/([0-9]+)', 1) || '.x' ELSE {x} END AS {x}"
+
+
+oracle("src_nquads_grammar", with_(CAT, QUADS, body=f"""
+SELECT {blank('s')}, p, {blank('o')}, CASE WHEN NOT contains(p, 'title') THEN g END AS g, o_kind, o_datatype, o_lang FROM quads"""))

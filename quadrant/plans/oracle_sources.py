@@ -19,6 +19,24 @@ SELECT {media_key('media')} AS media_key,
        start_raw, end_raw, start_ms, end_ms, text, confidence
 FROM seg"""))
 
+oracle("src_segments_rejects", with_(SEG, f"""
+m AS (SELECT {media_key('media')} AS media_key, conv_id % 7 AS kind, count(*) AS n FROM seg GROUP BY ALL)""", body="""
+SELECT media_key, 'segment' AS reason, n FROM m WHERE kind NOT IN (2, 3, 5)
+UNION ALL
+SELECT media_key, CASE kind WHEN 2 THEN 'damaged file' WHEN 3 THEN 'no segments' WHEN 4 THEN 'no times' ELSE 'empty file' END AS reason,
+       CAST(1 AS BIGINT) AS n FROM m WHERE kind IN (2, 3, 4, 5)"""))
+
+oracle("src_csv_rejects", with_(CAT, body="""
+SELECT CASE WHEN ord % 9 NOT IN (4, 5, 7) THEN ord END AS ord, CASE WHEN ord % 9 NOT IN (4, 5, 7) THEN media_seg END AS media_seg,
+       CASE WHEN ord % 9 NOT IN (4, 5, 7) THEN title2 END AS title2,
+       CASE ord % 9 WHEN 4 THEN ord || ',' || media_seg WHEN 5 THEN 'none,' || media_seg || ',"' || title2 || '"'
+                    WHEN 7 THEN ord || ',' || media_seg || ',"' || title2 || '",more' END AS record FROM cat"""))
+
+oracle("src_sparql_rejects", with_(CAT, body="""
+SELECT media_seg, title2, 'binding' AS reason, CAST(1 AS BIGINT) AS n FROM cat WHERE ord % 8 NOT IN (1, 2)
+UNION ALL
+SELECT NULL, NULL, CASE ord % 8 WHEN 1 THEN 'damaged page' ELSE 'no bindings' END, count(*) FROM cat WHERE ord % 8 IN (1, 2) GROUP BY ord % 8"""))
+
 oracle("src_text_lines", with_(SEG, LINES, body="""
 SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY line_no) - 1 AS BIGINT) AS line_no, line FROM lines"""))
 

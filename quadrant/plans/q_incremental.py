@@ -140,12 +140,50 @@ def q_stream_ingest_archive(spark, sf_dir):
     for wave in range(4):
         _land_drops(spark, sf_dir, inbox, [wave])
         ST.ingest_and_archive(spark, inbox, sink, ckpt, archive)
-    left = spark.read.schema(FS.SEGMENT_FILE_SCHEMA).option("multiLine", True).json(inbox)
-    arch = FS.flat_segments(spark.read.schema(FS.SEGMENT_FILE_SCHEMA).option("multiLine", True).json(archive))
-    n_left = left.agg(F.count(F.lit(1)).alias("n_left"))
+    arch = FS.read_segment_files(spark, archive)
+    n_left = FS.list_files(spark, inbox).agg(F.count(F.lit(1)).alias("n_left"))
     return arch.select("media_key", "start_raw", "end_raw", "text", "confidence").crossJoin(F.broadcast(n_left))  # one row of one number
 
 
+@query("stream_redelivery")
+def q_stream_redelivery(spark, sf_dir):
+    """K10 with corrections: every file is delivered, then some again under the same
+    name with corrected texts, some cut off, and some unchanged. The newest whole
+    version of each media counts; all versions stand beside each other in the
+    archive; what was cut off is in the rejects."""
+    from quadrant.plans.q_transcripts import seg_keyed
+    work = work_dir(spark, "k10-again")
+    inbox, sink, ckpt, archive = f"{work}/inbox", f"{work}/sink", f"{work}/checkpoint", f"{work}/archive"
+    s = seg_keyed(spark, sf_dir)
+    FS.land_segment_files(s, inbox).count()
+    ST.ingest_and_archive(spark, inbox, sink, ckpt, archive)
+    FS.land_segment_files(s.where(F.col("conv_id") % 3 == 0).withColumn("text", F.concat(F.lit("corrected: "), "text")), inbox).count()
+    cut = FS.segment_documents(s.where(F.col("conv_id") % 3 == 1).withColumn("text", F.lit("lost")))
+    FS.land_documents(cut.withColumn("body", F.substring("body", 1, 40)), inbox).count()
+    ST.ingest_and_archive(spark, inbox, sink, ckpt, archive)
+    ST.ingest_and_archive(spark, inbox, sink, ckpt, archive)  # nothing new
+    versions = FS.list_files(spark, archive).groupBy(F.regexp_replace("file", r"[.]lintoai[.]json$", "").alias("media_key")).agg(
+        F.count(F.lit(1)).alias("n_versions"))
+    bad = spark.read.parquet(f"{sink}/rejects").groupBy("media_key").agg(F.count(F.lit(1)).alias("n_rejects"))
+    return (ST.latest_segments(spark, sink).join(versions, "media_key").join(bad, "media_key", "left")
+            .select(*SEG_COLS, "n_versions", F.coalesce("n_rejects", F.lit(0)).alias("n_rejects")))
+
+
+@query("stream_dedupe_state")
+def q_stream_dedupe_state(spark, sf_dir):
+    """T4 by keyed state: three overlapping drops, the last one a repetition; keys
+    expire behind the watermark, and no run reads the sink."""
+    work = work_dir(spark, "t4-state")
+    inbox, sink, ckpt = f"{work}/inbox", f"{work}/sink", f"{work}/checkpoint"
+    c = FX.cat(spark, sf_dir).select("ord", "media", "media_seg", "title", F.col("created").cast("timestamp").alias("created"))
+    top = c.agg(F.max("ord")).first()[0]
+    for drop in (F.col("ord") < 0.6 * top, F.col("ord") >= 0.4 * top, F.col("ord") < 0.3 * top):
+        c.where(drop).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(c.schema).parquet(inbox)
+        ST.run_available(ST.keep_first_stream(stream, "media", "ord", "created", "60 days"), sink, ckpt)
+    return spark.read.schema(c.schema).parquet(sink).select("ord", "media", "media_seg", "title")
+
+
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf_dir):
     """T4: catalogue rows re-delivered in overlapping drops (the first six tenths,

@@ -49,6 +49,61 @@ def q_src_segments_json(spark, sf_dir):
     return s.select("media_key", "ord", "start_raw", "end_raw", "start_ms", "end_ms", "text", "confidence")
 
 
+@query("src_segments_rejects")
+def q_src_segments_rejects(spark, sf_dir):
+    """S2 over damaged input: of seven media, one file is cut off, one holds an object
+    without segments, one an item without times, one nothing at all; the rest is
+    whole. Segments and rejects are counted per media."""
+    from quadrant.plans.q_transcripts import seg_keyed
+    path = work_dir(spark, "segments-damaged")
+    s = seg_keyed(spark, sf_dir)
+    kind = s.select("media_key", (F.col("conv_id") % 7).alias("kind")).distinct()
+    body = (F.when(F.col("kind") == 2, F.expr("substring(body, 1, length(body) - 5)"))
+             .when(F.col("kind") == 3, F.lit('{"task": "transcribe", "error": "no speech"}'))
+             .when(F.col("kind") == 4, F.concat(F.lit('[{"text": "timeless"},'), F.expr("substring(body, 2)")))
+             .when(F.col("kind") == 5, F.lit("")).otherwise(F.col("body")))
+    FS.land_documents(FS.segment_documents(s).join(kind, "media_key").withColumn("body", body), path).count()
+    good = FS.read_segment_files(spark, path).groupBy("media_key").agg(F.lit("segment").alias("reason"), F.count(F.lit(1)).alias("n"))
+    bad = FS.rejected_segment_files(spark, path).groupBy("media_key", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return good.unionByName(bad)
+
+
+@query("src_csv_rejects")
+def q_src_csv_rejects(spark, sf_dir):
+    """S1 over damaged input: records with a field too few or too many, or with a word
+    where a number belongs, are rejects with their raw text."""
+    c = FX.cat(spark, sf_dir)
+    quoted = F.concat(F.lit('"'), F.replace("title2", F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = F.concat_ws(",", F.when(F.col("ord") % 9 == 5, F.lit("none")).otherwise(F.col("ord").cast("string")), "media_seg", quoted)
+    line = F.when(F.col("ord") % 9 == 4, F.concat_ws(",", F.col("ord").cast("string"), "media_seg")).when(
+        F.col("ord") % 9 == 7, F.concat(fields, F.lit(",more"))).otherwise(fields)
+    path = work_dir(spark, "csv-damaged")
+    c.select(line.alias("value")).write.mode("overwrite").option("header", False).text(path)
+    schema = "ord bigint, media_seg string, title2 string"
+    good = FS.read_csv(spark, path, schema, header=False)
+    bad = FS.rejected_csv(spark, path, schema, header=False)
+    return good.select("ord", "media_seg", "title2", F.lit(None).cast("string").alias("record")).unionByName(
+        bad.select(F.lit(None).cast("bigint").alias("ord"), F.lit(None).cast("string").alias("media_seg"), F.lit(None).cast("string").alias("title2"), "record"))
+
+
+@query("src_sparql_rejects")
+def q_src_sparql_rejects(spark, sf_dir):
+    """S6 over damaged input: bindings of whole pages, and the pages that are cut off or
+    hold an error instead of results."""
+    c = FX.cat(spark, sf_dir).select("ord", "media_seg", "title2")
+    binding = F.struct(*[F.struct(F.lit("literal").alias("type"), F.col(v).alias("value")).alias(v) for v in ("media_seg", "title2")])
+    whole = F.to_json(F.struct(F.struct(F.array(F.lit("media_seg"), F.lit("title2")).alias("vars")).alias("head"),
+                               F.struct(F.array(binding).alias("bindings")).alias("results")))
+    page = F.when(F.col("ord") % 8 == 1, F.expr("substring(page, 1, length(page) - 3)")).when(
+        F.col("ord") % 8 == 2, F.lit('{"error": "timeout"}')).otherwise(F.col("page"))
+    path = work_dir(spark, "sparql-damaged")
+    c.withColumn("page", whole).select(page.alias("value")).write.text(path + "/pages")
+    names = ["media_seg", "title2"]
+    good = FS.read_sparql_json(spark, path + "/pages", names).select(*names, F.lit("binding").alias("reason"), F.lit(1).cast("bigint").alias("n"))
+    bad = FS.rejected_sparql_json(spark, path + "/pages", names).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return good.unionByName(bad.select(*[F.lit(None).cast("string").alias(v) for v in names], "reason", "n"))
+
+
 @query("src_text_lines")
 def q_src_text_lines(spark, sf_dir):
     from quadrant.operators import transcripts as TR

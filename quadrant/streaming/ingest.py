@@ -1,5 +1,5 @@
-"""Structured Streaming: new-file ingestion (T3) with archiving (K10),
-keep-first dedupe across runs (T4), and per-micro-batch publish with state
+"""Structured Streaming: new-file ingestion (T3) with a versioned archive (K10),
+keep-first dedupe across runs (T4, by keyed state or by batch), and per-micro-batch publish with state
 written after success (T5).
 
 Each run uses `trigger(availableNow=True)`: it processes whatever arrived since
@@ -11,24 +11,34 @@ when the batch is replayed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from quadrant.functions import constants as K
 from quadrant.operators.catalog import keep_first
 from quadrant.operators.incremental import publish_with_retry
-from quadrant.sources.files import SEGMENT_FILE_SCHEMA, flat_segments
+from quadrant.session import ship_package, written
+from quadrant.sources.files import (CORRUPT, SEGMENT_FILE_SCHEMA, executor_filesystem, flat_segments, list_files,
+                                    rejects_of, segments_of, sorted_segments)
 
 
-def segment_stream(spark: SparkSession, input_dir: str, max_files: int | None = None, with_file: bool = False) -> DataFrame:
-    """Transcript JSON files arriving in `input_dir` as a stream of segments."""
-    r = (spark.readStream.schema(SEGMENT_FILE_SCHEMA).option("multiLine", True)
-              .option("pathGlobFilter", "*" + K.TRANSCRIPT_FILE_SUFFIX))
+def raw_segment_stream(spark: SparkSession, input_dir: str, max_files: int | None = None) -> DataFrame:
+    r = (spark.readStream.schema(SEGMENT_FILE_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", True)
+              .option("pathGlobFilter", "*" + K.TRANSCRIPT_FILE_SUFFIX).option("recursiveFileLookup", True))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return flat_segments(r.json(input_dir), with_file)
+    return r.json(input_dir)
+
+
+def segment_stream(spark: SparkSession, input_dir: str, max_files: int | None = None) -> DataFrame:
+    """Transcript JSON files arriving in `input_dir` as a stream of segments."""
+    return flat_segments(raw_segment_stream(spark, input_dir, max_files))
 
 
 def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet") -> None:
@@ -45,25 +55,76 @@ def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
+def move_files(moves: DataFrame) -> DataFrame:
+    """Rename each file (path, target) on the executors. status: `moved`; `known` if
+    the target is there already (the other copy goes); `missing` if neither is there.
+    A repeated task finds its targets in place and says `moved` again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for source, target in zip(batch.column("path").to_pylist(), batch.column("target").to_pylist()):
+                fs, old = executor_filesystem(source)
+                _, new = executor_filesystem(target)
+                here, there = (info.is_file for info in fs.get_file_info([old, new]))
+                if here and not there:
+                    fs.create_dir(new.rsplit("/", 1)[0], recursive=True)
+                    fs.move(old, new)
+                elif here:
+                    fs.delete_file(old)
+                found.append("known" if here and there else "moved" if here or there else "missing")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], ["path", "target", "status"])
+    ship_package(moves.sparkSession)
+    return moves.select("path", "target").mapInArrow(run, "path string, target string, status string")
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
+
+
+def claim_files(spark: SparkSession, inbox: str, claimed: str, archive: str, log: str) -> None:
+    """Take what lies in the inbox: each file moves to `<claimed>/<name>/<version>/`,
+    where the version is its time and length. A corrected file under a known name is
+    thus another path, which the stream hasn't seen; the very same file again (name,
+    time and length) is not taken twice. The log says what became of each file."""
+    files = list_files(spark, inbox, "*" + K.TRANSCRIPT_FILE_SUFFIX)
+    version = F.concat_ws("-", F.date_format("modified", "yyyyMMddHHmmssSSSSSS"), F.lpad(F.col("length").cast("string"), 15, "0"))
+    files = files.withColumn("place", F.concat_ws("/", F.regexp_replace("file", r"[.]lintoai[.]json$", ""), version, "file"))
+    done = list_files(spark, archive).select(F.concat_ws("/", F.slice(F.split("path", "/"), -3, 3)).alias("place"), F.lit(True).alias("done"))
+    target = F.concat_ws("/", F.when(F.col("done"), F.lit(archive)).otherwise(F.lit(claimed)), "place")
+    files = written(files.join(done, "place", "left").select("path", target.alias("target")), "claims")
+    move_files(files).withColumn("at", F.current_timestamp()).write.mode("append").parquet(log)
+
+
 def ingest_and_archive(spark: SparkSession, input_dir: str, sink_path: str, checkpoint: str, archive_dir: str,
                        max_files: int | None = None) -> None:
-    """Ingest what is there, then move every ingested file to the archive.
-
-    Files move after the run, when all its batches are committed, so a replay
-    always finds its files. The driver moves one run's files, whose names the
-    sink holds."""
-    stream = segment_stream(spark, input_dir, max_files, with_file=True)
-    run_foreach_batch(stream, lambda batch, i: write_batch(batch, i, sink_path), checkpoint)
-    sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path
-    inbox, target = path(input_dir), path(archive_dir)
-    fs = inbox.getFileSystem(sc._jsc.hadoopConfiguration())
-    fs.mkdirs(target)
-    here = [s.getPath().getName() for s in fs.listStatus(inbox) if s.isFile()]
-    done = spark.read.parquet(sink_path).select("file").distinct()
-    names = spark.createDataFrame([(n,) for n in here], "file string").join(done, "file", "left_semi") if here else None
-    for row in names.toLocalIterator() if names is not None else ():
-        fs.rename(path(inbox, row["file"]), path(target, row["file"]))
+    """Ingest what is there, then move every ingested file to the archive, beside
+    its earlier versions (`<archive>/<name>/<version>/<file>`).
+
+    Files are claimed first, so a run sees a fixed set under paths that no later
+    delivery can take; they move on after the run, when all its batches are
+    committed, so a replay always finds them. A run that died leaves its claims to
+    the next. Segments go to `<sink>/segments`, damaged input to `<sink>/rejects`, with
+    the version they came from; `latest_segments` reads the newest of each media."""
+    claimed, log = f"{archive_dir}.claimed", f"{archive_dir}.log"
+    for path in (input_dir, claimed, archive_dir):
+        make_dir(spark, path)
+    claim_files(spark, input_dir, claimed, archive_dir, log)
+    keep = F.concat_ws("/", F.lit(archive_dir), F.slice(F.split("path", "/"), -3, 3))  # name, version, file
+    pending = written(list_files(spark, claimed).select("path", keep.alias("target")), "pending")
+
+    def batch_of(batch: DataFrame, i: int) -> None:
+        write_batch(segments_of(batch, keep=("file", "version")), i, f"{sink_path}/segments")
+        write_batch(rejects_of(batch, keep=("version",)), i, f"{sink_path}/rejects")
+    run_foreach_batch(sorted_segments(raw_segment_stream(spark, claimed, max_files)), batch_of, checkpoint)
+    move_files(pending).withColumn("at", F.current_timestamp()).write.mode("append").parquet(log)
+
+
+def latest_segments(spark: SparkSession, sink_path: str) -> DataFrame:
+    """Segments of the newest version of each media's file."""
+    rows = spark.read.parquet(f"{sink_path}/segments").drop("batch_id")
+    newest = rows.groupBy("media_key").agg(F.max("version").alias("version"))
+    return rows.join(newest, ["media_key", "version"], "left_semi")
 
 
 def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -84,6 +145,49 @@ def keep_first_batches(key: str, order: str, sink_path: str) -> Callable[[DataFr
     return fn
 
 
+def keep_first_stream(stream: DataFrame, key: str, order: str, event_time: str, delay: str = "30 days") -> DataFrame:
+    """T4 with keyed state: the row of least `order` of each key, from the micro-batch in
+    which the key first comes; the key is then known until the watermark (the latest
+    event time less `delay`) has passed its last event. State holds one time per
+    live key, whatever the stream's age, and no sink is read.
+
+    Rows older than the watermark are late and dropped. Each Arrow batch sends its
+    first row per key only, so a key that holds most rows doesn't gather in the task
+    that keeps its state."""
+    schema: StructType = stream.schema
+    sort = [order, *[c for c in schema.names if c not in (order, key)]]
+
+    def first_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        latest = pdf.groupby(key, dropna=False)[event_time].transform("max")
+        return pdf.assign(_last=latest).sort_values(sort, kind="stable").drop_duplicates(key)
+
+    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield first_of(pdf)[[*schema.names, "_last"]]
+
+    def step(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best, last = None, None
+        for pdf in parts:
+            best = pdf if best is None else pd.concat([best, pdf])
+            best = best.sort_values(sort, kind="stable").head(1)
+            newest = pdf["_last"].max()
+            last = newest if last is None or newest > last else last
+        known = state.exists
+        until = int(last.timestamp() * 1000)
+        if known:
+            until = max(until, state.get[0])
+        state.update((until,))
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs()) + 1)
+        if not known:
+            yield best[schema.names]
+    thin_schema = StructType([*schema.fields, type(schema.fields[0])("_last", schema[event_time].dataType)])
+    return (stream.mapInPandas(thin, thin_schema).withWatermark(event_time, delay).groupBy(key)
+                .applyInPandasWithState(step, schema, "until bigint", "append", GroupStateTimeout.EventTimeTimeout))
+
+
 def publish_each_batch(key: str, publisher, work: str, state_path: str):
     """foreachBatch body for T5: publish the batch's records with retries, then
     record the batch in the state table; the streaming checkpoint commits last,

@@ -112,7 +112,7 @@ def test_nquads_round_trip(spark):
 
 def test_nquads_escapes_comments_and_rejects(spark):
     lines = [r'<http://s> <http://p> "a\tb \u00E9 \U0001F600 \uD83D\uDE00 \\n" <http://g> .', "# a comment", "",
-             r"<http://s> <http://p> <http://o/\u00E9> <http://g> .", "<http://s> <http://p> _:b <http://g> .", "no quad"]
+             r"<http://s> <http://p> <http://o/\u00E9> <http://g> .", "<http://s> _:b <http://o> <http://g> .", "no quad"]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     assert sorted(r.o for r in QD.parse_nquads(df).collect()) == ["a\tb \u00e9 \U0001F600 \U0001F600 \\n", "http://o/\u00e9"]
     assert sorted(r.value for r in QD.rejected_nquads(df).collect()) == sorted(lines[4:])
