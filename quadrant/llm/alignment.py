@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from quadrant.llm.bpe import byte_letters, ship_vocabulary
 from quadrant.llm.common import python_ready, slices, written
 
-SLAB_BYTES = 32 << 20
+SLAB_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
 #: How byte-level vocabularies of this kind cut a text into words (fixed by the file's pre-tokenizer).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -124,8 +125,9 @@ class Aligner:
             raw = b" " + text.encode("utf-8", "surrogatepass")
             if all(b"".join([t.bytes[i] for i in ids[k]]) == raw for t, ids in ((self.a, ids_a), (self.b, ids_b))):
                 good.append(k)
-        flat_a, flat_b = (np.array([i for k in good for i in ids[k]], np.int64) for ids in (ids_a, ids_b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids[k] for k in good), np.int32) for ids in (ids_a, ids_b))
         count_a, count_b = (np.array([len(ids[k]) for k in good], np.int64) for ids in (ids_a, ids_b))
+        del ids_a, ids_b
         end_a, end_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
         at = np.full(int(end_a[-1]) + 1 if len(end_a) else 1, -1, np.int64)
         at[end_b] = np.arange(len(end_b))
@@ -150,7 +152,7 @@ class Aligner:
         out["n_groups"][rows] = np.bincount(text, minlength=len(good))
         for row, lo, hi in zip(rows.tolist(), stops, stops[1:], strict=False):
             out["digest"][row] = hashlib.sha256("".join(names[lo:hi])[1:].encode()).hexdigest()
-        return out | {"text": rows[text], "a": link_a, "b": link_b, "same": same}
+        return out | {"text": rows[text].astype(np.int32), "a": link_a, "b": link_b, "same": same}
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -171,12 +173,12 @@ def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def slab_row(slab: int, ids: pa.Array, found: list[dict]) -> pa.RecordBatch:
     """One row of the documents of a slab."""
     base = np.cumsum([0] + [len(f["n_a"]) for f in found])
-    text = np.concatenate([f["text"] + b for f, b in zip(found, base, strict=False)])
+    text = np.concatenate([f["text"] + b for f, b in zip(found, base, strict=False)]).astype(np.int64)
     a, b, same = (np.concatenate([f[c] for f in found]) for c in ("a", "b", "same"))
     n = int(base[-1])
     # identity links: one distinct (document, a) each; the others by their place in the slab's list of pairs
     doc_same, n_same = distinct(text[same] << 32 | a[same])
-    pairs, place = np.unique(a[~same] << 32 | b[~same], return_inverse=True)
+    pairs, place = np.unique(a[~same].astype(np.int64) << 32 | b[~same], return_inverse=True)
     doc_pair, n_pair = distinct(text[~same] << 32 | place)
     pair_n = np.bincount(place, minlength=len(pairs))
     ids_same, slab_same = distinct(a[same])
@@ -204,7 +206,7 @@ def slabs_of(docs: DataFrame, file_a: str, file_b: str, id_col: str, text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, part, number = aligner(file_a, file_b), TaskContext.get().partitionId(), 0
         ids, found, size = [], [], 0
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", SLICE_BYTES):
             ids.append(piece.column("id"))
             found.append(tool.align(piece.column("text").to_pylist()))
             size += piece.column("text").nbytes
