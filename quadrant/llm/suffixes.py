@@ -54,6 +54,8 @@ LEFT = WINDOW - GRAM
 SPAN = LEFT + 1
 SLAB_BYTES, BLOCK_BYTES = 4 << 20, 1 << 18
 HOT = 1 << 14
+#: Hash ranges and suffix buckets a shuffle partition.
+PARTS = 4
 #: Bytes of a suffix as sorted: 50 from the anchor on, 16 before it, the places its
 #: windows can have (first, last), filled up to nine words.
 WORDS = 9
@@ -128,17 +130,17 @@ class Slab:
         sizes = np.minimum(self.stops[docs], b) - np.maximum(self.starts[docs], a)
         left = np.repeat(self.stops[docs], sizes) - np.arange(a, b)  # bytes from here to the document's end
         h = gram_hashes(self.bytes[a:b])
-        none = np.uint64((1 << 64) - 1)
-        h[left < GRAM] = none
-        h[len(h) - GRAM + 1:] = none
-        least = _running(h, np.minimum, True)  # of each window
+        top = (h >> np.uint64(32)).astype(np.uint32)  # chooses; the lower bits stay even and deal out
+        left[len(left) - GRAM + 1:] = 0
+        top[left < GRAM] = (1 << 32) - 1
+        least = _running(top, np.minimum, True)  # of each window
         least[left < WINDOW] = 0
         least[len(least) - WINDOW + 1:] = 0
-        chosen = (_running(least, np.maximum, False) == h) & (h != none)
+        chosen = (_running(least, np.maximum, False) == top) & (left >= GRAM)
         chosen[:lo - a] = False
         chosen[hi - a:] = False
         at = np.flatnonzero(chosen)
-        return at + a, h[at] >> np.uint64(16)
+        return at + a, h[at] & np.uint64((1 << 48) - 1)
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct gram hashes, and under how many ids each stands (255 at most)."""
@@ -154,7 +156,7 @@ class Slab:
     def candidates(self, known: np.ndarray) -> None:
         """Suffixes of the anchors whose grams are among `known` (2 x hash + 1 if hot):
         `words` (sorted, distinct), `least` id of each; of each anchor (or window of a
-        hot anchor) its place `from_`, document and suffix, in `place`, `owner`, `which`."""
+        hot anchor) its place, document and suffix, in `place`, `owner`, `which`."""
         known = np.sort(known)
         slot = np.minimum(np.searchsorted(known >> np.uint64(1), self.key), max(len(known) - 1, 0))
         hit = known[slot] >> np.uint64(1) == self.key if len(known) else np.zeros(len(self.key), bool)
@@ -353,14 +355,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     (the bytes that stay)."""
     spark = docs.sparkSession
     python_ready(spark)
-    n = shuffle_partitions(spark)
-    slabs = slab_table(docs, id_col, text_col, n)
+    n = PARTS * shuffle_partitions(spark)
+    slabs = slab_table(docs, id_col, text_col, shuffle_partitions(spark))
     cuts = splitters(slabs, n)
 
     def send_grams(table: pa.Table) -> pa.Table:
         grams, ids = _slab(table).grams()
         slab = table.column("slab")[0].as_py()
-        parts = list(_cut((grams * np.uint64(n) >> np.uint64(48)).astype(np.int64), n))
+        parts = list(_cut(((grams >> np.uint64(16)) * np.uint64(n) >> np.uint64(32)).astype(np.int64), n))
         return pa.table({"part": pa.array([p for p, _ in parts], pa.int32()), "slab": pa.array([slab] * len(parts), pa.int64()),
                          "grams": pa.array([to_planes(grams[at]) for _, at in parts], pa.binary()),
                          "ids": pa.array([ids[at].tobytes() for _, at in parts], pa.binary())})
