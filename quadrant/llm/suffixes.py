@@ -41,6 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -287,6 +288,14 @@ def from_planes(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1), dtype=np.uint64)
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def spread(raw: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
+
+
 def _slab(table: pa.Table) -> Slab:
     return Slab(table.column("id").to_pylist(), table.column("text").to_pylist())
 
@@ -314,7 +323,7 @@ def slab_table(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([slab, *piece.columns], ["slab", *piece.schema.names])
             number += 1
     path, name = work_dir(spark, "suffix-slabs"), f"suffix_slabs_{uuid.uuid4().hex[:12]}"
-    rows.mapInArrow(run, f"slab long, doc {kind}, id long, text string").write.bucketBy(n, "slab").option("path", path).saveAsTable(name)
+    rows.mapInArrow(run, f"slab long, doc {kind}, id long, text string").write.bucketBy(n, "slab").option("path", path).option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
 
@@ -394,17 +403,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         slab, number = with_candidates(table, answers), table.column("slab")[0].as_py()
         parts = list(_cut(bucket_numbers(slab.words, slab.hot, cuts, n), n))
         return pa.table({"part": pa.array([p for p, _ in parts], pa.int32()), "slab": pa.array([number] * len(parts), pa.int64()),
-                         "words": pa.array([slab.words[at].tobytes() for _, at in parts], pa.binary()),
-                         "least": pa.array([slab.least[at].tobytes() for _, at in parts], pa.binary()),
-                         "at": pa.array([at.astype(np.int32).tobytes() for _, at in parts], pa.binary())})
+                         "words": pa.array([squeezed(slab.words[at].astype(">u8")) for _, at in parts], pa.binary()),
+                         "least": pa.array([squeezed(slab.least[at]) for _, at in parts], pa.binary()),
+                         "at": pa.array([to_planes(at.astype(np.uint64)) for _, at in parts], pa.binary())})
 
     def compare(table: pa.Table) -> pa.Table:
-        words = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint64).reshape(-1, WORDS)
-        ids = [np.frombuffer(x, np.int64) for x in table.column("least").to_pylist()]
+        words = np.concatenate([spread(x, ">u8").astype(np.uint64) for x in table.column("words").to_pylist()]).reshape(-1, WORDS)
+        ids = [spread(x, np.int64) for x in table.column("least").to_pylist()]
         bits = window_bits(words, np.concatenate(ids))
         edges = np.cumsum([0] + [len(x) for x in ids])
         return pa.table({"slab": table.column("slab"), "at": table.column("at"),
-                         "bits": pa.array([bits[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary())})
+                         "bits": pa.array([squeezed(bits[a:b]) for a, b in zip(edges, edges[1:], strict=False)], pa.binary())})
     suffixes = slabs.groupBy("slab").cogroup(known.groupBy("slab")).applyInArrow(
         send_suffixes, "part int, slab long, words binary, least binary, at binary")
     bits = suffixes.groupBy("part").applyInArrow(compare, "slab long, at binary, bits binary")
@@ -420,7 +429,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         slab = with_candidates(table, known)
         bits = np.zeros(len(slab.words), np.uint32)
         for at, b in zip(found.column("at").to_pylist(), found.column("bits").to_pylist(), strict=True):
-            bits[np.frombuffer(at, np.int32)] = np.frombuffer(b, np.uint32)
+            bits[from_planes(at).astype(np.int64)] = spread(b, np.uint32)
         gone = slab.covered(bits)
         spans, kept = [], []
         for a, b in zip(slab.starts.tolist(), slab.stops.tolist(), strict=True):
