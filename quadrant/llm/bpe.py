@@ -3,7 +3,8 @@
 The frequent words of the corpus (counted over all documents, `max_words` at
 most) are compiled into one shared-suffix automaton whose arcs carry
 additive outputs; the sum of a word's outputs is its number, which points at its
-token ids. The automaton is one file of flat arrays that Spark ships to the
+token ids. The automaton is one file of flat arrays (its arcs in a double array, so
+that it grows with the arcs and not with the alphabet) that Spark ships to the
 executors and the workers memory-map. All words of a slice of texts walk it
 together, one character a step; words that it doesn't hold are merged exactly, by
 rank and then from the left, many words side by side, and remembered in a bounded
@@ -25,11 +26,13 @@ column may have any name.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import os
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quadrant.llm.common import batches_of, most_frequent, python_ready, slices
-from quadrant.llm.segments import SPECIAL_CP, segment
+from quadrant.llm.segments import SPECIAL_CP, distinct_words, segment
 from quadrant.session import work_dir
 
 #: Words in the lexicon at most: its file and the rows the driver gets are bounded.
@@ -193,10 +196,38 @@ def minimal_automaton(words: list[str]) -> tuple[list[dict[str, int]], list[bool
     return arcs, final
 
 
+def double_array(arcs: list[dict[int, tuple[int, int]]]) -> dict[str, np.ndarray]:
+    """Arcs {symbol: (target, output)} of each state as a double array: the arc of a
+    state and symbol stands at `base[state] + symbol` if `check` there is the state."""
+    base, check, go, add = np.zeros(len(arcs), np.int32), [-1], [0], [0]
+    free = near = 1  # no slot below `free` is free; states of several arcs are tried from `near` on
+    for state in sorted(range(len(arcs)), key=lambda s: -len(arcs[s])):
+        symbols = sorted(arcs[state])
+        if not symbols:
+            continue
+        while free < len(check) and check[free] >= 0:
+            free += 1
+        at = free if len(symbols) == 1 else max(near, free)
+        tried = 0
+        while any(at + c - symbols[0] < len(check) and check[at + c - symbols[0]] >= 0 for c in symbols):
+            at, tried = at + 1, tried + 1
+        if tried > 50:  # too full below: what is left there is for states of one arc
+            near = at
+        base[state] = at - symbols[0]
+        short = at + symbols[-1] - symbols[0] + 1 - len(check)
+        if short > 0:
+            check += [-1] * short
+            go += [0] * short
+            add += [0] * short
+        for c in symbols:
+            check[base[state] + c] = state
+            go[base[state] + c], add[base[state] + c] = arcs[state][c]
+    return {"base": base, "check": np.array(check, np.int32), "go": np.array(go, np.int32), "add": np.array(add, np.int32)}
+
+
 def compile_lexicon(words: list[str], vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """Flat arrays of the transducer: `alphabet` (sorted code points), `go` and
-    `add` (target and output by state and symbol; target 0: no arc), `final`, and
-    the ids of word number i at `ids[start[i]:start[i + 1]]`."""
+    """Flat arrays of the transducer: `alphabet` (sorted code points), the double array of
+    its arcs, `final`, and the ids of word number i at `ids[start[i]:start[i + 1]]`."""
     words = sorted(set(words))
     arcs, final = minimal_automaton(words)
     order, number = [0], {0: 0}
@@ -218,20 +249,25 @@ def compile_lexicon(words: list[str], vocabulary: Vocabulary) -> dict[str, np.nd
             stack.pop()
     alphabet = sorted({c for w in words for c in w})
     symbol = {c: i + 1 for i, c in enumerate(alphabet)}
-    go = np.zeros((len(order), len(alphabet) + 1), np.int32)
-    add = np.zeros_like(go)
-    for i, s in enumerate(order):
-        before = int(final[s])
+    numbered: list[dict[int, tuple[int, int]]] = []
+    for s in order:
+        before, out = int(final[s]), {}
         for c, t in sorted(arcs[s].items()):
-            go[i, symbol[c]], add[i, symbol[c]] = number[t], before
+            out[symbol[c]] = (number[t], before)
             before += count[t]
+        numbered.append(out)
     ids = vocabulary.merge_all(words)
-    return {"alphabet": np.array([ord(c) for c in alphabet], np.uint32), "go": go, "add": add,
+    return {"alphabet": np.array([ord(c) for c in alphabet], np.uint32), **double_array(numbered),
             "final": np.array([final[s] for s in order], np.uint8),
             "start": np.cumsum([0] + [len(x) for x in ids]).astype(np.int32),
             "ids": np.array([i for x in ids for i in x], np.int32)}
 
 
+#: A lexicon without words.
+NO_LEXICON = {"alphabet": np.zeros(0, np.uint32), **double_array([{}]), "final": np.zeros(1, np.uint8),
+              "start": np.zeros(1, np.int32), "ids": np.zeros(0, np.int32)}
+
+
 def to_file(arrays: dict[str, np.ndarray]) -> bytes:
     """A JSON line with name, type, shape and place of each array, then the arrays
     (8-byte aligned)."""
@@ -271,15 +307,12 @@ class Encoder:
         self.lex = lexicon
         self.symbol = np.zeros(0x110000, np.uint16)
         self.symbol[lexicon["alphabet"]] = np.arange(1, len(lexicon["alphabet"]) + 1)
-        self.go, self.add = lexicon["go"].reshape(-1), lexicon["add"].reshape(-1)
-        self.width = lexicon["go"].shape[1]
         self.known = len(lexicon["start"]) - 1
         self._forget()
 
     def _forget(self) -> None:
         self.memory: dict[str, int] = {}
-        self.more: list[int] = []
-        self.more_start = [0]
+        self.more, self.more_start = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def numbers(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Number in the lexicon of each word, -1 if it isn't there: all words walk
@@ -287,14 +320,17 @@ class Encoder:
         found = np.full(len(starts), -1, np.int64)
         at, left, who = starts.astype(np.int64), ends - starts, np.arange(len(starts))
         state, out = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-        final = self.lex["final"]
+        final, base, check, go, add = (self.lex[c] for c in ("final", "base", "check", "go", "add"))
         while len(who):
-            arc = state * self.width + self.symbol[points[at]]
-            state, out = self.go[arc].astype(np.int64), out + self.add[arc]
-            left, at = left - 1, at + 1
-            done = (left == 0) & (final[state] != 0) & (state != 0)
+            symbol = self.symbol[points[at]].astype(np.int64)
+            place = base[state] + symbol
+            slot = np.clip(place, 0, len(check) - 1)
+            on = (symbol > 0) & (check[slot] == state) & (place == slot)
+            slot, left, at, who, out = slot[on], left[on] - 1, at[on] + 1, who[on], out[on]
+            state, out = go[slot].astype(np.int64), out + add[slot]
+            done = (left == 0) & (final[state] != 0)
             found[who[done]] = out[done]
-            on = (left > 0) & (state != 0)
+            on = left > 0
             at, left, who, state, out = at[on], left[on], who[on], state[on], out[on]
         return found
 
@@ -311,24 +347,27 @@ class Encoder:
         if len(self.memory) > MEMORY:
             self._forget()
         points, starts, ends, per_text, whole = segment(texts, self.names)
-        word = self.numbers(points, starts, ends)
+        first, which = distinct_words(points, starts, ends)
+        word = self.numbers(points, starts[first], ends[first])
         missing = np.flatnonzero(word < 0)
-        found = [whole[a:b] for a, b in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)]
+        found = [whole[a:b] for a, b in zip(starts[first[missing]].tolist(), ends[first[missing]].tolist(), strict=True)]
         memory, special = self.memory, list(self.vocabulary.specials.values())
-        fresh = [w for w in dict.fromkeys(found) if w not in memory]
+        fresh = [w for w in found if w not in memory]
         memory.update(zip(fresh, range(len(memory), len(memory) + len(fresh)), strict=True))
-        new = np.fromiter(map(memory.__getitem__, found), np.int64, len(found))
-        plain = [w if ord(w[0]) - SPECIAL_CP not in range(len(special)) else "" for w in fresh]
-        for w, ids in zip(fresh, self.vocabulary.merge_all(plain), strict=True):
-            self.more += [special[ord(w[0]) - SPECIAL_CP]] if ord(w[0]) - SPECIAL_CP in range(len(special)) else ids
-            self.more_start.append(len(self.more))
-        word[missing] = self.known + new
-        first = np.concatenate([self.lex["start"][:-1], np.array(self.more_start[:-1], np.int64) + len(self.lex["ids"])])
-        count = np.concatenate([np.diff(self.lex["start"]), np.diff(np.array(self.more_start, np.int64))])
-        ids = np.concatenate([self.lex["ids"], np.array(self.more, np.int32)])
-        n = count[word]
+        word[missing] = self.known + np.fromiter(map(memory.__getitem__, found), np.int64, len(found))
+        if fresh:
+            plain = [w if ord(w[0]) - SPECIAL_CP not in range(len(special)) else "" for w in fresh]
+            merged = [ids if w else [special[ord(f[0]) - SPECIAL_CP]] for f, w, ids in zip(fresh, plain, self.vocabulary.merge_all(plain), strict=True)]
+            stops = np.cumsum(np.fromiter(map(len, merged), np.int64, len(merged)))
+            self.more_start = np.concatenate([self.more_start, stops + len(self.more)])
+            self.more = np.concatenate([self.more, np.fromiter(chain.from_iterable(merged), np.int32, int(stops[-1]))])
+        begin = np.concatenate([self.lex["start"][:-1], self.more_start[:-1] + len(self.lex["ids"])])
+        count = np.concatenate([np.diff(self.lex["start"]), np.diff(self.more_start)])
+        ids = np.concatenate([self.lex["ids"], self.more])
+        begin, count = begin[word], count[word]  # of each distinct word
+        n = count[which]
         stops = np.concatenate([[0], np.cumsum(n)])
-        places = np.arange(stops[-1]) + np.repeat(first[word] - stops[:-1], n)
+        places = np.arange(stops[-1]) + np.repeat(begin[which] - stops[:-1], n)
         return ids[places], stops[per_text]
 
 
@@ -352,7 +391,11 @@ def word_counts(docs: DataFrame, text_col: str, file: str) -> DataFrame:
             for _, texts in batches_of(part.column("text").to_pylist()):
                 points, starts, ends, _, whole = segment(texts, specials)
                 short = (ends - starts <= MAX_LENGTH) & (points[starts] // 0x800 != SPECIAL_CP // 0x800)
-                counts.update([whole[a:b] for a, b in zip(starts[short].tolist(), ends[short].tolist(), strict=True)])
+                starts, ends = starts[short], ends[short]
+                first, which = distinct_words(points, starts, ends)
+                seen = [whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+                for word, n in zip(seen, np.bincount(which, minlength=len(first)).tolist(), strict=True):
+                    counts[word] += n
             if len(counts) > MEMORY:
                 yield out(counts)
                 counts = Counter()
@@ -403,6 +446,48 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
+class Decoder:
+    """Texts of token ids (special tokens kept, unknown ids left out)."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.names = np.full(max(vocabulary.tokens) + 2, None, object)
+        self.names[list(vocabulary.tokens)] = list(vocabulary.tokens.values())
+
+    def texts(self, ids: np.ndarray, stops: list[int]) -> list[str]:
+        last = len(self.names) - 1
+        known = self.names[np.where((ids >= 0) & (ids < last), ids, last)].tolist()
+
+        def text(part: list[str | None]) -> str:
+            return " ".join([x for x in part if x is not None] if None in part else part)
+        return [text(known[a:b]) for a, b in zip(stops, stops[1:], strict=False)]
+
+
+def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
+    """Digests of `encode` and `decode` in one pass: id, n_tokens, ids_sha256 (of the decimal
+    ids joined by spaces) and decoded_sha256. No token list leaves a worker."""
+    spark = docs.sparkSession
+    python_ready(spark)
+    file = ship_vocabulary(spark, path)
+    lexicon = ship_lexicon(spark, [r["word"] for r in most_frequent(word_counts(docs, text_col, file), "word", max_words)], path)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(file, lexicon)
+        back = Decoder(e.vocabulary)
+        decimal = np.array([str(i) for i in range(e.vocabulary.width)], object)
+        for part in slices(batches, "text"):
+            ids, at = e.encode(part.column("text").to_pylist())
+            stops = at.tolist()
+            numbers = decimal[ids].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), pa.array(np.diff(at), pa.int64()),
+                 pa.array([hashlib.sha256(" ".join(numbers[a:b]).encode()).hexdigest() for a, b in zip(stops, stops[1:], strict=False)], pa.string()),
+                 pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back.texts(ids, stops)], pa.string())],
+                ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+
+
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """`encoded` with `decoded`, the text of its ids (special tokens kept)."""
     spark = encoded.sparkSession
@@ -412,17 +497,10 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     at = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Vocabulary(SparkFiles.get(file)).tokens
-        names = np.full(max(tokens) + 2, None, object)
-        names[list(tokens)] = list(tokens.values())
-
-        def text(ids: list[str | None]) -> str:
-            return " ".join([x for x in ids if x is not None] if None in ids else ids)
+        back = Decoder(Vocabulary(SparkFiles.get(file)))
         for batch in batches:
             column = batch.column(at)
-            flat = column.flatten().fill_null(-1).to_numpy()
-            known = names[np.where((flat >= 0) & (flat < len(names) - 1), flat, len(names) - 1)].tolist()
             stops = np.cumsum([0] + pc.fill_null(pc.list_value_length(column), 0).to_pylist()).tolist()
-            texts = pa.array([text(known[a:b]) for a, b in zip(stops, stops[1:], strict=False)], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], schema.names)
+            texts = back.texts(column.flatten().fill_null(-1).to_numpy(), stops)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
     return encoded.mapInArrow(run, schema)

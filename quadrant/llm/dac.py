@@ -159,9 +159,7 @@ _encoders: dict[str, bpe.Encoder] = {}
 def library_encoder(file: str) -> bpe.Encoder:
     """Each distinct word goes through the library; a worker remembers the last ones."""
     if file not in _encoders:
-        none = {"alphabet": np.zeros(0, np.uint32), "go": np.zeros((1, 1), np.int32), "add": np.zeros((1, 1), np.int32),
-                "final": np.zeros(1, np.uint8), "start": np.zeros(1, np.int32), "ids": np.zeros(0, np.int32)}
-        _encoders[file] = bpe.Encoder(LibraryVocabulary(SparkFiles.get(file)), none)
+        _encoders[file] = bpe.Encoder(LibraryVocabulary(SparkFiles.get(file)), bpe.NO_LEXICON)
     return _encoders[file]
 
 

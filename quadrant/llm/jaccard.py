@@ -162,15 +162,16 @@ def _text(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def classes(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """id, size and class of every document."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    """id (a number or a string), size and class of every document."""
+    kind = "string" if dict(docs.dtypes)[id_col] == "string" else "long"
+    rows = docs.select(F.col(f"`{id_col}`").cast(kind).alias("id"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = shingle_sets(part.column("text").to_pylist(), n)
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                                               pa.array([class_of(s) for s in sets], pa.int64())], ["id", "size", "class"])
-    return rows.mapInArrow(run, "id long, size long, class long")
+    return rows.mapInArrow(run, f"id {kind}, size long, class long")
 
 
 def key_shift(ranges: int) -> int:

@@ -70,3 +70,43 @@ def segment(texts: list[str | None], specials: list[str]) -> tuple[np.ndarray, n
     starts, ends = edges[opens], np.append(edges[1:], n)[opens]
     borders = np.cumsum([0] + [len(t) + 1 for t in ready])
     return points[:n], starts, ends, np.searchsorted(starts, borders), whole
+
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n - 1 of the base and of its inverse, kept for the next slices."""
+    global _powers
+    if len(_powers[0]) < n:
+        tables = []
+        for root in (_BASE, _INVERSE):
+            steps = np.full(n, root, np.uint64)
+            steps[0] = 1
+            tables.append(np.multiply.accumulate(steps))
+        _powers = (tables[0], tables[1])
+    return _powers
+
+
+def distinct_words(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, which): the number of the first of each distinct word, and of each word
+    the distinct one that it is. Words are told apart by two 64-bit hashes of their
+    characters, from running sums over the slice."""
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    up, down = _power_tables(len(points) + 1)
+    keys = []
+    for salt in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        letter = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(salt)
+        letter ^= letter >> np.uint64(29)
+        letter *= np.uint64(salt)
+        letter *= up[:len(points)]
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(letter, out=sums[1:])
+        keys.append((sums[ends] - sums[starts]) * down[starts])
+    _, first, which = np.unique(keys[0], return_index=True, return_inverse=True)
+    if (keys[1][first][which] != keys[1]).any():  # two words share the first hash: both decide
+        _, first, which = np.unique(np.stack(keys, 1), axis=0, return_index=True, return_inverse=True)
+    return first, which.reshape(-1)

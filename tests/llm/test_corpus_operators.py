@@ -393,9 +393,52 @@ def test_pipeline_stages(spark, library):
         assert docs.count() == 0
 
 
+def test_near_duplicates_by_row(spark):
+    """Rows that share an id, or have none, against groups by brute force."""
+    import corpus_pipeline as P
+    rng = random.Random(8)
+    a, b, c, d = (words(rng, 40) for _ in range(4))
+    rows = [(3, a, "en", "s"), (7, a, "en", "s"), (7, b, "en", "s"), (7, c, "en", "s"), (None, d, "en", "s"), (None, d, "en", "s"), (None, d, "fr", "t"),
+            (None, a + " more", "en", "s"), (None, words(rng, 30), "en", "s"), (-5, c + " x", "en", "s"), (9, "", "en", "s"), (9, "", "en", "s"), (None, None, "en", "s")]
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    sets = [shingles(t or "") for _, t, *_ in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    want = Counter()
+    for g in set(group):
+        members = sorted(((r[0] is None, r[0] or 0), r[:2]) for r, x in zip(rows, group, strict=True) if x == g)
+        want[members[0][1]] += 1
+    got = Counter((r.doc_id, r.text) for r in P.near_duplicates(spark, frame(spark, rows, clash=True), "").collect())
+    assert got == want and got[7, b] == 1 and got[None, d] == 1 and got[9, ""] == 2
+
+
+def test_large_alphabets_stay_small():
+    words_ = [chr(0x4E00 + i % 4000) + chr(0x4E00 + (i * 7) % 4000) + chr(0x4E00 + i % 13) for i in range(8000)] + [f"word{i}" for i in range(20_000)]
+    made = bpe.compile_lexicon(words_, bpe.Vocabulary(public_tokenizers.path("word_bpe_49k.json")))
+    assert sum(a.nbytes for a in made.values()) < 5 << 20
+
+
+def test_distinct_words():
+    from quadrant.llm.segments import distinct_words
+    texts = ["a b aa a ab ba", "b " * 500 + "x" * 3000 + " " + "x" * 3000 + " " + "x" * 2999]
+    points = np.frombuffer("\n".join(texts).encode("utf-32-le"), "<u4")
+    text = "\n".join(texts)
+    spans = [m.span() for m in re.finditer(r"\S+", text)]
+    starts, ends = np.array([s for s, _ in spans]), np.array([e for _, e in spans])
+    first, which = distinct_words(points, starts, ends)
+    names = [text[s:e] for s, e in spans]
+    assert [names[first[w]] for w in which] == names and len(first) == len(set(names))
+
+
 def test_queries_run_and_digests(spark, library):
     from quadrant.llm.queries import QUERIES
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op9_bpe"](spark, SF).collect():
         e = library.encode(docs[r.doc_id], add_special_tokens=False).ids
