@@ -65,13 +65,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = exploded(docs, id_col, text_col, site_col)
     found = written(boilerplate(lines, min_sites, lg_k).select("h", "first"), "line-boilerplate")
     hits = lines.join(found, "h").select(
-        "id", "h", F.when(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("pos") == F.col("first.pos")), F.col("pos")).alias("keep"))
+        "id", "h", F.when(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("pos") == F.col("first.pos")), F.struct("h", "pos")).alias("keep"))
     per = hits.groupBy("id").agg(F.collect_set("h").alias("_ln_drop"), F.collect_set("keep").alias("_ln_keep")).withColumnRenamed("id", "_ln_id")
     joined = docs.join(per, F.col(f"`{id_col}`").eqNullSafe(F.col("_ln_id")), "left")
     text = F.col(f"`{text_col}`")
     parts = F.split(text, "\n")
-    kept = F.filter(parts, lambda x, i: ~F.array_contains(F.col("_ln_drop"), F.xxhash64(F.btrim(x, F.lit(BLANK))))
-                    | F.array_contains(F.col("_ln_keep"), i))
+    line = lambda x: F.xxhash64(F.btrim(x, F.lit(BLANK)))
+    kept = F.filter(parts, lambda x, i: ~F.array_contains(F.col("_ln_drop"), line(x))  # a place is kept for its line only: ids may repeat
+                    | F.array_contains(F.col("_ln_keep"), F.struct(line(x).alias("h"), i.alias("pos"))))
     touched = F.col("_ln_id").isNotNull() | F.col("_ln_drop").isNotNull()
     out = joined.withColumn("_ln_lines", F.when(touched & text.isNotNull(), kept))
     clean = F.when(F.col("_ln_lines").isNotNull(), F.array_join("_ln_lines", "\n")).otherwise(text)

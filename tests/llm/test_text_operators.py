@@ -210,6 +210,13 @@ def test_line_dedup_against_brute_force(spark):
     assert lines.dedup_lines(empty(spark)).count() == 0
 
 
+def test_line_dedup_of_repeated_ids(spark):
+    """A place is kept for the line that is first there, not for another text of that id."""
+    rows = [(1, "LL\nq1", "en", "s1"), (1, "MM\nq2", "en", "s2"), (0, "MM", "en", "s3"), (2, "LL", "en", "s4")]
+    got = Counter((r.doc_id, r.text) for r in lines.dedup_lines(frame(spark, rows), min_sites=2).collect())
+    assert got == Counter({(1, "LL\nq1"): 1, (1, "q2"): 1, (0, "MM"): 1, (2, ""): 1})
+
+
 def test_digest_of_edited_text(spark):
     from quadrant.llm.queries import op3_syncmers
     r = op3_syncmers(spark, SF).orderBy("doc_id").first()
