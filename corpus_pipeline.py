@@ -6,9 +6,9 @@ last return the columns of documents. `run` writes each stage's result as Parque
 into the shared folder and rereads it as the next one's docs.
 
 Defined cases are those of the operators; beyond them: extra columns pass through
-all stages but the last; a null language is filled by the predicted one; of rows
-that repeat a doc_id, near-duplicate removal keeps one (rows without a doc_id are
-kept unless a row with one stands in their group); an empty table passes through.
+all stages but the last; a null language is filled by the predicted one; rows that
+repeat a doc_id, or have none, are told apart by their texts; an empty table passes
+through.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrant.llm import bpe, jaccard, language, lines, mixing
@@ -42,16 +42,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _recounted(lines.dedup_lines(docs).select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Name of a row by its id and text, in the order of ids (null last)."""
+    place = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.expr(f"{1 << 63}BD")).cast("string"), 20, "0")
+    return F.concat(F.coalesce(place, F.lit("~")), F.when(F.col("text").isNull(), "-").otherwise(F.lit(":")), F.md5(F.coalesce("text", F.lit(""))))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (operator 5): that with the
-    smallest id. Documents without words are in no group and stay."""
-    found = jaccard.link_components(docs, n=5, num=80, den=100)
-    kept = written(found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_kept")).count(), "kept")
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]))
-    more = F.col("_kept").isNotNull() & (F.col("count") > 1)
-    if kept.filter(more).isEmpty():
-        return out.select(*docs.columns)
-    return out.filter(~more).unionByName(out.filter(more).dropDuplicates(["doc_id"])).select(*docs.columns)
+    """One row of each group of near duplicates (operator 5): that with the smallest
+    id, by row: texts that share an id are told apart, and of rows alike in id and
+    text one stays (the smallest in its other columns). Documents without words are in
+    no group and stay."""
+    keyed = docs.withColumn("_nd_key", row_key(docs))
+    found = jaccard.link_components(keyed, n=5, num=80, den=100, id_col="_nd_key")
+    kept = found.filter(F.col("component_id") == F.col("_nd_key")).groupBy("_nd_key").agg(
+        ((F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("_nd_more"))
+    kept = written(kept, "kept")
+    out = keyed.join(kept, "_nd_key")
+    if kept.filter("_nd_more").isEmpty():
+        return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = [F.col(f"`{c}`") for c in docs.columns]
+    alike = out.filter("_nd_more").groupBy("_nd_key").agg(F.min(F.struct(*rows)).alias("_nd_row")).select("_nd_row.*")
+    return out.filter(~F.col("_nd_more")).select(*rows).unionByName(alike)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
