@@ -45,6 +45,17 @@ def borders(df: DataFrame, key: str, n: int) -> list[int]:
     return sorted(set(found or []))
 
 
+def hashed_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """About `n` rows (all, if fewer) of different `key`, an evenly spread 64-bit hash:
+    those below the border that the number of keys sets. The number is an HyperLogLog
+    estimate (2 %) and rows are chosen by a filter, so no task gathers what others chose.
+    Of rows with one key any stays: let the key cover all that matters of a row."""
+    total = df.select(F.approx_count_distinct(key, 0.02)).first()[0]
+    if total > n:
+        df = df.filter(F.col(key) < -(1 << 63) + (n << 64) // total)
+    return df.dropDuplicates([key])
+
+
 def bucket_of(key: Column, cuts: list[int]) -> Column:
     """0 for null, else 1 + the number of borders below the key (binary search)."""
     if not cuts:

@@ -7,9 +7,11 @@ same host suffix (last label, last two labels) and first path part were blocked
 (smoothed counts). The trees are Spark ML's gradient-boosted classifier.
 
 The suffix tables count all labelled rows, whatever their number: written tables
-that grow with the hosts, joined as the planner sees fit. Only the trees are fitted
-on a bounded sample: at most `max_train` labelled rows, those with the smallest URL
-hashes.
+that grow with the hosts, joined as the planner sees fit. A row that trains the trees
+gets them out of fold: without the labelled rows of its own fifth of the URL hashes, so
+that its label doesn't reach its features, and a host that was seen once looks like one
+never seen. Only the trees are fitted on a bounded sample: about `max_train` different
+labelled URLs, those with the smallest hashes.
 
 Defined cases: a null url, or one without `://`, has empty host and path, no rule
 and the features of its text (null: of the empty text); repeated rows are judged
@@ -28,11 +30,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrant.llm.common import written
+from quadrant.llm.common import hashed_sample, written
 
 MAX_TRAIN = 20000
 TREES, DEPTH, STEP, SEED = 20, 4, 0.2, 7
 SUFFIXES = ("_url_s1", "_url_s2", "_url_p1")
+FOLDS = 5
 
 
 def split_url(df: DataFrame, url: str = "url") -> DataFrame:
@@ -102,19 +105,41 @@ def with_suffixes(df: DataFrame) -> DataFrame:
                            "_url_p1": F.regexp_extract(path, r"(?s)^/([^/]*)", 1)})
 
 
-def suffix_statistics(labelled: DataFrame) -> dict[str, DataFrame]:
-    """By each suffix, the smoothed share of blocked labelled urls and the logarithm
-    of their number, over all of `labelled`."""
-    return {key: written(labelled.groupBy(F.col(key).alias(f"{key}_k")).agg(
-        ((F.sum("_url_y") + 1.0) / (F.count("*") + 2.0)).alias(f"{key}_rate"), F.log1p(F.count("*").cast("double")).alias(f"{key}_n")),
-        "url-suffixes") for key in SUFFIXES}
+def fold_of(url: str = "url") -> Column:
+    return F.pmod(F.shiftright(F.xxhash64(url), 8), F.lit(FOLDS)).cast("int")
+
 
+def smoothed(blocked: Column, n: Column) -> tuple[Column, Column]:
+    """Rate and logarithm of the number."""
+    return (blocked + 1.0) / (n + 2.0), F.log1p(n.cast("double"))
 
-def with_suffix_statistics(df: DataFrame, statistics: dict[str, DataFrame]) -> tuple[DataFrame, list[str]]:
-    """Joins the statistics of each suffix."""
+
+def suffix_statistics(labelled: DataFrame) -> dict[str, DataFrame]:
+    """By each suffix, the smoothed share of blocked labelled urls and the logarithm
+    of their number, over all of `labelled`, and both without each of the folds."""
+    def of(key: str) -> DataFrame:
+        blocked, n = F.sum("_url_y"), F.count("*")
+        rate, size = smoothed(blocked, n)
+        out = []
+        for i in range(FOLDS):
+            own = F.col("_url_fold") == i
+            r, m = smoothed(blocked - F.sum(F.when(own, F.col("_url_y")).otherwise(0.0)), n - F.count_if(own))
+            out.append(F.struct(r.alias("rate"), m.alias("n")))
+        return labelled.withColumn("_url_fold", fold_of()).groupBy(F.col(key).alias(f"{key}_k")).agg(
+            rate.alias(f"{key}_rate"), size.alias(f"{key}_n"), F.array(*out).alias(f"{key}_out"))
+    return {key: written(of(key), "url-suffixes") for key in SUFFIXES}
+
+
+def with_suffix_statistics(df: DataFrame, statistics: dict[str, DataFrame], fold: Column | None = None) -> tuple[DataFrame, list[str]]:
+    """Joins the statistics of each suffix: over all labelled rows, or without those
+    of the row's `fold`."""
     names: list[str] = []
     for key, stats in statistics.items():
-        df = df.join(stats, F.col(key) == F.col(f"{key}_k"), "left").drop(f"{key}_k").fillna({f"{key}_rate": 0.5, f"{key}_n": 0.0})
+        df = df.join(stats if fold is not None else stats.drop(f"{key}_out"), F.col(key) == F.col(f"{key}_k"), "left").drop(f"{key}_k")
+        if fold is not None:
+            out = F.get(f"{key}_out", fold)
+            df = df.withColumns({f"{key}_rate": out["rate"], f"{key}_n": out["n"]}).drop(f"{key}_out")
+        df = df.fillna({f"{key}_rate": 0.5, f"{key}_n": 0.0})
         names += [f"{key}_rate", f"{key}_n"]
     return df, names
 
@@ -130,7 +155,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame |
         labelled = ruled.filter(F.col("_url_ruled").isNotNull()).select(
             F.col(f"`{url}`").alias("url"), (F.col("_url_ruled") == "block").cast("int").alias("label"))
     labelled = labelled.filter(F.col("label").isNotNull()).select("url", F.col("label").cast("double").alias("_url_y"))
-    sample = written(labelled.orderBy(F.xxhash64("url"), "url", "_url_y").limit(max_train), "url-sample")
+    sample = labelled.withColumn("_url_h", F.xxhash64("url", "_url_y"))
+    sample = written(hashed_sample(sample, "_url_h", max_train).drop("_url_h"), "url-sample")
     sample, columns = lexical(split_url(sample), "url")
     kinds = [r["_url_y"] for r in sample.select("_url_y").distinct().collect()]  # two at most
     out, _ = lexical(ruled, url)
@@ -138,7 +164,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame |
     score = F.lit(float(kinds[0]) if kinds else 0.5)
     if len(kinds) > 1:
         statistics = suffix_statistics(with_suffixes(split_url(labelled)))
-        train, more = with_suffix_statistics(sample, statistics)
+        train, more = with_suffix_statistics(sample, statistics, fold_of())
         out, _ = with_suffix_statistics(out, statistics)
         assemble = VectorAssembler(inputCols=columns + more, outputCol="_url_features")
         trees = GBTClassifier(featuresCol="_url_features", labelCol="_url_y", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quadrant.llm import bpe, dac, jaccard, language, mixing, urls, vptree
-from quadrant.llm.common import batches_of
+from quadrant.llm.common import batches_of, hashed_sample
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.001"
@@ -317,6 +317,43 @@ def test_url_suffix_statistics_count_all_labels(spark):
         (h, (8 * y + 1) / 10, round(float(np.log1p(8)), 6)) for h, y in hosts.items()}
 
 
+def test_url_labels_do_not_leak(spark):
+    """A host seen once must not tell its own label: where hosts are all different, the
+    trees have to learn the lexical sign, right in 85 % of the urls."""
+    rng = random.Random(9)
+
+    def page(i: int) -> tuple[str, int]:
+        bad = rng.random() < 0.5
+        sign = bad if rng.random() < 0.85 else not bad
+        return f"http://{words(rng, 1)}{i}.net/{words(rng, 1)}/{'x?a=1&b=2&c=3' if sign else 'x'}", int(bad)
+    labelled = spark.createDataFrame([page(i) for i in range(1000)], "url string, label int")
+    held = spark.createDataFrame([page(i) for i in range(1000, 1600)], "url string, y int")
+    got = urls.judge(held, [], labelled=labelled).collect()
+    assert sum((r._url_verdict == "block") == bool(r.y) for r in got) >= 0.8 * len(got)
+
+
+def test_url_statistics_out_of_fold(spark):
+    rng = random.Random(10)
+    rows = [(f"http://{'ab'[rng.random() < 0.7]}.net/{rng.randrange(6)}/{i % 50}", float(rng.random() < 0.4)) for i in range(200)]
+    labelled = urls.with_suffixes(urls.split_url(spark.createDataFrame(rows, "url string, _url_y double"))).withColumn("fold", urls.fold_of())
+    mine = labelled.select("url", "_url_s2", "_url_p1", "_url_y", "fold").collect()
+    out, names = urls.with_suffix_statistics(labelled, urls.suffix_statistics(labelled), F.col("fold"))
+    assert set(names) < set(out.columns) and {r.fold for r in mine} == set(range(urls.FOLDS))
+    for r in out.collect():
+        for key in ("_url_s2", "_url_p1"):
+            others = [x._url_y for x in mine if x[key] == r[key] and x.fold != r.fold]
+            assert abs(r[f"{key}_rate"] - (sum(others) + 1) / (len(others) + 2)) < 1e-9
+            assert abs(r[f"{key}_n"] - np.log1p(len(others))) < 1e-9
+
+
+def test_hashed_sample(spark):
+    df = spark.range(5000).withColumn("key", F.xxhash64("id"))
+    few = hashed_sample(df, "key", 1000).collect()
+    assert 900 < len(few) < 1100 and max(r.key for r in few) < min(set(r.key for r in df.collect()) - {r.key for r in few})
+    copies = df.withColumn("key", F.xxhash64(F.col("id") % 40))
+    assert hashed_sample(copies, "key", 1000).count() == 40 and hashed_sample(df.limit(0), "key", 10).count() == 0
+
+
 def test_entropy(spark):
     got = spark.createDataFrame([("aabb",), ("",), ("a",), ("abcd",)], "u string").select(urls.entropy(F.col("u")).alias("e")).collect()
     assert [round(r.e, 9) for r in got] == [1.0, 0.0, 0.0, 2.0]
