@@ -9,7 +9,9 @@ whatever separates them. An expression is the rest of the tag's line.
 Defined cases: a null or empty text has no words and no hits; a text of any
 length is scanned whole, in memory bounded by a few times its size; repeated rows
 give repeated results; an ill-formed expression gives a hit of kind `unparsed`
-and no licence; an empty table gives an empty result; only the id and text
+and no licence, and so does one with an id that isn't in the tables of licences and
+exceptions (`LicenseRef-...` counts as one, a `+` behind an id as "or later"), or a
+`with` that doesn't stand between one licence and one exception; an empty table gives an empty result; only the id and text
 columns are read, so any other column may have any name.
 """
 
@@ -61,6 +63,31 @@ TAGS = ("spdx license identifier", "license expression")
 #: how far a hit of a kind speaks for a licence.
 WEIGHT = {"tag": 0.95, "base": 0.9, "notice": 0.8, "unparsed": 0.4}
 
+# fixed values: ids of the public SPDX licence list, lower-cased
+LICENCE_IDS = frozenset("""
+0bsd afl-2.1 afl-3.0 agpl-1.0 agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.0 apache-1.1 apache-2.0 apsl-2.0
+artistic-1.0 artistic-1.0-perl artistic-2.0 blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause
+bsd-3-clause-clear bsd-3-clause-lbnl bsd-4-clause bsl-1.0 busl-1.1 bzip2-1.0.6 cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0
+cc-by-4.0 cc-by-nc-2.0 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-3.0 cc-by-nc-nd-4.0 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0
+cc-by-nd-3.0 cc-by-nd-4.0 cc-by-sa-2.0 cc-by-sa-3.0 cc-by-sa-4.0 cc-pddc cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.0
+cecill-2.1 cecill-b cecill-c clartistic cpal-1.0 cpl-1.0 curl ecl-2.0 efl-2.0 elastic-2.0 epl-1.0 epl-2.0 eudatagrid
+eupl-1.1 eupl-1.2 fsfap ftl gfdl-1.1 gfdl-1.2 gfdl-1.3 gfdl-1.3-only gfdl-1.3-or-later gpl-1.0 gpl-1.0-only
+gpl-1.0-or-later gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later hpnd icu ijg imatix imlib2
+intel ipa ipl-1.0 isc jasper-2.0 json lgpl-2.0 lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later
+lgpl-3.0 lgpl-3.0-only lgpl-3.0-or-later libpng libpng-2.0 libtiff lppl-1.3c mit mit-0 mit-cmu mpl-1.0 mpl-1.1 mpl-2.0
+ms-pl ms-rl mulanpsl-2.0 ncsa nokia nosl npl-1.1 odbl-1.0 odc-by-1.0 ofl-1.0 ofl-1.1 oldap-2.8 openssl osl-1.0 osl-2.1
+osl-3.0 pddl-1.0 php-3.0 php-3.01 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sgi-b-2.0 sissl sleepycat spl-1.0 sspl-1.0
+unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 xfree86-1.1 zend-2.0 zlib zpl-2.0 zpl-2.1
+""".split())
+EXCEPTION_IDS = frozenset("""
+389-exception autoconf-exception-2.0 autoconf-exception-3.0 bison-exception-2.2 bootloader-exception
+classpath-exception-2.0 clisp-exception-2.0 ecos-exception-2.0 font-exception-2.0 freertos-exception-2.0
+gcc-exception-2.0 gcc-exception-3.1 gnu-javamail-exception gpl-3.0-linking-exception i2p-gpl-java-exception
+libtool-exception linux-syscall-note llvm-exception lzma-exception mif-exception ocaml-lgpl-linking-exception
+openjdk-assembly-exception-1.0 openvpn-openssl-exception qt-gpl-exception-1.0 qt-lgpl-exception-1.1
+swift-exception u-boot-exception-2.0 universal-foss-exception-1.0 wxwindows-exception-3.1
+""".split())
+
 # how restrictive a licence is: an `and` is as restrictive as its strictest part,
 # an `or` as its freest, a `with` exception makes a copyleft licence one step freer
 LEVELS = ("public", "permissive", "weak-copyleft", "copyleft", "network-copyleft", "restricted")
@@ -80,6 +107,7 @@ def to_rpn(expression: str) -> list[str] | None:
     out: list[str] = []
     stack: list[str] = []
     operand = False  # does an operand stand just before?
+    last = ""  # what stands just before: an operator or bracket, "id" or "exception"
     at, text = 0, expression.strip()
     while at < len(text):
         m = _TOKEN.match(text, at)
@@ -87,9 +115,10 @@ def to_rpn(expression: str) -> list[str] | None:
             return None
         at, word = m.end(), (m[1] or m[2]).lower()
         if word == "(":
-            if operand:
+            if operand or last == "with":
                 return None
             stack.append(word)
+            last = word
         elif word == ")":
             if not operand:
                 return None
@@ -98,18 +127,19 @@ def to_rpn(expression: str) -> list[str] | None:
             if not stack:
                 return None
             stack.pop()
+            last = word
         elif word in _PRIORITY:
-            if not operand:
+            if not operand or word == "with" and last != "id":
                 return None
             while stack and stack[-1] != "(" and _PRIORITY[stack[-1]] >= _PRIORITY[word]:
                 out.append(stack.pop())
             stack.append(word)
-            operand = False
+            operand, last = False, word
         else:
             if operand:
                 return None
             out.append(word)
-            operand = True
+            operand, last = True, "exception" if last == "with" else "id"
         if at < len(text) and text[at:].strip() == "":
             break
     if not operand or "(" in stack:
@@ -117,6 +147,19 @@ def to_rpn(expression: str) -> list[str] | None:
     return out + stack[::-1]
 
 
+def known(rpn: list[str]) -> bool:
+    """Are all ids in the tables, exceptions (the operand before a `with`) in theirs?"""
+    for word, after in zip(rpn, [*rpn[1:], ""], strict=True):
+        if word in _PRIORITY:
+            continue
+        if after == "with":
+            if word not in EXCEPTION_IDS:
+                return False
+        elif word.removesuffix("+") not in LICENCE_IDS and not word.startswith(("licenseref-", "documentref-")):
+            return False
+    return True
+
+
 def level_of(licence: str) -> int:
     """Index into LEVELS of a single licence id (permissive if unknown)."""
     return next((n for pattern, n in _LEVEL if pattern.match(licence)), 1)
@@ -173,7 +216,7 @@ def scan(found, text: str | None) -> tuple[int, list[dict], list[dict]]:
         for m in _TAG_LINE.finditer(text):
             written = re.split(r"\*/|-->|#>|\"|'|;", m[1])[0].strip().rstrip(".,")
             rpn = to_rpn(written)
-            if rpn is None:
+            if rpn is None or not known(rpn):
                 hits.append({"label": None, "kind": "unparsed", "word": None, "words": 0})
                 continue
             names, level = evaluate(rpn)

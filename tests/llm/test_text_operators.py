@@ -110,11 +110,24 @@ def test_expressions(text, rpn, names, level):
     assert (got, licences.LEVELS[n]) == (names, level)
 
 
-@pytest.mark.parametrize("text", ["", "and", "MIT MIT", "(MIT", "MIT)", "MIT or", "()", "MIT or or GPL", "MIT & GPL"])
+@pytest.mark.parametrize("text", ["", "and", "MIT MIT", "(MIT", "MIT)", "MIT or", "()", "MIT or or GPL", "MIT & GPL",
+                                  "(MIT or GPL-2.0) with x", "mit with (a and b)", "mit with x with y", "mit with", "with x"])
 def test_ill_formed_expressions(text):
     assert licences.to_rpn(text) is None
 
 
+@pytest.mark.parametrize("expression,labels", [
+    ("GPL-2.0+ WITH Classpath-exception-2.0 OR MIT", ["gpl-2.0+ with classpath-exception-2.0", "mit"]), ("LicenseRef-Acme AND Zlib", ["licenseref-acme", "zlib"]),
+    ("whatever", None), ("MIT OR whatever", None), ("GPL-2.0 WITH MIT", None), ("Classpath-exception-2.0", None),
+    ("(MIT or GPL-2.0) with Classpath-exception-2.0", None), ("MIT with (a and b)", None), ("MIT and", None),
+])
+def test_tags_name_known_licences(expression, labels):
+    _, hits, expressions = licences.scan(licences.automaton(), f"# SPDX-License-Identifier: {expression}\n")
+    found = [(h["kind"], h["label"]) for h in hits if h["kind"] in ("tag", "unparsed")]
+    assert found == ([("unparsed", None)] if labels is None else [("tag", x) for x in labels])
+    assert [e["licences"] for e in expressions] == ([] if labels is None else [labels])
+
+
 def test_licences_against_brute_force(spark):
     rng = random.Random(5)
     parts = ["GNU General-Public\nLicense", "apache license, version 2.0", "CC BY", "cc", "by", "MIT License", "mit", "license", "été", "x1"]
