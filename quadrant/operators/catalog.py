@@ -5,7 +5,10 @@ and latest-by-title (A6).
 Each triple pattern is a filtered scan of the quad table (p = ..., pushed to
 Parquet); patterns sharing a variable become equi-joins that Catalyst orders
 and AQE re-plans. Fixed-object patterns (`a core:Text`, `lastUser harvester`)
-are existence checks, hence semi-joins.
+are existence checks, hence semi-joins. The ids of the graph (layer, media,
+segment, url) are joined first; the properties of a segment share its subject, so
+over a store bucketed by subject they join without a shuffle, and so does the
+aggregation by segment: only ids move.
 """
 
 from __future__ import annotations
@@ -49,6 +52,12 @@ def media_urls(quads: DataFrame) -> DataFrame:
     return inst.join(url, "instance").drop("instance")
 
 
+def segment_ids(quads: DataFrame, media_class: str) -> DataFrame:
+    """(media, media_seg, url) of the media typed `media_class`: ids only, no texts."""
+    return (media_segments(quads).drop("layer").join(typed(quads, media_class), "media", "left_semi")
+            .join(media_urls(quads), "media"))
+
+
 def group_concat(rows: DataFrame, keys: list[str], label_col: str = "lab1",
                  keyword_col: str = "keyword") -> DataFrame:
     """A1: distinct labels joined by ' | ', keywords (not distinct) by ', '.
@@ -69,10 +78,7 @@ def text_documents(quads: DataFrame, media_class: str = K.CORE_TEXT) -> DataFram
                  .join(pattern(quads, K.DC_DESCRIPTION, "media_seg", "presentation"), "media_seg")
                  .join(pattern(quads, K.DC_SUBJECT, "media_seg", "keyword"), "media_seg")
                  .join(pattern(quads, K.CORE_LAST_USER, "media_seg", o_value=K.HARVESTER), "media_seg", "left_semi"))
-    media = typed(quads, media_class)
-    rows = (media_segments(quads).join(media, "media", "left_semi")
-            .join(seg_props, "media_seg")
-            .join(media_urls(quads), "media"))
+    rows = seg_props.join(segment_ids(quads, media_class), "media_seg")
     return group_concat(rows, ["media", "url", "presentation", "media_seg", "creation_date"])
 
 
@@ -82,9 +88,7 @@ def temporal_documents(quads: DataFrame) -> DataFrame:
                  .join(pattern(quads, K.DC_DESCRIPTION, "media_seg", "presentation"), "media_seg")
                  .join(pattern(quads, K.CORE_CREATION_DATE, "media_seg", "creation_date"), "media_seg")
                  .join(pattern(quads, K.DC_SUBJECT, "media_seg", "keyword"), "media_seg"))
-    rows = (media_segments(quads).join(typed(quads, K.CORE_TEMPORAL_DOCUMENT), "media", "left_semi")
-            .join(seg_props, "media_seg")
-            .join(media_urls(quads), "media"))
+    rows = seg_props.join(segment_ids(quads, K.CORE_TEMPORAL_DOCUMENT), "media_seg")
     return (rows.groupBy("lab1", "media", "url", "presentation", "media_seg", "creation_date")
                 .agg(F.expr("listagg(keyword, ', ') WITHIN GROUP (ORDER BY keyword)").alias("keywords"))
                 .withColumnRenamed("lab1", "lab"))
@@ -95,9 +99,7 @@ def interviews(quads: DataFrame) -> DataFrame:
     seg_props = (pattern(quads, K.DC_TITLE, "media_seg", "title")
                  .join(pattern(quads, K.DC_TITLE2, "media_seg", "title2"), "media_seg")
                  .join(pattern(quads, K.CORE_CREATION_DATE, "media_seg", "creation_date"), "media_seg"))
-    rows = (media_segments(quads).join(typed(quads, K.CORE_TEMPORAL_DOCUMENT), "media", "left_semi")
-            .join(seg_props, "media_seg")
-            .join(media_urls(quads), "media"))
+    rows = seg_props.join(segment_ids(quads, K.CORE_TEMPORAL_DOCUMENT), "media_seg")
     return rows.select("media", "title", "title2", "url", "creation_date").distinct()
 
 

@@ -207,3 +207,20 @@ oracle("layer_stats", with_(SEG, body="""
 SELECT media, count(*) AS n_segments, CAST(sum(end_ms - start_ms) AS BIGINT) AS total_ms,
        min(start_ms) AS first_ms, max(end_ms) AS last_ms, count(*) - count(DISTINCT start_raw) AS shared_starts
 FROM seg GROUP BY media"""))
+
+
+oracle("src_media_ranges", with_(SEG, f"""
+files AS (
+  SELECT {media_key('media')} AS media_key,
+         hex(encode(string_agg(text || '.' || chr(10), '' ORDER BY start_ms, end_ms, ord))) AS bytes
+  FROM seg GROUP BY ALL
+),
+ranges AS (
+  SELECT media_key, bytes, CAST(length(bytes) // 2 AS BIGINT) AS length,
+         unnest(range(0, (length(bytes) // 2 + 1023) // 1024)) AS range_no
+  FROM files
+)""", body="""
+SELECT media_key, length, CAST(range_no AS BIGINT) AS range_no, CAST(range_no * 1024 AS BIGINT) AS start,
+       CAST(least(1024, length - range_no * 1024) AS BIGINT) AS n_bytes,
+       md5(substr(bytes, CAST(range_no * 2048 + 1 AS BIGINT), 2048)) AS digest
+FROM ranges"""))

@@ -9,6 +9,7 @@ from quadrant.operators import transcripts as TR
 from quadrant.plans.registry import query
 from quadrant.session import work_dir
 from quadrant.sources import fixtures as FX
+from quadrant.sources.media import media_ranges, read_ranges
 
 
 def seg_keyed(spark, sf_dir):
@@ -91,6 +92,14 @@ def q_src_binary_media(spark, sf_dir):
     return cat.join(files.select("media_key", "length"), "media_key").select("media", "media_key", "length")
 
 
+@query("src_media_ranges")
+def q_src_media_ranges(spark, sf_dir):
+    """Each media file in ranges of 1 KiB, with a digest of every range's bytes."""
+    ranges = read_ranges(media_ranges(spark, land_media_files(spark, sf_dir), range_bytes=1024, suffix="*.txt"))
+    return ranges.select(F.regexp_extract("path", "media_key=([^/]+)/", 1).alias("media_key"), "length", "range_no", "start",
+                         "n_bytes", F.md5(F.encode(F.hex("content"), "utf-8")).alias("digest"))
+
+
 def sentence_model(content: bytes, language: str) -> list[dict]:
     """An example model for the plug-in path: one segment per sentence of the decoded
     bytes, 40 ms per character."""

@@ -91,7 +91,8 @@ def _q(s, p, o, g, kind, datatype=None, lang=None):
 
 
 def catalog_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue graph as a quad set (media, layers, segments, literals)."""
+    """The catalogue graph as quads (media, layers, segments, literals). Documents of one
+    media repeat its quads; the store removes repeats when it places them."""
     c = cat(spark, sf_dir)
     m, seg, layer, inst = F.col("media"), F.col("media_seg"), F.col("layer"), F.col("instance")
     none = F.lit(None).cast("string")
@@ -113,9 +114,8 @@ def catalog_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
         _q(m, K.CORE_INSTANCE, inst, m, "uri"),
         _q(inst, K.CORE_HTTP_URL, F.col("url"), m, "literal"),
     )
-    return (c.select(F.inline(quads))
-             .where(F.col("o").isNotNull() & (F.col("o") != ""))
-             .dropDuplicates())
+    return (c.select(F.inline(F.array_distinct(quads)))
+             .where(F.col("o").isNotNull() & (F.col("o") != "")))
 
 
 def seg(spark: SparkSession, sf_dir: str) -> DataFrame:

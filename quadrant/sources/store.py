@@ -1,11 +1,11 @@
 """The quad store as a written table, and a store that is changed in place.
 
 Graph-pattern queries self-join the quad set many times (one scan per triple
-pattern). The store is Parquet partitioned by predicate and sorted by subject
-inside each predicate: a pattern's `p = ...` filter becomes partition pruning
-(only that predicate's files are listed and opened, however large the store),
-and the subject sort keeps join keys clustered. Writing it also cuts the
-lineage of whatever derived the quads.
+pattern). The store is a Parquet table partitioned by predicate and bucketed by
+subject: a pattern's `p = ...` filter becomes partition pruning (only that
+predicate's files are listed and opened, however large the store), and patterns
+that share a subject (star joins) join bucket by bucket, without a shuffle.
+Writing it also cuts the lineage of whatever derived the quads.
 """
 
 from __future__ import annotations
@@ -18,26 +18,35 @@ from quadrant.session import work_dir, written
 
 QUAD_COLUMNS = ["s", "p", "o", "g", "o_kind", "o_datatype", "o_lang"]
 
+# bytes of planned input of one bucket
+BUCKET_BYTES = 1 << 30
+
 _stored: dict[tuple[str, str], str] = {}
 
 
-def store_quads(spark: SparkSession, quads: DataFrame, name: str) -> str:
-    """Write a quad set (its builder has removed duplicates) to the shared folder,
-    partitioned by p, sorted by s; a frequent predicate spans many range partitions
-    (files)."""
-    path = work_dir(spark, name)
-    (quads.select(QUAD_COLUMNS)
-          .repartitionByRange("p", "s")
-          .sortWithinPartitions("p", "s")
-          .write.mode("overwrite").partitionBy("p").parquet(path))
-    return path
+def bucket_count(spark: SparkSession, quads: DataFrame) -> int:
+    """Buckets by the planner's size of what is stored: at least as many as there are
+    cores or shuffle partitions that input fills, at most what Spark allows."""
+    size = int(str(quads._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return max(1, min(most, max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))))
+
+
+def store_quads(spark: SparkSession, quads: DataFrame, name: str, distinct: bool = False, buckets: int | None = None) -> str:
+    """Write a quad set to the shared folder, partitioned by p and bucketed by s, and
+    return the name of its table. `distinct`: repeats are removed on the way, by the one
+    shuffle on s that places the rows."""
+    path, n = work_dir(spark, name), buckets or bucket_count(spark, quads)
+    placed = quads.select(QUAD_COLUMNS).repartition(n, "s")
+    table = f"quadrant_{path.rstrip('/').rsplit('/', 1)[1].replace('-', '_')}"
+    ((placed.dropDuplicates() if distinct else placed)
+        .write.mode("overwrite").partitionBy("p").bucketBy(n, "s").sortBy("s")
+        .option("path", path).saveAsTable(table))
+    return table
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    # partition values are IRIs: never let type inference reinterpret them
-    return (spark.read.schema("s string, o string, g string, o_kind string, o_datatype string, "
-                              "o_lang string, p string").parquet(path)
-                 .select(QUAD_COLUMNS))
+def read_store(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).select(QUAD_COLUMNS)
 
 
 def catalog_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +54,7 @@ def catalog_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quadrant.sources.fixtures import catalog_quads
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = store_quads(spark, catalog_quads(spark, sf_dir), "catalog-quads")
+        _stored[key] = store_quads(spark, catalog_quads(spark, sf_dir), "catalog-quads", distinct=True)
     return read_store(spark, _stored[key])
 
 
