@@ -8,7 +8,8 @@ and AQE re-plans. Fixed-object patterns (`a core:Text`, `lastUser harvester`)
 are existence checks, hence semi-joins. The ids of the graph (layer, media,
 segment, url) are joined first; the properties of a segment share its subject, so
 over a store bucketed by subject they join without a shuffle, and so does the
-aggregation by segment: only ids move.
+aggregation by segment: only ids
+move (and, in J2, its distinct rows).
 """
 
 from __future__ import annotations
