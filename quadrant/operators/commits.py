@@ -124,7 +124,7 @@ class CommitLog:
         self._promote(attempt, place)
 
 
-def write_attempt(df: DataFrame, log: CommitLog) -> str:
+def write_attempt(df: DataFrame, log: CommitLog, *partitions: str) -> str:
     path = log.attempt_path()
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     return path

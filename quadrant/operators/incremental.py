@@ -21,6 +21,9 @@ from quadrant.operators.commits import CommitLog, write_attempt
 from quadrant.operators.positions import dense_position
 from quadrant.session import ship_package
 
+# runs that one job prepares where many are due
+RUNS_PER_JOB = 1024
+
 
 # ------------------------------------------------------------------ T1
 def stage_positions(rows: DataFrame, order: list[str], path: str) -> DataFrame:
@@ -59,6 +62,35 @@ def run_offset_batch(spark: SparkSession, staged: DataFrame, process: Callable[[
     return int(last) + 1 - start
 
 
+def run_offset_batches(spark: SparkSession, staged: DataFrame, process: Callable[[DataFrame], DataFrame],
+                       results_path: str, state_path: str, size: int = K.ROWS_PER_BATCH, runs: int = RUNS_PER_JOB) -> int:
+    """The next `runs` runs of `run_offset_batch` (fewer at the end) by one job, as a run
+    of few rows costs a job's start and little else. `process` gets the rows with their
+    run's `batch_id`, works row by row and keeps that column.
+
+    Each run still has its own results partition and its own commit, made in order: where
+    this dies, the runs committed so far count and the others are redone. On a
+    CommitConflict nothing of the run in conflict and those behind it is left. Returns
+    rows processed."""
+    log = CommitLog(spark, state_path)
+    number, state = log.recover()
+    start = int(state.get("committed", 0))
+    part = staged.where((F.col("pos") >= start) & (F.col("pos") < start + size * runs))
+    seen = Observation()
+    own = F.col("pos") - F.pmod(F.col("pos") - start, F.lit(size))
+    rows = part.observe(seen, F.max("pos").alias("last")).withColumn("batch_id", own.cast("bigint"))
+    attempt = write_attempt(process(rows), log, "batch_id")
+    last = seen.get["last"]
+    end = start if last is None else int(last) + 1
+    try:
+        for first in range(start, end, size):
+            number += 1
+            log.publish(number, {"committed": min(first + size, end)}, f"{attempt}/batch_id={first}", f"{results_path}/batch_id={first}")
+    finally:
+        log.discard(attempt)
+    return end - start
+
+
 # ------------------------------------------------------------------ T2
 def window_days(as_of: str, last_run: str | None, lookback: int = K.FIRST_RUN_LOOKBACK_DAYS) -> int:
     """First run looks back `lookback` days, later runs cover since the last run."""

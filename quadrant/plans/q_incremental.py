@@ -22,15 +22,17 @@ PUBLISH_ENDPOINT = "https://store.example.org/api/set_media"
 
 def _text_rows(df):
     kw = F.when(F.col("doc_id") % 11 != 0, F.concat_ws(", ", "k1", "k2", "k3"))
-    rows = df.select("media_seg", F.col("label").alias("lab"), "presentation", kw.alias("keywords"))
-    return T.classification_text(rows).select("media_seg", "text")
+    run = [c for c in df.columns if c == "batch_id"]
+    rows = df.select("media_seg", F.col("label").alias("lab"), "presentation", kw.alias("keywords"), *run)
+    return T.classification_text(rows).select("media_seg", "text", *run)
 
 
 @query("incremental_offset")
 def q_incremental_offset(spark, sf_dir):
     """Offset-resumed runs of 500 rows until nothing is left, over an input
     that grows: first its first seven tenths (their last run is short), then all.
-    The first run dies after writing its results and is redone."""
+    The first run dies after writing its results and is redone. One job prepares many
+    runs; each has its own commit."""
     work = work_dir(spark, "t1")
     staged = INC.stage_positions(FX.cat(spark, sf_dir), ["ord"], f"{work}/input")
     early = staged.where(F.col("pos") < staged.count() * 7 // 10)
@@ -38,7 +40,7 @@ def q_incremental_offset(spark, sf_dir):
     # a run that dies after writing its results but before its state is redone from the same offset
     INC.run_offset_batch(spark, early, _text_rows, res, state, commit_state=False)
     for grown in (early, staged):
-        while INC.run_offset_batch(spark, grown, _text_rows, res, state):
+        while INC.run_offset_batches(spark, grown, _text_rows, res, state):
             pass
     return spark.read.schema("media_seg string, text string, batch_id bigint").parquet(res)
 

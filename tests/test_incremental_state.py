@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quadrant.operators import incremental as INC
+from quadrant.operators.commits import CommitLog
 from quadrant.session import work_dir
 from quadrant.streaming import ingest as ST
 
@@ -19,6 +20,38 @@ def test_offset_runs_over_a_growing_input(spark):
     assert sorted(r.batch_id for r in got.select("batch_id").distinct().collect()) == [0, 500, 700, 1200]
 
 
+def test_many_offset_runs_by_one_job(spark, monkeypatch):
+    """The same partitions, commits and rows as run by run; a death between two commits
+    leaves the runs before it, and nothing of the others."""
+    import os
+
+    import pytest
+    rows = spark.range(2300).select(F.col("id").alias("pos"))
+    works, plain = [work_dir(spark, f"t1-jobs-{i}") for i in range(2)], lambda df: df.where("pos % 7 > 0")
+    for grown in (rows.where("pos < 700"), rows):
+        while INC.run_offset_batch(spark, grown, plain, f"{works[0]}/results", f"{works[0]}/state"):
+            pass
+    res, state, publish, made = f"{works[1]}/results", f"{works[1]}/state", CommitLog.publish, []
+
+    def dies(log, number, *rest):
+        if number == 1 and not made:
+            made.append(number)
+            raise KeyboardInterrupt
+        publish(log, number, *rest)
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "publish", dies)
+        with pytest.raises(KeyboardInterrupt):
+            INC.run_offset_batches(spark, rows.where("pos < 700"), plain, res, state)
+    assert INC.committed_rows(spark, state) == spark.read.parquet(res).agg(F.max("pos")).first()[0] + 1 == 500
+    assert INC.run_offset_batches(spark, rows.where("pos < 700"), plain, res, state) == 200
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    assert [INC.run_offset_batches(spark, rows, plain, res, state, runs=2) for _ in range(3)] == [1000, 600, 0]
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - jobs <= 3
+    one, many = (sorted(map(tuple, spark.read.parquet(f"{w}/results").select("pos", "batch_id").collect())) for w in works)
+    assert one == many and sorted({b for _, b in many}) == [0, 500, 700, 1200, 1700, 2200]
+    assert CommitLog(spark, state).latest()[0] == 5 and not os.listdir(f"{state}.attempts".removeprefix("file:"))
+
+
 def test_interrupted_dated_run_redone_a_day_later(spark):
     work = work_dir(spark, "t2-redo")
     rows = spark.range(1, 32).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") - 1).cast("int")).alias("d"))
