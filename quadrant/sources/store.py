@@ -18,8 +18,8 @@ from quadrant.session import work_dir, written
 
 QUAD_COLUMNS = ["s", "p", "o", "g", "o_kind", "o_datatype", "o_lang"]
 
-# bytes of planned input of one bucket
-BUCKET_BYTES = 1 << 30
+# bytes of planned input of one bucket: one task sorts a bucket when it is written, and joins it with its neighbours'
+BUCKET_BYTES = 1 << 26
 
 _stored: dict[tuple[str, str], str] = {}
 

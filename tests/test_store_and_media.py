@@ -48,6 +48,13 @@ def test_store_holds_a_set_of_quads(spark):
     assert empty.columns == QUAD_COLUMNS and empty.count() == 0
 
 
+def test_buckets_grow_with_the_input(spark):
+    """A bucket is one task's share, so its planned size is bounded: 2 GiB make 32 buckets."""
+    from quadrant.sources.store import bucket_count
+    assert bucket_count(spark, spark.range(1 << 28)) >= 32
+    assert bucket_count(spark, spark.range(10)) == spark.sparkContext.defaultParallelism
+
+
 def test_ranges_rebuild_every_file(spark):
     folder = tempfile.mkdtemp(prefix="quadrant-media-")
     files = {"a.bin": bytes(range(256)) * 41, "b c+é%20.bin": b"\x00" * 1000, "exact.bin": b"x" * 3000, "none.bin": b"", "other.txt": b"no"}
