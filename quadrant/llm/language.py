@@ -19,8 +19,8 @@ On a calibration fold, kept out of the counts, a logistic curve is fitted from t
 lead over the second language to the chance of being right (the score), and for
 each language and size class the cross-entropy that hardly any right text exceeds
 (quantile REJECT_QUANTILE plus REJECT_SLACK, more for short texts): texts beyond it
-are rejected. The
-calibration uses about MAX_CALIBRATION rows at most (those with the smallest hashes).
+are rejected. The calibration uses all rows of the fold: Spark sums them by cells of
+evidence for the curve, and the quantiles are exact.
 
 Defined cases: null, empty and letterless texts are `und` with score 0 and are
 rejected; training rows with null text, null language or no letters teach nothing;
@@ -41,14 +41,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadrant.llm.common import SLICE_BYTES, batches_of, hashed_sample, python_ready, slices, written
+from quadrant.llm.common import SLICE_BYTES, batches_of, python_ready, slices, written
 from quadrant.llm.segments import LETTER, classes, segment
 
 ORDER = 4
 #: Entries (n-grams and contexts) of the largest model that is broadcast whole.
 MAX_GRAMS = 1 << 20
-MAX_CALIBRATION = 20_000
 REJECT_QUANTILE, REJECT_SLACK = 0.999, 0.35
+#: Cells to a unit of evidence in which the curve's rows are summed.
+CELLS = 1024
 #: Characters that an unseen one is drawn from.
 CHARACTERS = 1 << 16
 BEGIN, STOP = 2, 3  # marks, as code points no letter has
@@ -362,42 +363,62 @@ def by_slices(rows: DataFrame, models: Tables, schema: str) -> DataFrame:
 
 
 class Calibration:
-    """Score curve and rejection limits."""
-
-    def __init__(self, sample: pd.DataFrame):
-        known = sample[sample.lang_pred != UNKNOWN]
-        x = self.evidence(known.lead.to_numpy(), known["size"].to_numpy())
-        y = (known.lang_pred == known.lang).to_numpy(float)
+    """Score curve and rejection limits, from every row of the calibration fold."""
+
+    def __init__(self, rows: DataFrame):
+        """rows(lang, lang_pred, cross_entropy, lead, size), a written table."""
+        known = rows.filter(F.col("lang_pred") != UNKNOWN)
+        right = F.col("lang_pred") == F.col("lang")
+        # every row counts, in a cell of 1/CELLS of the evidence (60 at most) at the mean of the cell's rows
+        points = known.select(self.evidence().alias("x"), right.cast("long").alias("y")).groupBy(F.floor(F.col("x") * CELLS).alias("cell")).agg(
+            F.avg("x").alias("x"), F.sum("y").alias("y"), F.count("*").alias("n")).orderBy("cell").toPandas()
+        x, y, n = (points[c].to_numpy(float) for c in ("x", "y", "n"))
         a = np.zeros(2)
         if len(x):
             m = np.stack([np.ones_like(x), x], 1)
             for _ in range(50):  # Newton's method with a small ridge
                 p = 1 / (1 + np.exp(-np.clip(m @ a, -30, 30)))
-                grad = m.T @ (y - p) - 0.01 * a
-                hess = (m * (p * (1 - p))[:, None]).T @ m + 0.01 * np.eye(2)
+                grad = m.T @ (y - n * p) - 0.01 * a
+                hess = (m * (n * p * (1 - p))[:, None]).T @ m + 0.01 * np.eye(2)
                 step = np.linalg.solve(hess, grad)
                 a = a + np.clip(step, -5, 5)
                 if np.abs(step).max() < 1e-8:
                     break
         self.curve = (float(a[0]), float(a[1]))
-        right = known[y == 1]
+        band = F.least(F.lit(12), F.floor(F.log2("size")).cast("int"))
+        found = self.quantiles(known.filter(right).select(F.col("lang_pred").alias("lang"), F.explode(F.array(band, F.lit(-1))).alias("band"), "cross_entropy"))
         self.limits: list[tuple[str, int, float]] = []
-        for lang, g in right.groupby("lang_pred"):
-            band = np.minimum(np.log2(g["size"].to_numpy()).astype(int), 12)
-            pooled = float(np.quantile(g.cross_entropy, REJECT_QUANTILE))
+        for lang, pooled in sorted((lang, own[1]) for (lang, b), own in found.items() if b < 0):
             for b in range(13):
-                own = g.cross_entropy[band == b]
-                high = float(np.quantile(own, REJECT_QUANTILE)) if len(own) >= 200 else max(pooled, float(own.max()) if len(own) else pooled)
+                n_own, own, most = found.get((lang, b), (0, pooled, pooled))
+                high = own if n_own >= 200 else max(pooled, most)
                 # the entropy of a short text strays as the root of its size
                 self.limits.append((lang, b, high + REJECT_SLACK + 4.0 / 2 ** (b / 2)))
 
     @staticmethod
-    def evidence(lead: np.ndarray, size: np.ndarray) -> np.ndarray:
-        return np.minimum(lead * np.sqrt(size), 60.0)
+    def quantiles(rows: DataFrame) -> dict[tuple[str, int], tuple[int, float, float]]:
+        """rows(lang, band, cross_entropy) -> per class the number of rows, the exact
+        REJECT_QUANTILE quantile (between two rows as numpy has it) and the largest. Of a
+        class of many rows the driver gets the distinct values of its upper hundredth:
+        an approximate quantile, less than 1/1000 off in rank, tells where that begins."""
+        approx = F.percentile_approx("cross_entropy", 0.99, 1000)
+        classes = rows.groupBy("lang", "band").agg(F.count("*").alias("n"), F.when(F.count("*") >= 1000, approx).otherwise(F.lit(float("-inf"))).alias("border"))
+        upper = (rows.join(F.broadcast(classes), ["lang", "band"]).filter(F.col("cross_entropy") >= F.col("border"))
+                 .groupBy("lang", "band", "n", "cross_entropy").agg(F.count("*").alias("times")).toPandas())
+        out = {}
+        for (lang, b, n), g in upper.sort_values("cross_entropy", ascending=False).groupby(["lang", "band", "n"], sort=False):
+            value, down_to = g.cross_entropy.to_numpy(), g.times.cumsum().to_numpy()
+            at = REJECT_QUANTILE * (n - 1)
+            low, high = (float(value[np.searchsorted(down_to, n - 1 - k, "right")]) for k in (np.floor(at), np.ceil(at)))
+            out[lang, int(b)] = (int(n), low + (high - low) * (at % 1), float(value[0]))
+        return out
+
+    @staticmethod
+    def evidence() -> Column:
+        return F.least(F.col("lead") * F.sqrt("size"), F.lit(60.0))
 
     def score(self) -> Column:
-        x = F.least(F.col("lead") * F.sqrt("size"), F.lit(60.0))
-        p = 1 / (1 + F.exp(-(F.lit(self.curve[0]) + self.curve[1] * x)))
+        p = 1 / (1 + F.exp(-(F.lit(self.curve[0]) + self.curve[1] * self.evidence())))
         return F.when(F.col("lang_pred") == UNKNOWN, F.lit(0.0)).otherwise(p)
 
     def rejected(self) -> Column:
@@ -410,19 +431,19 @@ class Calibration:
 
 
 def identify(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             max_grams: int = MAX_GRAMS, max_calibration: int = MAX_CALIBRATION, keep: tuple[str, ...] = ()) -> DataFrame:
+             max_grams: int = MAX_GRAMS, keep: tuple[str, ...] = ()) -> DataFrame:
     """The `keep` columns (id_col if none) of every row of `docs` with `_lid_lang`,
     `_lid_score`, `_lid_rejected`, `_lid_entropy` and `_lid_size`. Rows with `train` and a
-    language teach: a quarter of them, by id hash, calibrates (about `max_calibration`
-    of these, by a hash of the row, repeated rows once), the others count."""
+    language teach: a quarter of them, by id hash, calibrates (each of these rows,
+    repeated ones once), the others count."""
     python_ready(docs.sparkSession)
     text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
     key = F.xxhash64(F.col(f"`{id_col}`").cast("string"))
     taught = docs.filter(train & lang.isNotNull() & text.isNotNull()).select(text.alias("text"), lang.alias("lang"), key.alias("key"))
     fold = F.pmod(F.shiftright("key", 8), F.lit(4)) == 0
     models = fit(taught.filter(~fold).select("text", "lang"), max_grams)
-    sample = hashed_sample(taught.filter(fold).withColumn("key", F.xxhash64("key", "text", "lang")), "key", max_calibration)
-    calibration = Calibration(measured(sample.select("lang", "text"), models).toPandas())
+    held = taught.filter(fold).withColumn("key", F.xxhash64("key", "text", "lang")).dropDuplicates(["key"])
+    calibration = Calibration(written(measured(held.select("lang", "text"), models), "lid-calibration"))
     columns = list(keep) or [id_col]
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], text.alias("text"))
     out = measured(rows, models)

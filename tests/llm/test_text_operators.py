@@ -238,3 +238,20 @@ def test_digest_of_edited_text(spark):
     m = len(last) // 3
     assert r.edited_sha256 == hashlib.sha256((last[:len(last) - m] + top[:m]).encode()).hexdigest()
     assert 0 <= r.near_next <= r.near_edited <= 1 and np.isfinite(r.near_edited)
+
+
+def test_language_calibrates_on_every_row(spark):
+    """Quantiles as numpy has them and a curve from all rows, however many."""
+    import numpy as np
+    n = 30_000
+    rows = spark.range(n).select(F.lit("en").alias("lang"), F.when(F.col("id") % 10 == 0, "fr").otherwise("en").alias("lang_pred"),
+                                 (F.floor(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / 64) / 5000).alias("cross_entropy"),
+                                 (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000).alias("lead"), F.when(F.col("id") % 3 == 0, 5.0).otherwise(300.0).alias("size"))
+    got, data = language.Calibration(rows), rows.toPandas()
+    data = data[data.lang_pred == data.lang]
+    for band, size in ((2, 5.0), (8, 300.0)):
+        high = np.quantile(data.cross_entropy[data["size"] == size], language.REJECT_QUANTILE)
+        assert abs(dict(((lang, b), x) for lang, b, x in got.limits)["en", band] - high - language.REJECT_SLACK - 4 / 2 ** (band / 2)) < 1e-9
+    x = np.minimum(rows.toPandas().lead * np.sqrt(rows.toPandas()["size"]), 60)
+    right = 1 / (1 + np.exp(-(got.curve[0] + got.curve[1] * x)))
+    assert abs(right.mean() - 0.9) < 1e-3  # the fit's mean is the share that is right
