@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrant.session import work_dir
+from quadrant.session import python_ready, work_dir  # noqa: F401
 
 #: Python-side slices of an Arrow batch hold about this many text bytes
 #: (one row at least), so numpy temporaries stay small whatever the row count.
@@ -114,16 +114,6 @@ def batches_of(texts: list[str | None], limit: int = SLICE_BYTES) -> Iterator[tu
         yield numbers, parts
 
 
-def python_ready(spark: SparkSession) -> None:
-    """Bound the Arrow batches sent to Python workers where the session keeps
-    Spark's defaults: rows of long texts would otherwise make huge batches."""
-    for key, default, ours in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
-                               ("spark.sql.execution.arrow.maxBytesPerBatch", None, "16m")):
-        now = spark.conf.get(key, None)
-        if default is None or now == default:
-            spark.conf.set(key, ours)
-
-
 def most_frequent(counts: DataFrame, key: str, most: int) -> list:
     """Keys (with n) of the count classes, eighths of a power of two, that fit into
     `most` rows from the top; only they and the class sizes reach the driver."""

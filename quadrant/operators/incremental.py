@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
 from quadrant.functions.expressions import nq_line, percent_encode_path
-from quadrant.operators.commits import CommitLog, write_attempt
+from quadrant.operators.commits import CommitConflict, CommitLog, write_attempt
 from quadrant.operators.positions import dense_position
-from quadrant.session import ship_package
+from quadrant.session import python_ready, ship_package
 
 # runs that one job prepares where many are due
 RUNS_PER_JOB = 1024
@@ -86,8 +86,10 @@ def run_offset_batches(spark: SparkSession, staged: DataFrame, process: Callable
         for first in range(start, end, size):
             number += 1
             log.publish(number, {"committed": min(first + size, end)}, f"{attempt}/batch_id={first}", f"{results_path}/batch_id={first}")
-    finally:
+    except CommitConflict:  # after any other failure `recover` may need a run that is committed and not in its place
         log.discard(attempt)
+        raise
+    log.discard(attempt)
     return end - start
 
 
@@ -143,8 +145,10 @@ def with_request(records: DataFrame, endpoint: str, mimetype: str, segment_type:
 
 
 def _attempt(records: DataFrame, key: str, publisher: Publisher, attempt: int) -> DataFrame:
-    """One ack per key: ok if all its records were accepted."""
+    """One ack per key: ok if all its records were accepted. Records hold lists and
+    graphs, so a publisher gets bounded batches of them."""
     ship_package(records.sparkSession)
+    python_ready(records.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -20,7 +20,7 @@ from quadrant.functions import constants as K
 from quadrant.functions.expressions import trim_space
 from quadrant.operators.positions import dense_position
 from quadrant.operators.textprep import vocab_dedupe, with_qualified
-from quadrant.session import ship_package, written
+from quadrant.session import python_ready, ship_package, written
 
 # words of one Aho-Corasick automaton; a larger vocabulary makes several blocks
 WORDS_PER_BLOCK = 100_000
@@ -98,6 +98,7 @@ def matched_words(texts: DataFrame, blocks: DataFrame, id_col: str = "media_seg"
     words were, and compared code point by code point, like `contains`."""
     spark = texts.sparkSession
     ship_package(spark)
+    python_ready(spark)
     shared = []  # broadcast block by block
     for r in blocks.toLocalIterator():
         words = sorted(r["words"])

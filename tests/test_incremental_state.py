@@ -49,7 +49,23 @@ def test_many_offset_runs_by_one_job(spark, monkeypatch):
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - jobs <= 3
     one, many = (sorted(map(tuple, spark.read.parquet(f"{w}/results").select("pos", "batch_id").collect())) for w in works)
     assert one == many and sorted({b for _, b in many}) == [0, 500, 700, 1200, 1700, 2200]
-    assert CommitLog(spark, state).latest()[0] == 5 and not os.listdir(f"{state}.attempts".removeprefix("file:"))
+    assert CommitLog(spark, state).latest()[0] == 5 and len(os.listdir(f"{state}.attempts".removeprefix("file:"))) == 1  # of the run that died
+
+
+def test_death_between_commit_and_rename_among_many_runs(spark, monkeypatch):
+    import pytest
+    work, rows = work_dir(spark, "t1-death"), spark.range(1200).select(F.col("id").alias("pos"))
+    res, state = f"{work}/results", f"{work}/state"
+
+    def die(*_):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "_promote", die)
+        with pytest.raises(KeyboardInterrupt):
+            INC.run_offset_batches(spark, rows, lambda df: df, res, state)
+    assert INC.committed_rows(spark, state) == 500
+    assert INC.run_offset_batches(spark, rows, lambda df: df, res, state) == 700
+    assert spark.read.parquet(res).select("pos").distinct().count() == spark.read.parquet(res).count() == 1200
 
 
 def test_interrupted_dated_run_redone_a_day_later(spark):
@@ -98,3 +114,11 @@ def test_media_is_the_unit_of_retries(spark):
         return (pdf["media_seg"] != "s2") | (attempt >= 3)
     got = {r.media: (r.status, r.attempts) for r in INC.publish_with_retry(spark, recs, "media", publisher, f"{work}/acks").collect()}
     assert got == {"m1": ("published", 3), "m2": ("published", 1)}
+
+
+def test_publisher_gets_bounded_batches(spark):
+    """Whatever lies in a task: a worker's memory follows the batch, not the input."""
+    recs = spark.range(0, 600, 1, 1).select(F.concat(F.lit("m"), F.col("id")).alias("media"), F.repeat(F.lit("s"), 100_000).alias("media_seg"))
+    small = lambda pdf, attempt: (pdf["media"] != "") & (pdf["media_seg"].str.len().sum() < 32 << 20)
+    status = INC.publish_with_retry(spark, recs, "media", small, f"{work_dir(spark, 'k8-size')}/acks")
+    assert [(r.status, r.attempts, r["count"]) for r in status.groupBy("status", "attempts").count().collect()] == [("published", 1, 600)]
