@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quadrant.llm.common import batches_of, most_frequent, python_ready, slices
+from quadrant.llm.common import batches_of, lean, most_frequent, python_ready, slices
 from quadrant.llm.segments import SPECIAL_CP, distinct_words, segment
 from quadrant.session import work_dir
 
@@ -400,7 +400,7 @@ def word_counts(docs: DataFrame, text_col: str, file: str) -> DataFrame:
                 yield out(counts)
                 counts = Counter()
         yield out(counts)
-    return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(lean(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def ship_lexicon(spark: SparkSession, words: list[str], path: str) -> str:
@@ -443,7 +443,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], ["id", "ids"])
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(lean(run), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 class Decoder:
@@ -485,7 +485,7 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
                  pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back.texts(ids, stops)], pa.string())],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(lean(run), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
@@ -503,4 +503,4 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
             stops = np.cumsum([0] + pc.fill_null(pc.list_value_length(column), 0).to_pylist()).tolist()
             texts = back.texts(column.flatten().fill_null(-1).to_numpy(), stops)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(lean(run), schema)

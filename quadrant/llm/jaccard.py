@@ -51,13 +51,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quadrant.llm.common import batches_of, most_frequent, python_ready, shuffle_partitions, slices, written
+from quadrant.llm.common import batches_of, lean, most_frequent, python_ready, shuffle_partitions, slices, written
 from quadrant.llm.language import mixed
 
 FREQUENT = 8
 MAX_FREQUENT = 1 << 18
 #: Hashes that a task packs together when shingles are counted.
-WINDOW = 1 << 22
+WINDOW = 1 << 21
+#: Text bytes of a slice; numpy's temporaries take some 50 times as much.
+SLICE_BYTES = 1 << 20
 CLASS_SHARE = 16
 CENTRES, NEAR = 3, 4
 #: Bits of the filter of wanted classes that is broadcast (1 MB).
@@ -167,11 +169,11 @@ def classes(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(f"`{id_col}`").cast(kind).alias("id"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             sets = shingle_sets(part.column("text").to_pylist(), n)
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                                               pa.array([class_of(s) for s in sets], pa.int64())], ["id", "size", "class"])
-    return rows.mapInArrow(run, f"id {kind}, size long, class long")
+    return rows.mapInArrow(lean(run), f"id {kind}, size long, class long")
 
 
 def key_shift(ranges: int) -> int:
@@ -193,7 +195,7 @@ def counted_shingles(docs: DataFrame, n: int, text_col: str, ranges: int) -> Dat
             return pa.RecordBatch.from_arrays([pa.array(np.arange(ranges, dtype=np.int32)), *[
                 pa.array([p[k].tobytes() for p in parts], pa.binary()) for k in range(3)]], ["range", "once", "often", "times"])
         window, seen, held = [], set(), 0
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             for s in shingle_sets(part.column("text").to_pylist(), n):
                 if len(s) and (c := class_of(s)) not in seen:  # copies in a window count once
                     seen.add(c)
@@ -215,7 +217,7 @@ def counted_shingles(docs: DataFrame, n: int, text_col: str, ranges: int) -> Dat
         often = total >= FREQUENT
         base = int(group.column("range")[0].as_py()) << 32
         return pa.table({"key": pa.array(key[first][often].astype(np.int64) + base, pa.int64()), "n": pa.array(total[often], pa.int64())})
-    made = _text(docs, text_col).mapInArrow(run, "range int, once binary, often binary, times binary")
+    made = _text(docs, text_col).mapInArrow(lean(run), "range int, once binary, often binary, times binary")
     return made.groupBy("range").applyInArrow(count, "key long, n long")
 
 
@@ -225,7 +227,7 @@ def signature_rows(docs: DataFrame, n: int, num: int, den: int, text_col: str, f
     rest (shingles of the set that no single signature stands for)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ranks, shift = frequent.value
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             sig, single, key, size, rare, rest = [], [], [], [], [], []
             done = set()  # copies in a slice give the same rows
             for s in shingle_sets(part.column("text").to_pylist(), n):
@@ -247,7 +249,7 @@ def signature_rows(docs: DataFrame, n: int, num: int, den: int, text_col: str, f
             if sig:
                 columns = [np.concatenate(sig).view(np.int64), *map(np.concatenate, (single, key, size, rare, rest))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "single", "class", "size", "rare", "rest"])
-    return _text(docs, text_col).mapInArrow(run, "sig long, single boolean, class long, size int, rare boolean, rest int")
+    return _text(docs, text_col).mapInArrow(lean(run), "sig long, single boolean, class long, size int, rare boolean, rest int")
 
 
 def sets_of(docs: DataFrame, n: int, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -264,7 +266,7 @@ def sets_of(docs: DataFrame, n: int, text_col: str, wanted: DataFrame) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allowed = shared.value
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             found = {}
             for s in shingle_sets(part.column("text").to_pylist(), n):
                 c = class_of(s)
@@ -272,7 +274,7 @@ def sets_of(docs: DataFrame, n: int, text_col: str, wanted: DataFrame) -> DataFr
                 if allowed[at >> 3] >> (at & 7) & 1:
                     found[c] = s.tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["class", "set"])
-    rows = _text(docs, text_col).mapInArrow(run, "class long, set binary")
+    rows = _text(docs, text_col).mapInArrow(lean(run), "class long, set binary")
     return rows.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("set").alias("set"))
 
 
@@ -292,7 +294,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int, text
                 inter = int((merged[1:] == merged[:-1]).sum())
                 keep.append(den * inter >= num * (len(x) + len(y) - inter))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(lean(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import empty, frame, odd, odd_rows, words
 from hypothesis import given, settings
@@ -16,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quadrant.llm import bpe, dac, jaccard, language, mixing, urls, vptree
+from quadrant.llm import bpe, common, dac, jaccard, language, mixing, urls, vptree
 from quadrant.llm.common import batches_of, hashed_sample
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -50,6 +51,68 @@ def test_long_texts_give_the_same_in_pieces(monkeypatch):
     assert results() == whole
 
 
+class _Task:
+    """Stands for a table and keeps the function that its tasks run."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        self.run = run
+        return self
+
+    def groupBy(self, *_):  # noqa: N802
+        return self
+
+    def agg(self, *_):
+        return self
+
+    def applyInArrow(self, run, schema):  # noqa: N802
+        return self
+
+
+def test_a_task_holds_few_counts_and_gives_its_memory_back(spark, monkeypatch):
+    rng = random.Random(15)
+    back = []
+    monkeypatch.setattr(common, "give_back", lambda: back.append(1))
+    monkeypatch.setattr(language, "HELD_GRAMS", 400)
+    batches = [pa.RecordBatch.from_pydict({"text": [words(rng, 60), None, words(rng, 60)], "lang": ["en", "de", rng.choice(["de", "fr"])]}) for _ in range(12)]
+    drawn, task = [], _Task()
+    language.gram_counts(task)
+    out = task.run(drawn.append(b) or b for b in batches)
+    sent = [next(out)]
+    assert len(drawn) < len(batches)  # counts leave before the task has read all
+    got, want = Counter(), Counter()
+    for part in [*sent, *out]:
+        for r in part.to_pylist():
+            got[tuple(r[c] for c in ("lang", "k", "h", "context", "suffix", "begins"))] += r["n"]
+    for b in batches:
+        for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist(), strict=True):
+            for k, h, context, suffix, begins, n in language.count_grams([text or ""]).tolist():
+                want[lang, k, h, context, suffix, begins] += n
+    assert got == want and len(back) == 1
+    jaccard.counted_shingles(task, 3, "text", 4)
+    assert len(list(task.run(iter(batches)))) == 1 and len(back) == 2
+
+
+def test_freed_memory_goes_back_to_the_system():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 >> 20
+    kept = []
+
+    def run(batches):
+        for b in batches:
+            parts = [np.ones(12_000) for _ in range(2_500)]  # 96 kB each, below malloc's border for maps of their own
+            kept.append(parts[-1])  # lies behind what is freed
+            del parts
+            yield b
+    batch = pa.RecordBatch.from_pydict({"a": [1]})
+    before = resident()
+    assert list(common.lean(run)(iter([batch]))) == [batch]
+    assert resident() - before < 100
+
+
 # ---------------------------------------------------------------- 5
 def _components(rows, n, num, den):
     sets, home = [], defaultdict(list)
