@@ -14,7 +14,7 @@ move (and, in J2, its distinct rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrant.functions import constants as K
@@ -120,14 +120,41 @@ def titles_in_lang(quads: DataFrame, titles: DataFrame, lang: str = "fr") -> Dat
     return t.join(titles.select("title").distinct(), "title", "left_semi")
 
 
-def lookup_titles(quads: DataFrame, titles: DataFrame, lang: str = "fr") -> DataFrame:
+#: rows of one title on either side of a cell of `lookup_titles`: a cell makes at most about the square of it
+CELL_ROWS = 512
+
+
+def lookup_titles(quads: DataFrame, titles: DataFrame, lang: str = "fr", cell: int = CELL_ROWS) -> DataFrame:
     """Each asked title -> its catalogue media; unmatched titles give no row,
-    repeated titles give repeated rows (no distinct)."""
+    repeated titles give repeated rows (no distinct).
+
+    A title asked n times that m segments bear has n x m rows. The catalogue's side is
+    joined to (title, media, url) first, so these rows are made by the last join and never
+    shuffled. The rows of a title with more than `cell` of them on a side are dealt to
+    cells of about `cell` by `cell` rows, and each cell is a key of its own: the rows of a
+    frequent title are made by many tasks."""
     t = pattern(quads, K.DC_TITLE, "media_seg", "title", lang=lang)
-    hits = titles.join(t, "title")
-    return (hits.join(media_segments(quads).drop("layer"), "media_seg")
-                .join(media_urls(quads), "media")
-                .select("line_no", "title", "media", "url"))
+    asked = written(titles.where(F.col("title").isNotNull()).select("line_no", "title"), "asked-titles")
+    found = written(t.join(asked.select("title"), "title", "left_semi")
+                     .join(media_segments(quads).drop("layer"), "media_seg")
+                     .join(media_urls(quads), "media")
+                     .select("title", "media", "url", F.xxhash64("media_seg", "media", "url").alias("_hash")), "titled-media")
+    cells = lambda n: F.ceil(F.col(n) / cell).cast("int")
+    many = written(asked.groupBy("title").agg(F.count(F.lit(1)).alias("n"))
+                        .join(found.groupBy("title").agg(F.count(F.lit(1)).alias("m")), "title")
+                        .where((F.col("n") > cell) | (F.col("m") > cell))
+                        .select("title", cells("n").alias("_rows"), cells("m").alias("_cols")), "many-titles")
+
+    def dealt(side: DataFrame, own: str, other: str, by: Column) -> DataFrame:
+        """Rows with the cells that they belong to: one of their own side, all of the other."""
+        return (side.join(many, "title", "left")
+                    .withColumn(own, F.coalesce(F.pmod(by, F.col(own)), F.lit(0)).cast("int"))
+                    .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))))
+    n = int(quads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["title", "_rows", "_cols"]
+    lines = dealt(asked, "_rows", "_cols", F.xxhash64("line_no")).repartition(n, *key)
+    media = dealt(found, "_cols", "_rows", F.col("_hash")).repartition(n, *key)
+    return lines.join(media, key).select("line_no", "title", "media", "url")
 
 
 def recent(rows: DataFrame, as_of: str, days: int, date_col: str = "created") -> DataFrame:

@@ -54,3 +54,27 @@ def test_deliver_batches(spark):
     acks = deliver_batches(update_batches(q), lambda reqs: pd.Series([r.startswith("INSERT DATA {") for r in reqs]))
     got = acks.collect()
     assert all(r.ok for r in got) and sum(r.n_quads for r in got) == 1200
+
+
+def test_lookup_titles_hot_title(spark):
+    """A title asked and borne often: its rows are made by many tasks, and not shuffled."""
+    from quadrant.functions import constants as K
+    from quadrant.operators.catalog import lookup_titles
+    # segments 0..299 bear `hot`, the others a title of their own; every media has two segments, media 0 has no url
+    title = [("hot" if i < 300 else f"t{i}", i) for i in range(320)]
+    rows = [(f"seg{i}", K.DC_TITLE, t, "fr" if i % 10 else "en") for t, i in title]
+    rows += [(f"layer{i // 2}", K.CORE_SEGMENT, f"seg{i}", None) for i in range(320)]
+    rows += [(f"layer{i}", K.CORE_DOCUMENT, f"m{i}", None) for i in range(160)]
+    rows += [(f"m{i}", K.CORE_INSTANCE, f"i{i}", None) for i in range(160)] + [(f"i{i}", K.CORE_HTTP_URL, f"u{i}", None) for i in range(1, 160)]
+    quads = spark.createDataFrame(rows, "s string, p string, o string, o_lang string")
+    asked = [*[(i, "hot") for i in range(40)], (3, "hot"), (None, "hot"), *[(i, f"t{i}") for i in range(310, 330)], (1, None), (2, "none")]
+    titles = spark.createDataFrame(asked, "line_no long, title string").repartition(1)
+    want = sorted((str(n), t, f"m{i // 2}", f"u{i // 2}") for n, t in asked for x, i in title if x == t and i % 10 and i > 1)
+    for cell in (1, 16, 1000):
+        got = lookup_titles(quads, titles, cell=cell)
+        assert sorted((str(r.line_no), r.title, r.media, r.url) for r in got.collect()) == want
+    got = lookup_titles(quads, titles, cell=16)
+    assert got.where("title = 'hot'").select(F.spark_partition_id()).distinct().count() > 1
+    top = got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Repartition" not in top and got._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+    assert lookup_titles(quads, titles.where("false")).count() == 0
