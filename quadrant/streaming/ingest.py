@@ -13,10 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
@@ -145,47 +148,78 @@ def keep_first_batches(key: str, order: str, sink_path: str) -> Callable[[DataFr
     return fn
 
 
-def keep_first_stream(stream: DataFrame, key: str, order: str, event_time: str, delay: str = "30 days") -> DataFrame:
+#: groups of keys that `keep_first_stream` keeps state for; fixed for the life of a checkpoint
+KEY_BUCKETS = 1024
+
+
+def keep_first_stream(stream: DataFrame, key: str, order: str, event_time: str, delay: str = "30 days", buckets: int = KEY_BUCKETS) -> DataFrame:
     """T4 with keyed state: the row of least `order` of each key, from the micro-batch in
     which the key first comes; the key is then known until the watermark (the latest
-    event time less `delay`) has passed its last event. State holds one time per
-    live key, whatever the stream's age, and no sink is read.
+    event time less `delay`) has passed its last event. State holds each live key and
+    one time for it, whatever the stream's age, and no sink is read.
+
+    Keys lie in `buckets` groups by their hash. One call of Python handles all keys of a
+    group in a micro-batch, as columns, so calls don't grow with the keys; a group times
+    out when the first of its keys does, and then loses the keys that are due.
 
     Rows older than the watermark are late and dropped. Each Arrow batch sends its
     first row per key only, so a key that holds most rows doesn't gather in the task
     that keeps its state."""
     schema: StructType = stream.schema
     sort = [order, *[c for c in schema.names if c not in (order, key)]]
+    kind = to_arrow_type(schema[key].dataType)
 
     def first_of(pdf: pd.DataFrame) -> pd.DataFrame:
-        latest = pdf.groupby(key, dropna=False)[event_time].transform("max")
-        return pdf.assign(_last=latest).sort_values(sort, kind="stable").drop_duplicates(key)
+        """The first row of each key, `_last` being the latest time among the key's rows."""
+        again = pdf.duplicated(key, keep=False)
+        if not again.any():
+            return pdf
+        some = pdf[again]
+        some = some.assign(_last=some.groupby(key, dropna=False)["_last"].transform("max"))
+        return pd.concat([pdf[~again], some.sort_values(sort, kind="stable").drop_duplicates(key)])
 
     def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield first_of(pdf)[[*schema.names, "_last"]]
 
+    def packed(keys: pa.Array) -> bytes:
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, pa.schema([("key", kind)])) as to:
+            to.write_batch(pa.RecordBatch.from_arrays([keys], ["key"]))
+        return out.getvalue().to_pybytes()
+
     def step(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        """State: the keys, and of each the time (ms) that the watermark must pass."""
+        known, until = pa.array([], kind), np.empty(0, np.int64)
+        if state.exists:
+            held = state.get
+            known = pa.ipc.open_stream(bytes(held[0])).read_all().column("key").combine_chunks()
+            until = np.frombuffer(bytes(held[1]), np.int64).copy()
+        now = state.getCurrentWatermarkMs()
+        if not state.hasTimedOut:
+            best = first_of(pd.concat(list(parts), ignore_index=True))
+            keys = pa.Array.from_pandas(best[key], type=kind)
+            times = np.maximum(best["_last"].to_numpy(np.int64), now) + 1
+            place = pc.index_in(keys, value_set=known, skip_nulls=False)
+            there = place.is_valid().to_numpy(zero_copy_only=False)
+            at = place.drop_null().to_numpy()
+            until[at] = np.maximum(until[at], times[there])
+            known = pa.concat_arrays([known, keys.filter(pa.array(~there))])
+            until = np.concatenate([until, times[~there]])
+            if not there.all():
+                yield best.loc[~there, schema.names]
+        live = until >= now
+        if not live.any():
             state.remove()
             return
-        best, last = None, None
-        for pdf in parts:
-            best = pdf if best is None else pd.concat([best, pdf])
-            best = best.sort_values(sort, kind="stable").head(1)
-            newest = pdf["_last"].max()
-            last = newest if last is None or newest > last else last
-        known = state.exists
-        until = int(last.timestamp() * 1000)
-        if known:
-            until = max(until, state.get[0])
-        state.update((until,))
-        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs()) + 1)
-        if not known:
-            yield best[schema.names]
-    thin_schema = StructType([*schema.fields, type(schema.fields[0])("_last", schema[event_time].dataType)])
-    return (stream.mapInPandas(thin, thin_schema).withWatermark(event_time, delay).groupBy(key)
-                .applyInPandasWithState(step, schema, "until bigint", "append", GroupStateTimeout.EventTimeTimeout))
+        if not live.all():
+            known, until = known.filter(pa.array(live)), until[live]
+        state.update((packed(known), until.tobytes()))
+        state.setTimeoutTimestamp(int(until.min()))
+    times = stream.withColumn("_last", F.coalesce(F.unix_millis(event_time), F.lit(0).cast("bigint")))
+    return (times.mapInPandas(thin, times.schema).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+                 .withWatermark(event_time, delay).groupBy("_bucket")
+                 .applyInPandasWithState(step, schema, "keys binary, until binary", "append", GroupStateTimeout.EventTimeTimeout))
 
 
 def publish_each_batch(key: str, publisher, work: str, state_path: str):

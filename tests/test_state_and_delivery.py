@@ -110,6 +110,33 @@ def test_keyed_state_expires(spark):
     assert max(sizes) >= 3 and sizes[-1] <= 2  # old keys are gone
 
 
+def test_keyed_state_in_groups(spark):
+    """State has a row per group of keys, not per key; keys of one group live and expire each by its own time."""
+    schema = "k string, n long, at timestamp"
+    for name, options in (("many", {}), ("one", {"buckets": 1})):
+        work = work_dir(spark, f"groups-{name}")
+        os.makedirs(local(f"{work}/in"))
+        stream, progress = spark.readStream.schema(schema).parquet(f"{work}/in"), []
+
+        def run(rows):
+            rows.select("k", "n", F.to_timestamp("day").alias("at")).write.mode("append").parquet(f"{work}/in")
+            q = (ST.keep_first_stream(stream, "k", "n", "at", "10 days", **options).writeStream.format("parquet").option("path", f"{work}/out")
+                 .option("checkpointLocation", f"{work}/ckpt").outputMode("append").trigger(availableNow=True).start())
+            q.awaitTermination()
+            progress.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+        n = F.col("id")
+        # key 0 has most rows and stays in use; odd keys end in January, the others on the 9th of February
+        first = spark.range(3000).select(F.concat(F.lit("k"), n).alias("k"), (n + 10).alias("n"), F.when(n % 2 == 1, "2024-01-25").otherwise("2024-02-09").alias("day"))
+        hot = spark.range(5000).select(F.lit("k0").alias("k"), (n + 5).alias("n"), F.lit("2024-02-10").alias("day"))
+        none = spark.sql("SELECT CAST(NULL AS STRING) AS k, x AS n, '2024-02-10' AS day FROM VALUES (3L), (2L) AS t(x)")
+        run(first.unionByName(hot).unionByName(none))
+        # the watermark is at the 31st of January: odd keys are forgotten, the others known
+        run(spark.range(4).select(F.concat(F.lit("k"), n).alias("k"), (n * 0 + 1).alias("n"), F.lit("2024-02-11").alias("day")))
+        got = [tuple(r) for r in spark.read.schema(schema).parquet(f"{work}/out").select("k", "n").collect()]
+        assert sorted(got, key=str) == sorted([("k0", 5), (None, 2), ("k1", 1), ("k3", 1), *[(f"k{i}", i + 10) for i in range(1, 3000)]], key=str)
+        assert max(progress) <= (1 if options else 1024)
+
+
 # ---------------------------------------------------------------- J11 / J12
 def quads_of(spark, media, texts):
     rows = [(m, f"{i}.0", f"{i + 1}.0", i * 1000, i * 1000 + 1000, t, None) for m in media for i, t in enumerate(texts)]
