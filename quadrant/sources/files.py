@@ -141,22 +141,25 @@ def flat_segments(raw: DataFrame) -> DataFrame:
     return segments_of(sorted_segments(raw))
 
 
-def _segment_files(spark: SparkSession, path: str) -> DataFrame:
+def segment_files(spark: SparkSession, path: str | list[str], glob: bool = True) -> DataFrame:
+    """Raw items of the transcript files below a folder, or of given files, whose names
+    are taken as they are without `glob`."""
     return (spark.read.schema(SEGMENT_FILE_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", True)
-                 .option("pathGlobFilter", "*" + K.TRANSCRIPT_FILE_SUFFIX).option("recursiveFileLookup", True).json(path))
+                 .option("pathGlobFilter", "*" + K.TRANSCRIPT_FILE_SUFFIX).option("recursiveFileLookup", True)
+                 .option("__globPaths__", glob).json(path))
 
 
 def read_segment_files(spark: SparkSession, path: str) -> DataFrame:
     """Transcript files -> segments; other files in the folder are skipped by
     the suffix filter (S4). The position within a media is bounded by a recording."""
-    return group_position(flat_segments(_segment_files(spark, path)), ["start_ms", "end_ms", "text"], group=["media_key"], name="ord")
+    return group_position(flat_segments(segment_files(spark, path)), ["start_ms", "end_ms", "text"], group=["media_key"], name="ord")
 
 
 def rejected_segment_files(spark: SparkSession, path: str) -> DataFrame:
     """What `read_segment_files` doesn't return, empty files included."""
     empty = list_files(spark, path, "*" + K.TRANSCRIPT_FILE_SUFFIX).where("length = 0").select(
         F.regexp_replace("file", r"[.]lintoai[.]json$", "").alias("media_key"), "path", F.lit("empty file").alias("reason"), F.lit("").alias("record"))
-    return rejects_of(sorted_segments(_segment_files(spark, path))).unionByName(empty)
+    return rejects_of(sorted_segments(segment_files(spark, path))).unionByName(empty)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -173,8 +176,10 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
         filesystem, root = executor_filesystem(path)
         infos = filesystem.get_file_info(FileSelector(root, allow_not_found=True))
         prefix = path.removesuffix(root) if path.endswith(root) else ""
-        yield rows(prefix, infos)
-        yield pa.RecordBatch.from_pylist([{"path": prefix + i.path} for i in infos if not i.is_file], kinds)
+        for at in range(0, len(infos), 10_000):
+            some = infos[at:at + 10_000]
+            yield rows(prefix, some)
+            yield pa.RecordBatch.from_pylist([{"path": prefix + i.path} for i in some if not i.is_file], kinds)
 
     def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +190,7 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
                 yield rows(folder.removesuffix(root), filesystem.get_file_info(FileSelector(root, recursive=True, allow_not_found=True)))
     ship_package(spark)
     schema = "path string, file string, modified timestamp, length long"
-    return spark.range(0, 1, 1, 1).mapInArrow(entries, schema).repartition(F.col("path")).mapInArrow(below, schema)
+    return spark.range(0, 1, 1, 1).mapInArrow(entries, schema).repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(below, schema)
 
 
 # ------------------------------------------------------------------ S6

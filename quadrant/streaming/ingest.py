@@ -28,7 +28,7 @@ from quadrant.operators.catalog import keep_first
 from quadrant.operators.incremental import publish_with_retry
 from quadrant.session import ship_package, written
 from quadrant.sources.files import (CORRUPT, SEGMENT_FILE_SCHEMA, executor_filesystem, flat_segments, list_files,
-                                    rejects_of, segments_of, sorted_segments)
+                                    rejects_of, segment_files, segments_of, sorted_segments)
 
 
 def raw_segment_stream(spark: SparkSession, input_dir: str, max_files: int | None = None) -> DataFrame:
@@ -77,7 +77,8 @@ def move_files(moves: DataFrame) -> DataFrame:
                 found.append("known" if here and there else "moved" if here or there else "missing")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], ["path", "target", "status"])
     ship_package(moves.sparkSession)
-    return moves.select("path", "target").mapInArrow(run, "path string, target string, status string")
+    # the names fill few partitions, but each is a rename
+    return moves.select("path", "target").repartition(moves.sparkSession.sparkContext.defaultParallelism, "path").mapInArrow(run, "path string, target string, status string")
 
 
 def make_dir(spark: SparkSession, path: str) -> None:
@@ -99,6 +100,22 @@ def claim_files(spark: SparkSession, inbox: str, claimed: str, archive: str, log
     move_files(files).withColumn("at", F.current_timestamp()).write.mode("append").parquet(log)
 
 
+#: files of one micro-batch of `ingest_and_archive`; the driver knows the names of no more at a time
+BATCH_FILES = 8192
+#: what opening a small file counts when files are dealt to tasks
+OPEN_COST = 1 << 16
+
+
+def list_claims(spark: SparkSession, pending: DataFrame, lists: str, per_batch: int) -> None:
+    """Add the claimed files that no list has yet to the lists, at most `per_batch` in each.
+    A run that died leaves its lists to the next; the checkpoint knows which are done."""
+    pending = pending.where(F.col("path").endswith(K.TRANSCRIPT_FILE_SUFFIX))
+    fresh = written(pending.select("path").join(spark.read.schema("path string").parquet(lists), "path", "left_anti"), "unlisted")
+    n = fresh.count()
+    if n:
+        fresh.repartition(-(-n // per_batch)).write.mode("append").option("maxRecordsPerFile", per_batch).parquet(lists)
+
+
 def ingest_and_archive(spark: SparkSession, input_dir: str, sink_path: str, checkpoint: str, archive_dir: str,
                        max_files: int | None = None) -> None:
     """Ingest what is there, then move every ingested file to the archive, beside
@@ -107,19 +124,27 @@ def ingest_and_archive(spark: SparkSession, input_dir: str, sink_path: str, chec
     Files are claimed first, so a run sees a fixed set under paths that no later
     delivery can take; they move on after the run, when all its batches are
     committed, so a replay always finds them. A run that died leaves its claims to
-    the next. Segments go to `<sink>/segments`, damaged input to `<sink>/rejects`, with
+    the next. The stream's source are lists of the claimed files, each of them a
+    micro-batch (of `max_files`, if given), so the driver never holds the names of all
+    files. Segments go to `<sink>/segments`, damaged input to `<sink>/rejects`, with
     the version they came from; `latest_segments` reads the newest of each media."""
-    claimed, log = f"{archive_dir}.claimed", f"{archive_dir}.log"
-    for path in (input_dir, claimed, archive_dir):
+    claimed, log, lists = f"{archive_dir}.claimed", f"{archive_dir}.log", f"{archive_dir}.lists"
+    for path in (input_dir, claimed, archive_dir, lists):
         make_dir(spark, path)
     claim_files(spark, input_dir, claimed, archive_dir, log)
     keep = F.concat_ws("/", F.lit(archive_dir), F.slice(F.split("path", "/"), -3, 3))  # name, version, file
     pending = written(list_files(spark, claimed).select("path", keep.alias("target")), "pending")
+    list_claims(spark, pending, lists, max_files or BATCH_FILES)
 
     def batch_of(batch: DataFrame, i: int) -> None:
-        write_batch(segments_of(batch, keep=("file", "version")), i, f"{sink_path}/segments")
-        write_batch(rejects_of(batch, keep=("version",)), i, f"{sink_path}/rejects")
-    run_foreach_batch(sorted_segments(raw_segment_stream(spark, claimed, max_files)), batch_of, checkpoint)
+        session = batch.sparkSession  # the stream's own: its settings are no one else's
+        session.conf.set("spark.sql.files.openCostInBytes", str(OPEN_COST))
+        session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(session.sparkContext.defaultParallelism))
+        files = segment_files(session, [r["path"] for r in batch.collect()], glob=False)
+        items = written(sorted_segments(files), "batch-items")  # two results of one read
+        write_batch(segments_of(items, keep=("file", "version")), i, f"{sink_path}/segments")
+        write_batch(rejects_of(items, keep=("version",)), i, f"{sink_path}/rejects")
+    run_foreach_batch(spark.readStream.schema("path string").option("maxFilesPerTrigger", 1).parquet(lists), batch_of, checkpoint)
     move_files(pending).withColumn("at", F.current_timestamp()).write.mode("append").parquet(log)
 
 

@@ -71,6 +71,39 @@ def test_claims_of_a_run_that_died(spark):
     assert FS.list_files(spark, archive).count() == 3 and FS.list_files(spark, f"{archive}.claimed").count() == 0
 
 
+def test_archive_in_bounded_batches(spark, monkeypatch):
+    """The driver knows the names of one micro-batch's files only; names are no patterns; a
+    run that died between its batches is continued, and nothing is ingested twice."""
+    monkeypatch.setattr(ST, "BATCH_FILES", 2, raising=False)
+    work = work_dir(spark, "bounded")
+    inbox, sink, ckpt, archive = (f"{work}/{x}" for x in ("inbox", "sink", "ckpt", "archive"))
+    names = ["m1", "m[2]", "m{3,4}", "k=v", "with space", "100%25", "m*"]
+    for name in names:
+        put(inbox, name, one(name))
+    put(inbox, "cut", one("x")[:-4])
+    tries = []
+    with monkeypatch.context() as m:
+        def write_batch(*args, write=ST.write_batch):
+            tries.append(args[1])
+            if args[1] == 2:
+                raise RuntimeError("out of power")
+            write(*args)
+        m.setattr(ST, "write_batch", write_batch)
+        with pytest.raises(Exception, match="out of power"):
+            ST.ingest_and_archive(spark, inbox, sink, ckpt, archive)
+    assert max(tries) == 2 and FS.list_files(spark, archive).count() == 0
+    put(inbox, "late", one("late"))
+    ST.ingest_and_archive(spark, inbox, sink, ckpt, archive)
+    ST.ingest_and_archive(spark, inbox, sink, ckpt, archive)  # nothing new
+    got = spark.read.parquet(f"{sink}/segments")
+    assert sorted(r.text for r in got.collect()) == sorted([*names, "late"])
+    bad = spark.read.parquet(f"{sink}/rejects")
+    assert [(r.media_key, r.reason) for r in bad.collect()] == [("cut", "damaged file")]
+    files = got.select("file", "batch_id").unionByName(bad.select("path", "batch_id").withColumnRenamed("path", "file"))
+    assert files.groupBy("batch_id").count().agg(F.max("count")).first()[0] <= 2
+    assert FS.list_files(spark, archive).count() == 9 and FS.list_files(spark, f"{archive}.claimed").count() == 0
+
+
 def test_damaged_transcripts(spark):
     path = work_dir(spark, "damaged")
     put(path, "whole", one("a"))
