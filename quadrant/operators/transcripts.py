@@ -5,9 +5,12 @@ the pluggable transcriber (X2)."""
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow.fs import FileSelector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,8 @@ from quadrant.functions.expressions import (media_key, ms_to_duration, ms_to_srt
                                             ms_to_timecode, seconds_text_to_ms, strip_punctuation, trim_space)
 from quadrant.operators.positions import carry_forward, group_position
 from quadrant.operators.theta import contains_join
-from quadrant.session import ship_package
+from quadrant.session import python_ready, ship_package
+from quadrant.sources.files import executor_filesystem
 
 
 
@@ -92,36 +96,127 @@ def srt_cues(seg: DataFrame, key_col: str = "media_key") -> DataFrame:
         F.col("text"), F.lit("\n")).alias("line"))
 
 
+# what Spark escapes in the name of a partition folder, and the folder of rows without a key
+ESCAPED = re.compile("[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]")
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+READ_BYTES = 1 << 20
+
+
 def write_documents(rows: DataFrame, key_col: str, order: list[str], line_col: str, path: str,
                     num_partitions: int | None = None) -> None:
     """Exactly one text file per key (a media's TXT or SRT document), lines in
     order: range-partition on the key alone (rows of one key never straddle a
-    bound), sort within partitions by (key, order), and let `partitionBy(key)`
-    write each key's file from its one task; neighbouring keys share a task.
+    bound), sort within partitions by (key, order), and let each task write the files of
+    its keys, `<path>/<key_col>=<key>/part-00000.txt`; neighbouring keys share a task.
 
     One file per media is the deliverable, and a file has one writer: a task
     writes the documents of its key range, each bounded by one recording's
-    length, never by the archive's size."""
-    n = num_partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (rows.repartitionByRange(n, key_col)
+    length, never by the archive's size. Executors write the files, so the driver knows
+    none of them: to a folder beside `path`, which takes its place when all are written. A
+    file is written under a hidden name and renamed, so a repeated task replaces it."""
+    spark = rows.sparkSession
+    python_ready(spark)
+    ship_package(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex[:12]}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, root = executor_filesystem(fresh)
+        folder, hidden, out, n_files = None, None, None, 0
+
+        def close() -> None:
+            out.close()
+            filesystem.move(hidden, f"{folder}/part-00000.txt")
+        for batch in batches:
+            for key, line in zip(batch.column("key").to_pylist(), batch.column("line").to_pylist()):
+                name = NO_KEY if key is None else ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", key)
+                if folder != f"{root}/{key_col}={name}":
+                    if out:
+                        close()
+                    folder, n_files = f"{root}/{key_col}={name}", n_files + 1
+                    hidden = f"{folder}/.{uuid.uuid4().hex}"
+                    filesystem.create_dir(folder, recursive=True)
+                    out = filesystem.open_output_stream(hidden, compression=None)
+                out.write(line or b"")
+                out.write(b"\n")
+        if out:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([n_files], pa.int64())], ["n"])
+
+    key = F.col(key_col).cast("string")
+    (rows.withColumn(key_col, F.when(key != "", key)).repartitionByRange(n, key_col)
          .sortWithinPartitions(key_col, *order)
-         .select(key_col, line_col)
-         .write.mode("overwrite").partitionBy(key_col).text(path))
+         .select(F.col(key_col).alias("key"), F.col(line_col).cast("binary").alias("line"))
+         .mapInArrow(write, "n long").agg(F.sum("n")).first())
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(at(fresh))  # there may be no rows
+    store.delete(at(path), True)
+    if not store.rename(at(fresh), at(path)):
+        raise OSError(f"can't rename {fresh} to {path}")
+
+
+def file_lines(stream) -> Iterator[list[bytes]]:
+    """The lines of a file, piece by piece; they end with LF, CR or CRLF, as in Spark's text source."""
+    rest, first = b"", True
+    while block := stream.read(READ_BYTES):
+        data = rest + block
+        if first and len(data) >= 3:
+            data, first = data.removeprefix(b"\xef\xbb\xbf"), False
+        # a CR that ends the piece may be half of a CRLF
+        whole = max(data.rfind(b"\n"), data.rfind(b"\r", 0, -1)) + 1
+        rest = data[whole:]
+        if whole:
+            yield data[:whole].splitlines()
+    if rest:
+        yield rest.splitlines()
 
 
 def read_documents(spark, path: str, key_col: str) -> DataFrame:
-    """Read documents back as (key, line_no, line).
+    """Read documents back as (key, line, line_no).
 
-    Line mode, so no file has to fit in one value: within an input split rows
-    arrive in file order, so (file name, split start, read position) orders
-    every line; positions are then numbered per key (one recording's lines). The
-    key is read as text: `007` and `1.10` are keys, not numbers.
+    The folders of the keys are listed by one task and read by many, a key's files in the
+    order of their names: the position of a line is known as it is read, files are read
+    piece by piece, and the driver knows none of them. The key is read as text: `007` and
+    `1.10` are keys, not numbers.
     """
-    raw = (spark.read.schema(f"value string, `{key_col}` string").format("text").load(path)
-                .select(F.col(key_col), F.col("_metadata.file_name").alias("_file"),
-                        F.col("_metadata.file_block_start").alias("_blk"),
-                        F.monotonically_increasing_id().alias("_i"), F.col("value").alias("line")))
-    return group_position(raw, ["_file", "_blk", "_i"], group=[key_col], name="line_no").drop("_file", "_blk", "_i")
+    kinds = pa.schema([("key", pa.string()), ("line", pa.binary()), ("line_no", pa.int64())])
+    seen = lambda info: info.base_name[0] not in "._"
+
+    def folders(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, root = executor_filesystem(path)
+        infos = [i for i in filesystem.get_file_info(FileSelector(root)) if seen(i)]
+        for i in infos:
+            if i.is_file or not i.base_name.startswith(f"{key_col}="):
+                raise ValueError(f"{i.path} is no folder of a {key_col}")
+        for at in range(0, len(infos), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array([i.base_name for i in infos[at:at + 10_000]], pa.string())], ["folder"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, root = executor_filesystem(path)
+        keys, lines, numbers, size = [], [], [], 0
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                name = folder.removeprefix(f"{key_col}=")
+                key = None if name == NO_KEY else re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name)
+                infos = filesystem.get_file_info(FileSelector(f"{root}/{folder}", recursive=True))
+                number = 0
+                for info in sorted((i for i in infos if i.is_file and seen(i)), key=lambda i: i.base_name):
+                    with filesystem.open_input_stream(info.path) as stream:
+                        for part in file_lines(stream):
+                            lines += part
+                            keys += [key] * len(part)
+                            numbers += range(number, number + len(part))
+                            number += len(part)
+                            size += sum(map(len, part))
+                            if size >= READ_BYTES or len(lines) >= 10_000:
+                                yield pa.RecordBatch.from_pydict({"key": keys, "line": lines, "line_no": numbers}, schema=kinds)
+                                keys, lines, numbers, size = [], [], [], 0
+        yield pa.RecordBatch.from_pydict({"key": keys, "line": lines, "line_no": numbers}, schema=kinds)
+    ship_package(spark)
+    names = spark.range(0, 1, 1, 1).mapInArrow(folders, "folder string").repartition(spark.sparkContext.defaultParallelism, "folder")
+    return names.mapInArrow(read, "key string, line binary, line_no long").select(
+        F.col("key").alias(key_col), F.col("line").cast("string").alias("line"), "line_no")
 
 
 # ------------------------------------------------------------------ A8

@@ -150,6 +150,7 @@ def q_correction_round_trip(spark, sf_dir):
     corrected = exported.withColumn(
         "line", F.when(F.col("line_no") % 3 == 2,
                        F.regexp_replace("line", r"^([^-:]*-[^-:]*[^:]*:).*$", "$1 ")).otherwise(F.col("line")))
-    new = corrected_segments(spark, sf_dir, corrected.select("file", "line_no", "line"))
+    # the merge reads the lines twice, the files are read once
+    new = corrected_segments(spark, sf_dir, written(corrected.select("file", "line_no", "line"), "corrected-lines"))
     store = transcript_store(spark, sf_dir)
     return QD.replace_transcription(store, QD.segments_to_quads(new), new.select("media").distinct())

@@ -78,3 +78,35 @@ def test_lookup_titles_hot_title(spark):
     top = got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     assert "Repartition" not in top and got._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
     assert lookup_titles(quads, titles.where("false")).count() == 0
+
+
+def test_documents_are_unknown_to_the_driver(spark):
+    """One file per key, written and read by the executors; keys, line ends and order as before."""
+    import os
+
+    from quadrant.operators import transcripts as TR
+    from quadrant.session import work_dir
+    keys = [f"k{i}" for i in range(40)] + ["a=b", "x/y:z%20", "[1]*?", "é {q}", "007", "", None]
+    rows = [(k, n, f"{k} line {n}") for k in keys for n in range(5)] + [("odd", 0, "a\rb\r\nc\n\nd"), ("odd", 1, None), ("odd", 2, ""), ("odd", 3, "e f\x0bg\r")]
+    rows.append(("long", 0, "\r\n".join(["é" * 300_000] * 5)))
+    path = work_dir(spark, "documents")
+    for _ in range(2):  # the second time replaces the first
+        TR.write_documents(spark.createDataFrame(rows, "k string, n int, line string").repartition(5), "k", ["n", "line"], "line", path, num_partitions=6)
+    got = TR.read_documents(spark, path, "k")
+    assert got.columns == ["k", "line", "line_no"] and got.inputFiles() == []
+    found = {}
+    for r in got.orderBy("k", "line_no").collect():
+        found.setdefault(r.k, []).append(r.line)
+        assert r.line_no == len(found[r.k]) - 1
+    for k in keys[:-2]:
+        assert found[k] == [f"{k} line {n}" for n in range(5)]
+    assert sorted(found[None]) == sorted([f" line {n}" for n in range(5)] + [f"None line {n}" for n in range(5)])
+    assert found["odd"] == ["a", "b", "c", "", "d", "", "", "e f\x0bg"]
+    assert found["long"] == ["é" * 300_000] * 5
+    local = path.removeprefix("file:")
+    assert len(os.listdir(local)) == len(keys) - 1 + 2 and all(os.listdir(f"{local}/{f}") == ["part-00000.txt"] for f in os.listdir(local))
+    # Spark's own reader sees the same
+    spark_rows = spark.read.schema("value string, k string").text(path).where("k <> 'long'")
+    assert sorted(map(tuple, spark_rows.select("k", "value").collect())) == sorted(tuple(r) for r in got.where("k <> 'long'").select("k", "line").collect())
+    TR.write_documents(spark.createDataFrame([], "k string, n int, line string"), "k", ["n"], "line", path)
+    assert TR.read_documents(spark, path, "k").count() == 0
